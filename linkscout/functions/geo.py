@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkscout.functions.steps import steps
+
 # WGS84 ellipsoid (fixed values).
 SEMI_MAJOR_M = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -29,15 +31,13 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.floor(value * float(scale) + 0.5) / float(scale)
 
 
-def evaluated(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are computed here, once per row.
+def once(name: str, expression: str) -> str:
+    """Select item for a column that is computed here, once per row.
 
     A later filter or explode on a derived column makes Catalyst repeat the column's whole definition below it; for array
     expressions built in steps that multiplies at every step. A one-row generator keeps the definition in one place.
     """
-    keep = [c for c in df.columns if c not in columns]
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*keep, F.inline_outer(F.array(row)))
+    return f"inline_outer(array(named_struct('{name}', {expression})))"
 
 
 # ---------------------------------------------------------------- distance
@@ -45,30 +45,35 @@ def evaluated(df: DataFrame, **columns: Column) -> DataFrame:
 
 def with_geodetic(df: DataFrame, lon: str, lat: str, prefix: str) -> DataFrame:
     """Add the per-point terms of the distance formula once per point, so that a join only pays per pair."""
-    df = df.selectExpr(
-        "*", f"radians({lon}) as {prefix}_lam", f"atan({1 - FLATTENING!r}D * tan(radians({lat}))) as {prefix}_beta"
+    return steps(
+        df,
+        ["*", f"radians({lon}) as {prefix}_lam", f"atan({1 - FLATTENING!r}D * tan(radians({lat}))) as {prefix}_beta"],
+        ["*", f"sin({prefix}_beta) as {prefix}_sin", f"cos({prefix}_beta) as {prefix}_cos"],
     )
-    return df.selectExpr("*", f"sin({prefix}_beta) as {prefix}_sin", f"cos({prefix}_beta) as {prefix}_cos")
 
 
 def geodetic_columns(prefix: str) -> list[str]:
     return [f"{prefix}_{part}" for part in ("lam", "beta", "sin", "cos")]
 
 
-def geodesic_m(a: str, b: str) -> Column:
-    """Lambert's long-line distance in metres between two sides prepared by :func:`with_geodetic`.
+def with_geodesic(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """Add Lambert's long-line distance in metres between two sides prepared by :func:`with_geodetic`.
 
     Within about 2 cm of the exact geodesic up to 11 km. P and Q of the textbook form are eliminated with
-    sinP cosQ = (sin b2 + sin b1) / 2 and cosP sinQ = (sin b2 - sin b1) / 2.
+    sinP cosQ = (sin b2 + sin b1) / 2 and cosP sinQ = (sin b2 - sin b1) / 2. Each step is computed once per pair, which
+    also keeps the generated method small enough to be compiled.
     """
     half_lat, half_lon = f"sin(({b}_beta - {a}_beta) / 2)", f"sin(({b}_lam - {a}_lam) / 2)"
-    h = f"least(1D, {half_lat} * {half_lat} + {a}_cos * {b}_cos * {half_lon} * {half_lon})"
-    sigma = f"(2 * asin(sqrt({h})))"
-    plus, minus = f"(({b}_sin + {a}_sin) / 2)", f"(({b}_sin - {a}_sin) / 2)"
-    return F.expr(
-        f"{SEMI_MAJOR_M!r}D * ({sigma} - {FLATTENING / 2!r}D * ("
-        f"({sigma} - sin({sigma})) * {plus} * {plus} / greatest(1 - {h}, {TINY!r}D)"
-        f" + ({sigma} + sin({sigma})) * {minus} * {minus} / greatest({h}, {TINY!r}D)))"
+    bend = (
+        f"(_sig - sin(_sig)) * pow(({b}_sin + {a}_sin) / 2, 2) / greatest(1 - _h, {TINY!r}D)"
+        f" + (_sig + sin(_sig)) * pow(({b}_sin - {a}_sin) / 2, 2) / greatest(_h, {TINY!r}D)"
+    )
+    return steps(
+        df,
+        ["*", f"{half_lat} as _y", f"{half_lon} as _x"],
+        ["*", once("_h", f"least(1D, _y * _y + {a}_cos * {b}_cos * _x * _x)")],
+        ["*", once("_sig", "2 * asin(sqrt(_h))")],
+        [*df.columns, once(out, f"{SEMI_MAJOR_M!r}D * (_sig - {FLATTENING / 2!r}D * ({bend}))")],
     )
 
 
@@ -86,49 +91,53 @@ def with_line_length(
     for anything but nearly antipodal ends.
     """
     keep, f = df.columns, f"{FLATTENING!r}D"
-    df = df.selectExpr(
-        "*",
-        f"atan((1 - {f}) * tan(radians({lat1}))) as _u1",
-        f"atan((1 - {f}) * tan(radians({lat2}))) as _u2",
-        f"radians({lon2} - {lon1}) as _dl",
-    )
-    df = df.selectExpr(
-        *keep, "_dl", "sin(_u1) as _s1", "cos(_u1) as _c1", "sin(_u2) as _s2", "cos(_u2) as _c2", "_dl as _lam"
-    )
     ends = [*keep, "_dl", "_s1", "_c1", "_s2", "_c2"]
+    stages: list[list[str]] = [
+        [
+            "*",
+            f"atan((1 - {f}) * tan(radians({lat1}))) as _u1",
+            f"atan((1 - {f}) * tan(radians({lat2}))) as _u2",
+            f"radians({lon2} - {lon1}) as _dl",
+        ],
+        [*keep, "_dl", "sin(_u1) as _s1", "cos(_u1) as _c1", "sin(_u2) as _s2", "cos(_u2) as _c2", "_dl as _lam"],
+    ]
     for step in range(iterations + 1):
-        df = df.selectExpr(*ends, "sin(_lam) as _sl", "cos(_lam) as _cl")
-        df = df.selectExpr(
-            *ends,
-            "sqrt((_c2 * _sl) * (_c2 * _sl) + (_c1 * _s2 - _s1 * _c2 * _cl) * (_c1 * _s2 - _s1 * _c2 * _cl)) as _ss",
-            "_s1 * _s2 + _c1 * _c2 * _cl as _cs",
-            "_c1 * _c2 * _sl as _n",
-        )
-        df = df.selectExpr(*ends, "_ss", "_cs", "atan2(_ss, _cs) as _sig", f"_n / greatest(_ss, {TINY!r}D) as _sa")
-        df = df.selectExpr(*ends, "_ss", "_cs", "_sig", "_sa", "1 - _sa * _sa as _c2a")
-        df = df.selectExpr(
-            *ends, "_ss", "_cs", "_sig", "_sa", "_c2a",
-            f"if(_c2a > 1e-12D, _cs - 2 * _s1 * _s2 / greatest(_c2a, {TINY!r}D), 0D) as _cm",
-            f"{f} / 16 * _c2a * (4 + {f} * (4 - 3 * _c2a)) as _cc",
-        )
-        if step < iterations:
-            df = df.selectExpr(
+        stages += [
+            [*ends, "sin(_lam) as _sl", "cos(_lam) as _cl"],
+            [
                 *ends,
-                f"_dl + (1 - _cc) * {f} * _sa * (_sig + _cc * _ss * (_cm + _cc * _cs * (2 * _cm * _cm - 1))) as _lam",
-            )
+                "sqrt((_c2 * _sl) * (_c2 * _sl) + (_c1 * _s2 - _s1 * _c2 * _cl) * (_c1 * _s2 - _s1 * _c2 * _cl)) as _ss",
+                "_s1 * _s2 + _c1 * _c2 * _cl as _cs",
+                "_c1 * _c2 * _sl as _n",
+            ],
+            [*ends, "_ss", "_cs", "atan2(_ss, _cs) as _sig", f"_n / greatest(_ss, {TINY!r}D) as _sa"],
+            [*ends, "_ss", "_cs", "_sig", "_sa", "1 - _sa * _sa as _c2a"],
+            [
+                *ends, "_ss", "_cs", "_sig", "_sa", "_c2a",
+                f"if(_c2a > 1e-12D, _cs - 2 * _s1 * _s2 / greatest(_c2a, {TINY!r}D), 0D) as _cm",
+                f"{f} / 16 * _c2a * (4 + {f} * (4 - 3 * _c2a)) as _cc",
+            ],
+        ]
+        if step < iterations:
+            turn = f"_dl + (1 - _cc) * {f} * _sa * (_sig + _cc * _ss * (_cm + _cc * _cs * (2 * _cm * _cm - 1)))"
+            stages.append([*ends, f"{turn} as _lam"])
     axis_ratio = (SEMI_MAJOR_M**2 - SEMI_MINOR_M**2) / SEMI_MINOR_M**2
-    df = df.selectExpr(*keep, "_ss", "_cs", "_sig", "_cm", f"_c2a * {axis_ratio!r}D as _q")
-    df = df.selectExpr(
-        *keep, "_ss", "_cs", "_sig", "_cm",
-        "1 + _q / 16384 * (4096 + _q * (-768 + _q * (320 - 175 * _q))) as _A",
-        "_q / 1024 * (256 + _q * (-128 + _q * (74 - 47 * _q))) as _B",
-    )
     delta = (
         "_B * _ss * (_cm + _B / 4 * (_cs * (2 * _cm * _cm - 1)"
         " - _B / 6 * _cm * (4 * _ss * _ss - 3) * (4 * _cm * _cm - 3)))"
     )
     metres = f"{SEMI_MINOR_M!r}D * _A * (_sig - {delta})"
-    return evaluated(df, **{out: F.expr(f"floor({metres} * 100D + 0.5D) / 100D")}).select(*keep, out)
+    stages += [
+        [*keep, "_ss", "_cs", "_sig", "_cm", f"_c2a * {axis_ratio!r}D as _q"],
+        [
+            *keep, "_ss", "_cs", "_sig", "_cm",
+            "1 + _q / 16384 * (4096 + _q * (-768 + _q * (320 - 175 * _q))) as _A",
+            "_q / 1024 * (256 + _q * (-128 + _q * (74 - 47 * _q))) as _B",
+        ],
+        # Computed once here: see once().
+        [*keep, once(out, f"floor({metres} * 100D + 0.5D) / 100D")],
+    ]
+    return steps(df, *stages)
 
 
 # ---------------------------------------------------------------- coordinate systems
@@ -247,10 +256,10 @@ def _edges(ring: str) -> str:
     )
 
 
-def distinct_corners(ring: str) -> Column:
+def distinct_corners(ring: str) -> str:
     """Open ring without repeated neighbours and without a closing copy of the first corner."""
     kept = f"filter({ring}, (p, i) -> i = 0 or p != get({ring}, i - 1))"
-    return F.expr(
+    return (
         f"transform(array({kept}), k -> if(size(k) > 1 and get(k, 0) = get(k, size(k) - 1), slice(k, 1, size(k) - 1), k))[0]"
     )
 
@@ -264,14 +273,18 @@ def doubled_area(ring: str) -> str:
     )
 
 
-def counter_clockwise(ring: str) -> Column:
-    return F.expr(f"if({doubled_area(ring)} < 0, reverse({ring}), {ring})")
+def counter_clockwise(ring: str) -> str:
+    return f"if({doubled_area(ring)} < 0, reverse({ring}), {ring})"
 
 
 def with_clean_ring(df: DataFrame, ring: str = "ring") -> DataFrame:
     """Normalise an outline column once at scan, so that later expressions may assume an open, counter-clockwise ring."""
-    df = evaluated(df, _corners=distinct_corners(ring))
-    return evaluated(df, **{ring: counter_clockwise("_corners")}).drop("_corners")
+    keep = [c for c in df.columns if c != ring]
+    return steps(
+        df,
+        [*keep, once("_corners", distinct_corners(ring))],
+        [*keep, once(ring, counter_clockwise("_corners"))],
+    )
 
 
 def ring_box(ring: str) -> dict[str, Column]:
@@ -316,16 +329,16 @@ def point_near_ring(lon: str, lat: str, ring: str, buffer_deg: float) -> Column:
     return point_in_ring(lon, lat, ring) | (ring_distance_sq(lon, lat, ring) <= F.lit(buffer_deg * buffer_deg))
 
 
-def _edge_lines(ring: str) -> Column:
+def _edge_lines(ring: str) -> str:
     """Edges with their inward unit normal (ring counter-clockwise)."""
     length = f"greatest(sqrt((e.bx - e.ax) * (e.bx - e.ax) + (e.by - e.ay) * (e.by - e.ay)), {TINY!r}D)"
-    return F.expr(
+    return (
         f"transform({_edges(ring)}, e -> named_struct('ax', e.ax, 'ay', e.ay, 'bx', e.bx, 'by', e.by,"
         f" 'nx', -(e.by - e.ay) / {length}, 'ny', (e.bx - e.ax) / {length}))"
     )
 
 
-def _offset_corners(lines: str, distance: float) -> Column:
+def _offset_corners(lines: str, distance: float) -> str:
     """Corner i of the inset ring: where the offset of line i-1 meets the offset of line i.
 
     Neighbouring edges share a corner and use the mitre point; edges that became neighbours by dropping a collapsed one
@@ -338,7 +351,7 @@ def _offset_corners(lines: str, distance: float) -> Column:
     cross = "(p.nx * e.ny - p.ny * e.nx)"
     safe = f"if(abs({cross}) < 1e-12D, null, {cross})"
     cp = f"(p.nx * (p.ax - e.ax) + p.ny * (p.ay - e.ay) + {d})"
-    return F.expr(
+    return (
         f"zip_with({previous}, {lines}, (p, e) -> named_struct("
         f"'lon', if({shares}, e.ax + {mitre} * (p.nx + e.nx), e.ax + ({cp} * e.ny - {d} * p.ny) / {safe}),"
         f"'lat', if({shares}, e.ay + {mitre} * (p.ny + e.ny), e.ay + ({d} * p.nx - {cp} * e.nx) / {safe})))"
@@ -361,21 +374,19 @@ def with_inset_ring(df: DataFrame, ring: str, out: str, distance: float = ROOF_I
     counts as collapsed. Expects a clean ring.
     """
     keep = [c for c in df.columns if c != out]
-    df = evaluated(df, _l0=_edge_lines(ring))
-    df = evaluated(df, _c0=_offset_corners("_l0", distance))
-    df = evaluated(df, _l1=F.expr(_surviving("_l0", "_c0")))
-    df = evaluated(
-        df,
-        _c1=F.when(F.size("_l1") == F.size("_l0"), F.col("_c0"))
-        .when(F.size("_l1") >= 3, _offset_corners("_l1", distance))
-        .otherwise(F.lit(None)),
-    )
     whole = (
-        (F.size("_l1") >= 3)
-        & ~F.exists("_c1", lambda p: p.lon.isNull() | p.lat.isNull())
-        & (F.expr(f"size({_surviving('_l1', '_c1')}) = size(_l1)"))
+        "size(_l1) >= 3 and not exists(_c1, p -> p.lon is null or p.lat is null)"
+        f" and size({_surviving('_l1', '_c1')}) = size(_l1)"
+    )
+    again = f"if(size(_l1) = size(_l0), _c0, if(size(_l1) >= 3, {_offset_corners('_l1', distance)}, null))"
+    return steps(
+        df,
+        [*keep, once("_l0", _edge_lines(ring))],
+        [*keep, "_l0", once("_c0", _offset_corners("_l0", distance))],
+        [*keep, "_l0", "_c0", once("_l1", _surviving("_l0", "_c0"))],
+        [*keep, "_l1", once("_c1", again)],
+        [*keep, once(out, f"if({whole}, _c1, null)")],
     )
-    return evaluated(df, **{out: F.when(whole, F.col("_c1"))}).select(*keep, out)
 
 
 def cardinal_vertices(ring: str) -> Column:
@@ -389,15 +400,15 @@ def cardinal_vertices(ring: str) -> Column:
     return F.expr(f"if({ring} is not null, array({', '.join(corners)}), null)")
 
 
-def _finite(value: Column) -> Column:
-    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+def _finite(value: str) -> str:
+    return f"({value} is not null and not isnan({value}) and abs({value}) < double('inf'))"
 
 
 def _side(e: str, x: str, y: str) -> str:
     return f"signum(({e}.bx - {e}.ax) * ({y} - {e}.ay) - ({e}.by - {e}.ay) * ({x} - {e}.ax))"
 
 
-def self_crossing(ring: str) -> Column:
+def self_crossing(ring: str) -> str:
     """True if two edges that are not neighbours meet. Quadratic in the corners of one outline, never in rows."""
     proper = (
         f"({_side('e', 'g.ax', 'g.ay')} * {_side('e', 'g.bx', 'g.by')} < 0"
@@ -408,7 +419,7 @@ def self_crossing(ring: str) -> Column:
     )
     apart = f"j > i + 1 and not (i = 0 and j = size({ring}) - 1)"
     edges = _edges(ring)
-    return F.expr(
+    return (
         f"exists(transform({edges}, (e, i) -> exists(transform({edges}, (g, j) -> {apart} and ({proper} or {touch})),"
         " hit -> hit)), hit -> hit)"
     )
@@ -421,16 +432,18 @@ def with_validity(df: DataFrame, ring: str, reason: str, repaired: str) -> DataF
     with a non-finite ordinate or fewer than three distinct corners has no repaired form.
     """
     keep = [c for c in df.columns if c not in (reason, repaired)]
-    finite = ~F.exists(ring, lambda p: ~_finite(p.lon) | ~_finite(p.lat))
-    df = evaluated(df, _open=F.when(finite, distinct_corners(ring)))
-    enough = F.size(F.array_distinct("_open")) >= 3
+    finite = f"not exists({ring}, p -> not {_finite('p.lon')} or not {_finite('p.lat')})"
+    enough = "size(array_distinct(_open)) >= 3"
     text = (
-        F.when(F.col(ring).isNull(), F.lit(None))
-        .when(F.col("_open").isNull(), "Invalid Coordinate")
-        .when(~enough, "Too few points in geometry component")
-        .when(self_crossing("_open"), "Self-intersection")
-        .otherwise("Valid Geometry")
+        f"case when {ring} is null then null when _open is null then 'Invalid Coordinate'"
+        f" when not ({enough}) then 'Too few points in geometry component'"
+        f" when {self_crossing('_open')} then 'Self-intersection' else 'Valid Geometry' end"
+    )
+    oriented = f"if(_open is not null and {enough}, {counter_clockwise('_open')}, null)"
+    return steps(
+        df,
+        ["*", once("_open", f"if({finite}, {distinct_corners(ring)}, null)")],
+        ["*", once("_fixed", oriented)],
+        [*keep, once(reason, text), "_fixed"],
+        [*keep, reason, f"concat(_fixed, slice(_fixed, 1, 1)) as {repaired}"],
     )
-    oriented = F.when(F.col("_open").isNotNull() & enough, counter_clockwise("_open"))
-    df = evaluated(df, **{reason: text, "_fixed": oriented})
-    return df.select(*keep, reason, F.concat(F.col("_fixed"), F.slice("_fixed", 1, 1)).alias(repaired))

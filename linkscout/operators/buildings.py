@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from linkscout import schemas
 from linkscout.functions import geo
-from linkscout.operators.skew import skewed_join
 
 # Network states that rule a building out as a hub.
 EXCLUDED_STATES = ("TYPE II", "ON-NET (Type II)", "OFF-NET", "OFF-NET (Restricted)", "13", "14", "15")
@@ -39,7 +38,7 @@ def hub_lookup(buildings: DataFrame, crm: DataFrame, extent: tuple[float, float,
     status = crm.select(F.col("clli").alias("_clli"), "on_net_status")
     state = F.col("on_net_status")
     return (
-        skewed_join(keyed, status, ["_clli"], "left")
+        keyed.join(status, "_clli", "left")
         .where(~state.isin(*EXCLUDED_STATES) | state.isNull())
         .select(
             "buildingid", F.col("name_raw").alias("name"), "building_type", "on_net_status",

@@ -74,7 +74,7 @@ def assemble(candidates: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
 
     Matching is on type and id, as ids of different sources may be the same text. Several rank rows per id fan out.
     """
-    joined = skewed_join(candidates, combined_ranks(ranks), ["candidate_type", "id"], "left")
+    joined = candidates.join(combined_ranks(ranks), ["candidate_type", "id"], "left")
     return joined.withColumns(
         {
             "tx_agl": text.open_level_agl(F.col("open_levels")),
@@ -93,7 +93,7 @@ def unranked_sites(sources: DataFrame, candidates: DataFrame, ranks: dict[str, D
 def join_link_budget(candidates: DataFrame, replies: DataFrame, keys: list[str]) -> DataFrame:
     """Add the link-budget reply of each candidate (``speed``, ``equipment`` and the rest) by key."""
     renamed = replies.withColumnsRenamed({"capacity": "speed", "model": "equipment"})
-    return skewed_join(candidates, renamed, keys, "left")
+    return candidates.join(renamed, keys, "left")
 
 
 def linked(candidates: DataFrame) -> DataFrame:

@@ -13,11 +13,13 @@ covers its k nearest. Only cells within that reach are joined, so the pairs foll
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkscout.functions import geo
+from linkscout.functions.steps import steps
 from linkscout.operators.skew import materialise, skewed_join
 
 # Cell heights of the levels in km, each a quarter of the one before.
@@ -35,6 +37,9 @@ POLE_CAP = 89.0
 # Distances are ranked after rounding to 10 m, so a reach needs that much slack to keep ties of the k-th row.
 ROUNDING_SLACK_KM = 0.0111
 
+# Sources times points up to which a nearest-k search joins all pairs within the radius without counting cells first.
+PAIR_BUDGET = 3_000_000
+
 # Rows allowed in an explicitly broadcast side (about 100 bytes each).
 BROADCAST_ROWS = 500_000
 COVER_CELLS = 81
@@ -69,6 +74,12 @@ def source_stats(sources: DataFrame, *limits: str, radius_km: str = "radius_km")
     return SourceStats(row["n"], top, float(row["r0"] or 0), float(row["r1"] or 0))
 
 
+def total_rows(tables: list[DataFrame]) -> int:
+    """Rows of some base tables together; a count of parquet files reads only their footers."""
+    counts = [t.agg(F.count(F.lit(1)).alias("n")) for t in tables]
+    return reduce(DataFrame.union, counts).agg(F.sum("n")).first()[0]
+
+
 # The grid arithmetic is written as SQL text: one parsed expression instead of hundreds of Column objects.
 HEIGHTS = tuple(km / KM_PER_DEGREE for km in CELL_KM)
 BAND_HEIGHTS = "array(" + ", ".join(f"{h!r}D" for h in HEIGHTS) + ")"
@@ -131,37 +142,42 @@ def _gap_km(lon: str, lat: str) -> tuple[str, str]:
 
 def cover(df: DataFrame, lon: str, lat: str, reach_km: str, level: int | None = None) -> DataFrame:
     """One row per cell that may hold a point within ``reach_km`` of each row, as column ``cell``."""
-    keep = df.columns
-    df = df.selectExpr("*", f"{level_for(reach_km) if level is None else level} as _level")
-    df = df.selectExpr("*", f"get({BAND_HEIGHTS}, _level) as _height", f"{reach_km} / {KM_PER_DEGREE!r}D as _deg")
-    df = df.selectExpr("*", f"greatest(abs({lat} - _deg), abs({lat} + _deg)) as _top")
-    df = df.selectExpr(
-        "*",
-        f"if(_top >= {POLE_CAP!r}D, 180D, least(180D, _deg / cos(radians(least(_top, {POLE_CAP!r}D))))) as _half",
-        f"explode(sequence(greatest(0L, {_band(f'({lat} - _deg)', '_height')}),"
-        f" least({_band('90D', '_height')}, {_band(f'({lat} + _deg)', '_height')}))) as _band",
-    )
-    df = df.selectExpr("*", f"{_columns_in('_band', '_height')} as _columns")
-    df = df.selectExpr(
-        "*",
-        f"floor(({lon} - _half + 180) * _columns / 360) as _first",
-        f"floor(({lon} + _half + 180) * _columns / 360) as _last",
-    )
-    df = df.selectExpr("*", "explode(sequence(_first, least(_last, _first + _columns - 1))) as _raw")
     near, _ = _gap_km(lon, lat)
-    # Near a pole the planar bound does not hold for a full circle of columns, so nothing is dropped there.
-    df = df.where(f"_half >= 180 or {near} <= {reach_km}")
-    return df.selectExpr(*keep, f"{_key('_level', '_band', 'pmod(_raw, _columns)')} as cell")
+    return steps(
+        df,
+        ["*", f"{level_for(reach_km) if level is None else level} as _level"],
+        ["*", f"get({BAND_HEIGHTS}, _level) as _height", f"{reach_km} / {KM_PER_DEGREE!r}D as _deg"],
+        ["*", f"greatest(abs({lat} - _deg), abs({lat} + _deg)) as _top"],
+        [
+            "*",
+            f"if(_top >= {POLE_CAP!r}D, 180D, least(180D, _deg / cos(radians(least(_top, {POLE_CAP!r}D))))) as _half",
+            f"explode(sequence(greatest(0L, {_band(f'({lat} - _deg)', '_height')}),"
+            f" least({_band('90D', '_height')}, {_band(f'({lat} + _deg)', '_height')}))) as _band",
+        ],
+        ["*", f"{_columns_in('_band', '_height')} as _columns"],
+        [
+            "*",
+            f"floor(({lon} - _half + 180) * _columns / 360) as _first",
+            f"floor(({lon} + _half + 180) * _columns / 360) as _last",
+        ],
+        ["*", "explode(sequence(_first, least(_last, _first + _columns - 1))) as _raw"],
+        # Near a pole the planar bound does not hold for a full circle of columns, so nothing is dropped there.
+        f"_half >= 180 or {near} <= {reach_km}",
+        [*df.columns, f"{_key('_level', '_band', 'pmod(_raw, _columns)')} as cell"],
+    )
 
 
 def box_cells(df: DataFrame, west: str, south: str, east: str, north: str, level: int) -> DataFrame:
     """One row per cell of a small box (an outline, say), as column ``cell``."""
-    keep, height = df.columns, f"{HEIGHTS[level]!r}D"
-    df = df.selectExpr("*", f"explode(sequence({_band(south, height)}, {_band(north, height)})) as _band")
-    df = df.selectExpr("*", f"{_columns_in('_band', height)} as _columns")
+    height = f"{HEIGHTS[level]!r}D"
     first, last = (f"floor(({c} + 180) * _columns / 360)" for c in (west, east))
-    df = df.selectExpr("*", f"explode(sequence({first}, {last})) as _raw")
-    return df.selectExpr(*keep, f"{_key(level, '_band', 'pmod(_raw, _columns)')} as cell")
+    return steps(
+        df,
+        ["*", f"explode(sequence({_band(south, height)}, {_band(north, height)})) as _band"],
+        ["*", f"{_columns_in('_band', height)} as _columns"],
+        ["*", f"explode(sequence({first}, {last})) as _raw"],
+        [*df.columns, f"{_key(level, '_band', 'pmod(_raw, _columns)')} as cell"],
+    )
 
 
 def near_sources(points: DataFrame, sources: DataFrame, stats: SourceStats, radius_km: str = "radius_km") -> DataFrame:
@@ -176,11 +192,11 @@ def near_sources(points: DataFrame, sources: DataFrame, stats: SourceStats, radi
     return marked.join(F.broadcast(cells), "cell", "left_semi").drop("cell")
 
 
-def cell_counts(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Points per cell at every level: partial sums per task, then one small row per occupied cell."""
+def cell_counts(points: DataFrame) -> DataFrame:
+    """Points per kind and cell at every level: partial sums per task, then one small row per occupied cell."""
     return (
-        points.select(F.explode(cells_of(lon, lat)).alias("cell"))
-        .groupBy("cell")
+        points.select("kind", F.explode(cells_of("lon", "lat")).alias("cell"))
+        .groupBy("kind", "cell")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -193,19 +209,18 @@ def search_reach(sources: DataFrame, counts: DataFrame, radius_km: str, limit: s
     keeps at most 25 rows per level here, whatever the data.
     """
     keep = sources.columns
-    df = sources.selectExpr("*", f"posexplode({BAND_HEIGHTS}) as (_level, _height)")
     own, last = _band("lat", "_height"), _band("90D", "_height")
-    df = df.selectExpr("*", f"explode(sequence(greatest({own} - 2, 0L), least({own} + 2, {last}))) as _band")
-    df = df.selectExpr("*", f"{_columns_in('_band', '_height')} as _columns")
-    df = df.selectExpr(
-        "*", "floor((lon + 180) * _columns / 360) as _middle", "least(2L, floor((_columns - 1) / 2)) as _spread"
-    )
-    df = df.selectExpr("*", "explode(sequence(_middle - _spread, _middle + _spread)) as _raw")
     _, far = _gap_km("lon", "lat")
-    df = df.selectExpr(
-        *keep, "_level", f"{far} as _far", f"{_key('_level', '_band', 'pmod(_raw, _columns)')} as cell"
+    df = steps(
+        sources,
+        ["*", f"posexplode({BAND_HEIGHTS}) as (_level, _height)"],
+        ["*", f"explode(sequence(greatest({own} - 2, 0L), least({own} + 2, {last}))) as _band"],
+        ["*", f"{_columns_in('_band', '_height')} as _columns"],
+        ["*", "floor((lon + 180) * _columns / 360) as _middle", "least(2L, floor((_columns - 1) / 2)) as _spread"],
+        ["*", "explode(sequence(_middle - _spread, _middle + _spread)) as _raw"],
+        [*keep, "_level", f"{far} as _far", f"{_key('_level', '_band', 'pmod(_raw, _columns)')} as cell"],
     )
-    df = df.join(counts if small else counts.hint("merge"), "cell", "left")
+    df = df.join(counts if small else counts.hint("merge"), ["kind", "cell"], "left")
     df = df.groupBy(*keep).agg(
         F.expr("sort_array(collect_list(named_struct('level', _level, 'far', _far, 'n', coalesce(n, 0L))))").alias("_cells")
     )
@@ -224,71 +239,73 @@ def trim_copies(points: DataFrame, counts: DataFrame, order: list[Column], max_l
     Only the finest cells with far more points than that take this detour; normally there are none.
     """
     finest = F.shiftright("cell", 46) == FINEST
-    crowded = counts.where(finest & (F.col("n") > 4 * max_limit)).select(F.col("cell").alias("_cell"))
+    crowded = counts.where(finest & (F.col("n") > 4 * max_limit)).select("kind", F.col("cell").alias("_cell"))
     if crowded.isEmpty():
         return points
     tagged = points.withColumn("_cell", cell_of("lon", "lat", FINEST))
-    place = Window.partitionBy("lon", "lat").orderBy(*order)
+    place = Window.partitionBy("kind", "lon", "lat").orderBy(*order)
     dense = (
-        tagged.join(crowded, "_cell", "left_semi")
+        tagged.join(crowded, ["kind", "_cell"], "left_semi")
         .withColumn("_rn", F.row_number().over(place))
         .where(F.col("_rn") <= max_limit)
         .drop("_rn")
     )
-    return tagged.join(crowded, "_cell", "left_anti").unionByName(dense).drop("_cell")
+    return tagged.join(crowded, ["kind", "_cell"], "left_anti").unionByName(dense).drop("_cell")
 
 
 def _refine(pairs: DataFrame, radius_km: str, inclusive: bool) -> DataFrame:
-    drop = [*geo.geodetic_columns("s"), *geo.geodetic_columns("p"), "cell"]
-    metres = geo.geodesic_m("s", "p")
-    within = F.col("dist_m") <= F.col(radius_km) * 1000 if inclusive else F.col("dist_m") < F.col(radius_km) * 1000
-    return pairs.withColumn("dist_m", metres).where(within).drop(*drop)
+    helpers = [*geo.geodetic_columns("s"), *geo.geodetic_columns("p"), "cell"]
+    within = f"dist_m {'<=' if inclusive else '<'} {radius_km} * 1000"
+    return geo.with_geodesic(pairs, "s", "p", "dist_m").where(within).drop(*helpers)
 
 
 def radius_join(
     sources: DataFrame, points: DataFrame, radius_km: str = "radius_km", inclusive: bool = False,
-    stats: SourceStats | None = None, reach_km: str | None = None,
+    stats: SourceStats | None = None, reach_km: str | None = None, also: tuple[str, ...] = (),
 ) -> DataFrame:
     """All (source, point) pairs closer than the radius of the source, with ``dist_m``.
 
-    Both sides need ``lon`` and ``lat``; the point's come back as ``p_lon`` and ``p_lat``. The cells of the sources are
-    broadcast only if their number is bounded by a prior count; otherwise both sides shuffle on the cell key and cells
-    holding a large share of the points are split.
+    Both sides need ``lon`` and ``lat``; the point's come back as ``p_lon`` and ``p_lat``. ``also`` names further columns
+    both sides must agree on. The cells of the sources are broadcast only if their number is bounded by a prior count;
+    otherwise both sides shuffle on the cell key and cells holding a large share of the points are split.
     """
     stats = stats or source_stats(sources, radius_km=radius_km)
     levels = LEVELS if reach_km else stats.radius_levels
     left = cover(geo.with_geodetic(sources, "lon", "lat", "s"), "lon", "lat", reach_km or radius_km)
     right = geo.with_geodetic(points.withColumnsRenamed({"lon": "p_lon", "lat": "p_lat"}), "p_lon", "p_lat", "p")
     right = right.withColumn("cell", F.explode(cells_of("p_lon", "p_lat", levels)))
+    keys = [*also, "cell"]
     if stats.cover_is_small:
-        pairs = right.join(F.broadcast(left), "cell")
+        pairs = right.join(F.broadcast(left), keys)
     else:
-        pairs = skewed_join(right, left.hint("merge"), ["cell"])
+        pairs = skewed_join(right, left.hint("merge"), keys)
     return _refine(pairs, radius_km, inclusive)
 
 
 def nearest_within(
-    sources: DataFrame, points: DataFrame, limit: str, tie: list[str], radius_km: str = "radius_km",
-    inclusive: bool = False, stats: SourceStats | None = None, prune: bool = True,
+    sources: DataFrame, points: DataFrame, tie: list[str], inclusive: bool = False, stats: SourceStats | None = None,
+    point_rows: int | None = None,
 ) -> DataFrame:
-    """The ``limit`` nearest points of each source within its radius, nearest first by the rounded distance, then ``tie``.
+    """For each source and kind the nearest points within its radius, by the rounded distance, then ``tie``.
 
-    ``sources`` has site_id, lon, lat, the radius and the limit; ``points`` has lon, lat and its own columns. Adds
-    ``cand_dist_km``.
+    ``sources`` has site_id, kind, lon, lat, radius_km and top (the row limit); ``points`` has kind, lon, lat and its own
+    columns. Adds ``cand_dist_km``. With ``point_rows``, the number of points, and few enough of them, the cell counts are
+    skipped: then sources times points bounds the pairs.
     """
-    stats = stats or source_stats(sources, limit, radius_km=radius_km)
-    sources = sources.select("site_id", "lon", "lat", radius_km, limit).where(F.col(limit) > 0)
+    stats = stats or source_stats(sources, "top")
+    sources = sources.select("site_id", "kind", "lon", "lat", "radius_km", "top").where("top > 0")
     order = [F.col(c).asc_nulls_first() for c in tie]
     reach = None
-    if prune:
+    if point_rows is None or stats.rows * point_rows > PAIR_BUDGET:
+        points = materialise(points)
         counts = materialise(cell_counts(points))
         points = trim_copies(points, counts, order, stats.max_limit)
-        sources, reach = search_reach(sources, counts, radius_km, limit, stats.cover_is_small), "reach_km"
-    pairs = radius_join(sources, points, radius_km, inclusive, stats, reach)
-    nearest = Window.partitionBy("site_id").orderBy("cand_dist_km", *order)
+        sources, reach = search_reach(sources, counts, "radius_km", "top", stats.cover_is_small), "reach_km"
+    pairs = radius_join(sources, points, "radius_km", inclusive, stats, reach, ("kind",))
+    nearest = Window.partitionBy("site_id", "kind").orderBy("cand_dist_km", *order)
     return (
         pairs.withColumn("cand_dist_km", geo.metres_to_km(F.col("dist_m")))
         .withColumn("_rn", F.row_number().over(nearest))
-        .where((F.col("_rn") <= stats.max_limit) & (F.col("_rn") <= F.col(limit)))
-        .drop("_rn", "dist_m", "lon", "lat", radius_km, limit, "reach_km")
+        .where((F.col("_rn") <= stats.max_limit) & (F.col("_rn") <= F.col("top")))
+        .drop("_rn", "dist_m", "lon", "lat", "radius_km", "top", "reach_km")
     )

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from linkscout import schemas
 from linkscout.functions import geo
 from linkscout.operators import grid
-from linkscout.operators.skew import skewed_join
 
 LICENCE_LEVEL = 2
 SCORE_SOURCE = "cci_sites"
@@ -38,7 +37,7 @@ def licence_counts(buildings: DataFrame, licences: DataFrame, buffer_deg: float
     boxes = geo.with_clean_ring(buildings.select("buildingid", "ring")).withColumns(geo.ring_box("ring"))
     grow = {c: F.col(c) - buffer_deg for c in ("west", "south")} | {c: F.col(c) + buffer_deg for c in ("east", "north")}
     boxes = grid.box_cells(boxes.withColumns(grow), "west", "south", "east", "north", LICENCE_LEVEL)
-    near = skewed_join(places, boxes, ["cell"]).where(
+    near = places.join(boxes, "cell").where(
         F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
     )
     return (

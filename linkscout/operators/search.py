@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,10 +12,12 @@ from linkscout import schemas
 from linkscout.functions import geo
 from linkscout.operators import grid
 from linkscout.operators.grid import SourceStats
-from linkscout.operators.skew import first_copies, materialise
+from linkscout.operators.skew import first_copies, hot_keys
 
 DEFAULT_HEIGHT_M = 30.0
 ROOF_LEVEL = 2
+# A name on this many buildings is looked at for copies at one place.
+COMMON_NAME_ROWS = 1000
 
 # Eligible tower types and the provider names that make a tower lit.
 TOWER_TYPES = ("TW", "RT")
@@ -60,8 +63,9 @@ def roof_points(buildings: DataFrame, keep: int | None = None, owners: DataFrame
     outlines, locations = named(buildings if owners is None else owners), named(buildings)
     if keep is not None:
         first = [F.col("buildingid").asc()]
-        outlines = first_copies(outlines, ["name"], ["name", "lon", "lat", "ring"], first, keep)
-        locations = first_copies(locations, ["name"], ["name", "lon", "lat"], first, keep)
+        hot = hot_keys(buildings, ["name"], COMMON_NAME_ROWS)
+        outlines = first_copies(outlines, hot, ["name"], ["name", "lon", "lat", "ring"], first, keep)
+        locations = first_copies(locations, hot, ["name"], ["name", "lon", "lat"], first, keep)
     o = grid.box_cells(
         outlines.withColumns(geo.ring_box("ring")), "west", "south", "east", "north", ROOF_LEVEL
     ).drop("west", "south", "east", "north")
@@ -79,91 +83,133 @@ def roof_points(buildings: DataFrame, keep: int | None = None, owners: DataFrame
     return matched.select("buildingid", "lon", "lat", "x_id", F.inline("vertices").alias("vertex", "v_lon", "v_lat"))
 
 
-def _candidates(found: DataFrame, kind: str, identity: str, lon: str, lat: str, height: Column, vertex: Column | None = None):
-    return found.select(
-        "site_id",
-        F.lit(kind).alias("candidate_type"),
-        F.col(identity).cast("string").alias("id"),
-        "cand_dist_km",
-        F.col(lon).cast("double").alias("long"),
-        F.col(lat).cast("double").alias("lat"),
-        height.cast("double").alias("height"),
-        (vertex if vertex is not None else F.lit(None).cast("string")).alias("vertex"),
-    )
+# ---------------------------------------------------------------- points and limits per candidate type
+# All candidate types share one point layout, so that a whole search is one pass: kind, id, lon and lat the distance is
+# measured from, the reported out_lon, out_lat, height and vertex, and seq as a last tie-break.
 
 
-def lit_search(
-    sources: DataFrame, buildings: DataFrame, inclusive: bool = False, stats: SourceStats | None = None
+def _points(
+    df: DataFrame, kind: str, identity: str, lon: str, lat: str, out_lon: str, out_lat: str, height: str,
+    vertex: str = "null", seq: str = "null",
 ) -> DataFrame:
-    """Nearest roof vertices of buildings within the radius. The limit counts vertices; the distance is the building's."""
-    stats = stats or grid.source_stats(sources, "lit_limit")
+    return df.selectExpr(
+        f"'{kind}' as kind", f"cast({identity} as string) as id", f"cast({lon} as double) as lon",
+        f"cast({lat} as double) as lat", f"cast({out_lon} as double) as out_lon", f"cast({out_lat} as double) as out_lat",
+        f"cast({height} as double) as height", f"cast({vertex} as string) as vertex", f"cast({seq} as bigint) as seq",
+    )
+
+
+def lit_points(buildings: DataFrame, sources: DataFrame, stats: SourceStats) -> DataFrame:
+    """Roof vertices; distance from the building's location, position from the vertex, height always 30 m."""
     near = grid.near_sources(buildings, sources, stats)
     roofs = roof_points(buildings, stats.max_limit, owners=near)
-    # Counted first and joined later, so the vertices are written once.
-    roofs = materialise(roofs.withColumn("id", F.col("buildingid").cast("string")).drop("buildingid"))
-    found = grid.nearest_within(sources, roofs, "lit_limit", ["id", "vertex", "x_id"], inclusive=inclusive, stats=stats)
-    return _candidates(found, "ospi", "id", "v_lon", "v_lat", F.lit(DEFAULT_HEIGHT_M), F.col("vertex"))
+    return _points(
+        roofs, "ospi", "buildingid", "lon", "lat", "v_lon", "v_lat", str(DEFAULT_HEIGHT_M), "vertex", "x_id"
+    )
 
 
-def asd_search(
-    sources: DataFrame, estates: DataFrame, inclusive: bool = False, stats: SourceStats | None = None
-) -> DataFrame:
+def asd_points(estates: DataFrame) -> DataFrame:
     """Real estate A: distance from the geometry, reported position from the attribute columns."""
-    points = estates.select(F.col("mastersiteid").alias("id"), "lon", "lat", "londec", "latdec", "height")
-    found = grid.nearest_within(sources, points, "re_limit", ["id"], inclusive=inclusive, stats=stats)
-    return _candidates(found, "re_asd", "id", "londec", "latdec", F.col("height"))
+    return _points(estates, "re_asd", "mastersiteid", "lon", "lat", "londec", "latdec", "height")
 
 
 def mgt_points(estates: DataFrame, epsg: int = 3857) -> DataFrame:
+    """Real estate B, whose geometry is stored in another coordinate system."""
     lon, lat = geo.to_wgs84(F.col("geom_x"), F.col("geom_y"), F.lit(epsg))
-    return estates.withColumns({"lon": lon, "lat": lat})
+    placed = estates.withColumns({"lon": lon, "lat": lat})
+    return _points(placed, "re_mgt", "esri_prinx", "lon", "lat", "lng_num", "lat_num", "bld_hgt_num")
 
 
-def mgt_search(
-    sources: DataFrame, estates: DataFrame, inclusive: bool = False, stats: SourceStats | None = None
-) -> DataFrame:
-    """Real estate B, whose geometry is stored in another coordinate system."""
-    points = mgt_points(estates).select(
-        F.col("esri_prinx").cast("string").alias("id"), "lon", "lat", "lng_num", "lat_num", "bld_hgt_num"
+def tower_points(sites: DataFrame, scrub: DataFrame | None, kind: str = "cci_sites") -> DataFrame:
+    """Eligible towers; with ``scrub`` given only lit ones."""
+    towers = eligible_towers(sites)
+    if scrub is not None:
+        towers = lit_towers(towers, scrub)
+    return _points(
+        towers, kind, "s_bus_unit", "s_long_dec", "s_lat_dec", "s_long_dec", "s_lat_dec", "s_hgt_no_appurt"
     )
-    found = grid.nearest_within(sources, points, "re_limit", ["id"], inclusive=inclusive, stats=stats)
-    return _candidates(found, "re_mgt", "id", "lng_num", "lat_num", F.col("bld_hgt_num"))
 
 
-def tower_search(
-    sources: DataFrame, sites: DataFrame, scrub: DataFrame | None, inclusive: bool = False,
-    stats: SourceStats | None = None,
+def _limited(sources: DataFrame, limits: dict[str, str], wanted: dict[str, str] | None = None) -> DataFrame:
+    """One row per site and candidate type it searches, with the row limit as ``top``."""
+    kinds = [
+        f"if({(wanted or {}).get(kind, 'true')}, named_struct('kind', '{kind}', 'top', {limit}), null)"
+        for kind, limit in limits.items()
+    ]
+    return sources.selectExpr(
+        "site_id", "lon", "lat", "radius_km", f"inline(array_compact(array({', '.join(kinds)}))) as (kind, top)"
+    )
+
+
+def _search(
+    sources: DataFrame, points: DataFrame, inclusive: bool, stats: SourceStats, tables: list[DataFrame]
 ) -> DataFrame:
-    """Nearest eligible towers; with ``scrub`` given only lit ones."""
-    towers = eligible_towers(sites)
-    if scrub is not None:
-        towers = lit_towers(towers, scrub)
-    points = towers.select(
-        F.col("s_bus_unit").alias("id"), F.col("s_long_dec").alias("lon"), F.col("s_lat_dec").alias("lat"), "s_hgt_no_appurt"
+    rows = grid.total_rows(tables)
+    found = grid.nearest_within(sources, points, ["id", "vertex", "seq"], inclusive, stats, rows)
+    return schemas.conform(
+        found.selectExpr(
+            "site_id", f"if(kind = '{LIT_TOWER}', 'cci_sites', kind) as candidate_type", "id", "cand_dist_km",
+            "out_lon as long", "out_lat as lat", "height", "vertex",
+        ),
+        schemas.CANDIDATES,
     )
-    found = grid.nearest_within(sources, points, "cci_limit", ["id"], inclusive=inclusive, stats=stats)
-    return _candidates(found, "cci_sites", "id", "p_lon", "p_lat", F.col("s_hgt_no_appurt"))
+
+
+LIT_TOWER = "cci_sites_lit"
+
+
+def lit_search(sources: DataFrame, buildings: DataFrame, inclusive: bool = False) -> DataFrame:
+    """Nearest roof vertices of buildings within the radius. The limit counts vertices; the distance is the building's."""
+    stats = grid.source_stats(sources, "lit_limit")
+    wanted = _limited(sources, {"ospi": "lit_limit"})
+    return _search(wanted, lit_points(buildings, sources, stats), inclusive, stats, [buildings])
+
+
+def asd_search(sources: DataFrame, estates: DataFrame, inclusive: bool = False) -> DataFrame:
+    stats = grid.source_stats(sources, "re_limit")
+    return _search(_limited(sources, {"re_asd": "re_limit"}), asd_points(estates), inclusive, stats, [estates])
+
+
+def mgt_search(sources: DataFrame, estates: DataFrame, inclusive: bool = False) -> DataFrame:
+    stats = grid.source_stats(sources, "re_limit")
+    return _search(_limited(sources, {"re_mgt": "re_limit"}), mgt_points(estates), inclusive, stats, [estates])
+
+
+def tower_search(sources: DataFrame, sites: DataFrame, scrub: DataFrame | None, inclusive: bool = False) -> DataFrame:
+    """Nearest eligible towers; with ``scrub`` given only lit ones."""
+    stats = grid.source_stats(sources, "cci_limit")
+    wanted = _limited(sources, {"cci_sites": "cci_limit"})
+    return _search(wanted, tower_points(sites, scrub), inclusive, stats, [sites])
 
 
 def initial_search(
-    sources: DataFrame, buildings: DataFrame, asd: DataFrame, mgt: DataFrame, sites: DataFrame, scrub: DataFrame,
-    stats: SourceStats | None = None,
+    sources: DataFrame, buildings: DataFrame, asd: DataFrame, mgt: DataFrame, sites: DataFrame, scrub: DataFrame
 ) -> DataFrame:
     """All candidates of each search site in one table; missing heights become 30 m.
 
-    Sites that ask for non-lit results also get the two real-estate sources and towers of any provider.
+    Sites that ask for non-lit results also get the two real-estate sources and towers of any provider. All types go
+    through one search: the type is part of the join key and of the top-k groups.
     """
-    stats = stats or grid.source_stats(sources, "lit_limit", "re_limit", "cci_limit")
-    open_sites, lit_sites = sources.where("include_non_lit"), sources.where(~F.col("include_non_lit"))
-    parts = [
-        lit_search(sources, buildings, stats=stats),
-        asd_search(open_sites, asd, stats=stats),
-        mgt_search(open_sites, mgt, stats=stats),
-        tower_search(open_sites, sites, None, stats=stats),
-        tower_search(lit_sites, sites, scrub, stats=stats),
-    ]
-    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return schemas.conform(found, schemas.CANDIDATES).fillna({"height": DEFAULT_HEIGHT_M})
+    stats = grid.source_stats(sources, "lit_limit", "re_limit", "cci_limit")
+    # Each site searches at most four kinds.
+    stats = replace(stats, rows=stats.rows * 4)
+    points = reduce(
+        DataFrame.unionByName,
+        [
+            lit_points(buildings, sources, stats),
+            asd_points(asd),
+            mgt_points(mgt),
+            tower_points(sites, None),
+            tower_points(sites, scrub, LIT_TOWER),
+        ],
+    )
+    limits = {
+        "ospi": "lit_limit", "re_asd": "re_limit", "re_mgt": "re_limit", "cci_sites": "cci_limit", LIT_TOWER: "cci_limit",
+    }
+    open_only = dict.fromkeys(("re_asd", "re_mgt", "cci_sites"), "include_non_lit")
+    wanted = _limited(sources, limits, {**open_only, LIT_TOWER: "not include_non_lit"})
+    found = _search(wanted, points, False, stats, [buildings, asd, mgt, sites])
+    return found.fillna({"height": DEFAULT_HEIGHT_M})
 
 
 def with_sequence(candidates: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # At most this many keys are treated as hot, which bounds what is collected and broadcast. A key beyond the 512 largest
 # holds less than 1/512 of the rows.
@@ -34,6 +35,9 @@ def skewed_join(
 ) -> DataFrame:
     """Inner or left equi-join in which each hot key of the left side is spread over ``salts`` tasks.
 
+    For joins whose output keeps the partitioning of the join, or where both sides may be hot; elsewhere the adaptive
+    skew join of Spark splits an outsized partition by itself.
+
     Without hot keys this is the plain join. Otherwise left rows of a hot key, and those without a key, get a salt from
     their own content, so a re-run task assigns the same salt again; the matching right rows are repeated once per salt.
     """
@@ -52,22 +56,37 @@ def skewed_join(
 
 
 def first_copies(
-    df: DataFrame, hot_by: list[str], same: list[str], order: list[Column], keep: int, min_rows: int = MIN_HOT_ROWS
+    df: DataFrame, hot: DataFrame | None, hot_by: list[str], same: list[str], order: list[Column], keep: int
 ) -> DataFrame:
-    """Within hot keys only, keep the first ``keep`` rows of each group that agrees on ``same``.
+    """Within the ``hot`` keys (see :func:`hot_keys`), keep the first ``keep`` rows of each group that agrees on ``same``.
 
     For callers that can show that later copies never reach their result. The group limit runs per task before the
     shuffle, so a group of any size sends at most ``keep`` rows per task.
     """
-    found = hot_keys(df, hot_by, min_rows)
-    if found is None:
+    if hot is None:
         return df
-    hot = F.broadcast(found)
+    hot = F.broadcast(hot)
     window = Window.partitionBy(*same).orderBy(*order)
     dense = df.join(hot, hot_by, "left_semi").withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= keep)
     return df.join(hot, hot_by, "left_anti").unionByName(dense.drop("_rn"))
 
 
+# Tables of fewer splits than this are spread over the cores; larger ones already are.
+FEW_SPLITS = 16
+
+
+def read_spread(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read parquet so that a table of a few splits still uses all cores.
+
+    Work per row is high here (a point meets many search sites), but file splits and AQE go by bytes. A table of less
+    than 16 splits, two gigabytes or so, is redistributed; anything larger is read as it lies.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
+    cores = min(FEW_SPLITS, spark.sparkContext.defaultParallelism)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """Shared folder named by the session; a throw-away one only for a local session that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -90,4 +109,4 @@ def materialise(df: DataFrame) -> DataFrame:
         return df
     path = f"{root.rstrip('/')}/linkscout-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return read_spread(spark, path, df.schema)

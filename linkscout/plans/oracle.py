@@ -291,7 +291,7 @@ select null::varchar as id, buildingid, name, clli, street, city, state, pop_tf,
   null::varchar as security_level, null::varchar as address_notes, building_type, null::varchar as legacy_fid,
   null::varchar as legacy_owner,
   case when bad then 'Invalid Coordinate' when corners < 3 then 'Too few points in geometry component'
-    when corners = 4 and ({_proper(0, 1, 2, 3)} or {_proper(1, 2, 3, 0)}) then 'Self-intersection' else 'Valid Geometry' end as geom_reason,
+    when corners = 4 and ({_proper(0, 1, 2, 3)} or {_proper(1, 2, 3, 0)}) or c4[2] = c4[4] or c4[1] = c4[3] then 'Self-intersection' else 'Valid Geometry' end as geom_reason,
   case when not bad and corners >= 3 then 'POLYGON((' || array_to_string(
     list_transform(list_concat(ring, [ring[1]]), lambda p: printf('%.9f %.9f', p.x, p.y)), ', ') || '))' end as geom
 from (select *, case when {_area} < 0 then list_reverse(open_ring) else open_ring end as ring

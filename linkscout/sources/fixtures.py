@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkscout.operators.skew import read_spread
+
 
 def _lon(key: str) -> str:
     return f"(cast(-73.9913778 as double) + ((({key}) * 7919) % 20011 - 10005) * cast(0.00001 as double))"
@@ -233,7 +235,7 @@ class Fixtures:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name in TABLES:
-                self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._made[name] = read_spread(self.spark, f"{self.sf_dir}/{name}.parquet")
             else:
                 text = VIEWS[name]
                 used = {t: self[t] for t in (*TABLES, *DEPENDS.get(name, ())) if "{" + t + "}" in text}
