@@ -67,8 +67,8 @@ def sales_base(
 
 def in_report_order(df: DataFrame, unit: str = "bus_unit") -> DataFrame:
     """Sort by unit and structure. A hash of the row comes last, so range partitioning can split a unit of any size."""
-    tie = F.xxhash64(*[F.col(f"`{n}`") for n in df.columns])
-    return df.orderBy(unit, "structure_id", tie)
+    tied = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{n}`") for n in df.columns]))
+    return tied.orderBy(unit, "structure_id", "_tie").drop("_tie")
 
 
 def whole_lease_days(asof: Column) -> Column:

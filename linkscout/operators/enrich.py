@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkscout.functions import text
+from linkscout.operators.grid import total_rows
 from linkscout.operators.rank import combined_ranks
 from linkscout.operators.skew import skewed_join
 
@@ -42,7 +43,7 @@ def profile_clearance(profiles: DataFrame, keys: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("_n"),
     )
     ends = ends.withColumn("_slope", (F.col("_last") - F.col("_first")) / F.greatest(F.col("_n") - 1, F.lit(1)))
-    samples = skewed_join(profiles, ends.where("_n >= 2").drop("_last", "_n"), keys)
+    samples = skewed_join(profiles, ends.where("_n >= 2").drop("_last", "_n"), keys, rows=total_rows([profiles]))
     gap = F.col("_first") + (F.col("sample_idx") - F.col("_from")) * F.col("_slope") - F.col("elev")
     return samples.groupBy(*keys).agg(F.min(gap).alias("clearance"))
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscout.functions import geo
-from linkscout.operators.skew import skewed_join
+from linkscout.operators.grid import total_rows
+from linkscout.operators.skew import MIN_HOT_ROWS, materialise, skewed_join
 
 LINK_TYPE = "Fixed Wireless Link"
 A_PART, Z_PART = 3, 4
@@ -16,13 +17,16 @@ def name_part(name: Column, part: int) -> Column:
     return F.split_part(name, F.lit("-"), F.lit(part))
 
 
-def either_name_join(df: DataFrame, buildings: DataFrame, names: DataFrame, code: str, part: Column, out: dict[str, str]):
+def either_name_join(
+    df: DataFrame, buildings: DataFrame, names: DataFrame, code: str, part: Column, out: dict[str, str], large: bool
+) -> DataFrame:
     """Left join on ``code = name OR part = name`` as equi-joins.
 
     The two possible keys are first checked against the distinct names, so each row knows which of them hit. Rows then
     carry an array of zero, one or two different keys, exploded for an inner join; rows without a key are added as
     unmatched. A row that matches by one key gets no spurious NULL row from the other.
-    ``out`` maps building columns to output names.
+    ``out`` maps building columns to output names. A ``large`` table is checked for hot names, which are then split; as it
+    is read for the check and for the join, it is written once.
     """
     marked = df.withColumns({"_code": F.col(code), "_part": part})
     for key, hit in (("_code", "_code_hit"), ("_part", "_part_hit")):
@@ -31,9 +35,11 @@ def either_name_join(df: DataFrame, buildings: DataFrame, names: DataFrame, code
         F.array_compact(F.array(F.when(F.col("_code_hit"), F.col("_code")), F.when(F.col("_part_hit"), F.col("_part"))))
     )
     marked = marked.select(*df.columns, keys.alias("_keys"))
+    if large:
+        marked = materialise(marked)
     ends = buildings.select(F.col("name").alias("_key"), *[F.col(old).alias(new) for old, new in out.items()])
     hits = marked.where(F.size("_keys") > 0).withColumn("_key", F.explode("_keys")).drop("_keys")
-    matched = skewed_join(hits, ends, ["_key"]).drop("_key")
+    matched = (skewed_join(hits, ends, ["_key"]) if large else hits.join(ends, "_key")).drop("_key")
     missed = marked.where(F.size("_keys") == 0).drop("_keys")
     return matched.unionByName(missed, allowMissingColumns=True)
 
@@ -43,13 +49,14 @@ def located_circuits(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
     links = circuits.where(F.col("circuit_type") == LINK_TYPE)
     known = buildings.where(F.col("name").isNotNull()).select("name", "lon", "lat")
     names = known.select("name").distinct()
+    large = total_rows([circuits]) >= MIN_HOT_ROWS
     located = either_name_join(
         links, known, names, "a_location_clli", name_part(F.col("name"), A_PART),
-        {"lon": "a_longitude", "lat": "a_latitude"},
+        {"lon": "a_longitude", "lat": "a_latitude"}, large,
     )
     return either_name_join(
         located, known, names, "z_location_clli", name_part(F.col("name"), Z_PART),
-        {"lon": "z_longitude", "lat": "z_latitude"},
+        {"lon": "z_longitude", "lat": "z_latitude"}, large,
     )
 
 

@@ -115,7 +115,7 @@ def asd_points(estates: DataFrame) -> DataFrame:
 
 def mgt_points(estates: DataFrame, epsg: int = 3857) -> DataFrame:
     """Real estate B, whose geometry is stored in another coordinate system."""
-    lon, lat = geo.to_wgs84(F.col("geom_x"), F.col("geom_y"), F.lit(epsg))
+    lon, lat = geo.to_wgs84(F.col("geom_x"), F.col("geom_y"), epsg)
     placed = estates.withColumns({"lon": lon, "lat": lat})
     return _points(placed, "re_mgt", "esri_prinx", "lon", "lat", "lng_num", "lat_num", "bld_hgt_num")
 

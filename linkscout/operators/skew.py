@@ -31,17 +31,19 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS) -> Da
 
 
 def skewed_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", min_rows: int = MIN_HOT_ROWS, salts: int = SALTS
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", min_rows: int = MIN_HOT_ROWS,
+    salts: int = SALTS, rows: int | None = None,
 ) -> DataFrame:
     """Inner or left equi-join in which each hot key of the left side is spread over ``salts`` tasks.
 
     For joins whose output keeps the partitioning of the join, or where both sides may be hot; elsewhere the adaptive
     skew join of Spark splits an outsized partition by itself.
 
-    Without hot keys this is the plain join. Otherwise left rows of a hot key, and those without a key, get a salt from
+    Without hot keys this is the plain join, also if ``rows``, a known bound of the left side, rules them out. Otherwise
+    left rows of a hot key, and those without a key, get a salt from
     their own content, so a re-run task assigns the same salt again; the matching right rows are repeated once per salt.
     """
-    found = hot_keys(left, keys, min_rows)
+    found = None if rows is not None and rows < min_rows else hot_keys(left, keys, min_rows)
     if found is None:
         return left.join(right, keys, how)
     hot = F.broadcast(found.withColumn("_hot", F.lit(True)))

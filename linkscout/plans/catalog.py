@@ -540,7 +540,7 @@ def disjunctive_join(d: Data) -> DataFrame:
     known = d["buildings"].where("name is not null").select("buildingid", "name")
     joined = links.either_name_join(
         d["circuits"], known, known.select("name").distinct(), "a_location_clli",
-        links.name_part(F.col("name"), links.A_PART), {"buildingid": "buildingid"},
+        links.name_part(F.col("name"), links.A_PART), {"buildingid": "buildingid"}, large=True,
     )
     return joined.select("circuit_id", "buildingid")
 
