@@ -41,7 +41,7 @@ def open_level_agl(levels: Column) -> Column:
 
 
 def fractional_days(later: Column, earlier: Column) -> Column:
-    return (F.unix_micros(later) - F.unix_micros(earlier)) / MICROS_PER_DAY
+    return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / MICROS_PER_DAY
 
 
 def whole_days(later: Column, earlier: Column) -> Column:

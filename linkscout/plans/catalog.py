@@ -406,7 +406,8 @@ def candidate_file(d: Data) -> DataFrame:
 
 @query
 def sorted_report(d: Data) -> DataFrame:
-    return rounded(outputs.sorted_report(d.run().ranked).drop("profile_id"), 6, "long", "lat", "min_clearance")
+    ranked = d.run().ranked.drop("profile_id", "min_clearance", "clearance_score")
+    return rounded(outputs.sorted_report(ranked), 6, "long", "lat")
 
 
 @query

@@ -544,8 +544,8 @@ select r.site_id, r.candidate_type, r.id, printf('LINESTRING(%.9f %.9f, %.9f %.9
 from q_run_ranked r join q_src s using (site_id)"""
 _empty = ("last_sa_tia_code_revision", "power_company", "site_county")
 SQL["sorted_report"] = f"""
-select * exclude (height, profile_id, {', '.join(_empty)})
-  replace ({half_up('long', 6)} as long, {half_up('lat', 6)} as lat, {half_up('min_clearance', 6)} as min_clearance)
+select * exclude (height, profile_id, min_clearance, clearance_score, {', '.join(_empty)})
+  replace ({half_up('long', 6)} as long, {half_up('lat', 6)} as lat)
 from q_run_ranked"""
 SQL["stage_counts"] = """
 select site_id, stage, count(*) as n from (select site_id, 'candidates' as stage from q_cleared
@@ -631,7 +631,7 @@ def report(columns, colours: dict[str, str], towers: bool, category: bool, fibre
         extra += f", case when {greens} = {len(colours)} then 'GREEN' when {reds} > 0 then 'RED' else 'YELLOW' end as vector_category"
     if fibre:
         named = "regexp_matches(lower(fiber_provider), 'fiber app|crown castle|lightower|sunesys|wilcon')"
-        extra += f""", case when fiber_on_site = 'No' then 'UNLIT' when fiber_on_site <> 'Yes' then null
+        extra += f""", case when fiber_on_site = 'No' then 'UNLIT' when fiber_on_site is distinct from 'Yes' then null
           when {named} then 'LIT' when not {named} then 'LIT RESTRICTED' end as fw_type"""
     hidden = "" if shown else f" exclude ({', '.join(colours)})"
     return f"select *{hidden}{extra} from ({text}) t"
