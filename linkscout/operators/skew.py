@@ -89,14 +89,20 @@ def read_spread(spark: SparkSession, path: str, schema: StructType | None = None
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """Shared folder named by the session; a throw-away one only for a local session that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="linkscout-")
-    return None
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="linkscout-")
+    return _LOCAL_ROOTS[app]
 
 
 def materialise(df: DataFrame) -> DataFrame:

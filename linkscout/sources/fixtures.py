@@ -7,6 +7,7 @@ Table names are written as ``{table}``; Spark binds them to DataFrames, DuckDB s
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from linkscout.operators.skew import read_spread
 
@@ -226,6 +227,10 @@ DEPENDS = {
 }
 
 
+# Schemas of the read-only driver tables, so that each is inferred once per process.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Fixtures:
     """Lazily built views over one data directory: ``fx["fx_buildings"]`` is a DataFrame."""
 
@@ -235,7 +240,9 @@ class Fixtures:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name in TABLES:
-                self._made[name] = read_spread(self.spark, f"{self.sf_dir}/{name}.parquet")
+                path = f"{self.sf_dir}/{name}.parquet"
+                self._made[name] = read_spread(self.spark, path, _SCHEMAS.get(path))
+                _SCHEMAS[path] = self._made[name].schema
             else:
                 text = VIEWS[name]
                 used = {t: self[t] for t in (*TABLES, *DEPENDS.get(name, ())) if "{" + t + "}" in text}
