@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import rules, simhash, substrings
+from linkscout.llm import mixing, reputation, rules, secrets, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,3 +41,32 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the label of the same id: bad if labelled as of low quality or toxic."""
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    out = reputation.judge(table(spark, sf_dir, "pages"), outcomes)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, summary = mixing.mix(table(spark, sf_dir, "documents"))
+    return summary.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def of_kind(kind: int) -> Column:
+        return F.size(F.filter("base", lambda m: m.getField("kind") == kind)).cast("long")
+
+    return out.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )

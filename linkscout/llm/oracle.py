@@ -4,7 +4,7 @@ SQL: dict[str, str] = {}
 
 SQL["op4_substring_dedup"] = r"""
 with docs as (
-    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents
+    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
 ),
 starts as (select doc_id, ws, unnest(range(1, len(ws) - 18)) as p from docs where len(ws) >= 20),
 windows as (select doc_id, p, array_to_string(ws[p : p + 19], ' ') as g from starts),
@@ -19,3 +19,66 @@ kept as (
 select d.doc_id, len(d.ws) as n_words, len(d.ws) - coalesce(k.n, 0) as n_removed, sha256(coalesce(k.t, '')) as kept_sha256
 from docs d left join kept k using (doc_id)
 """
+
+SQL["op2_host_reputation"] = r"""
+with recursive urls as (
+    select p.page_id, p.url,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path, l.bad
+    from pages p left join (select doc_id, max(case when quality = 0 or toxic = 1 then 1.0 else 0.0 end) as bad from labels group by doc_id) l
+        on l.doc_id = p.page_id
+),
+hosts as (
+    select host, array_to_string(string_split(host, '.')[-2:], '.') as domain, string_split(host, '.')[-1] as suffix,
+        count(bad) as n, coalesce(sum(bad), 0) as x
+    from urls group by host
+),
+domains as (select domain, suffix, sum(n) as n, sum(x) as x from hosts group by all),
+suffixes as (select suffix, sum(n) as n, sum(x) as x, (select (sum(x) + 0.5) / (sum(n) + 1.0) from hosts) as prior from hosts group by suffix),
+k1 as (select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_, sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room from suffixes),
+s1 as (select case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0) else 1000.0 end else 10.0 end as k from k1),
+p1 as (select suffix, (x + k * prior) / (n + k) as mean from suffixes, s1),
+d2 as (select domain, n, x, mean as prior from domains join p1 using (suffix)),
+k2 as (select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_, sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room from d2),
+s2 as (select case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0) else 1000.0 end else 10.0 end as k from k2),
+p2 as (select domain, (x + k * prior) / (n + k) as mean from d2, s2),
+d3 as (select host, n, x, mean as prior from hosts join p2 using (domain)),
+k3 as (select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_, sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room from d3),
+s3 as (select case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0) else 1000.0 end else 10.0 end as k from k3),
+p3 as (select host, (x + k * prior) / (n + k) as mean, n + k as weight from d3, s3),
+rules as (select * from (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) as r(rh, rp, v)),
+fits as (
+    select page_id, url, rh || rp as rule, v, row_number() over (partition by page_id, url order by length(rh || rp) desc) as best
+    from (select distinct page_id, url, host, path from urls) join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp)
+)
+select u.page_id, u.host, u.path, f.rule,
+    coalesce(f.v, case when p3.mean - 1.645 * sqrt(p3.mean * (1 - p3.mean) / (p3.weight + 1)) > 0.5 then 'block' else 'allow' end) as verdict
+from urls u join p3 using (host) left join (select * from fits where best = 1) f on f.page_id = u.page_id and f.url = u.url
+"""
+
+SQL["op6_source_mix"] = r"""
+with recursive docs as (
+    select doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) as size,
+        md5(concat_ws('|', doc_id::varchar, md5(coalesce(text, '')))) as turn
+    from documents
+),
+sources as (
+    select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as s from docs group by source
+),
+weighed as (select *, [3.0, 1.0, 2.0][((s - 1) % 3 + 1)::int]::double as w, 2.0::double * source_size as cap from sources),
+levels as (
+    select *, (1.5::double * sum(source_size) over () - coalesce(sum(cap) over (order by source_size / w, s rows between unbounded preceding and 1 preceding), 0))
+        / sum(w) over (order by source_size / w, s rows between current row and unbounded following) as level
+    from weighed
+),
+final as (select level from levels where level * w <= cap order by source_size / w, s limit 1),
+aims as (select source, source_size, least(cap, (select level from final) * w) as target from levels),
+placed as (
+    select doc_id, d.source, size, source_size, target,
+        coalesce(sum(size) over (partition by d.source order by turn, doc_id, size rows between unbounded preceding and 1 preceding), 0) as start
+    from docs d join aims a on a.source is not distinct from d.source
+)
+select doc_id, size::bigint as size, source_size, target,
+    (least(greatest(floor(target) - start, 0), size) + least(greatest(floor(target) - source_size - start, 0), size))::bigint as taken
+from placed
+"""
