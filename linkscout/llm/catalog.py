@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import mixing, reputation, rules, secrets, simhash, substrings
+from linkscout.llm import mixing, reputation, rules, secrets, simhash, substrings, warc
+from linkscout.operators import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,3 +71,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
         secrets.spelled(F.sort_array(F.concat("base", "added"))).alias("spans"),
     )
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = storage.new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.resolved(warc.read(spark, folder))

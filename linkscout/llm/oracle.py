@@ -82,3 +82,22 @@ select doc_id, size::bigint as size, source_size, target,
     (least(greatest(floor(target) - start, 0), size) + least(greatest(floor(target) - source_size - start, 0), size))::bigint as taken
 from placed
 """
+
+SQL["op10_warc"] = r"""
+with payloads as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as h from pages
+),
+parts as (select h, unnest(range(8)) as i from (select distinct h from payloads)),
+digits as (select h, i, ('0x' || substr(h, (5 * i + 1)::int, 5))::bigint as v from parts),
+named as (
+    select h, string_agg(
+        substr(a, (v >> 15) % 32 + 1, 1) || substr(a, (v >> 10) % 32 + 1, 1) || substr(a, (v >> 5) % 32 + 1, 1) || substr(a, v % 32 + 1, 1),
+        '' order by i
+    ) as payload_digest
+    from digits, (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' as a) group by h
+),
+firsts as (select h, min(page_id) as first_page from payloads group by h)
+select page_id, payload_bytes, payload_digest, case when page_id > first_page then 'revisit' else 'response' end as record_type,
+    case when page_id > first_page then first_page end as refers_to
+from payloads join named using (h) join firsts using (h)
+"""
