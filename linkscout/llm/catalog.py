@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import mixing, reputation, rules, secrets, simhash, substrings, warc
+from linkscout.llm import html, mixing, reputation, rules, secrets, simhash, substrings, warc
 from linkscout.operators import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.new_folder(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
     return warc.resolved(warc.read(spark, folder))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
