@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import html, mixing, reputation, rules, secrets, simhash, substrings, warc
+from linkscout.llm import html, machine, mixing, reputation, rules, secrets, simhash, substrings, warc
 from linkscout.operators import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labelled rows outside a fixed fifth, which is held out."""
+
+    def held_out(key: Column) -> Column:
+        return F.crc32(key.cast("string").cast("binary")) % 5 == 0
+
+    known = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
+    out = machine.classify(table(spark, sf_dir, "documents"), known.where(~held_out(F.col("id"))))
+    return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
