@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import html, machine, mixing, reputation, rules, secrets, simhash, substrings, warc
+from linkscout.llm import decontaminate, html, machine, mixing, reputation, rules, secrets, simhash, substrings, warc
 from linkscout.operators import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
     out = machine.classify(table(spark, sf_dir, "documents"), known.where(~held_out(F.col("id"))))
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").cast("long").alias("n_items"), "items")

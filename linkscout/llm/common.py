@@ -13,7 +13,6 @@ from linkscout.operators.storage import materialise
 
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
-MASK64 = (1 << 64) - 1
 
 
 def words(text: Column) -> Column:
@@ -27,26 +26,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-class WordHashes(dict):
-    """64-bit hash of a word given as bytes. ``bytes.split()`` cuts at exactly the six characters of SPACE_CLASS.
-
-    Frequent words are looked up; the table is emptied at ``most`` entries and holds no long words, so memory is bounded.
-    """
-
-    def __init__(self, seed: int, most: int = 1 << 18):
-        super().__init__()
-        self.seed, self.most = seed, most
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word, self.seed)
-        if len(word) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[word] = value
-        return value
-
-    def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), dtype=np.uint64, count=len(found))
+def word_hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word given as bytes. ``bytes.split()`` cuts at exactly the six characters of SPACE_CLASS."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
 
 
 def multipliers(n: int, seed: int) -> np.ndarray:

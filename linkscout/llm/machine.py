@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkscout.llm.common import WordHashes
+from linkscout.llm.common import word_hashes
 
 WORD_BITS = 15
 FACTORS = 8
@@ -66,7 +66,6 @@ class Features:
     """Sparse features of a text: hashed words weighted by their counts, and one cell of each statistic."""
 
     def __init__(self, word_bits: int = WORD_BITS):
-        self.hashes = WordHashes(29)
         self.mask = np.uint64((1 << word_bits) - 1)
         self.size = (1 << word_bits) + N_STATISTICS * CELLS + 1
 
@@ -74,7 +73,7 @@ class Features:
         raw = text or b""
         found = raw.split()
         counts = Counter(found)
-        slots = (self.hashes.of(list(counts)) & self.mask).astype(np.int64)
+        slots = (word_hashes(list(counts)) & self.mask).astype(np.int64)
         weights = np.log1p(np.fromiter(counts.values(), dtype=np.float32, count=len(counts)))
         weights = weights / max(float(np.sqrt((weights * weights).sum())), 1e-9)
         values = np.clip(np.array(statistics(raw, found, counts, n_chars)), 0, 1)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkscout.llm.common import WordHashes, multipliers, window_hashes
+from linkscout.llm.common import multipliers, window_hashes, word_hashes
 
 #: Modulo 13, every difference occurs between two of these positions.
 PERIOD = 13
@@ -28,12 +28,11 @@ class Windows:
         if length <= PERIOD:
             raise ValueError(f"windows must be longer than {PERIOD} words")
         self.length, self.anchor = length, length - PERIOD + 1
-        self.hashes = WordHashes(17)
         self.factors = multipliers(self.anchor, 1), multipliers(length, 2), multipliers(length, 3)
 
     def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Word hashes, and the anchors' positions."""
-        h = self.hashes.of(found)
+        h = word_hashes(found)
         at = np.arange(max(0, len(h) - self.anchor + 1))
         return h, at[np.isin(at % PERIOD, COVER)]
 
