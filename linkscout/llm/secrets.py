@@ -138,14 +138,15 @@ def scan(
     ``base`` holds the matches of the fixed patterns, ``added`` strings of high entropy that overlap none of them. ``kind``
     is the place in KINDS. Null and empty texts have no spans. Columns of ``docs`` named like the new ones are replaced.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col("_text"), F.lit(""))
     base = F.sort_array(F.concat(assignments(text), matches(text, ACCESS, 1), matches(text, HEX, 2)))
-    found = docs.withColumn("base", base).withColumn("added", high_entropy(text, classes, allowed, window))
+    whole = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text")).withColumn("base", base)
 
     def apart(m: Column) -> Column:
         return ~F.exists("base", lambda b: (b.getField("start") < m.getField("stop")) & (m.getField("start") < b.getField("stop")))
 
-    return found.withColumn("added", F.filter("added", apart))
+    found = whole.withColumn("added", F.filter(high_entropy(text, classes, allowed, window), apart))
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("base", "added")], "base", "added")
 
 
 def spelled(spans: Column) -> Column:
