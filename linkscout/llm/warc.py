@@ -16,6 +16,9 @@ from linkscout.operators.storage import materialise
 
 END = b"\r\n\r\n"
 MAGIC = b"WARC/1."
+#: Archives are cut where a line starts with the magic. No line of a header does, and the cut never overlaps itself, so
+#: splits of a file agree on it wherever they begin.
+CUT = b"\n" + MAGIC
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 LENGTH = re.compile(rb"^content-length:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
@@ -95,30 +98,40 @@ def write(
     values.write.option("lineSep", END.decode()).text(folder)
 
 
+def successor(piece: bytes, at: int) -> int | None:
+    """Where the record that a piece at ``at`` starts says that it ends; None if the piece has no header."""
+    head, blank, _ = piece.partition(END)
+    found = LENGTH.search(head) if blank and head.startswith(MAGIC) else None
+    return at + len(head) + len(END) + int(found[1]) + len(END) if found else None
+
+
 def pieces(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file, block, at, value, next)``: the bytes between blank lines, as they lie in each split of each file.
+    """``(file, block, value, at, next)``: the archives cut at each line that starts with the magic, split by split.
 
-    A record's header is one piece, as it holds no blank line, and starts one. ``at`` is its place in the split, ``next``
-    the place where a piece that looks like a header says that its record's successor starts; null for other pieces.
-    Every byte of a split belongs to one piece, so places in the file are sums of lengths.
+    A piece is a candidate record, header and all, with its payload up to the next candidate. ``at`` is its place relative
+    to its split's first cut, ``next`` the place where its header says that the successor starts, null without a header.
+    Every byte belongs to one piece or cut, so places in the file are sums of lengths.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, at = None, 0
         for batch in batches:
-            places, following = [], []
+            values, places, following = [], [], []
             for file, block, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (file, block) != key:
                     key, at = (file, block), 0
-                places.append(at)
-                found = LENGTH.search(value) if value.startswith(MAGIC) else None
-                following.append(at + len(value) + len(END) + int(found[1]) + len(END) if found else None)
-                at += len(value) + len(END)
+                first = block == 0 and at == 0
+                piece, place = (value, 0) if first else (MAGIC + value, at - len(MAGIC))
+                values.append(piece)
+                places.append(place)
+                following.append(successor(piece, place))
+                at += len(value) + len(CUT)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(places, pa.int64()), pa.array(following, pa.int64())], ["file", "block", "value", "at", "next"]
+                [*batch.columns[:2], *(pa.array(x, t) for x, t in ((values, pa.binary()), (places, pa.int64()), (following, pa.int64())))],
+                ["file", "block", "value", "at", "next"],
             )
 
-    rows = spark.read.option("lineSep", END.decode()).text(folder).select(
+    rows = spark.read.option("lineSep", CUT.decode()).text(folder).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary")
     )
     return rows.mapInArrow(run, "file string, block long, value binary, at long, next long")
@@ -192,7 +205,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     across splits is put together from the pieces of both. An archive cut off in a payload yields what is there.
     """
     raw = materialise(pieces(spark, folder))
-    sizes = raw.groupBy("file", "block").agg(F.sum(F.octet_length("value") + len(END)).alias("bytes"))
+    # The magic stands in the piece and its line break between two.
+    sizes = raw.groupBy("file", "block").agg((F.max(F.col("at") + F.octet_length("value")) + len(CUT)).alias("bytes"))
     ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialise(sizes.select("file", "block", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("base")))
     placed = raw.join(bases, ["file", "block"])
@@ -218,7 +232,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             out = []
             for parts in batch.column(0).to_pylist():
-                head, body = parts[0], END.join(parts[1:])
+                head, _, body = b"\n".join(parts).partition(END)
                 body = body[: int(LENGTH.search(head)[1])]
                 page, first = _header(head, b"X-Page-Id"), _header(head, b"X-Refers-To-Page-Id")
                 out.append({
