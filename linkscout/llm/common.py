@@ -43,14 +43,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def window_hashes(h: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """Hash of every window of ``len(factors)`` consecutive words. Windows that differ in one word never collide."""
-    n = len(h) - len(factors) + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    total = np.zeros(n, dtype=np.uint64)
+def window_hashes(h: np.ndarray, factors: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the windows of ``len(factors)`` consecutive words that start ``at``. A difference in one word always shows."""
+    total = np.zeros(len(at), dtype=np.uint64)
     for j, f in enumerate(factors):
-        total += h[j : j + n] * f
+        total += h[at + j] * f
     return mixed(total)
 
 

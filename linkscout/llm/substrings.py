@@ -15,6 +15,7 @@ from linkscout.llm.common import multipliers, window_hashes, word_hashes
 #: Modulo 13, every difference occurs between two of these positions.
 PERIOD = 13
 COVER = (0, 1, 3, 9)
+IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
 
 class Windows:
@@ -34,10 +35,10 @@ class Windows:
         """Word hashes, and the anchors' positions."""
         h = word_hashes(found)
         at = np.arange(max(0, len(h) - self.anchor + 1))
-        return h, at[np.isin(at % PERIOD, COVER)]
+        return h, at[IN_COVER[at % PERIOD]]
 
     def anchors(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return window_hashes(h, self.factors[0])[at].view(np.int64)
+        return window_hashes(h, self.factors[0], at).view(np.int64)
 
     def candidates(self, h: np.ndarray, at: np.ndarray, shared: np.ndarray) -> np.ndarray:
         """Starts of all windows that hold a shared anchor."""
@@ -47,9 +48,9 @@ class Windows:
         np.add.at(hit, marked + 1, -1)
         return np.flatnonzero(np.cumsum(hit)[: max(0, len(h) - self.length + 1)] > 0)
 
-    def extended(self, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit hash of the whole windows at ``starts``."""
-        return tuple(window_hashes(h, f)[starts].view(np.int64) for f in self.factors[1:])
+    def extended(self, h: np.ndarray, starts: np.ndarray, part: int = 0) -> np.ndarray:
+        """Hash of the whole windows at ``starts``; the two parts are independent."""
+        return window_hashes(h, self.factors[1 + part], starts).view(np.int64)
 
 
 def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bool]]:
@@ -65,10 +66,11 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
-    """``(k, h, nul, id, sure)``: one row per anchor hash and document.
+    """``(k, id, nul, sure, hashes)``: anchors on their way to meet, and those known to be shared.
 
-    An anchor seen in several documents of a batch, or twice in one, is known to be shared, so these rows are sure and
-    need no meeting; one of them stands for the batch. A hash thus has at most one unsure row a batch, however frequent.
+    An anchor seen in several documents of a batch, or twice in one, is known to be shared: the hashes of each document
+    that are sure so go to ``k``, the document. One row with the hash as ``k`` stands for the batch, so a hash has at most
+    one row to meet a batch, however frequent it is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,60 +82,74 @@ def _anchor_rows(rows: DataFrame, length: int) -> DataFrame:
                 found = raw.split()
                 if len(found) < length:
                     continue
-                own, counts = np.unique(windows.anchors(*windows.of(found)), return_counts=True)
-                hashes.append(own)
-                owners.append(np.full(len(own), i))
-                repeated.append(counts > 1)
+                own = np.sort(windows.anchors(*windows.of(found)))
+                first = np.r_[True, own[1:] != own[:-1]]
+                hashes.append(own[first])
+                repeated.append(np.diff(np.r_[np.flatnonzero(first), len(own)]) > 1)
+                owners.append(np.full(len(hashes[-1]), i))
             if not hashes:
                 continue
             h, owner, twice = np.concatenate(hashes), np.concatenate(owners), np.concatenate(repeated)
             order = np.argsort(h, kind="stable")
-            h, owner, twice = h[order], owner[order], twice[order]
-            first = np.r_[True, h[1:] != h[:-1]]
-            group = np.cumsum(first) - 1
-            sure = twice | (np.bincount(group)[group] > 1)
-            # One row of each hash stands for the batch; the sure ones go straight on to their documents.
-            h, owner = np.r_[h[first], h[sure]], np.r_[owner[first], owner[sure]]
-            sure = np.r_[np.zeros(first.sum(), bool), np.ones(sure.sum(), bool)]
-            k = np.where(sure, ids[owner], h)
-            flags = np.array(nul, dtype=bool)[owner]
+            sorted_h = h[order]
+            first = np.r_[True, sorted_h[1:] != sorted_h[:-1]]
+            counts = np.diff(np.r_[np.flatnonzero(first), len(h)])
+            sure = twice.copy()
+            sure[order] |= np.repeat(counts > 1, counts)
+            met, flags = order[first], np.array(nul, dtype=bool)
+            known = np.flatnonzero(sure)
+            edges = np.flatnonzero(np.r_[True, owner[known][1:] != owner[known][:-1]]) if len(known) else known
+            docs = owner[known][edges]
+            ends = np.r_[edges, len(known)][1:]
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[np.zeros(len(met) + 1), ends].astype(np.int32)), pa.array(h[known]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k), pa.array(h), pa.array(flags), pa.array(ids[owner]), pa.array(sure)], ["k", "h", "nul", "id", "sure"]
+                [
+                    pa.array(np.r_[h[met], ids[docs]]), pa.array(np.r_[ids[owner[met]], ids[docs]]),
+                    pa.array(np.r_[flags[owner[met]], flags[docs]]),
+                    pa.array(np.r_[np.zeros(len(met), dtype=bool), np.ones(len(docs), dtype=bool)]), lists,
+                ],
+                ["k", "id", "nul", "sure", "hashes"],
             )
 
-    return rows.mapInArrow(run, "k long, h long, nul boolean, id long, sure boolean")
+    return rows.mapInArrow(run, "k long, id long, nul boolean, sure boolean, hashes array<bigint>")
 
 
 def _shared(rows: DataFrame, length: int) -> DataFrame:
     """``(nul, id, shared)``: the shared anchors of each document that has any."""
-    anchors = _anchor_rows(rows, length)
-    sure = anchors.where("sure").select("nul", "id", "h")
-    met = anchors.where("not sure").selectExpr("*", "count(1) over (partition by h) as n").where("n > 1").select("nul", "id", "h")
-    return sure.unionByName(met).groupBy("nul", "id").agg(F.collect_set("h").alias("shared"))
+    met = _anchor_rows(rows, length).selectExpr("*", "count(1) over (partition by k, sure) as n").where("sure or n > 1")
+    own = F.when(F.col("sure"), F.col("hashes")).otherwise(F.array("k")).alias("own")
+    return met.select("nul", "id", own).groupBy("nul", "id").agg(F.flatten(F.collect_list("own")).alias("shared"))
 
 
 def _window_rows(joined: DataFrame, length: int) -> DataFrame:
-    """``(h1, h2, real, bare)``: each candidate window of each document once, with the document's id or stand-in."""
+    """``(h1, h2, real, bare)``: each candidate window of each document once, with the document's id or stand-in.
+
+    The two hashes have 96 bits together.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(length)
         for batch in batches:
             ids, nul = _ids(batch)
             shared = batch.column("shared")
+            h1, h2, owner = [], [], []
             for i, raw in enumerate(batch.column("raw").to_pylist()):
-                if not shared[i].is_valid:
-                    continue
                 h, at = windows.of(raw.split())
                 starts = windows.candidates(h, at, shared[i].values.to_numpy())
-                h1, h2 = windows.extended(h, starts)
-                first = np.unique(h1, return_index=True)[1]
-                own, none = pa.array(np.full(len(first), ids[i])), pa.nulls(len(first), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[first]), pa.array(h2[first]), none if nul[i] else own, own if nul[i] else none],
-                    ["h1", "h2", "real", "bare"],
-                )
+                own, first = np.unique(windows.extended(h, starts), return_index=True)
+                h1.append(own)
+                h2.append(windows.extended(h, starts[first], 1).astype(np.int32))
+                owner.append(np.full(len(own), i))
+            if not h1:
+                continue
+            by = np.concatenate(owner)
+            own, bare = ids[by], np.array(nul, dtype=bool)[by]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2)), pa.array(own, mask=bare), pa.array(own, mask=~bare)],
+                ["h1", "h2", "real", "bare"],
+            )
 
-    return joined.mapInArrow(run, "h1 long, h2 long, real long, bare long")
+    return joined.mapInArrow(run, "h1 long, h2 int, real long, bare long")
 
 
 def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20) -> DataFrame:
@@ -166,7 +182,7 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 if shared[i].is_valid:
                     h, at = windows.of(found)
                     starts = windows.candidates(h, at, shared[i].values.to_numpy())
-                    h1 = windows.extended(h, starts)[0]
+                    h1 = windows.extended(h, starts)
                     first = np.zeros(len(starts), dtype=bool)
                     first[np.unique(h1, return_index=True)[1]] = True
                     if owned_by[i].is_valid:
