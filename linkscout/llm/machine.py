@@ -18,9 +18,11 @@ WORD_BITS = 15
 FACTORS = 8
 #: Labelled rows that are learned from, at most: those with the smallest hashes of their ids.
 MAX_ROWS = 8000
+#: Passes over the rows, more where they are few, so that there are at least so many steps.
 EPOCHS = 12
+MIN_STEPS = 600
 BATCH = 128
-RATE = 0.05
+RATE = 0.1
 DECAY = 1e-5
 CUT = 0.3
 
@@ -115,7 +117,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int
         m.factors[:] = 0
         return m
     seen_w, seen_v = np.full(size, 1e-3, dtype=np.float32), np.full((size, FACTORS), 1e-3, dtype=np.float32)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-MIN_STEPS // -(-len(rows) // BATCH)))):
         order = draw.permutation(len(rows))
         for b in range(0, len(order), BATCH):
             chosen = order[b : b + BATCH]
