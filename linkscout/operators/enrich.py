@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkscout.functions import text
-from linkscout.operators.grid import total_rows
 from linkscout.operators.rank import combined_ranks
 from linkscout.operators.skew import skewed_join
 
@@ -43,7 +42,7 @@ def profile_clearance(profiles: DataFrame, keys: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("_n"),
     )
     ends = ends.withColumn("_slope", (F.col("_last") - F.col("_first")) / F.greatest(F.col("_n") - 1, F.lit(1)))
-    samples = skewed_join(profiles, ends.where("_n >= 2").drop("_last", "_n"), keys, rows=total_rows([profiles]))
+    samples = skewed_join(profiles, ends.where("_n >= 2").drop("_last", "_n"), keys)
     gap = F.col("_first") + (F.col("sample_idx") - F.col("_from")) * F.col("_slope") - F.col("elev")
     return samples.groupBy(*keys).agg(F.min(gap).alias("clearance"))
 
@@ -112,7 +111,7 @@ def candidate_pairs(candidates: DataFrame, n: int, seed: int) -> DataFrame:
 
     The order is a hash of the row's key and the seed, so a re-run draws the same sample.
     """
-    drawn = F.xxhash64(*[F.col(c) for c in CANDIDATE_KEY], "long", "lat", F.lit(seed))
+    drawn = F.md5(F.concat_ws("|", *CANDIDATE_KEY, F.lit(str(seed))))
     sample = candidates.withColumn("_draw", drawn).orderBy("_draw", *CANDIDATE_KEY, "long", "lat").limit(n)
     # At most n rows are left here.
     position = F.row_number().over(Window.orderBy("_draw", *CANDIDATE_KEY, "long", "lat")) - 1

@@ -13,14 +13,14 @@ covers its k nearest. Only cells within that reach are joined, so the pairs foll
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkscout.functions import geo
 from linkscout.functions.steps import steps
-from linkscout.operators.skew import materialise, skewed_join
+from linkscout.operators.skew import skewed_join
+from linkscout.operators.storage import materialise
 
 # Cell heights of the levels in km, each a quarter of the one before.
 CELL_KM = (4.0, 1.0, 0.25, 0.0625, 0.015625)
@@ -37,12 +37,8 @@ POLE_CAP = 89.0
 # Distances are ranked after rounding to 10 m, so a reach needs that much slack to keep ties of the k-th row.
 ROUNDING_SLACK_KM = 0.0111
 
-# Sources times points up to which a nearest-k search joins all pairs within the radius without counting cells first.
-PAIR_BUDGET = 3_000_000
-
-# Rows allowed in an explicitly broadcast side (about 100 bytes each).
+# Rows allowed in an explicitly broadcast side (about 100 bytes each); they are counted first.
 BROADCAST_ROWS = 500_000
-COVER_CELLS = 81
 
 
 @dataclass(frozen=True)
@@ -60,10 +56,6 @@ class SourceStats:
         fitting = [max(i for i in LEVELS if i == 0 or r <= 2.5 * CELL_KM[i]) for r in (self.max_radius, self.min_radius)]
         return tuple(range(fitting[0], fitting[1] + 1))
 
-    @property
-    def cover_is_small(self) -> bool:
-        return self.rows * COVER_CELLS <= BROADCAST_ROWS
-
 
 def source_stats(sources: DataFrame, *limits: str, radius_km: str = "radius_km") -> SourceStats:
     tops = [F.max(F.col(c)).alias(f"m{i}") for i, c in enumerate(limits)]
@@ -74,10 +66,10 @@ def source_stats(sources: DataFrame, *limits: str, radius_km: str = "radius_km")
     return SourceStats(row["n"], top, float(row["r0"] or 0), float(row["r1"] or 0))
 
 
-def total_rows(tables: list[DataFrame]) -> int:
-    """Rows of some base tables together; a count of parquet files reads only their footers."""
-    counts = [t.agg(F.count(F.lit(1)).alias("n")) for t in tables]
-    return reduce(DataFrame.union, counts).agg(F.sum("n")).first()[0]
+def counted(df: DataFrame) -> tuple[DataFrame, bool]:
+    """The table, written once, and whether its rows are few enough to broadcast."""
+    written = materialise(df)
+    return written, written.count() <= BROADCAST_ROWS
 
 
 # The grid arithmetic is written as SQL text: one parsed expression instead of hundreds of Column objects.
@@ -168,11 +160,15 @@ def cover(df: DataFrame, lon: str, lat: str, reach_km: str, level: int | None =
 
 
 def box_cells(df: DataFrame, west: str, south: str, east: str, north: str, level: int) -> DataFrame:
-    """One row per cell of a small box (an outline, say), as column ``cell``."""
+    """One row per cell of a small box (an outline, say), as column ``cell``. A box with a corner that is no finite
+    number, or outside the globe, has no cells.
+    """
     height = f"{HEIGHTS[level]!r}D"
     first, last = (f"floor(({c} + 180) * _columns / 360)" for c in (west, east))
+    on_globe = f"{west} between -720 and {east} and {east} <= 720 and {south} between -90 and {north} and {north} <= 90"
     return steps(
         df,
+        on_globe,
         ["*", f"explode(sequence({_band(south, height)}, {_band(north, height)})) as _band"],
         ["*", f"{_columns_in('_band', height)} as _columns"],
         ["*", f"explode(sequence({first}, {last})) as _raw"],
@@ -180,16 +176,14 @@ def box_cells(df: DataFrame, west: str, south: str, east: str, north: str, level
     )
 
 
-def near_sources(points: DataFrame, sources: DataFrame, stats: SourceStats, radius_km: str = "radius_km") -> DataFrame:
+def near_sources(points: DataFrame, sources: DataFrame, radius_km: str = "radius_km") -> DataFrame:
     """Points in a coarse cell that some source can reach: a cheap filter before costly work on the points.
 
-    Applied only while the cells of the sources are few enough to broadcast; otherwise the points come back as they are.
+    The cells are broadcast if they were counted to be few, and shuffled otherwise.
     """
-    if not stats.cover_is_small:
-        return points
-    cells = cover(sources.select("lon", "lat", radius_km), "lon", "lat", radius_km, 0).select("cell").distinct()
+    cells, few = counted(cover(sources.select("lon", "lat", radius_km), "lon", "lat", radius_km, 0).select("cell").distinct())
     marked = points.withColumn("cell", cell_of("lon", "lat", 0))
-    return marked.join(F.broadcast(cells), "cell", "left_semi").drop("cell")
+    return marked.join(F.broadcast(cells) if few else cells, "cell", "left_semi").drop("cell")
 
 
 def cell_counts(points: DataFrame) -> DataFrame:
@@ -201,7 +195,7 @@ def cell_counts(points: DataFrame) -> DataFrame:
     )
 
 
-def search_reach(sources: DataFrame, counts: DataFrame, radius_km: str, limit: str, small: bool) -> DataFrame:
+def search_reach(sources: DataFrame, counts: DataFrame, radius_km: str, limit: str) -> DataFrame:
     """Add ``reach_km`` <= radius: a distance that certainly covers the ``limit`` nearest points of each source.
 
     At every level the 25 cells around a source are looked up. Sorted by the distance of their farthest corner, the first
@@ -220,7 +214,7 @@ def search_reach(sources: DataFrame, counts: DataFrame, radius_km: str, limit: s
         ["*", "explode(sequence(_middle - _spread, _middle + _spread)) as _raw"],
         [*keep, "_level", f"{far} as _far", f"{_key('_level', '_band', 'pmod(_raw, _columns)')} as cell"],
     )
-    df = df.join(counts if small else counts.hint("merge"), ["kind", "cell"], "left")
+    df = df.join(counts, ["kind", "cell"], "left")
     df = df.groupBy(*keep).agg(
         F.expr("sort_array(collect_list(named_struct('level', _level, 'far', _far, 'n', coalesce(n, 0L))))").alias("_cells")
     )
@@ -232,25 +226,14 @@ def search_reach(sources: DataFrame, counts: DataFrame, radius_km: str, limit: s
     return df.selectExpr(*keep, f"least({radius_km}, {bound} + {ROUNDING_SLACK_KM!r}D) as reach_km")
 
 
-def trim_copies(points: DataFrame, counts: DataFrame, order: list[Column], max_limit: int) -> DataFrame:
+def trim_copies(points: DataFrame, order: list[Column], max_limit: int) -> DataFrame:
     """Drop points that no nearest-k search can return because enough points at the very same place go before them.
 
     Points at one place have one distance, so ``order`` alone decides between them and the first ``max_limit`` suffice.
-    Only the finest cells with far more points than that take this detour; normally there are none.
+    Each task applies the limit before the shuffle, so a place of any number of points sends few rows.
     """
-    finest = F.shiftright("cell", 46) == FINEST
-    crowded = counts.where(finest & (F.col("n") > 4 * max_limit)).select("kind", F.col("cell").alias("_cell"))
-    if crowded.isEmpty():
-        return points
-    tagged = points.withColumn("_cell", cell_of("lon", "lat", FINEST))
     place = Window.partitionBy("kind", "lon", "lat").orderBy(*order)
-    dense = (
-        tagged.join(crowded, ["kind", "_cell"], "left_semi")
-        .withColumn("_rn", F.row_number().over(place))
-        .where(F.col("_rn") <= max_limit)
-        .drop("_rn")
-    )
-    return tagged.join(crowded, ["kind", "_cell"], "left_anti").unionByName(dense).drop("_cell")
+    return points.withColumn("_rn", F.row_number().over(place)).where(F.col("_rn") <= max_limit).drop("_rn")
 
 
 def _refine(pairs: DataFrame, radius_km: str, inclusive: bool) -> DataFrame:
@@ -266,8 +249,8 @@ def radius_join(
     """All (source, point) pairs closer than the radius of the source, with ``dist_m``.
 
     Both sides need ``lon`` and ``lat``; the point's come back as ``p_lon`` and ``p_lat``. ``also`` names further columns
-    both sides must agree on. The cells of the sources are broadcast only if their number is bounded by a prior count;
-    otherwise both sides shuffle on the cell key and cells holding a large share of the points are split.
+    both sides must agree on. The cells of the sources are counted and broadcast if they are few; otherwise both sides
+    shuffle on the cell key, and cells that hold many points or are reached by many sources are split.
     """
     stats = stats or source_stats(sources, radius_km=radius_km)
     levels = LEVELS if reach_km else stats.radius_levels
@@ -275,33 +258,27 @@ def radius_join(
     right = geo.with_geodetic(points.withColumnsRenamed({"lon": "p_lon", "lat": "p_lat"}), "p_lon", "p_lat", "p")
     right = right.withColumn("cell", F.explode(cells_of("p_lon", "p_lat", levels)))
     keys = [*also, "cell"]
-    if stats.cover_is_small:
-        pairs = right.join(F.broadcast(left), keys)
-    else:
-        pairs = skewed_join(right, left.hint("merge"), keys)
+    left, few = counted(left)
+    pairs = right.join(F.broadcast(left), keys) if few else skewed_join(right, left, keys)
     return _refine(pairs, radius_km, inclusive)
 
 
 def nearest_within(
     sources: DataFrame, points: DataFrame, tie: list[str], inclusive: bool = False, stats: SourceStats | None = None,
-    point_rows: int | None = None,
 ) -> DataFrame:
     """For each source and kind the nearest points within its radius, by the rounded distance, then ``tie``.
 
     ``sources`` has site_id, kind, lon, lat, radius_km and top (the row limit); ``points`` has kind, lon, lat and its own
-    columns. Adds ``cand_dist_km``. With ``point_rows``, the number of points, and few enough of them, the cell counts are
-    skipped: then sources times points bounds the pairs.
+    columns. Adds ``cand_dist_km``. The way is the same at every size: points at one place are cut to those that can be
+    returned, cells are counted, and only cells within the reach of a source are joined.
     """
     stats = stats or source_stats(sources, "top")
     sources = sources.select("site_id", "kind", "lon", "lat", "radius_km", "top").where("top > 0")
     order = [F.col(c).asc_nulls_first() for c in tie]
-    reach = None
-    if point_rows is None or stats.rows * point_rows > PAIR_BUDGET:
-        points = materialise(points)
-        counts = materialise(cell_counts(points))
-        points = trim_copies(points, counts, order, stats.max_limit)
-        sources, reach = search_reach(sources, counts, "radius_km", "top", stats.cover_is_small), "reach_km"
-    pairs = radius_join(sources, points, "radius_km", inclusive, stats, reach, ("kind",))
+    points = materialise(trim_copies(points, order, stats.max_limit))
+    counts = materialise(cell_counts(points))
+    reached = search_reach(sources, counts, "radius_km", "top")
+    pairs = radius_join(reached, points, "radius_km", inclusive, stats, "reach_km", ("kind",))
     nearest = Window.partitionBy("site_id", "kind").orderBy("cand_dist_km", *order)
     return (
         pairs.withColumn("cand_dist_km", geo.metres_to_km(F.col("dist_m")))

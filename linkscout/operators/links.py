@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscout.functions import geo
-from linkscout.operators.grid import total_rows
-from linkscout.operators.skew import MIN_HOT_ROWS, materialise, skewed_join
+from linkscout.operators.skew import NULL_SALTS, skewed_join
+from linkscout.operators.storage import materialise
 
 LINK_TYPE = "Fixed Wireless Link"
 A_PART, Z_PART = 3, 4
@@ -18,28 +18,28 @@ def name_part(name: Column, part: int) -> Column:
 
 
 def either_name_join(
-    df: DataFrame, buildings: DataFrame, names: DataFrame, code: str, part: Column, out: dict[str, str], large: bool
+    df: DataFrame, buildings: DataFrame, names: DataFrame, code: str, part: Column, out: dict[str, str]
 ) -> DataFrame:
     """Left join on ``code = name OR part = name`` as equi-joins.
 
     The two possible keys are first checked against the distinct names, so each row knows which of them hit. Rows then
     carry an array of zero, one or two different keys, exploded for an inner join; rows without a key are added as
     unmatched. A row that matches by one key gets no spurious NULL row from the other.
-    ``out`` maps building columns to output names. A ``large`` table is checked for hot names, which are then split; as it
-    is read for the check and for the join, it is written once.
+    ``out`` maps building columns to output names. A row without a code is checked under one of many names that do not
+    exist, so that such rows do not meet in one task. The marked table is written once, as hot names are counted and split.
     """
     marked = df.withColumns({"_code": F.col(code), "_part": part})
+    nowhere = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)).cast("string"))
     for key, hit in (("_code", "_code_hit"), ("_part", "_part_hit")):
-        marked = marked.join(names.select(F.col("name").alias(key), F.lit(True).alias(hit)), key, "left")
+        known = names.select(F.col("name").alias("_probe"), F.lit(True).alias(hit))
+        marked = marked.withColumn("_probe", F.coalesce(key, nowhere)).join(known, "_probe", "left").drop("_probe")
     keys = F.array_distinct(
         F.array_compact(F.array(F.when(F.col("_code_hit"), F.col("_code")), F.when(F.col("_part_hit"), F.col("_part"))))
     )
-    marked = marked.select(*df.columns, keys.alias("_keys"))
-    if large:
-        marked = materialise(marked)
+    marked = materialise(marked.select(*df.columns, keys.alias("_keys")))
     ends = buildings.select(F.col("name").alias("_key"), *[F.col(old).alias(new) for old, new in out.items()])
     hits = marked.where(F.size("_keys") > 0).withColumn("_key", F.explode("_keys")).drop("_keys")
-    matched = (skewed_join(hits, ends, ["_key"]) if large else hits.join(ends, "_key")).drop("_key")
+    matched = skewed_join(hits, ends, ["_key"]).drop("_key")
     missed = marked.where(F.size("_keys") == 0).drop("_keys")
     return matched.unionByName(missed, allowMissingColumns=True)
 
@@ -49,14 +49,13 @@ def located_circuits(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
     links = circuits.where(F.col("circuit_type") == LINK_TYPE)
     known = buildings.where(F.col("name").isNotNull()).select("name", "lon", "lat")
     names = known.select("name").distinct()
-    large = total_rows([circuits]) >= MIN_HOT_ROWS
     located = either_name_join(
         links, known, names, "a_location_clli", name_part(F.col("name"), A_PART),
-        {"lon": "a_longitude", "lat": "a_latitude"}, large,
+        {"lon": "a_longitude", "lat": "a_latitude"},
     )
     return either_name_join(
         located, known, names, "z_location_clli", name_part(F.col("name"), Z_PART),
-        {"lon": "z_longitude", "lat": "z_latitude"}, large,
+        {"lon": "z_longitude", "lat": "z_latitude"},
     )
 
 
@@ -83,8 +82,8 @@ def link_view(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
 
 def register_link_views(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
     """Source view and the public view over it; returns the public one."""
-    link_view(circuits, buildings).createOrReplaceTempView("fixed_wireless_links_source")
+    link_view(circuits, buildings).createOrReplaceTempView("link_lines_source")
     spark = circuits.sparkSession
-    public = spark.sql("select * from fixed_wireless_links_source")
-    public.createOrReplaceTempView("fixed_wireless_links")
+    public = spark.sql("select * from link_lines_source")
+    public.createOrReplaceTempView("link_lines")
     return public

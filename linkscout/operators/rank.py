@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from linkscout import schemas
 from linkscout.functions import geo
 from linkscout.operators import grid
+from linkscout.operators.skew import skewed_join
+from linkscout.operators.storage import materialise
 
 LICENCE_LEVEL = 2
 SCORE_SOURCE = "cci_sites"
@@ -37,7 +39,7 @@ def licence_counts(buildings: DataFrame, licences: DataFrame, buffer_deg: float
     boxes = geo.with_clean_ring(buildings.select("buildingid", "ring")).withColumns(geo.ring_box("ring"))
     grow = {c: F.col(c) - buffer_deg for c in ("west", "south")} | {c: F.col(c) + buffer_deg for c in ("east", "north")}
     boxes = grid.box_cells(boxes.withColumns(grow), "west", "south", "east", "north", LICENCE_LEVEL)
-    near = places.join(boxes, "cell").where(
+    near = skewed_join(places, boxes, ["cell"]).where(
         F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
     )
     return (
@@ -71,7 +73,7 @@ def lit_rank(
     namesakes = (
         buildings.where(F.col("name").isNotNull()).groupBy("name").agg(F.count(F.lit(1)).alias("name_rows"))
     )
-    attributes = chosen.drop("ring", "lon", "lat").join(by_name, "name", "left")
+    attributes = chosen.drop("lon", "lat").join(by_name, "name", "left")
     own = F.col("lit.building_type").isNull() | F.coalesce(F.col("pop_tf"), F.lit(False))
     attributes = attributes.withColumns(
         {
@@ -81,10 +83,13 @@ def lit_rank(
         }
     )
     first = Window.partitionBy("buildingid").orderBy(
-        *[F.col(c).asc_nulls_first() for c in ("on_net_status", "structure", "name", "clli", "street", "city", "state")]
+        *[F.col(c).asc_nulls_first() for c in ("on_net_status", "structure", "name", "clli", "street", "city", "state")],
+        F.hash("ring"),
     )
-    attributes = attributes.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
-    counts = licence_counts(chosen.dropDuplicates(["buildingid"]), licences)
+    # One row per building, with the outline its licences are counted for.
+    attributes = materialise(attributes.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn"))
+    chosen_outlines = attributes.select("buildingid", "ring")
+    counts = licence_counts(chosen_outlines, licences)
     # Inner join: every name that is not NULL has at least one building.
     joined = attributes.join(namesakes, "name").join(counts, "buildingid", "left")
     fan_out = F.col("name_rows") * F.coalesce(F.col("lit_rows"), F.lit(1))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,12 +11,10 @@ from linkscout import schemas
 from linkscout.functions import geo
 from linkscout.operators import grid
 from linkscout.operators.grid import SourceStats
-from linkscout.operators.skew import first_copies, hot_keys
+from linkscout.operators.skew import skewed_join
 
 DEFAULT_HEIGHT_M = 30.0
 ROOF_LEVEL = 2
-# A name on this many buildings is looked at for copies at one place.
-COMMON_NAME_ROWS = 1000
 
 # Eligible tower types and the provider names that make a tower lit.
 TOWER_TYPES = ("TW", "RT")
@@ -52,24 +49,29 @@ def roof_points(buildings: DataFrame, keep: int | None = None, owners: DataFrame
     (usually o itself). Name alone may be shared by any number of buildings, so the join key is the name plus the grid cell
     of the location: pairs are only formed where outlines and locations meet.
 
-    ``keep`` is the largest row limit of a nearest-k search that will read the result. Copies with one name at one place
-    then only matter up to that number, on either side. ``owners`` narrows the buildings o (not x).
+    ``keep`` is the largest row limit of a nearest-k search that will read the result, which ranks equal distances by id as
+    text, vertex and x. Of buildings of one name, place and outline, and of vertices from one name and place, only the
+    first ``keep`` in that order can then matter. The others go before the join, by a limit that each task applies first.
+    ``owners`` narrows the buildings o (not x).
     """
 
     def named(df: DataFrame) -> DataFrame:
         known = df.where(F.col("name").isNotNull()).select("buildingid", "name", "lon", "lat", "ring")
         return geo.with_clean_ring(known)
 
-    outlines, locations = named(buildings if owners is None else owners), named(buildings)
-    if keep is not None:
-        first = [F.col("buildingid").asc()]
-        hot = hot_keys(buildings, ["name"], COMMON_NAME_ROWS)
-        outlines = first_copies(outlines, hot, ["name"], ["name", "lon", "lat", "ring"], first, keep)
-        locations = first_copies(locations, hot, ["name"], ["name", "lon", "lat"], first, keep)
+    def first(df: DataFrame, same: list[str], order: Column) -> DataFrame:
+        if keep is None:
+            return df
+        place = Window.partitionBy(*same).orderBy(order)
+        return df.withColumn("_rn", F.row_number().over(place)).where(F.col("_rn") <= keep).drop("_rn")
+
+    outlines = first(
+        named(buildings if owners is None else owners), ["name", "lon", "lat", "ring"], F.col("buildingid").cast("string").asc()
+    )
     o = grid.box_cells(
         outlines.withColumns(geo.ring_box("ring")), "west", "south", "east", "north", ROOF_LEVEL
     ).drop("west", "south", "east", "north")
-    x = geo.with_inset_ring(locations, "ring", "inset").select(
+    x = geo.with_inset_ring(named(buildings), "ring", "inset").select(
         "name",
         F.col("buildingid").alias("x_id"),
         F.col("lon").alias("x_lon"),
@@ -77,7 +79,8 @@ def roof_points(buildings: DataFrame, keep: int | None = None, owners: DataFrame
         geo.cardinal_vertices("inset").alias("vertices"),
         grid.cell_of("lon", "lat", ROOF_LEVEL).alias("cell"),
     )
-    matched = o.join(x.where(F.col("vertices").isNotNull()), ["name", "cell"]).where(
+    x = first(x.where(F.col("vertices").isNotNull()), ["name", "x_lon", "x_lat"], F.col("x_id").asc())
+    matched = skewed_join(o, x, ["name", "cell"]).where(
         geo.point_in_ring("x_lon", "x_lat", "ring")
     )
     return matched.select("buildingid", "lon", "lat", "x_id", F.inline("vertices").alias("vertex", "v_lon", "v_lat"))
@@ -101,7 +104,7 @@ def _points(
 
 def lit_points(buildings: DataFrame, sources: DataFrame, stats: SourceStats) -> DataFrame:
     """Roof vertices; distance from the building's location, position from the vertex, height always 30 m."""
-    near = grid.near_sources(buildings, sources, stats)
+    near = grid.near_sources(buildings, sources)
     roofs = roof_points(buildings, stats.max_limit, owners=near)
     return _points(
         roofs, "ospi", "buildingid", "lon", "lat", "v_lon", "v_lat", str(DEFAULT_HEIGHT_M), "vertex", "x_id"
@@ -141,11 +144,8 @@ def _limited(sources: DataFrame, limits: dict[str, str], wanted: dict[str, str]
     )
 
 
-def _search(
-    sources: DataFrame, points: DataFrame, inclusive: bool, stats: SourceStats, tables: list[DataFrame]
-) -> DataFrame:
-    rows = grid.total_rows(tables)
-    found = grid.nearest_within(sources, points, ["id", "vertex", "seq"], inclusive, stats, rows)
+def _search(sources: DataFrame, points: DataFrame, inclusive: bool, stats: SourceStats) -> DataFrame:
+    found = grid.nearest_within(sources, points, ["id", "vertex", "seq"], inclusive, stats)
     return schemas.conform(
         found.selectExpr(
             "site_id", f"if(kind = '{LIT_TOWER}', 'cci_sites', kind) as candidate_type", "id", "cand_dist_km",
@@ -162,24 +162,24 @@ def lit_search(sources: DataFrame, buildings: DataFrame, inclusive: bool = False
     """Nearest roof vertices of buildings within the radius. The limit counts vertices; the distance is the building's."""
     stats = grid.source_stats(sources, "lit_limit")
     wanted = _limited(sources, {"ospi": "lit_limit"})
-    return _search(wanted, lit_points(buildings, sources, stats), inclusive, stats, [buildings])
+    return _search(wanted, lit_points(buildings, sources, stats), inclusive, stats)
 
 
 def asd_search(sources: DataFrame, estates: DataFrame, inclusive: bool = False) -> DataFrame:
     stats = grid.source_stats(sources, "re_limit")
-    return _search(_limited(sources, {"re_asd": "re_limit"}), asd_points(estates), inclusive, stats, [estates])
+    return _search(_limited(sources, {"re_asd": "re_limit"}), asd_points(estates), inclusive, stats)
 
 
 def mgt_search(sources: DataFrame, estates: DataFrame, inclusive: bool = False) -> DataFrame:
     stats = grid.source_stats(sources, "re_limit")
-    return _search(_limited(sources, {"re_mgt": "re_limit"}), mgt_points(estates), inclusive, stats, [estates])
+    return _search(_limited(sources, {"re_mgt": "re_limit"}), mgt_points(estates), inclusive, stats)
 
 
 def tower_search(sources: DataFrame, sites: DataFrame, scrub: DataFrame | None, inclusive: bool = False) -> DataFrame:
     """Nearest eligible towers; with ``scrub`` given only lit ones."""
     stats = grid.source_stats(sources, "cci_limit")
     wanted = _limited(sources, {"cci_sites": "cci_limit"})
-    return _search(wanted, tower_points(sites, scrub), inclusive, stats, [sites])
+    return _search(wanted, tower_points(sites, scrub), inclusive, stats)
 
 
 def initial_search(
@@ -191,8 +191,6 @@ def initial_search(
     through one search: the type is part of the join key and of the top-k groups.
     """
     stats = grid.source_stats(sources, "lit_limit", "re_limit", "cci_limit")
-    # Each site searches at most four kinds.
-    stats = replace(stats, rows=stats.rows * 4)
     points = reduce(
         DataFrame.unionByName,
         [
@@ -208,7 +206,7 @@ def initial_search(
     }
     open_only = dict.fromkeys(("re_asd", "re_mgt", "cci_sites"), "include_non_lit")
     wanted = _limited(sources, limits, {**open_only, LIT_TOWER: "not include_non_lit"})
-    found = _search(wanted, points, False, stats, [buildings, asd, mgt, sites])
+    found = _search(wanted, points, False, stats)
     return found.fillna({"height": DEFAULT_HEIGHT_M})
 
 

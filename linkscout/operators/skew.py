@@ -1,120 +1,69 @@
-"""Equi-join that splits hot keys, and materialisation in the shared checkpoint folder."""
+"""Equi-join that splits hot keys on both sides."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# At most this many keys are treated as hot, which bounds what is collected and broadcast. A key beyond the 512 largest
-# holds less than 1/512 of the rows.
-HOT_KEYS = 512
-MIN_HOT_ROWS = 200_000
-SALTS = 64
+#: Rows of one key that one task is asked to join.
+ROWS_PER_TASK = 200_000
+#: A key is split if it holds more than this part of its table, and more than ROWS_PER_TASK rows. So at most this many keys
+#: are split on either side, whatever the size of the tables.
+MOST_HOT = 100_000
+NULL_SALTS = 1024
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
-    """The largest keys with at least ``min_rows`` rows, as a local table of at most 512 rows; None if there are none.
+def _content(df: DataFrame, salts: Column) -> Column:
+    """Salt from the row's content, so a task that is run again assigns the same salt."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), salts).cast("int")
 
-    One counting pass over the key columns with map-side combine, done before the join is planned.
-    """
-    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    counts = df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
-    top = counts.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys)
-    rows = top.collect()
-    return df.sparkSession.createDataFrame(rows, top.schema) if rows else None
 
+def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], both: bool, rows_per_task: int) -> DataFrame:
+    """``(keys, _a, _b)``: keys to split and the number of salts of either side, from their counted rows."""
 
-def skewed_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", min_rows: int = MIN_HOT_ROWS,
-    salts: int = SALTS, rows: int | None = None,
-) -> DataFrame:
-    """Inner or left equi-join in which each hot key of the left side is spread over ``salts`` tasks.
+    def salts(df: DataFrame, name: str) -> DataFrame:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        limit = counts.agg(F.greatest(F.lit(rows_per_task), F.ceil(F.sum("_n") / MOST_HOT))).scalar()
+        return counts.withColumn("_limit", limit).where("_n > _limit").select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias(name))
 
-    For joins whose output keeps the partitioning of the join, or where both sides may be hot; elsewhere the adaptive
-    skew join of Spark splits an outsized partition by itself.
+    split = salts(left, "_a").where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    if not both:
+        return split.withColumn("_b", F.lit(1))
+    return split.join(salts(right, "_b"), keys, "full").na.fill(1, ["_a", "_b"])
 
-    Without hot keys this is the plain join, also if ``rows``, a known bound of the left side, rules them out. Otherwise
-    left rows of a hot key, and those without a key, get a salt from
-    their own content, so a re-run task assigns the same salt again; the matching right rows are repeated once per salt.
-    """
-    found = None if rows is not None and rows < min_rows else hot_keys(left, keys, min_rows)
-    if found is None:
-        return left.join(right, keys, how)
-    hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
-    content = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    salted = (
-        left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, content).otherwise(0)).drop("_hot")
-    )
-    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = right.join(hot, keys, "left").withColumn("_salt", F.explode(fan)).drop("_hot")
-    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
-
-
-def first_copies(
-    df: DataFrame, hot: DataFrame | None, hot_by: list[str], same: list[str], order: list[Column], keep: int
+
+def skewed_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Within the ``hot`` keys (see :func:`hot_keys`), keep the first ``keep`` rows of each group that agrees on ``same``.
+    """Inner or left equi-join in which each hot key is spread over as many tasks as its counted rows need.
 
-    For callers that can show that later copies never reach their result. The group limit runs per task before the
-    shuffle, so a group of any size sends at most ``keep`` rows per task.
+    A key with a salts on the left and b on the right becomes a grid of a times b joins; each row gets one salt of its own
+    side and is repeated over those of the other. In a left join only the left side is split, and rows without a key are
+    spread as well. The split keys are at most 2 * MOST_HOT small rows, which bounds the broadcast.
     """
-    if hot is None:
-        return df
-    hot = F.broadcast(hot)
-    window = Window.partitionBy(*same).orderBy(*order)
-    dense = df.join(hot, hot_by, "left_semi").withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= keep)
-    return df.join(hot, hot_by, "left_anti").unionByName(dense.drop("_rn"))
+    if how not in ("inner", "left"):
+        raise ValueError(f"cannot split a {how} join")
+    hot = F.broadcast(hot_keys(left, right, keys, how == "inner", rows_per_task))
+    a, b = F.coalesce("_a", F.lit(1)), F.coalesce("_b", F.lit(1))
+    if how == "left":
+        no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+        a = F.when(no_key, F.lit(NULL_SALTS)).otherwise(a)
 
+    def every(salts: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), salts - 1))
 
-# Tables of fewer splits than this are spread over the cores; larger ones already are.
-FEW_SPLITS = 16
+    salted = left.join(hot, keys, "left").withColumn("_s", _content(left, a)).withColumn("_t", every(b)).drop("_a", "_b")
+    spread = right.join(hot, keys, "left").withColumn("_t", _content(right, b)).withColumn("_s", every(F.coalesce("_a", F.lit(1))))
+    return salted.join(spread.drop("_a", "_b"), [*keys, "_s", "_t"], how).drop("_s", "_t")
 
 
 def read_spread(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read parquet so that a table of a few splits still uses all cores.
-
-    Work per row is high here (a point meets many search sites), but file splits and AQE go by bytes. A table of less
-    than 16 splits, two gigabytes or so, is redistributed; anything larger is read as it lies.
-    """
+    """Read parquet; a table of fewer splits than cores is redistributed, as the work per row is high here."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
-    cores = min(FEW_SPLITS, spark.sparkContext.defaultParallelism)
+    cores = min(16, spark.sparkContext.defaultParallelism)
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """Shared folder named by the session; a throw-away one only for a local session that names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="linkscout-")
-    return _LOCAL_ROOTS[app]
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write an intermediate once to the shared checkpoint folder and read it back.
-
-    The files outlive a lost executor, so later stages never recompute what led to them. On a cluster that names no
-    checkpoint folder the plan is returned as it is.
-    """
-    spark = df.sparkSession
-    root = checkpoint_root(spark)
-    if root is None:
-        return df
-    path = f"{root.rstrip('/')}/linkscout-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return read_spread(spark, path, df.schema)

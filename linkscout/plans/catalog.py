@@ -11,14 +11,13 @@ from linkscout.functions import colours, geo, text
 from linkscout.operators import (
     buildings as bld, classify, enrich, grid, links, outputs, parameters, rank, ranker, search,
 )
-from linkscout.operators.skew import materialise
+from linkscout.operators.storage import materialise
 from linkscout.plans import site_search
 from linkscout.sources import readers
 from linkscout.sources.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-CLEARANCE_PROFILES = 200
 MAP_EXTENT = (-8243000.0, 4970000.0, -8230000.0, 4985000.0)
 
 
@@ -68,8 +67,9 @@ class Data:
         )
 
     def with_profile(self, candidates: DataFrame) -> DataFrame:
-        """The test profiles stand for many paths: each candidate id reads one of them."""
-        return candidates.withColumn("profile_id", F.col("id").cast("bigint") % CLEARANCE_PROFILES)
+        """The test profiles stand for many paths: each candidate id reads one of them, and every profile is read."""
+        n = self["masts"].agg(F.max("profile_id") + 1).scalar()
+        return candidates.withColumn("_n", n).withColumn("profile_id", F.col("id").cast("bigint") % F.col("_n")).drop("_n")
 
     def cleared(self) -> DataFrame:
         t = self.tables()
@@ -353,9 +353,7 @@ def unranked_sites(d: Data) -> DataFrame:
 
 @query
 def candidate_pairs(d: Data) -> DataFrame:
-    """The sample depends on Spark's hash, so it is checked by its shape."""
-    pairs = enrich.candidate_pairs(d.candidates(), 10, seed=7)
-    return pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("ends"))
+    return enrich.candidate_pairs(d.candidates(), 10, seed=7).select("pair", "site_id", "candidate_type", "id", "vertex")
 
 
 # ---------------------------------------------------------------- ranking and result tables
@@ -541,7 +539,7 @@ def disjunctive_join(d: Data) -> DataFrame:
     known = d["buildings"].where("name is not null").select("buildingid", "name")
     joined = links.either_name_join(
         d["circuits"], known, known.select("name").distinct(), "a_location_clli",
-        links.name_part(F.col("name"), links.A_PART), {"buildingid": "buildingid"}, large=True,
+        links.name_part(F.col("name"), links.A_PART), {"buildingid": "buildingid"},
     )
     return joined.select("circuit_id", "buildingid")
 

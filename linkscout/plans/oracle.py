@@ -458,9 +458,9 @@ select profile_id, cast(count(*) as int) as n, string_agg(printf('%.3f', elev),
 from fx_profiles group by profile_id"""
 CTES["q_cleared"] = f"""
 select *, {label('min_clearance')} as clearance_score
-from (select c.*, s.check_clearance, cast(c.id as bigint) % 200 as profile_id,
+from (select c.*, s.check_clearance, cast(c.id as bigint) % (select max(profile_id) + 1 from fx_masts) as profile_id,
     case when s.check_clearance then k.clearance + c.height end as min_clearance
-  from q_cand c join q_src s using (site_id) left join q_clearance k on k.profile_id = cast(c.id as bigint) % 200) t
+  from q_cand c join q_src s using (site_id) left join q_clearance k on k.profile_id = cast(c.id as bigint) % (select max(profile_id) + 1 from fx_masts)) t
 where min_clearance is null or min_clearance >= -300"""
 SQL["clearance_filter"] = f"""
 select site_id, candidate_type, id, vertex, cand_seq, {half_up('min_clearance', 6)} as min_clearance, clearance_score from q_cleared"""
@@ -551,7 +551,9 @@ SQL["stage_counts"] = """
 select site_id, stage, count(*) as n from (select site_id, 'candidates' as stage from q_cleared
   union all select site_id, 'linked' from q_run_linked union all select site_id, 'ranked' from q_run_ranked) t
 group by site_id, stage"""
-SQL["candidate_pairs"] = "select unnest(range(5)) as pair, 2 as ends"
+SQL["candidate_pairs"] = """
+select cast(floor((row_number() over (order by h) - 1) / 2) as bigint) as pair, site_id, candidate_type, id, vertex
+from (select *, md5(concat_ws('|', site_id, candidate_type, id, vertex, '7')) as h from q_cand order by h limit 10) t"""
 SQL["column_widths"] = " union all ".join(
     f"select '{c}' as column_name, cast(greatest(max(length(coalesce(cast({c} as varchar), 'None'))), {len(c)}) + 1 as int) as width from fx_scrub"
     if f" as {c}" in VIEWS["fx_scrub"]

@@ -85,7 +85,7 @@ select cast(o_orderkey as string) as mastersiteid, {_lon('o_orderkey')} as lon,
   o_orderstatus as macrodealstatus, 'ASD ' || cast(o_orderkey as string) as sourcesitename,
   'Street ' || cast(o_custkey as string) as streetaddress, 'City' as city, 'NY' as state,
   {_pick('o_custkey', 'TW', 'RT', 'DN', None)} as structuretype, floor(o_totalprice / 10) / 10 as fiberdistance
-from {{orders}} where o_orderkey % 10 = 1"""
+from {{orders}} where o_orderkey % 2 = 1"""
 
 VIEWS["fx_mgt"] = f"""
 select o_orderkey as esri_prinx,
@@ -95,7 +95,7 @@ select o_orderkey as esri_prinx,
   case when o_orderkey % 4 = 0 then null else cast(50 + o_orderkey % 300 as double) end as bld_hgt_num,
   o_orderpriority as partner, 'MGT ' || cast(o_orderkey as string) as alt_site_name, 'City' as city, 'NY' as state,
   {_pick('o_custkey', 'RT', 'TW', 'OF')} as bu_type, floor(o_totalprice / 5) / 10 as nearest_cci_any_fib_dist_m
-from {{orders}} where o_orderkey % 10 = 2"""
+from {{orders}} where o_orderkey % 2 = 0"""
 
 VIEWS["fx_cci_sites"] = f"""
 select cast(800000 + c_custkey as string) as s_bus_unit, {_lon('c_custkey * 3 + 1')} as s_long_dec,
@@ -144,9 +144,9 @@ from (select c_custkey, c_name, n, c_custkey * 11 + n * 5 as h, (c_custkey % 5 =
 
 VIEWS["fx_rankings"] = """
 select case when r_regionkey < 2 then 'cci_sites' else 'ospi' end as candidate_source,
-  case r_regionkey when 0 then 'TW' when 1 then 'RT' else 'DN' end as candidate_type,
+  case r_regionkey when 0 then 'TW' when 1 then 'RT' when 2 then 'DN' when 3 then 'OF' else null end as candidate_type,
   cast(r_regionkey + 1 as int) as score
-from {region} where r_regionkey < 3"""
+from {region}"""
 
 VIEWS["fx_circuits"] = """
 select l_orderkey * 10 + l_linenumber as circuit_id,
@@ -155,7 +155,7 @@ select l_orderkey * 10 + l_linenumber as circuit_id,
   case when l_partkey % 4 = 3 then 'Dark Fiber' else 'Fixed Wireless Link' end as circuit_type,
   case when l_partkey % 3 = 0 then null else 'B' || cast(l_partkey + l_linenumber % 2 as string) end as a_location_clli,
   case when l_suppkey % 3 = 0 then null else 'B' || cast(l_suppkey * 3 as string) end as z_location_clli
-from {lineitem} where l_linenumber <= 2"""
+from {lineitem}"""
 
 # A stored terrain profile has a bounded length (the lookup service returns 200 samples); here 64.
 VIEWS["fx_profiles"] = """
@@ -174,8 +174,8 @@ select candidate_type, id, 'ANT' || cast(h % 4 as string) as antenna,
   (h % 41) / cast(4 as double) as link_margin, 'EH-8010' as model, 'QAM' || cast(h % 3 as string) as modulation
 from (select 'ospi' as candidate_type, cast(p_partkey as string) as id, p_partkey as h from {{part}}
   union all select 'cci_sites', cast(800000 + c_custkey as string), c_custkey from {{customer}}
-  union all select 're_asd', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 10 = 1
-  union all select 're_mgt', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 10 = 2) t"""
+  union all select 're_asd', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 2 = 1
+  union all select 're_mgt', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 2 = 0) t"""
 
 # Search sites as drawn in three coordinate systems (degrees, web mercator metres, UTM zone 18N metres).
 VIEWS["fx_site_features"] = f"""
@@ -209,7 +209,7 @@ from {fx_scrub} b join {fx_cci_sites} s on b.bus_unit = s.s_bus_unit"""
 
 VIEWS["fx_us_structure"] = """
 select bus_unit, structure_id, case when active_apps_count_on_site % 2 = 0 then 'Y' else 'N' end as man_lift_rqrd_ind
-from {fx_scrub} where active_apps_count_on_site < 8"""
+from {fx_scrub}"""
 
 # Hex points with coordinates -(64 + k / 1024) and 32 + j / 2048, whose bit patterns are simple: sign and exponent take
 # three hex digits, k or j the next four, and the rest is zero.
