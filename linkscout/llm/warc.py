@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -70,14 +71,16 @@ def digests(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
 
 
 def write(
-    pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 0
+    pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 0,
+    compression: str = "gzip",
 ) -> None:
     """Write one record per row of ``pages`` to WARC files below ``folder``, one file a task.
 
     Of rows with equal payloads of at least ``min_revisit`` bytes, those with the smallest id are responses and the others
     revisits of it; rows of the same smallest id, as of repeated rows, are all responses, and so are rows without an id.
     A null html is an empty payload; a null url or id leaves its header out. Records end with the blank lines that
-    Spark's text writer puts after each row, so files are plain WARC.
+    Spark's text writer puts after each row, so files are plain WARC, compressed whole; with ``compression`` "none" they can
+    be read in splits.
     """
     rows = digests(pages, id_col, url_col, html_col)
     first = rows.where(F.octet_length("payload") >= min_revisit).groupBy("sha").agg(
@@ -95,7 +98,40 @@ def write(
 
     records = rows.join(first, "sha", "left").select("page_id", "url", "payload", "sha", "first_page", "first_url")
     values = records.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-    values.write.option("lineSep", END.decode()).text(folder)
+    values.write.option("lineSep", END.decode()).option("compression", compression).text(folder)
+
+
+def _header(raw: bytes, name: bytes) -> str | None:
+    found = re.search(rb"^" + re.escape(name) + rb":[ \t]*(.*?)[ \t]*\r?$", raw, re.I | re.M)
+    return found[1].decode("utf-8", "replace") if found else None
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and re.fullmatch(r"-?\d+", text) else None
+
+
+FIELDS = (
+    "page_id long, record_id string, record_type string, url string, refers_to_id string, refers_to long, declared string, "
+    "payload_bytes long, payload_digest string"
+)
+FIELD_NAMES = [f.split()[0] for f in FIELDS.split(", ")]
+
+
+def fields(record: bytes) -> dict:
+    """The headers of a record, and length and digest of the payload that it holds, with the payload."""
+    head, _, body = record.partition(END)
+    payload = body[: int(LENGTH.search(head)[1])].partition(END)[2]
+    return {
+        "page_id": _number(_header(head, b"X-Page-Id")), "record_id": _header(head, b"WARC-Record-ID"),
+        "record_type": _header(head, b"WARC-Type"), "url": _header(head, b"WARC-Target-URI"),
+        "refers_to_id": _header(head, b"WARC-Refers-To"), "refers_to": _number(_header(head, b"X-Refers-To-Page-Id")),
+        "declared": (_header(head, b"WARC-Payload-Digest") or "").removeprefix("sha1:"), "payload_bytes": len(payload),
+        "payload_digest": digest(payload), "payload": payload,
+    }
+
+
+KINDS = {"long": pa.int64(), "string": pa.string()}
+FIELD_SCHEMA = [(f.split()[0], KINDS[f.split()[1]]) for f in FIELDS.split(", ")]
 
 
 def successor(piece: bytes, at: int) -> int | None:
@@ -105,36 +141,64 @@ def successor(piece: bytes, at: int) -> int | None:
     return at + len(head) + len(END) + int(found[1]) + len(END) if found else None
 
 
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bytes]]:
+    """``(file, block, at, piece)`` of the cut rows of splits, in order."""
+    key, at = None, 0
+    for batch in batches:
+        for file, block, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (file, block) != key:
+                key, at = (file, block), 0
+            first = block == 0 and at == 0
+            yield (file, block, 0, value) if first else (file, block, at - len(MAGIC), MAGIC + value)
+            at += len(value) + len(CUT)
+
+
+def _cut(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("lineSep", CUT.decode()).text(folder).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary")
+    )
+
+
 def pieces(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file, block, value, at, next)``: the archives cut at each line that starts with the magic, split by split.
+    """``(file, block, at, size, next, whole, FIELDS)``: the archives cut at each line that starts with the magic.
 
     A piece is a candidate record, header and all, with its payload up to the next candidate. ``at`` is its place relative
     to its split's first cut, ``next`` the place where its header says that the successor starts, null without a header.
-    Every byte belongs to one piece or cut, so places in the file are sums of lengths.
+    Every byte belongs to one piece or cut, so places in the file are sums of lengths. A piece that ends where its header
+    says is ``whole``; its fields are taken while it is at hand, and count if it turns out to be a record.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, at = None, 0
-        for batch in batches:
-            values, places, following = [], [], []
-            for file, block, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (file, block) != key:
-                    key, at = (file, block), 0
-                first = block == 0 and at == 0
-                piece, place = (value, 0) if first else (MAGIC + value, at - len(MAGIC))
-                values.append(piece)
-                places.append(place)
-                following.append(successor(piece, place))
-                at += len(value) + len(CUT)
+        rows = _placed(batches)
+        schema = pa.schema([
+            ("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("next", pa.int64()),
+            ("whole", pa.bool_()), *FIELD_SCHEMA,
+        ])
+        while some := list(islice(rows, 1000)):
+            out = []
+            for file, block, at, piece in some:
+                end = successor(piece, at)
+                whole = end is not None and end - at - len(piece) in (0, 1)
+                row = fields(piece) if whole else dict.fromkeys(FIELD_NAMES)
+                row.pop("payload", None)
+                out.append({"file": file, "block": block, "at": at, "size": len(piece), "next": end, "whole": whole, **row})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return _cut(spark, folder).mapInArrow(run, f"file string, block long, at long, size long, next long, whole boolean, {FIELDS}")
+
+
+def values(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, block, at, value)`` of the same pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _placed(batches)
+        while some := list(islice(rows, 256)):
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], *(pa.array(x, t) for x, t in ((values, pa.binary()), (places, pa.int64()), (following, pa.int64())))],
-                ["file", "block", "value", "at", "next"],
+                [pa.array(x, t) for x, t in zip(zip(*some, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                ["file", "block", "at", "value"],
             )
 
-    rows = spark.read.option("lineSep", CUT.decode()).text(folder).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary")
-    )
-    return rows.mapInArrow(run, "file string, block long, value binary, at long, next long")
+    return _cut(spark, folder).mapInArrow(run, "file string, block long, at long, value binary")
 
 
 def chained(candidates: DataFrame) -> DataFrame:
@@ -193,86 +257,58 @@ def verified(candidates: DataFrame) -> DataFrame:
     return marked.groupBy("file", "block").applyInPandas(walk, "file string, block long, at long, next long")
 
 
-def _header(raw: bytes, name: bytes) -> str | None:
-    found = re.search(rb"^" + re.escape(name) + rb":[ \t]*(.*?)[ \t]*\r?$", raw, re.I | re.M)
-    return found[1].decode("utf-8", "replace") if found else None
-
-
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """``(page_id, record_id, record_type, url, refers_to_id, refers_to, declared, payload)`` per record of the archives.
+def read(spark: SparkSession, folder: str, payload: bool = False) -> DataFrame:
+    """The FIELDS of each record of the archives, and with ``payload`` its payload.
 
-    Only records reachable from the start of their file count. ``declared`` is the digest in the header. A record that lies
-    across splits is put together from the pieces of both. An archive cut off in a payload yields what is there.
+    Only records reachable from the start of their file count. Length and digest are those of the payload that was read,
+    ``declared`` is the digest in the header. Records that a payload's own text cut into pieces, or that lie across splits,
+    are put together from a second reading, as are all records if payloads are asked for; the others need no shuffle of
+    their bytes. An archive cut off in a payload yields what is there.
     """
     raw = materialise(pieces(spark, folder))
     # The magic stands in the piece and its line break between two.
-    sizes = raw.groupBy("file", "block").agg((F.max(F.col("at") + F.octet_length("value")) + len(CUT)).alias("bytes"))
-    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = materialise(sizes.select("file", "block", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("base")))
-    placed = raw.join(bases, ["file", "block"])
+    sizes = raw.groupBy("file", "block").agg((F.max(F.col("at") + F.col("size")) + len(CUT)).alias("bytes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = materialise(sizes.select("file", "block", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("base")))
+    placed = raw.join(bases, ["file", "block"]).withColumn("place", F.col("at") + F.col("base"))
     candidates = placed.where(F.col("next").isNotNull()).select(
-        "file", "block", (F.col("at") + F.col("base")).alias("at"), (F.col("next") + F.col("base")).alias("next")
+        "file", "block", F.col("place").alias("at"), (F.col("next") + F.col("base")).alias("next")
     )
     records = materialise(verified(candidates))
-    starts = records.select("file", "block", "at", F.col("at").alias("start"))
-    # The last record that starts in a split also owns the first pieces of the splits after it.
+    starts = records.select("file", F.col("at").alias("place"))
+    whole = placed.where("whole").join(starts, ["file", "place"], "left_semi").select(*FIELD_NAMES)
+    # Each piece belongs to the last record that starts at or before it, in its split or in an earlier one.
     lasts = records.groupBy("file", "block").agg(F.max("at").alias("last"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = bases.join(lasts, ["file", "block"], "left").select("file", "block", "base", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    rows = raw.join(carried, ["file", "block"]).select("file", "block", "carried", (F.col("at") + F.col("base")).alias("at"), "value")
-    so_far = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    owned = rows.join(starts, ["file", "block", "at"], "left").withColumn(
-        "start", F.coalesce(F.last("start", ignorenulls=True).over(so_far), F.col("carried"))
+    carried = bases.join(lasts, ["file", "block"], "left").select(
+        "file", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried")
     )
-    whole = owned.where(F.col("start").isNotNull()).groupBy("file", "start").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda x: x.getField("value")).alias("parts")
+    so_far = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    owned = placed.select("file", "block", "at", "place", "whole").join(
+        starts.withColumn("start", F.col("place")), ["file", "place"], "left"
+    ).withColumn("start", F.last("start", ignorenulls=True).over(so_far)).join(carried, ["file", "block"])
+    owned = owned.withColumn("start", F.coalesce("start", "carried")).where(F.col("start").isNotNull())
+    broken = owned.where("place = start").where(F.lit(payload) | ~F.col("whole")).select("file", "start")
+    needed = materialise(owned.join(broken, ["file", "start"], "left_semi").select("file", "block", "at", "start"))
+    parts = values(spark, folder).join(needed, ["file", "block", "at"]).groupBy("file", "start").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("block", "at", "value"))), lambda x: x.getField("value")).alias("parts")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*FIELD_SCHEMA, ("payload", pa.binary())])
         for batch in batches:
-            out = []
-            for parts in batch.column(0).to_pylist():
-                head, _, body = b"\n".join(parts).partition(END)
-                body = body[: int(LENGTH.search(head)[1])]
-                page, first = _header(head, b"X-Page-Id"), _header(head, b"X-Refers-To-Page-Id")
-                out.append({
-                    "page_id": int(page) if page else None, "record_id": _header(head, b"WARC-Record-ID"),
-                    "record_type": _header(head, b"WARC-Type"), "url": _header(head, b"WARC-Target-URI"),
-                    "refers_to_id": _header(head, b"WARC-Refers-To"), "refers_to": int(first) if first else None,
-                    "declared": (_header(head, b"WARC-Payload-Digest") or "").removeprefix("sha1:"), "payload": body.partition(END)[2],
-                })
-            yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
-
-    return whole.select("parts").mapInArrow(
-        run, "page_id long, record_id string, record_type string, url string, refers_to_id string, refers_to long, declared string, payload binary"
-    )
-
+            out = [fields(b"\n".join(x)) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-SCHEMA = pa.schema([
-    ("page_id", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()),
-    ("refers_to_id", pa.string()), ("refers_to", pa.int64()), ("declared", pa.string()), ("payload", pa.binary()),
-])
+    rebuilt = parts.select("parts").mapInArrow(run, f"{FIELDS}, payload binary")
+    return rebuilt if payload else whole.unionByName(rebuilt.drop("payload"))
 
 
 def resolved(records: DataFrame) -> DataFrame:
     """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` per record, revisits by the response they name.
 
-    Digest and length are computed from payloads that were read back, not taken from headers. A revisit of a record that is
-    not in the archives has a null length and digest.
+    A revisit of a record that is not in the archives has a null length and digest.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shas = pa.array([digest(x) for x in batch.column("payload").to_pylist()], pa.string())
-            lengths = pa.array([len(x) for x in batch.column("payload").to_pylist()], pa.int64())
-            i = batch.schema.get_field_index("payload")
-            rest = batch.remove_column(i)
-            yield pa.RecordBatch.from_arrays([*rest.columns, lengths, shas], [*rest.schema.names, "payload_bytes", "payload_digest"])
-
-    slim = records.select("page_id", "record_id", "record_type", "refers_to_id", "refers_to", "payload")
-    hashed = materialise(slim.mapInArrow(
-        run, "page_id long, record_id string, record_type string, refers_to_id string, refers_to long, payload_bytes long, payload_digest string"
-    ))
+    hashed = materialise(records)
     responses = hashed.where("record_type = 'response'")
     named = responses.groupBy(F.col("record_id").alias("refers_to_id")).agg(
         F.first("payload_bytes").alias("payload_bytes"), F.first("payload_digest").alias("payload_digest")
