@@ -49,6 +49,6 @@ def hub_lookup(buildings: DataFrame, crm: DataFrame, extent: tuple[float, float,
 
 def building_export(buildings: DataFrame) -> DataFrame:
     """Building attributes with the validity of the outline and its repaired form as text."""
-    attributes = schemas.with_missing(buildings, EXPORT_COLUMNS)
+    attributes = schemas.required(buildings, EXPORT_COLUMNS)
     checked = geo.with_validity(attributes, "ring", "geom_reason", "geom_ring")
     return checked.select(*EXPORT_COLUMNS, "geom_reason", geo.ring_wkt(F.col("geom_ring")).alias("geom"))

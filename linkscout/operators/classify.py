@@ -15,35 +15,51 @@ from linkscout.operators.search import TOWER_TYPES
 # Structures that are reported.
 STRUCTURE_IDS = (*"ABCDEFG", *[f"C{i}" for i in range(1, 21)])
 
-# Pass-through columns of the reports, alphabetical.
-BASE_COLUMNS = (
-    "abandoned_equipment_on_tower", "add_land_option", "am_study_required", "available_telco_provider",
-    "avail_ground_space_com", "bp_ant_add_permit_type", "bp_ant_swap_permit_type", "bp_collo_permit_type",
-    "bp_ground_permit_type", "bus_unit", "can_it_be_ibm", "compnd_expand", "compound_sq_ft",
-    "config_changes_consent_type", "consent_summary", "crown_area", "crown_district", "current_tower_capacity",
-    "faa_approved_height", "faa_lighting_requirement", "faa_study_number", "fiber_on_site", "fiber_provider", "fle",
-    "ground_elevation", "hist_migratory_bird_issues", "if_no_cci_power_is_meter_avail", "is_cci_power_available",
-    "landlord_name", "largest_length", "lats", "leased_area_sq_ft", "loa_required", "longs", "marketable",
-    "modification_expected", "nearest_airport_distance", "open_bird_ticket", "option_sq_ft", "permit_jurisdiction",
-    "portfolio", "power_company", "primary_property_interest", "revshare", "revshare_split", "sa_on_file",
-    "site_city", "site_county", "site_on_si_tracker", "site_state", "site_status", "site_zip",
-    "stealth_structure_type", "stealth_tower_ind", "structure_id", "sublease_consent_type", "tower_lighted",
-    "tower_only", "validated_fcc_registration", "zoning_ant_add_process_type", "zoning_ant_swap_process_type",
-    "zoning_collo_process_type", "zoning_ground_process_type", "zoning_jurisdiction",
-)
-SITE_COLUMNS = ("s_structure_type", "s_hgt_with_appurt", "s_site_flag")
-SHELTER_COLUMNS = (
-    "empty_shelter_avail", "is_there_ccishelter_on_site", "meter_account_number", "meter_account_owner",
-    "meter_local_utility_number",
-)
+# The columns of the reports, each in the order of its report: a, then b to e, then g.
+SALES = tuple("""
+bus_unit crown_area crown_ae site_status consent_summary crown_district lats longs portfolio site_city site_county site_state site_zip marketable
+fiber_on_site fiber_provider is_cci_power_available if_no_cci_power_is_meter_avail power_company available_telco_provider revshare revshare_split
+landlord_name primary_property_interest tower_only fle leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option
+option_sq_ft sublease_consent_type config_changes_consent_type loa_required zoning_jurisdiction zoning_collo_process_type
+zoning_ant_add_process_type zoning_ant_swap_process_type zoning_ground_process_type permit_jurisdiction bp_collo_permit_type
+bp_ant_add_permit_type bp_ant_swap_permit_type bp_ground_permit_type tower_lighted largest_length stealth_tower_ind stealth_structure_type
+faa_study_number faa_approved_height structure_id ground_elevation faa_lighting_requirement man_lift_req nearest_airport_distance
+site_on_si_tracker am_study_required abandoned_equipment_on_tower sa_on_file current_tower_capacity modification_expected can_it_be_ibm
+hist_migratory_bird_issues open_bird_ticket validated_fcc_registration legal_issue_flag s_structure_type s_hgt_with_appurt s_site_flag
+""".split())
+SHELTERED = tuple("""
+bus_unit crown_area crown_ae site_status consent_summary crown_district lats longs portfolio site_city site_county site_state site_zip marketable
+fiber_provider is_cci_power_available if_no_cci_power_is_meter_avail power_company available_telco_provider revshare revshare_split
+landlord_name primary_property_interest fle leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option
+option_sq_ft sublease_consent_type config_changes_consent_type loa_required zoning_jurisdiction zoning_collo_process_type
+zoning_ant_add_process_type zoning_ant_swap_process_type zoning_ground_process_type permit_jurisdiction bp_collo_permit_type
+bp_ant_add_permit_type bp_ant_swap_permit_type bp_ground_permit_type tower_lighted largest_length tower_only stealth_structure_type
+faa_study_number faa_approved_height structure_id ground_elevation nearest_airport_distance site_on_si_tracker am_study_required
+abandoned_equipment_on_tower sa_on_file current_tower_capacity modification_expected can_it_be_ibm hist_migratory_bird_issues
+open_bird_ticket validated_fcc_registration legal_issue_flag fiber_on_site empty_shelter_avail is_there_ccishelter_on_site
+meter_account_owner meter_account_number meter_local_utility_number faa_lighting_requirement stealth_tower_ind s_structure_type
+s_hgt_with_appurt s_site_flag
+""".split())
+STRUCTURES = tuple("""
+bus_unit crown_area site_status consent_summary crown_district lats longs portfolio site_city site_county site_state site_zip marketable
+fiber_on_site fiber_provider is_cci_power_available if_no_cci_power_is_meter_avail power_company available_telco_provider revshare revshare_split
+landlord_name primary_property_interest tower_only fle leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option
+option_sq_ft sublease_consent_type config_changes_consent_type loa_required zoning_jurisdiction zoning_collo_process_type
+zoning_ant_add_process_type zoning_ant_swap_process_type zoning_ground_process_type permit_jurisdiction bp_collo_permit_type
+bp_ant_add_permit_type bp_ant_swap_permit_type bp_ground_permit_type tower_lighted largest_length largest_width site_flag structure_type
+stealth_tower_ind structure_id faa_approved_height tower_height_w_appurt tower_height_wout_appurt ground_elevation faa_lighting_requirement
+man_lift_req nearest_airport_distance site_on_si_tracker am_study_required faa_study_number stealth_tower_type_lkup_code
+abandoned_equipment_on_tower sa_on_file current_tower_capacity modification_expected can_it_be_ibm hist_migratory_bird_issues
+open_bird_ticket validated_fcc_registration
+""".split())
+# Report f is laid out as report a, without the legal flag.
+DETAILED = tuple(n for n in SALES if n != "legal_issue_flag")
 SCRUB_SHEET = (
     "bus_unit", "crown_area", "crown_district", "lats", "longs", "marketable", "tower_height_w_appurt", "portfolio",
     "structure_type", "current_tower_capacity", "open_levels", "avail_ground_space_com", "is_cci_power_available",
     "zoning_jurisdiction", "zoning_collo_process_type", "zoning_collo_duration", "permit_jurisdiction",
     "bp_collo_permit_type", "bp_collo_duration", "consent_summary", "revshare", "loa_required", "loa_notes",
 )
-SALES = (*BASE_COLUMNS, "crown_ae", "man_lift_req", "legal_issue_flag", *SITE_COLUMNS)
-SHELTERED = (*BASE_COLUMNS, "crown_ae", "legal_issue_flag", *SHELTER_COLUMNS, *SITE_COLUMNS)
 
 
 def sales_base(
@@ -51,16 +67,16 @@ def sales_base(
 ) -> DataFrame:
     """Scrub rows of the reported structures joined with their site.
 
-    Filters go below the join and only the columns of the report are read. ``ids`` narrows to some units by semi-join.
+    Filters go below the join and only the columns of the report are read; a table without one of them raises. ``ids``
+    narrows to some units by semi-join.
     """
-    left = schemas.with_missing(scrub.where(F.col("structure_id").isin(*STRUCTURE_IDS)), [n for n in columns if n[:2] != "s_"])
+    scrub_side, site_side = [n for n in columns if n[:2] != "s_"], [n for n in columns if n[:2] == "s_"]
+    left = schemas.required(scrub.where(F.col("structure_id").isin(*STRUCTURE_IDS)), scrub_side)
     if ids is not None:
         left = left.join(ids.select(F.col(ids.columns[0]).alias("bus_unit")), "bus_unit", "left_semi")
-    right = schemas.with_missing(sites, [n for n in columns if n[:2] == "s_"])
+    right = schemas.required(sites, site_side)
     if towers_only:
         right = right.where(F.col("s_bu_type_code").isin(*TOWER_TYPES))
-    scrub_side = [n for n in columns if n in left.columns]
-    site_side = [n for n in columns if n not in scrub_side]
     joined = left.select(*scrub_side).join(right.select("s_bus_unit", *site_side), F.col("bus_unit") == F.col("s_bus_unit"))
     return joined.select(*columns)
 
@@ -142,8 +158,7 @@ def detailed_classification(scrub: DataFrame, sites: DataFrame, asof: Column) ->
 
     The colour of the antenna-swap permit reads the collocation permit, as this report always has.
     """
-    columns = (*BASE_COLUMNS, "crown_ae", "man_lift_req", *SITE_COLUMNS)
-    table = sales_base(scrub, sites, columns)
+    table = sales_base(scrub, sites, DETAILED)
     days = whole_lease_days(asof)
     rules: dict[str, c.Rule] = {
         "struc_type_clr": c.structure(c.OLD_NODE_TYPES, c.BLANK, c.BLANK),
@@ -184,21 +199,12 @@ def scrub_sheet(scrub: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     chosen = scrub
     if ids is not None:
         chosen = scrub.join(ids.select(F.col(ids.columns[0]).alias("bus_unit")), "bus_unit", "left_semi")
-    return schemas.with_missing(chosen, SCRUB_SHEET).select(*SCRUB_SHEET)
+    return schemas.required(chosen, SCRUB_SHEET).select(*SCRUB_SHEET)
 
 
 # ---------------------------------------------------------------- the oldest report, on the normalised site tables
 
-# Columns by source table, with their names in the report.
-SCRUB_PART = tuple(
-    n
-    for n in BASE_COLUMNS
-    if n
-    not in (
-        "am_study_required", "faa_approved_height", "faa_lighting_requirement", "faa_study_number", "ground_elevation",
-        "nearest_airport_distance", "stealth_structure_type", "stealth_tower_ind", "structure_id",
-    )
-) + ("largest_width",)
+# Columns of the structure table, with their names in the report.
 STRUCTURE_PART = {
     "structure_type": "structure_type", "stealth_tower_ind": "stealth_tower_ind", "structure_id": "structure_id",
     "faa_apprv_hgt": "faa_approved_height", "hgt_with_appurt": "tower_height_w_appurt",
@@ -207,6 +213,8 @@ STRUCTURE_PART = {
     "am_dtnng_eqpt_ind": "am_study_required", "faa_study_num": "faa_study_number",
     "stealth_tower_type_lkup_code": "stealth_tower_type_lkup_code",
 }
+# The rest comes from the scrub table, but for the site flag and the lift.
+SCRUB_PART = tuple(n for n in STRUCTURES if n not in (*STRUCTURE_PART.values(), "site_flag", "man_lift_req"))
 LEASE_ASOF = "2021-06-20"
 
 
@@ -220,22 +228,21 @@ def structure_base(
     if ids is not None:
         sites = sites.join(ids.select(F.col(ids.columns[0]).alias("bus_unit")), "bus_unit", "left_semi")
     flagged = sites.where(F.col("site_flag") == "1").select("bus_unit", "site_flag")
-    reported = schemas.with_missing(
-        structures.where(F.col("structure_id").isin(*STRUCTURE_IDS)), list(STRUCTURE_PART)
-    ).select("bus_unit", *[F.col(old).alias(new) for old, new in STRUCTURE_PART.items()])
+    reported = schemas.required(structures.where(F.col("structure_id").isin(*STRUCTURE_IDS)), STRUCTURE_PART).select("bus_unit", *[F.col(old).alias(new) for old, new in STRUCTURE_PART.items()])
     lifts = us_structures.select("bus_unit", "structure_id", F.col("man_lift_rqrd_ind").alias("man_lift_req"))
     return (
-        schemas.with_missing(scrub, SCRUB_PART).select(*SCRUB_PART)
+        schemas.required(scrub, SCRUB_PART).select(*SCRUB_PART)
         .join(flagged, "bus_unit")
         .join(reported, "bus_unit")
         .join(lifts, ["bus_unit", "structure_id"])
+        .select(*STRUCTURES)
     )
 
 
-def structure_classification(
+def structure_colours(
     scrub: DataFrame, sites: DataFrame, structures: DataFrame, us_structures: DataFrame, ids: DataFrame | None = None
 ) -> DataFrame:
-    """Report g: colours on the normalised tables, lease measured from a fixed day."""
+    """Report g before it is sorted: colours on the normalised tables, lease measured from a fixed day."""
     table = structure_base(scrub, sites, structures, us_structures, ids)
     rules = {
         "structure_type_col": c.structure(c.OLD_NODE_TYPES, c.BLANK, c.BLANK, "structure_type"),
@@ -261,7 +268,14 @@ def structure_classification(
             "fle_col": F.coalesce(c.lease_colour_two_way(days), F.lit(c.BLANK)),
         }
     )
-    return in_report_order(table)
+    return table
+
+
+def structure_classification(
+    scrub: DataFrame, sites: DataFrame, structures: DataFrame, us_structures: DataFrame, ids: DataFrame | None = None
+) -> DataFrame:
+    """Report g."""
+    return in_report_order(structure_colours(scrub, sites, structures, us_structures, ids))
 
 
 _ZONING = ("zoning_collo_process_type", "zoning_ant_add_process_type", "zoning_ant_swap_process_type")

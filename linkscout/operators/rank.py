@@ -114,7 +114,7 @@ def _scores(rankings: DataFrame) -> DataFrame:
 
 def cci_rank(scrub: DataFrame, sites: DataFrame, rankings: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Distinct rank rows of towers; towers without a scored type drop out."""
-    left = schemas.with_missing(
+    left = schemas.required(
         _only(scrub, "bus_unit", ids),
         ("last_sa_tia_code_revision", "power_company", "site_address", "site_city", "site_county", "site_state"),
     )

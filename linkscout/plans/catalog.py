@@ -517,7 +517,7 @@ def structure_base(d: Data) -> DataFrame:
 @query
 def cell_highlights(d: Data) -> DataFrame:
     return classify.cell_highlights(
-        classify.structure_classification(d["scrub"], d["site"], d["structure"], d["us_structure"])
+        classify.structure_colours(d["scrub"], d["site"], d["structure"], d["us_structure"])
     )
 
 

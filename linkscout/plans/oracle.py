@@ -9,8 +9,51 @@ from __future__ import annotations
 
 import re
 
-from linkscout.operators import classify
 from linkscout.schemas import RANKS
+
+# Report columns, stated here apart from the operators.
+REPORT_A = """
+bus_unit crown_area crown_ae site_status consent_summary crown_district lats longs portfolio site_city site_county site_state site_zip marketable
+fiber_on_site fiber_provider is_cci_power_available if_no_cci_power_is_meter_avail power_company available_telco_provider revshare revshare_split
+landlord_name primary_property_interest tower_only fle leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option
+option_sq_ft sublease_consent_type config_changes_consent_type loa_required zoning_jurisdiction zoning_collo_process_type
+zoning_ant_add_process_type zoning_ant_swap_process_type zoning_ground_process_type permit_jurisdiction bp_collo_permit_type
+bp_ant_add_permit_type bp_ant_swap_permit_type bp_ground_permit_type tower_lighted largest_length stealth_tower_ind stealth_structure_type
+faa_study_number faa_approved_height structure_id ground_elevation faa_lighting_requirement man_lift_req nearest_airport_distance
+site_on_si_tracker am_study_required abandoned_equipment_on_tower sa_on_file current_tower_capacity modification_expected can_it_be_ibm
+hist_migratory_bird_issues open_bird_ticket validated_fcc_registration legal_issue_flag s_structure_type s_hgt_with_appurt s_site_flag
+""".split()
+REPORT_B = """
+bus_unit crown_area crown_ae site_status consent_summary crown_district lats longs portfolio site_city site_county site_state site_zip marketable
+fiber_provider is_cci_power_available if_no_cci_power_is_meter_avail power_company available_telco_provider revshare revshare_split
+landlord_name primary_property_interest fle leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option
+option_sq_ft sublease_consent_type config_changes_consent_type loa_required zoning_jurisdiction zoning_collo_process_type
+zoning_ant_add_process_type zoning_ant_swap_process_type zoning_ground_process_type permit_jurisdiction bp_collo_permit_type
+bp_ant_add_permit_type bp_ant_swap_permit_type bp_ground_permit_type tower_lighted largest_length tower_only stealth_structure_type
+faa_study_number faa_approved_height structure_id ground_elevation nearest_airport_distance site_on_si_tracker am_study_required
+abandoned_equipment_on_tower sa_on_file current_tower_capacity modification_expected can_it_be_ibm hist_migratory_bird_issues
+open_bird_ticket validated_fcc_registration legal_issue_flag fiber_on_site empty_shelter_avail is_there_ccishelter_on_site
+meter_account_owner meter_account_number meter_local_utility_number faa_lighting_requirement stealth_tower_ind s_structure_type
+s_hgt_with_appurt s_site_flag
+""".split()
+REPORT_G = """
+bus_unit crown_area site_status consent_summary crown_district lats longs portfolio site_city site_county site_state site_zip marketable
+fiber_on_site fiber_provider is_cci_power_available if_no_cci_power_is_meter_avail power_company available_telco_provider revshare revshare_split
+landlord_name primary_property_interest tower_only fle leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option
+option_sq_ft sublease_consent_type config_changes_consent_type loa_required zoning_jurisdiction zoning_collo_process_type
+zoning_ant_add_process_type zoning_ant_swap_process_type zoning_ground_process_type permit_jurisdiction bp_collo_permit_type
+bp_ant_add_permit_type bp_ant_swap_permit_type bp_ground_permit_type tower_lighted largest_length largest_width site_flag structure_type
+stealth_tower_ind structure_id faa_approved_height tower_height_w_appurt tower_height_wout_appurt ground_elevation faa_lighting_requirement
+man_lift_req nearest_airport_distance site_on_si_tracker am_study_required faa_study_number stealth_tower_type_lkup_code
+abandoned_equipment_on_tower sa_on_file current_tower_capacity modification_expected can_it_be_ibm hist_migratory_bird_issues
+open_bird_ticket validated_fcc_registration
+""".split()
+REPORT_F = [c for c in REPORT_A if c != "legal_issue_flag"]
+TOWER_SHEET = """
+bus_unit crown_area crown_district lats longs marketable tower_height_w_appurt portfolio structure_type current_tower_capacity open_levels
+avail_ground_space_com is_cci_power_available zoning_jurisdiction zoning_collo_process_type zoning_collo_duration permit_jurisdiction
+bp_collo_permit_type bp_collo_duration consent_summary revshare loa_required loa_notes
+""".split()
 from linkscout.sources.fixtures import VIEWS, duckdb_view
 
 CTES: dict[str, str] = {}
@@ -287,9 +330,8 @@ def _proper(a: int, b: int, c: int, d: int) -> str:
 
 _area = " + ".join(f"((x{i} - x0) * (y{j} - y0) - (x{j} - x0) * (y{i} - y0))" for i, j in ((0, 1), (1, 2), (2, 3), (3, 0)))
 SQL["building_export"] = f"""
-select null::varchar as id, buildingid, name, clli, street, city, state, pop_tf, null::varchar as zip, null::varchar as workorder,
-  null::varchar as security_level, null::varchar as address_notes, building_type, null::varchar as legacy_fid,
-  null::varchar as legacy_owner,
+select id, buildingid, name, clli, street, city, state, pop_tf, zip, workorder, security_level, address_notes, building_type,
+  legacy_fid, legacy_owner,
   case when bad then 'Invalid Coordinate' when corners < 3 then 'Too few points in geometry component'
     when corners = 4 and ({_proper(0, 1, 2, 3)} or {_proper(1, 2, 3, 0)}) or c4[2] = c4[4] or c4[1] = c4[3] then 'Self-intersection' else 'Valid Geometry' end as geom_reason,
   case when not bad and corners >= 3 then 'POLYGON((' || array_to_string(
@@ -369,9 +411,9 @@ group by l.id, l.name, l.clli, l.street, l.city, l.state, l.structure, l.on_net_
 def cci_rank(ids: str) -> str:
     return f"""
 select distinct bus_unit as id, crown_ae, s_bu_type_code as structure, revshare, s_site_name as name, open_levels, current_tower_capacity,
-  null::varchar as last_sa_tia_code_revision, fiber_on_site, fiber_provider, is_cci_power_available, if_no_cci_power_is_meter_avail,
-  null::varchar as power_company, active_apps_count_on_site, cast(s_pop_tier_id as int) as pt_id, s_pop_tier_name as poptier,
-  null::varchar as street, site_city as city, null::varchar as site_county, null::varchar as state, r.score
+  last_sa_tia_code_revision, fiber_on_site, fiber_provider, is_cci_power_available, if_no_cci_power_is_meter_avail,
+  power_company, active_apps_count_on_site, cast(s_pop_tier_id as int) as pt_id, s_pop_tier_name as poptier,
+  site_address as street, site_city as city, site_county, site_state as state, r.score
 from fx_scrub left join fx_cci_sites on bus_unit = s_bus_unit left join fx_rankings r on s_bu_type_code = r.candidate_type
 where r.candidate_source = 'cci_sites' and bus_unit in ({ids})"""
 
@@ -515,9 +557,7 @@ select t.*, p.site_id, p.fw_rank from q_run_{_kind} t
 left join (select site_id, id, fw_rank from q_run_placed where candidate_type = '{_kind}') p on t.id = p.id"""
 SQL["candidate_file"] = f"""
 select site_id, candidate_type, id, {half_up('lat', 9)} as lat, {half_up('long', 9)} as long, fw_rank from q_run_placed"""
-SQL["tower_scrub"] = "select " + ", ".join(
-    c if f" as {c}" in VIEWS["fx_scrub"] else f"null::varchar as {c}" for c in classify.SCRUB_SHEET
-) + " from fx_scrub where bus_unit in (select id from q_run_ranked where candidate_type = 'cci_sites')"
+SQL["tower_scrub"] = f"select {', '.join(TOWER_SHEET)}" + " from fx_scrub where bus_unit in (select id from q_run_ranked where candidate_type = 'cci_sites')"
 _sink = {
     "fw_rank": "smallint", "candidate_type": "", "id": "", "cand_dist_km": "", "long": "", "lat": "", "height": "smallint",
     "clearance_score": "", "antenna": "", "speed": "smallint", "d_km": "", "link_margin": "", "equipment": "",
@@ -542,9 +582,8 @@ SQL["spider_lines"] = """
 select r.site_id, r.candidate_type, r.id, printf('LINESTRING(%.9f %.9f, %.9f %.9f)', r.long, r.lat, s.lon, s.lat) as shape,
   cast(r.speed as smallint) as speed
 from q_run_ranked r join q_src s using (site_id)"""
-_empty = ("last_sa_tia_code_revision", "power_company", "site_county")
 SQL["sorted_report"] = f"""
-select * exclude (height, profile_id, min_clearance, clearance_score, {', '.join(_empty)})
+select * exclude (height, profile_id, min_clearance, clearance_score)
   replace ({half_up('long', 6)} as long, {half_up('lat', 6)} as lat)
 from q_run_ranked"""
 SQL["stage_counts"] = """
@@ -556,9 +595,7 @@ select cast(floor((row_number() over (order by h) - 1) / 2) as bigint) as pair,
 from (select *, md5(concat_ws('|', site_id, candidate_type, id, vertex, '7')) as h from q_cand order by h limit 10) t"""
 SQL["column_widths"] = " union all ".join(
     f"select '{c}' as column_name, cast(greatest(max(length(coalesce(cast({c} as varchar), 'None'))), {len(c)}) + 1 as int) as width from fx_scrub"
-    if f" as {c}" in VIEWS["fx_scrub"]
-    else f"select '{c}', cast(greatest(4, {len(c)}) + 1 as int)"
-    for c in classify.SCRUB_SHEET
+    for c in TOWER_SHEET
 )
 
 # ---------------------------------------------------------------- classification reports
@@ -611,14 +648,12 @@ def ten(bird_null: str | None, faa_other: str, permit: str) -> dict[str, str]:
 
 
 def base(columns) -> str:
-    return ", ".join(
-        c if f" as {c}" in VIEWS["fx_scrub"] or f" as {c}" in VIEWS["fx_cci_sites"] else f"null::varchar as {c}" for c in columns
-    )
+    return ", ".join(columns)
 
 
 _structures = f"structure_id in ({listed([*'ABCDEFG', *[f'C{i}' for i in range(1, 21)]])})"
 CTES["q_sales"] = f"select * from fx_scrub join fx_cci_sites on bus_unit = s_bus_unit where {_structures}"
-_no_scrub = [c for c in classify.SALES if c not in ("crown_ae", "legal_issue_flag")]
+_no_scrub = [c for c in REPORT_A if c not in ("crown_ae", "legal_issue_flag")]
 SQL["vector_base"] = f"select {base(_no_scrub)} from q_sales"
 
 
@@ -641,13 +676,13 @@ def report(columns, colours: dict[str, str], towers: bool, category: bool, fibre
 
 _b = ten("GREEN", "RED", "permit_red")
 _e = ten(None, "RED", "permit_red")
-SQL["vector_a"] = report(classify.SALES, dict(list(_e.items())[:8]), False, False, False)
-SQL["vector_b"] = report(classify.SHELTERED, _b, True, True, True)
-SQL["vector_c"] = report(classify.SHELTERED, _b, False, True, True)
-SQL["vector_d"] = report(classify.SHELTERED, ten("GREEN", "YELLOW", "permit_graded"), True, True, True, False)
+SQL["vector_a"] = report(REPORT_A, dict(list(_e.items())[:8]), False, False, False)
+SQL["vector_b"] = report(REPORT_B, _b, True, True, True)
+SQL["vector_c"] = report(REPORT_B, _b, False, True, True)
+SQL["vector_d"] = report(REPORT_B, ten("GREEN", "YELLOW", "permit_graded"), True, True, True, False)
 SQL["vector_e"] = (
     f"select * replace ({half_up('s_long_dec', 9)} as s_long_dec, {half_up('s_lat_dec', 9)} as s_lat_dec) from ("
-    + report((*classify.SHELTERED, "s_bu_type_code", "s_long_dec", "s_lat_dec"), _e, True, True, False) + ") e"
+    + report((*REPORT_B, "s_bu_type_code", "s_long_dec", "s_lat_dec"), _e, True, True, False) + ") e"
 )
 _capacity = """case when current_tower_capacity is null or current_tower_capacity = 'N/A' then ''
   when current_tower_capacity >= '200' then 'RED' else 'GREEN' end"""
@@ -687,7 +722,7 @@ _f_rules = {
     "current_twr_capacity_clr": _capacity,
     "fle_clr": _lease.format(d=day_span("fle", "timestamp '1993-08-01 06:00:00'")),
 }
-SQL["vector_f"] = report((*classify.BASE_COLUMNS, "crown_ae", "man_lift_req", *classify.SITE_COLUMNS), _f_rules, False, False, False)
+SQL["vector_f"] = report(REPORT_F, _f_rules, False, False, False)
 
 CTES["q_asof"] = """
 select *, (select max(fle) from fx_scrub) - to_days(cast([-1, 10, 1825, 2000][1 + active_apps_count_on_site % 4] as int))
@@ -701,14 +736,16 @@ select *, {_two_way} from (select bus_unit, structure_id, (epoch_us(fle) - epoch
 SQL["lease_colours"] = f"""
 select bus_unit, structure_id, active_apps_count_on_site, {_lease.format(d=day_span('fle', 'as_of'))} as fle_clr from q_asof"""
 
-_part = ", ".join(
-    f"m.{c}" if f" as {c}" in VIEWS["fx_scrub"] else f"null::varchar as {c}" for c in classify.SCRUB_PART
-)
+_renamed = {
+    "site_flag": "si.site_flag", "structure_type": "st.structure_type", "stealth_tower_ind": "st.stealth_tower_ind",
+    "structure_id": "st.structure_id", "faa_approved_height": "st.faa_apprv_hgt", "tower_height_w_appurt": "st.hgt_with_appurt",
+    "tower_height_wout_appurt": "st.hgt_no_appurt", "ground_elevation": "st.ground_elev",
+    "faa_lighting_requirement": "st.faa_twr_lighting_req", "man_lift_req": "us.man_lift_rqrd_ind",
+    "nearest_airport_distance": "st.airport_dist", "am_study_required": "st.am_dtnng_eqpt_ind", "faa_study_number": "st.faa_study_num",
+    "stealth_tower_type_lkup_code": "st.stealth_tower_type_lkup_code",
+}
 CTES["q_structures"] = f"""
-select {_part}, si.site_flag, st.structure_type, st.stealth_tower_ind, st.structure_id, null::varchar as faa_approved_height,
-  st.hgt_with_appurt as tower_height_w_appurt, st.hgt_no_appurt as tower_height_wout_appurt, null::varchar as ground_elevation,
-  null::varchar as faa_lighting_requirement, null::varchar as nearest_airport_distance, st.am_dtnng_eqpt_ind as am_study_required,
-  st.faa_study_num as faa_study_number, null::varchar as stealth_tower_type_lkup_code, us.man_lift_rqrd_ind as man_lift_req
+select {', '.join(f"{_renamed.get(c, 'm.' + c)} as {c}" for c in REPORT_G)}
 from fx_scrub m, fx_site si, fx_structure st, fx_us_structure us
 where m.bus_unit = si.bus_unit and si.site_flag = '1' and m.bus_unit = st.bus_unit and st.bus_unit = us.bus_unit
   and st.structure_id = us.structure_id and st.{_structures}"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Candidate sources in search order (fixed values).
@@ -53,14 +55,14 @@ SINK_FIELDS = {
 }
 
 
-def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
-    """Exactly the columns of ``schema``, cast; absent ones as typed NULL."""
-    have = set(df.columns)
-    return df.select(*[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in schema.items()])
+def required(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The table as it is; raises if it lacks one of ``names``, as a NULL in its place would read like a value."""
+    absent = sorted(set(names) - set(df.columns))
+    if absent:
+        raise ValueError(f"missing columns: {', '.join(absent)}")
+    return df
 
 
-def with_missing(df: DataFrame, names, dtype: str = "string") -> DataFrame:
-    """Add NULL columns for names the table does not have."""
-    have = set(df.columns)
-    absent: dict[str, Column] = {n: F.lit(None).cast(dtype) for n in names if n not in have}
-    return df.withColumns(absent) if absent else df
+def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """Exactly the columns of ``schema``, cast; raises if one is missing."""
+    return required(df, schema).select(*[F.col(c).cast(t).alias(c) for c, t in schema.items()])

@@ -112,6 +112,27 @@ select cast(800000 + c_custkey as string) as s_bus_unit, {_lon('c_custkey * 3 +
            'STEALTH', 'COMPOUND', 'OTHER', 'UNCLASSIFIED', 'SILO', None)} end as s_structure_type
 from {{customer}}"""
 
+# Columns that reports only pass through.
+PLAIN_COLUMNS = """
+consent_summary crown_district lats longs portfolio site_county site_state site_zip marketable power_company available_telco_provider
+revshare_split landlord_name leased_area_sq_ft compound_sq_ft compnd_expand avail_ground_space_com add_land_option option_sq_ft
+config_changes_consent_type loa_required zoning_jurisdiction zoning_ground_process_type permit_jurisdiction bp_ground_permit_type
+tower_lighted largest_length largest_width tower_only stealth_structure_type faa_approved_height ground_elevation
+nearest_airport_distance site_on_si_tracker abandoned_equipment_on_tower sa_on_file modification_expected can_it_be_ibm
+hist_migratory_bird_issues validated_fcc_registration empty_shelter_avail is_there_ccishelter_on_site meter_account_owner
+meter_account_number meter_local_utility_number faa_lighting_requirement man_lift_req structure_type tower_height_w_appurt
+zoning_collo_duration bp_collo_duration last_sa_tia_code_revision loa_notes site_address
+""".split()
+
+
+def _plain(key: str, names: list[str]) -> str:
+    """Text that differs from column to column and row to row, NULL now and then."""
+    return ",\n  ".join(
+        f"case when ({key}) % {5 + i % 7} = 0 then null else '{n[:4]} ' || cast(({key} + {i}) % {11 + i % 13} as string) end as {n}"
+        for i, n in enumerate(names)
+    )
+
+
 VIEWS["fx_scrub"] = f"""
 select cast(800000 + c_custkey as string) as bus_unit,
   {_pick('h', 'A', 'B', 'C1', 'C20', 'G', 'Z9', 'C7')} as structure_id, c_name as crown_ae,
@@ -136,7 +157,9 @@ select cast(800000 + c_custkey as string) as bus_unit,
   {_pick('h', 'No', 'Yes', None)} as if_no_cci_power_is_meter_avail,
   {_pick('h', '30 - 115 FT , 117 - 125 FT , 129 - 150 FT', '10 - 45 FT', 'NULL', 'none', '60 FT', None)} as open_levels,
   cast(h % 3 as string) as revshare, cast(h % 9 as int) as active_apps_count_on_site,
-  case when h % 8 = 0 then null else (select max(o_orderdate) from {{orders}}) end as fle,
+  case when h % 8 = 0 then null
+    else (select max(o_orderdate) from {{orders}}) + interval '1' day * cast((h * 53) % 13001 - 2000 as int) end as fle,
+  {_plain('h', PLAIN_COLUMNS)},
   'Area ' || cast(h % 5 as string) as crown_area, 'City ' || cast(h % 13 as string) as site_city
 from (select c_custkey, c_name, n, c_custkey * 11 + n * 5 as h, (c_custkey % 5 = 0) as g
   from (select c_custkey, c_name, 0 as n from {{customer}}
@@ -190,6 +213,10 @@ from {{supplier}}"""
 # Building outlines with damage: self-crossing, repeated corners, a corner missing, a bad number.
 VIEWS["fx_outlines"] = """
 select buildingid, name, clli, street, city, state, pop_tf, building_type, x0, y0,
+  buildingid + 1000000 as id, cast(10000 + buildingid % 900 as string) as zip, 'WO-' || cast(buildingid % 77 as string) as workorder,
+  case when buildingid % 3 = 0 then null else 'L' || cast(buildingid % 4 as string) end as security_level,
+  case when buildingid % 7 = 0 then 'rear, door ' || cast(buildingid % 9 as string) else null end as address_notes,
+  buildingid * 3 as legacy_fid, case when buildingid % 5 = 0 then 'OLD CO' else null end as legacy_owner,
   case when buildingid % 41 = 0 then x2 when buildingid % 43 = 0 then x0 else x1 end as x1,
   case when buildingid % 41 = 0 then y2 when buildingid % 43 = 0 then y0 else y1 end as y1,
   case when buildingid % 41 = 0 then x1 when buildingid % 43 = 0 then x0 else x2 end as x2,
@@ -204,7 +231,9 @@ select s_bus_unit as bus_unit, s_site_flag as site_flag from {fx_cci_sites}"""
 
 VIEWS["fx_structure"] = """
 select bus_unit, structure_id, s_structure_type as structure_type, stealth_tower_ind, faa_study_number as faa_study_num,
-  s_hgt_with_appurt as hgt_with_appurt, s_hgt_no_appurt as hgt_no_appurt, am_study_required as am_dtnng_eqpt_ind
+  s_hgt_with_appurt as hgt_with_appurt, s_hgt_no_appurt as hgt_no_appurt, am_study_required as am_dtnng_eqpt_ind,
+  faa_approved_height as faa_apprv_hgt, ground_elevation as ground_elev, faa_lighting_requirement as faa_twr_lighting_req,
+  nearest_airport_distance as airport_dist, stealth_structure_type as stealth_tower_type_lkup_code
 from {fx_scrub} b join {fx_cci_sites} s on b.bus_unit = s.s_bus_unit"""
 
 VIEWS["fx_us_structure"] = """

@@ -73,11 +73,13 @@ def test_radius_join_is_brute_force(spark, centre):
 
 
 @pytest.mark.parametrize("centre", CENTRES)
-@pytest.mark.parametrize("counted", [True, False])
-def test_nearest_is_brute_force(spark, centre, counted):
+@pytest.mark.parametrize("shuffled", [True, False])
+def test_nearest_is_brute_force(spark, monkeypatch, centre, shuffled):
+    if shuffled:
+        monkeypatch.setattr(grid, "BROADCAST_ROWS", 0)
     sources, points = world(random.Random(9), centre, 0.06, 10, 600)
     s, p = frames(spark, sources, points)
-    found = grid.nearest_within(s, p, ["id"], point_rows=None if counted else 600)
+    found = grid.nearest_within(s, p, ["id"])
     assert {(r.site_id, r.id, r.cand_dist_km) for r in found.collect()} == expected_nearest(sources, points)
 
 
@@ -95,7 +97,7 @@ def test_reach_limits_pairs(spark):
     sources = [("s", "k", -74.0, 40.7, 11.0, 5)]
     points = [("k", f"p{i}", -74.0 + rng.uniform(-0.05, 0.05), 40.7 + rng.uniform(-0.05, 0.05)) for i in range(4000)]
     s, p = frames(spark, sources, points)
-    reach = grid.search_reach(s, grid.cell_counts(p), "radius_km", "top", True).first().reach_km
+    reach = grid.search_reach(s, grid.cell_counts(p), "radius_km", "top").first().reach_km
     kth = sorted(lambert_m(-74.0, 40.7, q[2], q[3]) for q in points)[4] / 1000
     assert kth <= reach < 1.5
 
@@ -115,16 +117,15 @@ def test_skewed_join(spark):
     right = spark.range(60).select((F.col("id") % 30).cast("int").alias("k"), F.col("id").alias("r"))
     for how in ("inner", "left"):
         plain = left.join(right, "k", how)
-        salted = skew.skewed_join(left, right, ["k"], how, min_rows=100, salts=8)
+        salted = skew.skewed_join(left, right, ["k"], how, rows_per_task=100)
         assert sorted(salted.select("k", "l", "r").collect(), key=str) == sorted(plain.select("k", "l", "r").collect(), key=str)
-    hot = skew.hot_keys(left, ["k"], 500)
-    assert [r.k for r in hot.collect()] == [7]
-    assert skew.hot_keys(left, ["k"], 5000) is None
+    # Salts follow the counted rows of either side.
+    hot = skew.hot_keys(left, right.union(right).where("k = 9").crossJoin(spark.range(50)).select("k", "r"), ["k"], True, 100)
+    assert {r.k: (r._a, r._b) for r in hot.collect()} == {7: (11, 1), 9: (1, 2)}
 
 
-def test_first_copies(spark):
-    df = spark.createDataFrame([("a", 1, i) for i in range(50)] + [("a", 2, 99), ("b", 1, 100)], "name string, place int, id int")
-    hot = skew.hot_keys(df, ["name"], 10)
-    kept = skew.first_copies(df, hot, ["name"], ["name", "place"], [F.col("id").asc()], 3)
-    assert sorted(r.id for r in kept.collect()) == [0, 1, 2, 99, 100]
-    assert skew.first_copies(df, None, ["name"], ["name"], [], 1) is df
+def test_bad_corners_have_no_cells(spark):
+    rows = [(1, -74.0, 40.7, -73.999, 40.701), (2, float("nan"), 40.7, -73.9, 40.8), (3, -74.0, 40.7, -73.9, float("inf")), (4, None, 40.7, -73.9, 40.8)]
+    df = spark.createDataFrame(rows, "id int, w double, s double, e double, n double")
+    cells = grid.box_cells(df, "w", "s", "e", "n", 2)
+    assert {r.id for r in cells.collect()} == {1} and cells.count() <= 9

@@ -8,14 +8,6 @@ import pytest
 from linkscout.plans import catalog, oracle
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-# These repeat the whole run for another view of its result; three others stand for them here.
-SAME_RUN = {
-    "rank_joinback", "rank_sheet_asd", "rank_sheet_mgt", "rank_sheet_buildings", "candidate_file", "tower_scrub",
-    "sink_rows", "candidate_points", "spider_lines", "stage_counts", "type_flags", "sites_without_links",
-    "unranked_sites", "link_public_view", "link_budget_join", "lit_search_dwithin",
-}
-
-
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     con = duckdb.connect()
@@ -39,7 +31,7 @@ def multiset(columns, rows):
     return sorted(tuple(normal(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in SAME_RUN])
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_matches_sql(spark, sf_dir, duck, name):
     df = catalog.QUERIES[name](spark, sf_dir)
     found = [tuple(r) for r in df.collect()]

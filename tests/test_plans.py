@@ -31,7 +31,7 @@ def test_report_reads_only_its_columns(spark, sf_dir, tmp_path):
 def test_link_views(spark, sf_dir):
     d = catalog.Data(spark, sf_dir)
     public = links.register_link_views(d["circuits"], d.buildings)
-    assert spark.table("fixed_wireless_links").count() == public.count()
+    assert spark.table("link_lines").count() == public.count()
 
 
 def test_files(spark, sf_dir, tmp_path):
@@ -43,7 +43,7 @@ def test_files(spark, sf_dir, tmp_path):
     assert rows.count() == run.assembled.count()
     sinks.write_report(run.ranked, str(tmp_path / "report"))
     report = spark.read.parquet(str(tmp_path / "report"))
-    assert "height" not in report.columns and "power_company" not in report.columns
+    assert "height" not in report.columns and "power_company" in report.columns
     assert report.count() == run.ranked.count()
     sinks.write_rank_sheets({"ospi": ranker.rank_sheet(run.ranks["ospi"], "ospi", run.all_ranked)}, str(tmp_path / "sheets"))
     assert spark.read.parquet(str(tmp_path / "sheets")).where("candidate_type = 'ospi'").count() > 0

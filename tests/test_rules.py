@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkscout.functions import colours, text
-from linkscout.operators import classify, enrich, parameters, ranker
+from linkscout.operators import classify, enrich, parameters, rank, ranker, search
 from linkscout.plans import catalog
 
 
@@ -154,7 +154,52 @@ def test_ranker_equals_each_branch(spark):
 
 def test_report_lists():
     assert len(classify.STRUCTURE_IDS) == 27
-    assert len(classify.BASE_COLUMNS) == len(set(classify.BASE_COLUMNS)) == 64
+    assert [len(x) for x in (classify.SALES, classify.DETAILED, classify.SHELTERED, classify.STRUCTURES)] == [70, 69, 74, 70]
+    assert all(len(x) == len(set(x)) for x in (classify.SALES, classify.SHELTERED, classify.STRUCTURES))
+
+
+# The first columns, a stretch of the middle and the last column of each report, as its readers know them.
+ORDER = {
+    "a": ("bus_unit crown_area crown_ae site_status", "marketable fiber_on_site fiber_provider is_cci_power_available", "s_site_flag"),
+    "b": ("bus_unit crown_area crown_ae site_status", "marketable fiber_provider is_cci_power_available", "s_site_flag"),
+    "f": ("bus_unit crown_area crown_ae site_status", "validated_fcc_registration s_structure_type s_hgt_with_appurt", "s_site_flag"),
+    "g": ("bus_unit crown_area site_status consent_summary", "largest_width site_flag structure_type stealth_tower_ind structure_id", "validated_fcc_registration"),
+}
+
+
+@pytest.mark.parametrize("report", sorted(ORDER))
+def test_report_order(spark, sf_dir, report):
+    columns = catalog.QUERIES[f"vector_{report}"](spark, sf_dir).columns
+    first, middle, last = ORDER[report]
+    n = {"a": 70, "b": 74, "f": 69, "g": 70}[report]
+    assert columns[: len(first.split())] == first.split() and middle in " ".join(columns) and columns[n - 1] == last
+
+
+@pytest.mark.parametrize("name", ["a", "b", "f", "g"])
+def test_report_rows_are_sorted(spark, sf_dir, name):
+    rows = [(r.bus_unit, r.structure_id) for r in catalog.QUERIES[f"vector_{name}"](spark, sf_dir).collect()]
+    assert rows == sorted(rows)
+
+
+def test_absent_columns_raise(spark, sf_dir):
+    d = catalog.Data(spark, sf_dir)
+    with pytest.raises(ValueError, match="faa_study_number"):
+        classify.classification("b", d["scrub"].drop("faa_study_number"), d["cci_sites"])
+    with pytest.raises(ValueError, match="power_company"):
+        rank.cci_rank(d["scrub"].drop("power_company"), d["cci_sites"], d["rankings"])
+    with pytest.raises(ValueError, match="loa_notes"):
+        classify.scrub_sheet(d["scrub"].drop("loa_notes"))
+
+
+def test_no_column_of_a_report_is_empty(spark, sf_dir):
+    for name in ("a", "b", "f", "g"):
+        df = catalog.QUERIES[f"vector_{name}"](spark, sf_dir)
+        row = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
+        assert [c for c in df.columns if not row[c]] == []
+    leases = catalog.QUERIES["vector_g"](spark, sf_dir).select("fle_col").distinct().collect()
+    assert {r.fle_col for r in leases} == {"GREEN", "YELLOW", ""}
+    leases = catalog.QUERIES["vector_f"](spark, sf_dir).select("fle_clr").distinct().collect()
+    assert {"GREEN", "YELLOW", ""} <= {r.fle_clr for r in leases}
 
 
 def test_lit_rows_per_building(spark, sf_dir):
@@ -163,6 +208,24 @@ def test_lit_rows_per_building(spark, sf_dir):
     assert roofs.groupBy("buildingid", "x_id").count().where("count <> 4").count() == 0
 
 
+@pytest.mark.parametrize("collapsed", [False, True])
+def test_namesakes_at_one_place(spark, collapsed):
+    """More buildings of one name at one place than the limit: the first by id as text, whatever comes first as number."""
+    def ring(half):
+        return [(-74.0 - half, 40.7 - half), (-74.0 + half, 40.7 - half), (-74.0 + half, 40.7 + half), (-74.0 - half, 40.7 + half)]
+
+    # Outlines of one millimetre give no roof corners.
+    rows = [(i, "HQ", -74.0, 40.7, ring(1e-8 if collapsed and i <= 11 else 0.0002)) for i in range(2, 61)]
+    frame = spark.createDataFrame(rows, "buildingid long, name string, lon double, lat double, ring array<struct<lon:double,lat:double>>")
+    site = spark.createDataFrame([("s", -74.0005, 40.7)], "site_id string, lon double, lat double").selectExpr(
+        "*", "2D as radius_km", "4 as lit_limit"
+    )
+    found = search.lit_search(site, frame).collect()
+    every = search.roof_points(frame).selectExpr("cast(buildingid as string) as id", "vertex", "x_id").collect()
+    want = sorted((r.id, r.vertex, r.x_id) for r in every)[:4]
+    assert sorted((r.id, r.vertex) for r in found) == sorted((i, v) for i, v, _ in want) and len(found) == 4
+
+
 def test_inclusive_contains_strict(spark, sf_dir):
     strict = catalog.QUERIES["asd_search"](spark, sf_dir)
     wide = catalog.QUERIES["asd_search_dwithin"](spark, sf_dir)
