@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkscout import schemas
 from linkscout.functions import colours as c
-from linkscout.functions import text
+from linkscout.functions import geo, text
 from linkscout.operators.search import TOWER_TYPES
 
 # Structures that are reported.
@@ -122,6 +122,7 @@ class Report:
     category: bool = False
     fibre: bool = False
     show_colours: bool = True
+    geometry: bool = False
 
 
 _EIGHT = {k: v for k, v in _ten_colours(None).items() if k in _TEN[:8]}
@@ -134,7 +135,10 @@ REPORTS = {
         SHELTERED, _ten_colours(c.GREEN, c.YELLOW, c.PERMIT_GRADED), towers_only=True, category=True, fibre=True,
         show_colours=False,
     ),
-    "e": Report((*SHELTERED, "s_bu_type_code", "s_long_dec", "s_lat_dec"), _ten_colours(None), towers_only=True, category=True),
+    "e": Report(
+        (*SHELTERED, "s_bu_type_code", "s_long_dec", "s_lat_dec"), _ten_colours(None), towers_only=True, category=True,
+        geometry=True,
+    ),
 }
 
 
@@ -148,6 +152,8 @@ def classification(report: str, scrub: DataFrame, sites: DataFrame, ids: DataFra
         extra["vector_category"] = c.category(list(spec.rules))
     if spec.fibre:
         extra["fw_type"] = c.fibre_type()
+    if spec.geometry:
+        extra["geom"] = geo.point_wkt(F.col("s_long_dec"), F.col("s_lat_dec"))
     if extra:
         table = table.withColumns(extra)
     return in_report_order(table if spec.show_colours else table.drop(*spec.rules))

@@ -210,6 +210,12 @@ def initial_search(
     return found.fillna({"height": DEFAULT_HEIGHT_M})
 
 
+def with_geometry(candidates: DataFrame) -> DataFrame:
+    """Add ``pnt_geom``, the roof corner of a building candidate as text; other candidates carry none."""
+    point = geo.point_wkt(F.col("long"), F.col("lat"))
+    return candidates.withColumn("pnt_geom", F.when(F.col("candidate_type") == "ospi", point))
+
+
 def with_sequence(candidates: DataFrame) -> DataFrame:
     """Number the candidates of a site in search order (``cand_seq``); at most the sum of the site's limits."""
     order = F.array_position(F.array(*[F.lit(t) for t in schemas.CANDIDATE_TYPES]), F.col("candidate_type"))

@@ -166,6 +166,13 @@ def lit_search(d: Data) -> DataFrame:
     return rounded(search.lit_search(d.sources, d.buildings), 9, "long", "lat")
 
 
+@query
+def lit_geometry(d: Data) -> DataFrame:
+    return rounded(search.with_geometry(search.lit_search(d.sources, d.buildings)), 9, "long", "lat").select(
+        "site_id", "candidate_type", "id", "vertex", "pnt_geom"
+    )
+
+
 @query
 def lit_search_dwithin(d: Data) -> DataFrame:
     return rounded(search.lit_search(d.sources, d.buildings, inclusive=True), 9, "long", "lat")
@@ -330,6 +337,23 @@ def link_budget_join(d: Data) -> DataFrame:
     )
 
 
+@query
+def link_replies(d: Data) -> DataFrame:
+    """Stored link-budget replies, as the columns that join the candidates."""
+    return text.parse_link_reply(d["link_replies"], "reply").select(
+        "reply_id", "capacity", "d_km", "link_margin", "model", "modulation", "rain_attenuation_km"
+    )
+
+
+@query
+def elevation_replies(d: Data) -> DataFrame:
+    """Stored terrain replies, with the clearance of each path."""
+    heights = d["elevation_replies"].select("path_id", text.elevation_array(F.col("reply")).alias("heights"))
+    return heights.select(
+        "path_id", F.size("heights").alias("n"), enrich.array_clearance(F.col("heights")).alias("clearance")
+    )
+
+
 @query
 def sites_without_links(d: Data) -> DataFrame:
     joined = enrich.join_link_budget(d.candidates(), d["link_budget"], ["candidate_type", "id"])
@@ -479,6 +503,20 @@ def _with_asof(d: Data) -> DataFrame:
     return d["scrub"].withColumn("asof", last - F.make_dt_interval(days, F.lit(6)))
 
 
+def _units(name: str) -> None:
+    def report(d: Data) -> DataFrame:
+        units = d["cci_sites"].where("s_pop_tier_id = '1'").select("s_bus_unit")
+        out = classify.classification(name, d["scrub"], d["cci_sites"], units)
+        return rounded(out, 9, "s_long_dec", "s_lat_dec") if name == "e" else out
+
+    report.__name__ = f"vector_{name}_units"
+    query(report)
+
+
+_units("a")
+_units("e")
+
+
 @query
 def vector_f(d: Data) -> DataFrame:
     asof = F.lit("1993-08-01 06:00:00").cast("timestamp")

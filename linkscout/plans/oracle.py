@@ -207,6 +207,17 @@ CTES["q_towers_all"] = nearest(TOWER_POINTS, "cci_limit", "id")
 CTES["q_towers_lit"] = nearest(LIT_TOWERS, "cci_limit", "id")
 SQL["lit_search"] = searched("q_lit_search")
 SQL["lit_search_dwithin"] = searched(f"({nearest(LIT_POINTS, 'lit_limit', 'id, vertex, x_id', True)}) r")
+SQL["lit_geometry"] = f"""
+select site_id, candidate_type, id, vertex, printf('POINT(%.9f %.9f)', long, lat) as pnt_geom from ({searched("q_lit_search")}) g"""
+SQL["link_replies"] = """
+select l_orderkey * 10 + l_linenumber as reply_id, cast(100 * (1 + l_partkey % 10) as int) as capacity, l_suppkey % 9 + 0.5::double as d_km,
+  l_partkey % 40 + 0.25::double as link_margin, 'EH-' || l_linenumber as model,
+  case when l_partkey % 7 <> 0 then 'QAM' || (l_suppkey % 4) end as modulation, l_linenumber + 0.125::double as rain_attenuation_km
+from lineitem"""
+SQL["elevation_replies"] = """
+select o_orderkey as path_id, 3 as n,
+  least(0.0::double, (o_custkey % 90 + 0.5::double + o_custkey % 50) / 2 - (o_orderkey % 70 + 0.25::double)) as clearance
+from orders"""
 SQL["asd_search"] = searched("q_asd_search")
 SQL["asd_search_dwithin"] = searched(f"({nearest(ASD_POINTS, 're_limit', 'id', True)}) r")
 SQL["mgt_search"] = searched("q_mgt_search")
@@ -681,9 +692,13 @@ SQL["vector_b"] = report(REPORT_B, _b, True, True, True)
 SQL["vector_c"] = report(REPORT_B, _b, False, True, True)
 SQL["vector_d"] = report(REPORT_B, ten("GREEN", "YELLOW", "permit_graded"), True, True, True, False)
 SQL["vector_e"] = (
-    f"select * replace ({half_up('s_long_dec', 9)} as s_long_dec, {half_up('s_lat_dec', 9)} as s_lat_dec) from ("
+    f"select * replace ({half_up('s_long_dec', 9)} as s_long_dec, {half_up('s_lat_dec', 9)} as s_lat_dec),"
+    " printf('POINT(%.9f %.9f)', s_long_dec, s_lat_dec) as geom from ("
     + report((*REPORT_B, "s_bu_type_code", "s_long_dec", "s_lat_dec"), _e, True, True, False) + ") e"
 )
+_tier = "(select s_bus_unit from fx_cci_sites where s_pop_tier_id = '1')"
+SQL["vector_a_units"] = f"select * from ({SQL['vector_a']}) a where bus_unit in {_tier}"
+SQL["vector_e_units"] = f"select * from ({SQL['vector_e']}) e where bus_unit in {_tier}"
 _capacity = """case when current_tower_capacity is null or current_tower_capacity = 'N/A' then ''
   when current_tower_capacity >= '200' then 'RED' else 'GREEN' end"""
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkscout.operators import enrich, rank, ranker, search
-from linkscout.operators.storage import materialise
+from linkscout.operators import classify, enrich, outputs, parameters, rank, ranker, search
+from linkscout.operators.storage import materialise, run_folder
+from linkscout.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -72,3 +74,21 @@ def qualify(t: Tables, candidates: DataFrame, reply_keys: list[str]) -> Result:
     assembled = enrich.join_link_budget(enrich.assemble(candidates, ranks), t.replies, reply_keys)
     assembled = materialise(enrich.linked(assembled))
     return Result(candidates, ranks, assembled, ranker.rank(assembled, F.col("check_clearance")))
+
+
+def run_to_files(t: Tables, candidates: Callable[[], DataFrame], reply_keys: list[str], path: str) -> None:
+    """One whole run and all its files, below ``path``. Intermediates are written once for all files and deleted after.
+
+    ``candidates`` gives the (cleared) candidates; it is called inside the run, so that what it writes is deleted as well.
+    """
+    with run_folder(t.sources.sparkSession):
+        result = qualify(t, candidates(), reply_keys)
+        ranked, placed = materialise(result.ranked), materialise(result.all_ranked)
+        sinks.write_candidate_file(placed, f"{path}/candidates")
+        sinks.write_report(ranked, f"{path}/report")
+        sinks.write_rank_sheets({k: ranker.rank_sheet(r, k, placed) for k, r in result.ranks.items()}, f"{path}/sheets")
+        sinks.write_layers(ranked, t.sources, f"{path}/layers")
+        sinks.write_csv(ranked.select(*outputs.candidate_file(ranked).columns, "speed"), f"{path}/ranked", "candidate_type")
+        towers = ranked.where(F.col("candidate_type") == "cci_sites").select("id")
+        sinks.write_scrub_sheet(classify.scrub_sheet(t.scrub, towers), f"{path}/tower_scrub")
+        sinks.write_planner_sheet(parameters.planner_rows(parameters.search_parameters(t.sources)), f"{path}/planner")

@@ -200,6 +200,20 @@ from (select 'ospi' as candidate_type, cast(p_partkey as string) as id, p_partke
   union all select 're_asd', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 2 = 1
   union all select 're_mgt', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 2 = 0) t"""
 
+# Replies of the link-budget and elevation services as they were stored, one text per candidate and path.
+VIEWS["fx_link_replies"] = """
+select l_orderkey * 10 + l_linenumber as reply_id,
+  '{{"capacity": ' || cast(100 * (1 + l_partkey % 10) as string) || ', "d_km": ' || cast(l_suppkey % 9 as string) || '.5'
+  || ', "link_margin": ' || cast(l_partkey % 40 as string) || '.25, "model": "EH-' || cast(l_linenumber as string) || '"'
+  || case when l_partkey % 7 = 0 then '' else ', "modulation": "QAM' || cast(l_suppkey % 4 as string) || '"' end
+  || ', "rain_attenuation_km": ' || cast(l_linenumber as string) || '.125}}' as reply
+from {lineitem}"""
+
+VIEWS["fx_elevation_replies"] = """
+select o_orderkey as path_id, '{{"results": [{{"elevation": ' || cast(o_custkey % 90 as string) || '.5}}, {{"elevation": '
+  || cast(o_orderkey % 70 as string) || '.25, "resolution": 9.5}}, {{"elevation": ' || cast(o_custkey % 50 as string) || '}}], "status": "OK"}}' as reply
+from {orders}"""
+
 # Search sites as drawn in three coordinate systems (degrees, web mercator metres, UTM zone 18N metres).
 VIEWS["fx_site_features"] = f"""
 select cast(s_suppkey as string) as site_id,

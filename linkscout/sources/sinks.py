@@ -29,6 +29,15 @@ def write_rank_sheets(sheets: dict[str, DataFrame], path: str) -> None:
         sheet.write.mode("overwrite").parquet(f"{path.rstrip('/')}/candidate_type={kind}")
 
 
+def write_planner_sheet(rows: DataFrame, path: str) -> None:
+    """Import sheet of the network planner, one folder per search site's name."""
+    write_csv(rows.withColumn("site", F.col("Site Name")), path, "site")
+
+
+def write_scrub_sheet(sheet: DataFrame, path: str) -> None:
+    sheet.write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_layers(ranked: DataFrame, sources: DataFrame, path: str) -> None:
     """Point and line layer with geometry as text."""
     outputs.candidate_points(ranked).write.mode("overwrite").parquet(f"{path.rstrip('/')}/candidates")

@@ -53,6 +53,50 @@ def test_files(spark, sf_dir, tmp_path):
     assert spark.read.text(str(tmp_path / "geojson")).where("value like '%\"Point\"%'").count() == run.ranked.count()
 
 
+def test_whole_run_to_files(spark, sf_dir, tmp_path):
+    """All files of a run, in their order, and no intermediate left behind."""
+    import os
+
+    from linkscout.operators import storage
+    from linkscout.plans import site_search
+
+    d = catalog.Data(spark, sf_dir)
+    t = d.tables()
+    before = sorted(os.listdir(storage.shared_root(spark))) if os.path.isdir(storage.shared_root(spark)) else []
+    path = str(tmp_path / "out")
+    site_search.run_to_files(t, d.cleared, ["candidate_type", "id"], path)
+    assert sorted(os.listdir(storage.shared_root(spark))) == before
+    kinds = ("candidates", "report", "sheets", "layers", "ranked", "tower_scrub", "planner")
+    assert set(os.listdir(path)) == set(kinds)
+    planner = spark.read.csv(f"{path}/planner", header=True)
+    assert planner.count() == t.sources.count() and "Max Power (dBm)" in planner.columns
+    scrub = spark.read.csv(f"{path}/tower_scrub", header=True)
+    assert tuple(scrub.columns) == classify.SCRUB_SHEET and scrub.count() > 0
+    # Order inside the files: by site and rank.
+    files = sorted(f for f in os.listdir(f"{path}/candidates") if f.startswith("part"))
+    rows = [(r.site_id, int(r.fw_rank) if r.fw_rank else -1) for f in files for r in spark.read.csv(f"{path}/candidates/{f}", header=True).collect()]
+    assert rows == sorted(rows) and len(rows) > 0
+    parts = sorted(f for f in os.listdir(f"{path}/report") if f.startswith("part"))
+    report = [(r.site_id, r.fw_rank) for f in parts for r in spark.read.parquet(f"{path}/report/{f}").collect()]
+    assert report == sorted(report) and len(report) > 0
+
+
+def test_materialising_needs_a_shared_folder(spark, monkeypatch):
+    from linkscout.operators import storage
+
+    class Elsewhere:
+        class sparkContext:
+            applicationId, master = "other", "spark://host:7077"
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_root(Elsewhere)
+
+
 def test_candidate_csv(spark, tmp_path):
     path = tmp_path / "sample.csv"
     path.write_text(",candidate_type,id,cand_dist_km,long,lat,height,pnt_geom,Clearance_Score\n3,re_asd,11,0.4,-73.9,40.7,131.0,,Pass\n")
