@@ -33,19 +33,42 @@ hosts as (
         count(bad) as n, coalesce(sum(bad), 0) as x
     from urls group by host
 ),
-domains as (select domain, suffix, sum(n) as n, sum(x) as x from hosts group by all),
-suffixes as (select suffix, sum(n) as n, sum(x) as x, (select (sum(x) + 0.5) / (sum(n) + 1.0) from hosts) as prior from hosts group by suffix),
-k1 as (select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_, sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room from suffixes),
-s1 as (select case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0) else 1000.0 end else 10.0 end as k from k1),
-p1 as (select suffix, (x + k * prior) / (n + k) as mean from suffixes, s1),
-d2 as (select domain, n, x, mean as prior from domains join p1 using (suffix)),
-k2 as (select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_, sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room from d2),
-s2 as (select case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0) else 1000.0 end else 10.0 end as k from k2),
-p2 as (select domain, (x + k * prior) / (n + k) as mean from d2, s2),
-d3 as (select host, n, x, mean as prior from hosts join p2 using (domain)),
-k3 as (select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_, sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room from d3),
-s3 as (select case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0) else 1000.0 end else 10.0 end as k from k3),
-p3 as (select host, (x + k * prior) / (n + k) as mean, n + k as weight from d3, s3),
+domain_sums as (select domain, suffix, sum(n) as n, sum(x) as x from hosts group by all),
+suffix_sums as (select suffix, sum(n) as n, sum(x) as x from hosts group by suffix),
+s0 as (select *, (px - x + pk * pprior) / (pn - n + pk) as prior from (select *, (select sum(n) from hosts) as pn, (select sum(x) from hosts) as px, 0.5::double as pprior, 1.0::double as pk from suffix_sums) t),
+s1 as (
+    select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_,
+        sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room
+    from s0
+),
+suffixes as (
+    select t.*, least(case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0)
+        else 1000.0 end else 10.0 end, pn - n + pk) as k
+    from s0 t, s1
+),
+d0 as (select *, (px - x + pk * pprior) / (pn - n + pk) as prior from (select c.domain, c.n, c.x, p.n as pn, p.x as px, p.prior as pprior, p.k as pk from domain_sums c join suffixes p using (suffix)) t),
+d1 as (
+    select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_,
+        sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room
+    from d0
+),
+domains as (
+    select t.*, least(case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0)
+        else 1000.0 end else 10.0 end, pn - n + pk) as k
+    from d0 t, d1
+),
+h0 as (select *, (px - x + pk * pprior) / (pn - n + pk) as prior from (select c.host, c.n, c.x, p.n as pn, p.x as px, p.prior as pprior, p.k as pk from hosts c join domains p using (domain)) t),
+h1 as (
+    select sum(case when n > 0 then n * (x / n - prior) ** 2 - prior * (1 - prior) end) as over_,
+        sum(case when n > 0 then (n - 1) * prior * (1 - prior) end) as room
+    from h0
+),
+rated as (
+    select t.*, least(case when room > 0 then case when over_ / room > 0 then least(greatest(room / over_ - 1, 1.0), 1000.0)
+        else 1000.0 end else 10.0 end, pn - n + pk) as k
+    from h0 t, h1
+),
+p3 as (select host, (x + k * prior) / (n + k) as mean, n + k as weight from rated),
 rules as (select * from (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) as r(rh, rp, v)),
 fits as (
     select page_id, url, rh || rp as rule, v, row_number() over (partition by page_id, url order by length(rh || rp) desc) as best

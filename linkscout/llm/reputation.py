@@ -63,18 +63,27 @@ def _strength(groups: DataFrame) -> DataFrame:
     return sums.select(F.when(F.col("room") > 0, fitted).otherwise(F.lit(STRENGTH)).alias("k"))
 
 
-def _shrunk(groups: DataFrame, key: str) -> DataFrame:
-    """``key`` with the posterior mean ``mean`` and the posterior's weight ``weight`` (prior strength plus pages)."""
-    k = F.col("_k")
-    with_k = groups.withColumn("_k", _strength(groups).scalar())
-    return with_k.select(key, ((F.col("x") + k * F.col("prior")) / (F.col("n") + k)).alias("mean"), (F.col("n") + k).alias("weight"))
+def _shrunk(groups: DataFrame) -> DataFrame:
+    """Adds ``prior`` and ``k``, the prior share of a group and its strength in pages.
+
+    ``groups`` has ``(n, x)`` and its parent's ``(pn, px, pprior, pk)``. The prior is the parent's posterior without the
+    group's own pages, and no stronger than what that posterior rests on.
+    """
+    rest = F.col("pn") - F.col("n") + F.col("pk")
+    with_prior = groups.withColumn("prior", (F.col("px") - F.col("x") + F.col("pk") * F.col("pprior")) / rest)
+    fitted = with_prior.withColumn("_k", _strength(with_prior).scalar())
+    return fitted.withColumn("k", F.least(F.col("_k"), rest)).drop("_k", "pn", "px", "pprior", "pk")
+
+
+def _parent(level: DataFrame, key: str) -> DataFrame:
+    return level.select(key, *[F.col(c).alias(f"p{c}") for c in ("n", "x", "prior", "k")])
 
 
 def reputations(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``(host, n, x, mean, bound)`` per host: labelled pages, bad ones, posterior mean and lower bound of the bad share.
 
     ``outcomes`` has ``(id_col, bad)`` with ``bad`` 0 or 1. Counts are combined in each task before they are sent.
-    A suffix is shrunk to the share of all pages, a domain to its suffix, a host to its domain.
+    A suffix is shrunk to the share of all pages, a domain to its suffix, a host to its domain, each without its own pages.
     """
     known = outcomes.where(F.col(id_col).isNotNull() & F.col("bad").isNotNull())
     known = known.groupBy(id_col).agg(F.max("bad").alias("bad"))
@@ -83,13 +92,16 @@ def reputations(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id",
     hosts = hosts.withColumns({"domain": domain(F.col("host")), "suffix": suffix(F.col("host"))})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    overall = suffixes.agg(((F.sum("x") + 0.5) / (F.sum("n") + 1.0)).alias("p"))
-    level = _shrunk(suffixes.withColumn("prior", overall.scalar()), "suffix")
-    level = _shrunk(domains.join(level.select("suffix", F.col("mean").alias("prior")), "suffix"), "domain")
-    shrunk = _shrunk(hosts.join(level.select("domain", F.col("mean").alias("prior")), "domain"), "host")
-    m, w = F.col("mean"), F.col("weight")
-    bound = m - F.lit(Z) * F.sqrt(m * (1 - m) / (w + 1))
-    return hosts.select("host", "n", "x").join(shrunk.withColumn("bound", bound), "host").drop("weight")
+    every = {"pn": F.sum("n"), "px": F.sum("x")}
+    for name, total in every.items():
+        suffixes = suffixes.withColumn(name, hosts.agg(total).scalar())
+    suffixes = _shrunk(suffixes.withColumns({"pprior": F.lit(0.5), "pk": F.lit(1.0)}))
+    domains = _shrunk(domains.join(_parent(suffixes, "suffix"), "suffix"))
+    rated = _shrunk(hosts.join(_parent(domains, "domain"), "domain"))
+    weight = F.col("n") + F.col("k")
+    mean = (F.col("x") + F.col("k") * F.col("prior")) / weight
+    bound = F.col("mean") - F.lit(Z) * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))
+    return rated.withColumn("mean", mean).withColumn("bound", bound).select("host", "n", "x", "mean", "bound")
 
 
 def judge(
