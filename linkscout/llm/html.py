@@ -220,12 +220,12 @@ BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64
 
 
 def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """``(host, h)``: subtrees that stand on at least ``min_pages`` different articles of a host and ``min_share`` of them.
+    """From ``(host, article, around)``, ``(host, h)``: subtrees that stand on at least ``min_pages`` different articles of a host and ``min_share`` of them.
 
     Different articles are counted, so copies of one page do not make its text a template. Counts are combined in each task.
     """
     articles = pages.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
-    seen = pages.select("host", "article", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("h")).distinct()
+    seen = pages.select("host", "article", F.explode("around").alias("h")).distinct()
     counts = seen.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     return counts.join(articles, "host").where(F.col("n") >= F.lit(min_share) * F.col("articles")).select("host", "h")
 
@@ -238,11 +238,14 @@ def extract(
 
     Elements that are boilerplate by name, role, class or id go; of what is left, subtrees that recur on many different
     pages of the host go. Null or empty html gives an empty text; pages with a null url are one host. Repeated rows are
-    kept. Other columns are not read. Each page is parsed once; its blocks are written to the shared folder.
+    kept. Other columns are not read. Pages are parsed twice, for the counts and for the text, as hashes are small to keep
+    and texts are not.
     """
-    rows = materialise(parsed(pages, id_col, url_col, html_col))
-    own = rows.select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("h"))
-    repeated = own.join(templates(rows, min_pages, min_share), ["host", "h"]).groupBy("row").agg(F.collect_set("h").alias("template"))
+    rows = parsed(pages, id_col, url_col, html_col)
+    around = F.array_distinct(F.flatten("blocks.around")).alias("around")
+    seen = materialise(rows.select("row", "host", "article", around))
+    own = seen.select("row", "host", F.explode("around").alias("h"))
+    repeated = own.join(templates(seen, min_pages, min_share), ["host", "h"]).groupBy("row").agg(F.collect_set("h").alias("template"))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b.getField("around"), F.col("template")))
     chosen = F.when(F.col("template").isNull(), F.col("blocks")).otherwise(kept)
     return rows.join(repeated, "row", "left").select(
