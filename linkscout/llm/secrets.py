@@ -20,12 +20,31 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Strings whose windows are measured.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+
+
+def changing(letters: str, others: str, times: int) -> str:
+    """Strings of ``letters``, digits and ``others`` in which a letter meets a digit behind it in so many places."""
+    run = f"[^{letters}]*+[{letters}]++"
+    return f"^(?:(?:{run}(?![0-9]))*+{run}[0-9]){{{times}}}[{letters}0-9{others}]*+$"
+
+
+def with_digits(letters: str) -> tuple[tuple[str, float], ...]:
+    """Classes of keys with letters of one case. Words with numbers have few changes between both, so those need more bits."""
+    both, joined = f"^(?=.*[0-9])(?=.*[{letters}])[{letters}0-9", "+/_=-"
+    plain, mixed = f"{both}]+$", f"{both}{joined}]+$"
+    return (
+        (f"(?={plain}){changing(letters, '', 3)}", 3.4), (plain, 4.05), (f"(?={mixed}){changing(letters, joined, 4)}", 3.6), (mixed, 4.2),
+    )
+
+
 #: Character class of a candidate, by the first pattern it fits, and the entropy in bits from which a window is a secret.
 #: Letters or digits alone, and words joined by dashes, fit none.
 CLASSES = (
     (r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$", 3.0),
     (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", 3.6),
     (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+$", 3.8),
+    *with_digits("a-z"),
+    *with_digits("A-Z"),
 )
 #: Strings that are no secrets: identifiers in the form of a UUID, dates and versions, alphabets, placeholders.
 ALLOWED = (
