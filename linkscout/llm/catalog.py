@@ -31,7 +31,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
-    out = rules.judge(table(spark, sf_dir, "documents"), labels.where("quality = 1"))
+    out = rules.judge(table(spark, sf_dir, "documents"), labels.where("quality = 1"), threshold=None)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("ratio", 6).alias("ratio"),
