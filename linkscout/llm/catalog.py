@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import decontaminate, html, machine, mixing, reputation, rules, secrets, simhash, substrings, warc
+from linkscout.llm import decontaminate, html, machine, merkle, mixing, reputation, rules, secrets, simhash, substrings, warc
 from linkscout.operators import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,18 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").cast("long").alias("n_items"), "items")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents, by id, are checked against a copy whose text has lost its line ends."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    leaves = docs.select("doc_id", "source", merkle.leaf(*fields).alias("leaf"), merkle.leaf(*fields[:-1], changed).alias("claim"))
+    out = merkle.prove(leaves, "source", "doc_id", "leaf").withColumn("folded_root", merkle.folded(F.col("claim"), F.col("proof")))
+    return out.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )

@@ -124,3 +124,71 @@ select page_id, payload_bytes, payload_digest, case when page_id > first_page th
     case when page_id > first_page then first_page end as refers_to
 from payloads join named using (h) join firsts using (h)
 """
+
+#: Unsigned CRC-32 of an id's decimal digits, bit by bit.
+CRC32 = r"""xor(list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)
+), 4294967295::bigint)"""
+
+SQL["op11_merkle_manifest"] = rf"""
+with recursive docs as (
+    select *, {CRC32} % 2 = 0 as even from documents
+),
+fields as (
+    select doc_id, source, text, even,
+        concat(coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+            coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-')) as head,
+        case when even then replace(text, chr(10), '') else text end as changed
+    from docs
+),
+leaves as (
+    select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+        sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) as claim,
+        row_number() over (partition by source order by doc_id) - 1 as pos
+    from fields
+),
+inner_tree as (
+    select source, 0 as level, pos, leaf as node, count(*) over (partition by source) as n from leaves
+    union all
+    select source, level, pos, node, count(*) over (partition by source) from (
+        select source, level + 1 as level, pos // 3 as pos, sha256(string_agg(node, '' order by pos)) as node
+        from inner_tree where n > 1 group by source, level, pos // 3
+    )
+),
+subroots as (select source, node as subroot, level as height, row_number() over (order by source nulls first) - 1 as pos from inner_tree where n = 1),
+outer_tree as (
+    select 0 as level, pos, subroot as node, count(*) over () as n from subroots
+    union all
+    select level, pos, node, count(*) over () from (
+        select level + 1 as level, pos // 3 as pos, sha256(string_agg(node, '' order by pos)) as node
+        from outer_tree where n > 1 group by level, pos // 3
+    )
+),
+total as (select level as height, node as root from outer_tree where n = 1),
+steps as (
+    select l.doc_id, t.level, l.pos // (3 ** t.level)::bigint as own, t.pos, t.node from leaves l
+    join subroots s on s.source is not distinct from l.source
+    join inner_tree t on t.source is not distinct from l.source and t.level < s.height
+        and t.pos // 3 = l.pos // (3 ** (t.level + 1))::bigint
+    union all
+    select l.doc_id, s.height + t.level, s.pos // (3 ** t.level)::bigint, t.pos, t.node from leaves l
+    join subroots s on s.source is not distinct from l.source
+    join outer_tree t on t.level < (select height from total) and t.pos // 3 = s.pos // (3 ** (t.level + 1))::bigint
+),
+proofs as (select doc_id, string_agg(node, '' order by level, pos) as proof from steps where pos <> own group by doc_id),
+sides as (
+    select doc_id, level, coalesce(string_agg(node, '' order by pos) filter (pos < own), '') as before,
+        coalesce(string_agg(node, '' order by pos) filter (pos > own), '') as after
+    from steps group by doc_id, level
+),
+fold as (
+    select doc_id, 0 as level, claim as node from leaves
+    union all
+    select doc_id, f.level + 1, sha256(before || node || after) from fold f join sides using (doc_id, level)
+),
+tips as (select doc_id, arg_max(node, level) as folded_root from fold group by doc_id)
+select l.doc_id, l.leaf, s.subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = root as verified
+from leaves l join subroots s on s.source is not distinct from l.source join tips using (doc_id) left join proofs using (doc_id), total
+"""
