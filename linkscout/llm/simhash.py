@@ -46,16 +46,19 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """One row ``(doc_id, fp)`` per row of ``docs``. A null text counts as empty; a null id stays null."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row ``(doc_id, fp, *keep)`` per row of ``docs``. A null text counts as empty; a null id stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [signed(fingerprint(t or b"", shingle, seed)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *keep])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *keep)
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(run, "doc_id long, fp long" + kept)
 
 
 def bit_groups() -> list[list[int]]:
@@ -127,19 +130,20 @@ def links(nodes: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, seed: int = 42,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` per row of ``docs``: the smallest id among all rows reachable over links.
+    """``(doc_id, fp, component_id, *keep)`` per row of ``docs``: the smallest id among all rows reachable over links.
 
     Two rows are linked if their fingerprints differ in at most ``radius`` bits. Equal fingerprints form one node first,
     so copies are never paired. Rows with null or empty text share the fingerprint 0 and are linked like any other.
     Null ids are passed over when the smallest is taken; a component without any id has a null ``component_id``. Repeated
-    rows are kept. Other columns of ``docs`` are not read. An empty table gives an empty result.
+    rows are kept. Columns of ``docs`` that are not in ``keep`` are not read. An empty table gives an empty result.
     """
-    rows = materialise(fingerprints(docs, id_col, text_col, shingle, seed))
+    rows = materialise(fingerprints(docs, id_col, text_col, shingle, seed, keep))
     nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     found = components(links(nodes.select("fp"), radius))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(labels, "fp").select("doc_id", "fp", "component_id", *keep)
