@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscout.llm import decontaminate, html, machine, merkle, mixing, reputation, rules, secrets, simhash, substrings, warc
+from linkscout.llm import (
+    decontaminate, html, machine, merkle, mixing, periods, reputation, rules, secrets, simhash, substrings, warc,
+)
+from linkscout.llm.common import let, words
 from linkscout.operators import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +120,42 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents; in a tenth of them, by id, a stretch of words is repeated up to the end. Ids that are null plant nothing."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(found: Column) -> Column:
+        n = F.size(found)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+
+        def word(w: Column, i: Column) -> Column:
+            return F.when(i < a, w).otherwise(F.get(found, (a + (i - a) % p).cast("int")))
+
+        return F.when(n > 0, F.array_join(F.transform(found, word), " ")).otherwise(F.lit(""))
+
+    planted = F.when(h % 10 == 0, let(words(F.col("text")), repeated)).otherwise(F.col("text"))
+    return docs.select("doc_id", planted.alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periods.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+
+    def stronger(best: Column, r: Column) -> Column:
+        more = r.getField("length") * best.getField("period") > best.getField("length") * r.getField("period")
+        return F.when(more, r).otherwise(best)
+
+    best = F.aggregate(F.slice("runs", 2, 1 << 30), F.get("runs", F.lit(0)), stronger).alias("best")
+    spelled = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.getField("start"), r.getField("length"), r.getField("period")), F.lit("\n")))
+    found = out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best, F.sha2(F.array_join(spelled, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return found.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )

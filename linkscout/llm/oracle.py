@@ -192,3 +192,29 @@ tips as (select doc_id, arg_max(node, level) as folded_root from fold group by d
 select l.doc_id, l.leaf, s.subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = root as verified
 from leaves l join subroots s on s.source is not distinct from l.source join tips using (doc_id) left join proofs using (doc_id), total
 """
+
+SQL["op13_periodic_runs"] = rf"""
+with docs as (
+    select doc_id, {CRC32} as h, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+    from documents
+),
+sized as (
+    select doc_id, ws, len(ws) as n, case when h % 10 = 0 and len(ws) > 0 then (h // 10) % len(ws) end as a, 3 + (h // 10) % 8 as part
+    from docs
+),
+each as (
+    select doc_id, n, i, ws[(case when i >= a then a + (i - a) % (1 + (n - a) // part) else i end) + 1] as w
+    from (select doc_id, ws, n, a, part, unnest(range(n)) as i from sized)
+),
+pairs as (select x.doc_id, x.i, y.i - x.i as p from each x join each y on x.doc_id = y.doc_id and x.w = y.w and y.i > x.i and y.i - x.i <= x.n // 4),
+islands as (select doc_id, p, i, i - row_number() over (partition by doc_id, p order by i) as k from pairs),
+stretches as (select doc_id, p, min(i) as s, count(*) + p as l from islands group by doc_id, p, k having count(*) >= 3 * p and count(*) + p >= 6),
+runs as (select doc_id, s, l, min(p) as p from stretches group by doc_id, s, l),
+best as (select * from runs qualify row_number() over (partition by doc_id order by l / p desc, s, p) = 1),
+spelled as (select doc_id, count(*) as n_runs, string_agg(s || ',' || l || ',' || p || chr(10), '' order by s, p) as t from runs group by doc_id),
+gone as (select distinct doc_id, unnest(range(s + p, s + l)) as i from runs),
+kept as (select doc_id, string_agg(w, ' ' order by i) as t from each anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, s as start, l as length, p as period, (1000 * l) // p as exponent_milli,
+    sha256(coalesce(r.t, '')) as runs_sha256, sha256(coalesce(k.t, '')) as collapsed_sha256
+from docs d left join spelled r using (doc_id) left join best using (doc_id) left join kept k using (doc_id)
+"""
