@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkscout.llm import (
-    decontaminate, html, machine, merkle, mixing, periods, reputation, rules, secrets, simhash, substrings, warc,
+    decontaminate, html, machine, merkle, mixing, periods, reputation, rules, secrets, simhash, substrings, tokens, warc,
 )
 from linkscout.llm.common import let, words
 from linkscout.operators import storage
@@ -159,3 +159,12 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
     )
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = storage.new_folder(spark, "tokens")
+    tokens.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokens.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
