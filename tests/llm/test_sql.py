@@ -21,4 +21,4 @@ def test_matches_sql(spark, sf_dir, duck, name):
 
 def test_names():
     numbers = {int(n[2:].split("_")[0]) for n in catalog.QUERIES}
-    assert numbers == set(range(1, 11)) and len(catalog.QUERIES) == 10
+    assert numbers == set(range(1, 14)) and len(catalog.QUERIES) == 13
