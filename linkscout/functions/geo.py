@@ -337,6 +337,34 @@ def point_near_ring(lon: str, lat: str, ring: str, buffer_deg: float) -> Column:
     return point_in_ring(lon, lat, ring) | (ring_distance_sq(lon, lat, ring) <= F.lit(buffer_deg * buffer_deg))
 
 
+def _point_segment_sq(x: str, y: str, ax: str, ay: str, bx: str, by: str) -> str:
+    """Squared planar distance from a point to a segment, which may have no length."""
+    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+    along = f"((({x} - {ax}) * {dx} + ({y} - {ay}) * {dy}) / greatest({dx} * {dx} + {dy} * {dy}, {TINY!r}D))"
+    t = f"least(1D, greatest(0D, {along}))"
+    ex, ey = f"({x} - ({ax} + {t} * {dx}))", f"({y} - ({ay} + {t} * {dy}))"
+    return f"({ex} * {ex} + {ey} * {ey})"
+
+
+def segment_near_ring(ax: str, ay: str, bx: str, by: str, ring: str, buffer_deg: float) -> Column:
+    """A segment that lies inside the outline, crosses it, or comes within ``buffer_deg`` planar degrees of it."""
+
+    def left(e: str, x: str, y: str) -> str:
+        return f"signum(({e}bx - {e}ax) * ({y} - {e}ay) - ({e}by - {e}ay) * ({x} - {e}ax))"
+
+    own = f"signum(({bx} - {ax}) * (e.{{1}} - {ay}) - ({by} - {ay}) * (e.{{0}} - {ax}))"
+    crosses = (
+        f"({left('e.', ax, ay)} * {left('e.', bx, by)} < 0 and {own.format('ax', 'ay')} * {own.format('bx', 'by')} < 0)"
+    )
+    near = " or ".join(
+        f"{d} <= {buffer_deg * buffer_deg!r}D" for d in (
+            _point_segment_sq(ax, ay, "e.ax", "e.ay", "e.bx", "e.by"), _point_segment_sq(bx, by, "e.ax", "e.ay", "e.bx", "e.by"),
+            _point_segment_sq("e.ax", "e.ay", ax, ay, bx, by), _point_segment_sq("e.bx", "e.by", ax, ay, bx, by),
+        )
+    )
+    return F.expr(f"exists({_edges(ring)}, e -> {crosses} or {near})") | point_in_ring(ax, ay, ring)
+
+
 def _edge_lines(ring: str) -> str:
     """Edges with their inward unit normal (ring counter-clockwise)."""
     length = f"greatest(sqrt((e.bx - e.ax) * (e.bx - e.ax) + (e.by - e.ay) * (e.by - e.ay)), {TINY!r}D)"
@@ -417,7 +445,7 @@ def _side(e: str, x: str, y: str) -> str:
 
 
 def self_crossing(ring: str) -> str:
-    """True if two edges that are not neighbours meet. Quadratic in the corners of one outline, never in rows."""
+    """True if two edges meet but for the corner that neighbours share. Quadratic in the corners of one outline, never in rows."""
     proper = (
         f"({_side('e', 'g.ax', 'g.ay')} * {_side('e', 'g.bx', 'g.by')} < 0"
         f" and {_side('g', 'e.ax', 'e.ay')} * {_side('g', 'e.bx', 'e.by')} < 0)"
@@ -426,32 +454,13 @@ def self_crossing(ring: str) -> str:
         [_on_edge("e", "g.ax", "g.ay"), _on_edge("e", "g.bx", "g.by"), _on_edge("g", "e.ax", "e.ay"), _on_edge("g", "e.bx", "e.by")]
     )
     apart = f"j > i + 1 and not (i = 0 and j = size({ring}) - 1)"
+    # Neighbours that run back over each other.
+    next_to = f"(j = i + 1 or (i = size({ring}) - 1 and j = 0))"
+    back = (
+        f"({_side('e', 'g.bx', 'g.by')} = 0 and (e.bx - e.ax) * (g.bx - g.ax) + (e.by - e.ay) * (g.by - g.ay) < 0)"
+    )
     edges = _edges(ring)
     return (
-        f"exists(transform({edges}, (e, i) -> exists(transform({edges}, (g, j) -> {apart} and ({proper} or {touch})),"
-        " hit -> hit)), hit -> hit)"
-    )
-
-
-def with_validity(df: DataFrame, ring: str, reason: str, repaired: str) -> DataFrame:
-    """Add the validity reason of an outline and its repaired, closed form.
-
-    Repair drops repeated corners, orients the ring and closes it. A self-crossing ring is reported but not split; a ring
-    with a non-finite ordinate or fewer than three distinct corners has no repaired form.
-    """
-    keep = [c for c in df.columns if c not in (reason, repaired)]
-    finite = f"not exists({ring}, p -> not {_finite('p.lon')} or not {_finite('p.lat')})"
-    enough = "size(array_distinct(_open)) >= 3"
-    text = (
-        f"case when {ring} is null then null when _open is null then 'Invalid Coordinate'"
-        f" when not ({enough}) then 'Too few points in geometry component'"
-        f" when {self_crossing('_open')} then 'Self-intersection' else 'Valid Geometry' end"
-    )
-    oriented = f"if(_open is not null and {enough}, {counter_clockwise('_open')}, null)"
-    return steps(
-        df,
-        ["*", once("_open", f"if({finite}, {distinct_corners(ring)}, null)")],
-        ["*", once("_fixed", oriented)],
-        [*keep, once(reason, text), "_fixed"],
-        [*keep, reason, f"concat(_fixed, slice(_fixed, 1, 1)) as {repaired}"],
+        f"exists(transform({edges}, (e, i) -> exists(transform({edges}, (g, j) -> ({apart} and ({proper} or {touch}))"
+        f" or ({next_to} and {back})), hit -> hit)), hit -> hit)"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkscout import schemas
 from linkscout.functions import geo
+from linkscout.operators import outlines
 
 # Network states that rule a building out as a hub.
 EXCLUDED_STATES = ("TYPE II", "ON-NET (Type II)", "OFF-NET", "OFF-NET (Restricted)", "13", "14", "15")
@@ -48,7 +49,7 @@ def hub_lookup(buildings: DataFrame, crm: DataFrame, extent: tuple[float, float,
 
 
 def building_export(buildings: DataFrame) -> DataFrame:
-    """Building attributes with the validity of the outline and its repaired form as text."""
+    """Building attributes with the validity of the outline, the place of a fault, and its valid form as text."""
     attributes = schemas.required(buildings, EXPORT_COLUMNS)
-    checked = geo.with_validity(attributes, "ring", "geom_reason", "geom_ring")
-    return checked.select(*EXPORT_COLUMNS, "geom_reason", geo.ring_wkt(F.col("geom_ring")).alias("geom"))
+    checked = outlines.with_validity(attributes, "ring", "geom_reason", "geom_parts")
+    return checked.select(*EXPORT_COLUMNS, "geom_reason", outlines.parts_wkt(F.col("geom_parts")).alias("geom"))

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from linkscout.functions import text
 from linkscout.operators.rank import combined_ranks
 from linkscout.operators.skew import skewed_join
+from linkscout.operators.storage import materialise
 
 DELETE_BELOW = -300.0
+#: Samples of one path that the elevation lookup returns at most.
+MOST_SAMPLES = 200
 CANDIDATE_KEY = ["site_id", "candidate_type", "id", "vertex"]
 
 
@@ -35,21 +38,23 @@ def profile_clearance(profiles: DataFrame, keys: list[str]) -> DataFrame:
 
     Two aggregates with map-side combine instead of collecting a profile, so its length is not limited.
     """
-    ends = profiles.groupBy(*keys).agg(
+    ends = materialise(profiles.groupBy(*keys).agg(
         F.min_by("elev", "sample_idx").alias("_first"),
         F.max_by("elev", "sample_idx").alias("_last"),
         F.min("sample_idx").alias("_from"),
         F.count(F.lit(1)).alias("_n"),
-    )
+    ))
+    counts, alone = ends.select(*keys, "_n"), ends.select(*keys, F.lit(1).alias("_n"))
     ends = ends.withColumn("_slope", (F.col("_last") - F.col("_first")) / F.greatest(F.col("_n") - 1, F.lit(1)))
-    samples = skewed_join(profiles, ends.where("_n >= 2").drop("_last", "_n"), keys)
+    samples = skewed_join(profiles, ends.where("_n >= 2").drop("_last", "_n"), keys, left_counts=counts, right_counts=alone)
     gap = F.col("_first") + (F.col("sample_idx") - F.col("_from")) * F.col("_slope") - F.col("elev")
     return samples.groupBy(*keys).agg(F.min(gap).alias("clearance"))
 
 
 def elevation_arrays(profiles: DataFrame, keys: list[str]) -> DataFrame:
-    """The samples themselves, in order. For stored profiles of the lookup service, which have a fixed length."""
-    pairs = F.sort_array(F.collect_list(F.struct("sample_idx", "elev")))
+    """The samples themselves, in order, of profiles of the lookup service; more than MOST_SAMPLES in one raise."""
+    few = F.when(F.count(F.lit(1)) <= MOST_SAMPLES, F.sort_array(F.collect_list(F.struct("sample_idx", "elev"))))
+    pairs = few.otherwise(F.raise_error(F.lit(f"a profile of more than {MOST_SAMPLES} samples")))
     return profiles.groupBy(*keys).agg(F.transform(pairs, lambda p: p.elev).alias("elevations"))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from linkscout.functions import geo
 from linkscout.functions.steps import steps
 from linkscout.operators.skew import skewed_join
-from linkscout.operators.storage import materialise
+from linkscout.operators.storage import counted, materialise
 
 # Cell heights of the levels in km, each a quarter of the one before.
 CELL_KM = (4.0, 1.0, 0.25, 0.0625, 0.015625)
@@ -66,12 +66,6 @@ def source_stats(sources: DataFrame, *limits: str, radius_km: str = "radius_km")
     return SourceStats(row["n"], top, float(row["r0"] or 0), float(row["r1"] or 0))
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The table, written once, and whether its rows are few enough to broadcast."""
-    written = materialise(df)
-    return written, written.count() <= BROADCAST_ROWS
-
-
 # The grid arithmetic is written as SQL text: one parsed expression instead of hundreds of Column objects.
 HEIGHTS = tuple(km / KM_PER_DEGREE for km in CELL_KM)
 BAND_HEIGHTS = "array(" + ", ".join(f"{h!r}D" for h in HEIGHTS) + ")"
@@ -181,9 +175,9 @@ def near_sources(points: DataFrame, sources: DataFrame, radius_km: str = "radius
 
     The cells are broadcast if they were counted to be few, and shuffled otherwise.
     """
-    cells, few = counted(cover(sources.select("lon", "lat", radius_km), "lon", "lat", radius_km, 0).select("cell").distinct())
+    cells, n = counted(cover(sources.select("lon", "lat", radius_km), "lon", "lat", radius_km, 0).select("cell").distinct())
     marked = points.withColumn("cell", cell_of("lon", "lat", 0))
-    return marked.join(F.broadcast(cells) if few else cells, "cell", "left_semi").drop("cell")
+    return marked.join(F.broadcast(cells) if n <= BROADCAST_ROWS else cells, "cell", "left_semi").drop("cell")
 
 
 def cell_counts(points: DataFrame) -> DataFrame:
@@ -258,8 +252,8 @@ def radius_join(
     right = geo.with_geodetic(points.withColumnsRenamed({"lon": "p_lon", "lat": "p_lat"}), "p_lon", "p_lat", "p")
     right = right.withColumn("cell", F.explode(cells_of("p_lon", "p_lat", levels)))
     keys = [*also, "cell"]
-    left, few = counted(left)
-    pairs = right.join(F.broadcast(left), keys) if few else skewed_join(right, left, keys)
+    left, n = counted(left)
+    pairs = right.join(F.broadcast(left), keys) if n <= BROADCAST_ROWS else skewed_join(right, left, keys)
     return _refine(pairs, radius_km, inclusive)
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscout.functions import geo
-from linkscout.operators.skew import NULL_SALTS, skewed_join
-from linkscout.operators.storage import materialise
+from linkscout.operators.skew import NULL_SALTS, key_counts, skewed_join
+from linkscout.operators.storage import counted, materialise
 
 LINK_TYPE = "Fixed Wireless Link"
 A_PART, Z_PART = 3, 4
@@ -22,7 +22,8 @@ def either_name_join(
 ) -> DataFrame:
     """Left join on ``code = name OR part = name`` as equi-joins.
 
-    The two possible keys are first checked against the distinct names, so each row knows which of them hit. Rows then
+    ``names`` holds the names of the buildings with their rows, ``(name, _n)``. The two possible keys are first checked
+    against them, so each row knows which of them hit. Rows then
     carry an array of zero, one or two different keys, exploded for an inner join; rows without a key are added as
     unmatched. A row that matches by one key gets no spurious NULL row from the other.
     ``out`` maps building columns to output names. A row without a code is checked under one of many names that do not
@@ -36,10 +37,10 @@ def either_name_join(
     keys = F.array_distinct(
         F.array_compact(F.array(F.when(F.col("_code_hit"), F.col("_code")), F.when(F.col("_part_hit"), F.col("_part"))))
     )
-    marked = materialise(marked.select(*df.columns, keys.alias("_keys")))
+    marked, n = counted(marked.select(*df.columns, keys.alias("_keys")))
     ends = buildings.select(F.col("name").alias("_key"), *[F.col(old).alias(new) for old, new in out.items()])
     hits = marked.where(F.size("_keys") > 0).withColumn("_key", F.explode("_keys")).drop("_keys")
-    matched = skewed_join(hits, ends, ["_key"]).drop("_key")
+    matched = skewed_join(hits, ends, ["_key"], left_counts=2 * n, right_counts=names.withColumnRenamed("name", "_key")).drop("_key")
     missed = marked.where(F.size("_keys") == 0).drop("_keys")
     return matched.unionByName(missed, allowMissingColumns=True)
 
@@ -48,7 +49,7 @@ def located_circuits(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
     """Link circuits with the coordinates of both ends; several buildings of one name fan out."""
     links = circuits.where(F.col("circuit_type") == LINK_TYPE)
     known = buildings.where(F.col("name").isNotNull()).select("name", "lon", "lat")
-    names = known.select("name").distinct()
+    names = materialise(key_counts(known, ["name"]))
     located = either_name_join(
         links, known, names, "a_location_clli", name_part(F.col("name"), A_PART),
         {"lon": "a_longitude", "lat": "a_latitude"},

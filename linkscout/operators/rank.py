@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from linkscout import schemas
 from linkscout.functions import geo
-from linkscout.operators import grid
+from linkscout.operators import grid, shapes
 from linkscout.operators.skew import skewed_join
-from linkscout.operators.storage import materialise
+from linkscout.operators.storage import counted, materialise
 
 LICENCE_LEVEL = 2
 SCORE_SOURCE = "cci_sites"
@@ -25,21 +25,21 @@ def _only(df: DataFrame, column: str, ids: DataFrame | None) -> DataFrame:
     return df.join(keys, F.col(column).cast("string") == F.col("_id"), "left_semi")
 
 
-def licence_counts(buildings: DataFrame, licences: DataFrame, buffer_deg: float = geo.LICENCE_BUFFER_DEG) -> DataFrame:
-    """(buildingid, n): licences inside or within ``buffer_deg`` of each outline; buildings without any are absent.
+def place_counts(outlines: DataFrame, licences: DataFrame, buffer_deg: float) -> DataFrame:
+    """(buildingid, n): licences at points inside or within ``buffer_deg`` of each outline.
 
     Licences at one place are counted first, so a crowded place is one row in the join. The outline side is repeated per
     cell of its grown bounding box, the licence side has one cell, so no pair occurs twice.
     """
-    places = (
+    places, n_places = counted(
         licences.groupBy("lon", "lat")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("cell", grid.cell_of("lon", "lat", LICENCE_LEVEL))
     )
-    boxes = geo.with_clean_ring(buildings.select("buildingid", "ring")).withColumns(geo.ring_box("ring"))
+    boxes = outlines.withColumns(geo.ring_box("ring"))
     grow = {c: F.col(c) - buffer_deg for c in ("west", "south")} | {c: F.col(c) + buffer_deg for c in ("east", "north")}
-    boxes = grid.box_cells(boxes.withColumns(grow), "west", "south", "east", "north", LICENCE_LEVEL)
-    near = skewed_join(places, boxes, ["cell"]).where(
+    boxes, n_boxes = counted(grid.box_cells(boxes.withColumns(grow), "west", "south", "east", "north", LICENCE_LEVEL))
+    near = skewed_join(places, boxes, ["cell"], left_counts=n_places, right_counts=n_boxes).where(
         F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
     )
     return (
@@ -49,6 +49,21 @@ def licence_counts(buildings: DataFrame, licences: DataFrame, buffer_deg: float
     )
 
 
+def licence_counts(buildings: DataFrame, licences: DataFrame, buffer_deg: float = geo.LICENCE_BUFFER_DEG) -> DataFrame:
+    """(buildingid, n): licences that meet each outline grown by ``buffer_deg``; buildings without any are absent.
+
+    A licence is a point (``lon``, ``lat``), or a line or an area by its ``kind`` and ``paths`` (see :mod:`.shapes`). A table without
+    a kind holds points only, and so do rows without one.
+    """
+    outlines = geo.with_clean_ring(buildings.select("buildingid", "ring"))
+    if "kind" not in licences.columns:
+        return place_counts(outlines, licences, buffer_deg)
+    is_point = F.coalesce(F.col("kind") == "point", F.lit(True))
+    points = place_counts(outlines, licences.where(is_point), buffer_deg)
+    others = shapes.shape_counts(outlines, licences.where(~is_point), buffer_deg)
+    return points.unionByName(others).groupBy("buildingid").agg(F.sum("n").alias("n"))
+
+
 def _lit_by_name(lit: DataFrame) -> DataFrame:
     """One row per lit-list code: the attributes of its first row (NULLs first) and its number of rows."""
     first = F.min(F.struct("on_net_status", "building_type"))

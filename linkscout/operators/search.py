@@ -11,7 +11,8 @@ from linkscout import schemas
 from linkscout.functions import geo
 from linkscout.operators import grid
 from linkscout.operators.grid import SourceStats
-from linkscout.operators.skew import skewed_join
+from linkscout.operators.skew import key_counts, skewed_join
+from linkscout.operators.storage import counted
 
 DEFAULT_HEIGHT_M = 30.0
 ROOF_LEVEL = 2
@@ -55,8 +56,8 @@ def roof_points(buildings: DataFrame, keep: int | None = None, owners: DataFrame
     ``owners`` narrows the buildings o (not x).
     """
 
-    def named(df: DataFrame) -> DataFrame:
-        known = df.where(F.col("name").isNotNull()).select("buildingid", "name", "lon", "lat", "ring")
+    def named(df: DataFrame, *more: str) -> DataFrame:
+        known = df.where(F.col("name").isNotNull()).select("buildingid", "name", "lon", "lat", "ring", *more)
         return geo.with_clean_ring(known)
 
     def first(df: DataFrame, same: list[str], order: Column) -> DataFrame:
@@ -68,19 +69,22 @@ def roof_points(buildings: DataFrame, keep: int | None = None, owners: DataFrame
     outlines = first(
         named(buildings if owners is None else owners), ["name", "lon", "lat", "ring"], F.col("buildingid").cast("string").asc()
     )
-    o = grid.box_cells(
+    o, n_cells = counted(grid.box_cells(
         outlines.withColumns(geo.ring_box("ring")), "west", "south", "east", "north", ROOF_LEVEL
-    ).drop("west", "south", "east", "north")
-    x = geo.with_inset_ring(named(buildings), "ring", "inset").select(
-        "name",
+    ).drop("west", "south", "east", "north"))
+    # Roofs are inset only where an outline of their name reaches.
+    keys = ["name", "cell"]
+    placed = buildings.where(F.col("name").isNotNull()).withColumn("cell", grid.cell_of("lon", "lat", ROOF_LEVEL))
+    reached = named(placed.join(o.select(*keys).distinct(), keys, "left_semi"), "cell")
+    x = geo.with_inset_ring(reached, "ring", "inset").select(
+        *keys,
         F.col("buildingid").alias("x_id"),
         F.col("lon").alias("x_lon"),
         F.col("lat").alias("x_lat"),
         geo.cardinal_vertices("inset").alias("vertices"),
-        grid.cell_of("lon", "lat", ROOF_LEVEL).alias("cell"),
     )
     x = first(x.where(F.col("vertices").isNotNull()), ["name", "x_lon", "x_lat"], F.col("x_id").asc())
-    matched = skewed_join(o, x, ["name", "cell"]).where(
+    matched = skewed_join(o, x, keys, left_counts=n_cells, right_counts=key_counts(placed, keys)).where(
         geo.point_in_ring("x_lon", "x_lat", "ring")
     )
     return matched.select("buildingid", "lon", "lat", "x_id", F.inline("vertices").alias("vertex", "v_lon", "v_lat"))

@@ -22,35 +22,66 @@ def _content(df: DataFrame, salts: Column) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), salts).cast("int")
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], both: bool, rows_per_task: int) -> DataFrame:
-    """``(keys, _a, _b)``: keys to split and the number of salts of either side, from their counted rows."""
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, _n)``: rows per key; partial sums per task. Give the key columns of a base table where ``df`` costs more."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
-    def salts(df: DataFrame, name: str) -> DataFrame:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        limit = counts.agg(F.greatest(F.lit(rows_per_task), F.ceil(F.sum("_n") / MOST_HOT))).scalar()
-        return counts.withColumn("_limit", limit).where("_n > _limit").select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias(name))
 
-    split = salts(left, "_a").where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    if not both:
-        return split.withColumn("_b", F.lit(1))
-    return split.join(salts(right, "_b"), keys, "full").na.fill(1, ["_a", "_b"])
+def hot_keys(counts: tuple[DataFrame | None, DataFrame | None], keys: list[str], rows_per_task: int) -> DataFrame | None:
+    """``(keys, _a, _b)``: keys to split and the number of salts of either side; None if no key is to be split.
+
+    ``counts`` holds the rows per key of the left and the right side, as by :func:`key_counts`, or None for a side that is not
+    split. One job finds the total and the largest key of both, one row for the driver. Only if a key is large are keys
+    looked up.
+    """
+    known = [None if c is None else c.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])) for c in counts]
+    sides = [c.agg(F.lit(i).alias("side"), F.max("_n").alias("most"), F.sum("_n").alias("total")) for i, c in enumerate(known) if c is not None]
+    hot = []
+    for row in reduce(DataFrame.unionByName, sides).collect() if sides else []:
+        limit = max(rows_per_task, -(-(row.total or 0) // MOST_HOT))
+        if (row.most or 0) > limit:
+            salts = F.ceil(F.col("_n") / limit).cast("int").alias(("_a", "_b")[row.side])
+            hot.append(known[row.side].where(F.col("_n") > limit).select(*keys, salts))
+    if not hot:
+        return None
+    every = hot[0] if len(hot) == 1 else hot[0].join(hot[1], keys, "full")
+    return every.select(*keys, *[F.coalesce(F.col(c) if c in every.columns else F.lit(None), F.lit(1)).cast("int").alias(c) for c in ("_a", "_b")])
 
 
 def skewed_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", rows_per_task: int = ROWS_PER_TASK,
+    left_counts: DataFrame | int | None = None, right_counts: DataFrame | int | None = None,
 ) -> DataFrame:
     """Inner or left equi-join in which each hot key is spread over as many tasks as its counted rows need.
 
     A key with a salts on the left and b on the right becomes a grid of a times b joins; each row gets one salt of its own
     side and is repeated over those of the other. In a left join only the left side is split, and rows without a key are
-    spread as well. The split keys are at most 2 * MOST_HOT small rows, which bounds the broadcast.
+    spread as well. The split keys are at most 2 * MOST_HOT small rows, which bounds the broadcast. Without a hot key it is
+    the plain join.
+
+    Keys are counted once, here: from ``left_counts`` and ``right_counts`` (rows per key, or an upper bound), or from the
+    inputs if none are given. A number is a bound for every key, such as the rows of a written table; a side whose bound is
+    within a task is not counted at all.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot split a {how} join")
-    hot = F.broadcast(hot_keys(left, right, keys, how == "inner", rows_per_task))
+
+    def counts(df: DataFrame, known: DataFrame | int | None) -> DataFrame | None:
+        if isinstance(known, int):
+            return None if known <= rows_per_task else key_counts(df, keys)
+        return key_counts(df, keys) if known is None else known
+
+    hot = hot_keys((counts(left, left_counts), counts(right, right_counts) if how == "inner" else None), keys, rows_per_task)
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    if hot is None and how == "inner":
+        return left.join(right, keys)
+    if hot is None:
+        # Rows without a key would meet in one task.
+        spread = F.when(no_key, _content(left, F.lit(NULL_SALTS))).otherwise(0)
+        return left.withColumn("_s", spread).join(right.withColumn("_s", F.lit(0)), [*keys, "_s"], how).drop("_s")
+    hot = F.broadcast(hot)
     a, b = F.coalesce("_a", F.lit(1)), F.coalesce("_b", F.lit(1))
     if how == "left":
-        no_key = reduce(or_, [F.col(k).isNull() for k in keys])
         a = F.when(no_key, F.lit(NULL_SALTS)).otherwise(a)
 
     def every(salts: Column) -> Column:

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _ROOTS: dict[str, str] = {}
 
@@ -49,6 +50,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same, with the number of rows, which the write itself observes."""
+    seen = Observation()
+    written = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return written, seen.get["n"]
+
+
 @contextmanager
 def run_folder(spark: SparkSession) -> Iterator[str]:
     """All intermediates written inside the block go to one folder, which is deleted when the block ends."""

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkscout.functions import colours, geo, text
 from linkscout.operators import (
-    buildings as bld, classify, enrich, grid, links, outputs, parameters, rank, ranker, search,
+    buildings as bld, classify, enrich, grid, links, outputs, parameters, rank, ranker, search, terrain,
 )
 from linkscout.operators.storage import materialise
 from linkscout.plans import site_search
@@ -51,6 +51,19 @@ class Data:
     def buildings(self) -> DataFrame:
         return self.outlined("buildings")
 
+    @property
+    def licences(self) -> DataFrame:
+        """Licences with the paths of those that are no points; the hole of an area is half as wide and high."""
+        def path(corners: list[tuple[Column, Column]]) -> Column:
+            return F.array(*[geo.point_struct(x, y) for x, y in corners])
+
+        corners = [(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(4)]
+        hole = path([(x / 2 + F.col("lon") / 2, y / 2 + F.col("lat") / 2) for x, y in corners])
+        ring = F.array(path(corners))
+        paths = F.when(F.col("kind") == "line", F.array(path(corners[:3])))
+        paths = paths.when(F.col("has_hole") == 1, F.concat(ring, F.array(hole))).when(F.col("kind") == "area", ring)
+        return self["fcc"].select("license_id", "kind", "lon", "lat", paths.alias("paths"))
+
     @property
     def clearance(self) -> DataFrame:
         return enrich.profile_clearance(self["profiles"], ["profile_id"])
@@ -63,7 +76,7 @@ class Data:
     def tables(self) -> site_search.Tables:
         return site_search.Tables(
             self.sources, self.buildings, self["asd"], self["mgt"], self["cci_sites"], self["scrub"], self["lit"],
-            self["fcc"], self["rankings"], self["link_budget"], self.clearance,
+            self.licences, self["rankings"], self["link_budget"], self.clearance,
         )
 
     def with_profile(self, candidates: DataFrame) -> DataFrame:
@@ -251,7 +264,7 @@ def roof_points(d: Data) -> DataFrame:
 
 @query
 def fcc_buffer_join(d: Data) -> DataFrame:
-    return rank.licence_counts(d.buildings, d["fcc"])
+    return rank.licence_counts(d.buildings, d.licences)
 
 
 @query
@@ -276,12 +289,12 @@ def line_length(d: Data) -> DataFrame:
 @query
 def lit_rank(d: Data) -> DataFrame:
     ids = search.lit_search(d.sources, d.buildings).select("id")
-    return rank.lit_rank(d.buildings, d["lit"], d["fcc"], ids)
+    return rank.lit_rank(d.buildings, d["lit"], d.licences, ids)
 
 
 @query
 def building_rank_all(d: Data) -> DataFrame:
-    return rank.lit_rank(d.buildings, d["lit"], d["fcc"], with_type=True)
+    return rank.lit_rank(d.buildings, d["lit"], d.licences, with_type=True)
 
 
 @query
@@ -316,6 +329,20 @@ def path_clearance(d: Data) -> DataFrame:
     return rounded(scored, 6, "min_clearance")
 
 
+@query
+def terrain_clearance(d: Data) -> DataFrame:
+    """Terrain clearance of the path from each site to each tower found for it."""
+    grid_ = terrain.Grid(west=-74.1163778, south=40.7390831, step=0.0025)
+    found = search.tower_search(d.sources, d["cci_sites"], None).withColumnsRenamed({"long": "to_lon", "lat": "to_lat"})
+    paths = found.join(d.sources.select("site_id", "lon", "lat"), "site_id").fillna({"height": search.DEFAULT_HEIGHT_M})
+    elevations = terrain.path_elevations(
+        paths, terrain.tiles(d["posts"], grid_), grid_, ["site_id", "id"], ("lon", "lat"), ("to_lon", "to_lat")
+    )
+    clearance = elevations.select("site_id", "id", terrain.path_clearance(F.col("elevations")).alias("clearance"))
+    scored = enrich.with_clearance(paths.select("site_id", "id", "height"), clearance, ["site_id", "id"])
+    return rounded(scored, 6, "min_clearance")
+
+
 @query
 def elevation_profile(d: Data) -> DataFrame:
     arrays = enrich.elevation_arrays(d["profiles"], ["profile_id"])

@@ -322,10 +322,60 @@ from (select *, asin(sin(xip) / {_cosh.format('etap')}) as chi
 SQL["point_in_polygon"] = f"select buildingid, {in_quad('lon', 'lat')} as inside from fx_buildings"
 SQL["cardinal_vertices"] = f"select buildingid, vertex, {half_up('v_lon', 9)} as lon, {half_up('v_lat', 9)} as lat from q_vertices"
 SQL["roof_points"] = f"select buildingid, x_id, vertex, {half_up('v_lon', 9)} as v_lon, {half_up('v_lat', 9)} as v_lat from q_roofs"
-CTES["q_near_fcc"] = f"""
+CTES["q_licence_points"] = f"""
 select b.buildingid, f.license_id from fx_buildings b join fx_fcc f
   on f.lon between b.x0 - 0.001 and b.x2 + 0.001 and f.lat between b.y1 - 0.001 and b.y3 + 0.001
-where {in_quad('f.lon', 'f.lat', 'b.')} or {quad_distance_sq('f.lon', 'f.lat', 'b.')} <= 0.000278 * 0.000278"""
+where coalesce(f.kind, 'point') = 'point' and ({in_quad('f.lon', 'f.lat', 'b.')} or {quad_distance_sq('f.lon', 'f.lat', 'b.')} <= 0.000278 * 0.000278)"""
+
+
+def _licence_edge(i: int, j: int, half: bool) -> str:
+    mid = (lambda c, axis: f"({c} + {axis}) / 2") if half else (lambda c, axis: c)
+    ends = ", ".join(f"{mid(f'{c}{k}', axis)} as {e}{c}" for e, k in (("a", i), ("b", j)) for c, axis in (("x", "lon"), ("y", "lat")))
+    which = "has_hole = 1" if half else "kind = 'area'" if j == 0 or i == 2 else "kind in ('line', 'area')"
+    return f"select license_id, {ends} from fx_fcc where {which}"
+
+
+CTES["q_licence_edges"] = " union all ".join(
+    _licence_edge(i, (i + 1) % 4, half) for half in (False, True) for i in range(4)
+)
+
+
+def _gap_sq(x: str, y: str, ax: str, ay: str, bx: str, by: str) -> str:
+    t = (
+        f"least(1.0, greatest(0.0, (({x} - {ax}) * ({bx} - {ax}) + ({y} - {ay}) * ({by} - {ay}))"
+        f" / (pow({bx} - {ax}, 2) + pow({by} - {ay}, 2))))"
+    )
+    return f"pow({x} - ({ax} + {t} * ({bx} - {ax})), 2) + pow({y} - ({ay} + {t} * ({by} - {ay})), 2)"
+
+
+def edge_meets_quad(buffer: str) -> str:
+    """Edge (ax, ay, bx, by) of a licence against the four edges of building b."""
+    tests = [in_quad("e.ax", "e.ay", "b.")]
+    for i in range(4):
+        p = [f"b.x{i}", f"b.y{i}", f"b.x{(i + 1) % 4}", f"b.y{(i + 1) % 4}"]
+        e = ["e.ax", "e.ay", "e.bx", "e.by"]
+        tests += [f"{_gap_sq(*pt, *seg)} <= {buffer} * {buffer}" for pt, seg in ((p[:2], e), (p[2:], e), (e[:2], p), (e[2:], p))]
+
+        def turn(s, x, y):
+            return f"sign(({s[2]} - {s[0]}) * ({y} - {s[1]}) - ({s[3]} - {s[1]}) * ({x} - {s[0]}))"
+
+        tests.append(f"({turn(p, *e[:2])} * {turn(p, *e[2:])} < 0 and {turn(e, *p[:2])} * {turn(e, *p[2:])} < 0)")
+    return "(" + " or ".join(tests) + ")"
+
+
+_hole = re.sub(r"f\.([xy])(\d)", lambda m: f"((f.{m[1]}{m[2]} + f.{'lon' if m[1] == 'x' else 'lat'}) / 2)", in_quad("b.x0", "b.y0", "f."))
+CTES["q_near_fcc"] = f"""
+select * from q_licence_points
+union all
+select distinct buildingid, license_id from (
+  select b.buildingid, e.license_id from fx_buildings b join q_licence_edges e
+    on least(e.ax, e.bx) <= b.x2 + 0.001 and b.x0 - 0.001 <= greatest(e.ax, e.bx)
+      and least(e.ay, e.by) <= b.y3 + 0.001 and b.y1 - 0.001 <= greatest(e.ay, e.by)
+  where {edge_meets_quad("0.000278")}
+  union all
+  select b.buildingid, f.license_id from fx_buildings b join fx_fcc f
+    on f.x0 <= b.x0 and b.x0 <= f.x1 and f.y0 <= b.y0 and b.y0 <= f.y2
+  where f.kind = 'area' and {in_quad("b.x0", "b.y0", "f.")} and not (f.has_hole = 1 and {_hole})) n"""
 SQL["fcc_buffer_join"] = "select buildingid, count(*) as n from q_near_fcc group by buildingid"
 
 
@@ -340,17 +390,47 @@ def _proper(a: int, b: int, c: int, d: int) -> str:
 
 
 _area = " + ".join(f"((x{i} - x0) * (y{j} - y0) - (x{j} - x0) * (y{i} - y0))" for i, j in ((0, 1), (1, 2), (2, 3), (3, 0)))
+
+
+def _meeting(a: int, b: int, c: int, d: int) -> str:
+    """Where line a-b meets line c-d."""
+    t = (
+        f"(((x{c} - x{a}) * (y{d} - y{c}) - (y{c} - y{a}) * (x{d} - x{c}))"
+        f" / ((x{b} - x{a}) * (y{d} - y{c}) - (y{b} - y{a}) * (x{d} - x{c})))"
+    )
+    return f"{{'x': x{a} + {t} * (x{b} - x{a}), 'y': y{a} + {t} * (y{b} - y{a})}}"
+
+
+def _ring_text(ring: str) -> str:
+    return f"'((' || array_to_string(list_transform(list_concat({ring}, [({ring})[1]]), lambda p: printf('%.9f %.9f', p.x, p.y)), ', ') || '))'"
+
+
+def _triangle(p: str, i: int, j: int) -> str:
+    """Triangle of a meeting point and two corners, counter-clockwise."""
+    return (
+        f"case when ({p}.x - c4[{i}].x) * (c4[{j}].y - c4[{i}].y) - (c4[{j}].x - c4[{i}].x) * ({p}.y - c4[{i}].y) > 0"
+        f" then [c4[{i}], {p}, c4[{j}]] else [{p}, c4[{i}], c4[{j}]] end"
+    )
+
+
 SQL["building_export"] = f"""
 select id, buildingid, name, clli, street, city, state, pop_tf, zip, workorder, security_level, address_notes, building_type,
   legacy_fid, legacy_owner,
-  case when bad then 'Invalid Coordinate' when corners < 3 then 'Too few points in geometry component'
-    when corners = 4 and ({_proper(0, 1, 2, 3)} or {_proper(1, 2, 3, 0)}) or c4[2] = c4[4] or c4[1] = c4[3] then 'Self-intersection' else 'Valid Geometry' end as geom_reason,
-  case when not bad and corners >= 3 then 'POLYGON((' || array_to_string(
-    list_transform(list_concat(ring, [ring[1]]), lambda p: printf('%.9f %.9f', p.x, p.y)), ', ') || '))' end as geom
-from (select *, case when {_area} < 0 then list_reverse(open_ring) else open_ring end as ring
-  from (select *, isnan(x0) or isnan(x1) or isnan(x2) or isnan(x3) or isnan(y0) or isnan(y1) or isnan(y2) or isnan(y3) as bad,
-      list_unique(c4) as corners, case when c4[4] = c4[3] then c4[1:3] else c4 end as open_ring
-    from (select *, [{{'x': x0, 'y': y0}}, {{'x': x1, 'y': y1}}, {{'x': x2, 'y': y2}}, {{'x': x3, 'y': y3}}] as c4 from fx_outlines) a) b) c"""
+  case when bad then 'Invalid Coordinate' when corners < 3 then 'Too few points in geometry component' || printf('[%.9f %.9f]', x0, y0)
+    when place is not null then 'Self-intersection' || printf('[%.9f %.9f]', place.x, place.y) else 'Valid Geometry' end as geom_reason,
+  case when bad or corners < 3 then null when place is null then 'POLYGON' || {_ring_text('ring')}
+    when halves is null then 'MULTIPOLYGON EMPTY'
+    else 'MULTIPOLYGON(' || array_to_string(list_transform(list_sort(list_transform(halves, lambda t:
+      list_concat(t[list_position(t, list_min(t)):], t[:list_position(t, list_min(t)) - 1]))), lambda t: {_ring_text('t')}), ', ') || ')' end as geom
+from (select *, case when {_area} < 0 then list_reverse(open_ring) else open_ring end as ring,
+    case when split = 1 then [{_triangle('place', 2, 3)}, {_triangle('place', 4, 1)}]
+      when split = 2 then [{_triangle('place', 3, 4)}, {_triangle('place', 1, 2)}] end as halves
+  from (select *, case split when 1 then {_meeting(0, 1, 2, 3)} when 2 then {_meeting(1, 2, 3, 0)} when 3 then c4[2] when 4 then c4[1] end as place
+    from (select *, case when corners = 4 and {_proper(0, 1, 2, 3)} then 1 when corners = 4 and {_proper(1, 2, 3, 0)} then 2
+        when c4[2] = c4[4] then 3 when c4[1] = c4[3] then 4 end as split
+      from (select *, isnan(x0) or isnan(x1) or isnan(x2) or isnan(x3) or isnan(y0) or isnan(y1) or isnan(y2) or isnan(y3) as bad,
+          list_unique(c4) as corners, case when c4[4] = c4[3] then c4[1:3] else c4 end as open_ring
+        from (select *, [{{'x': x0, 'y': y0}}, {{'x': x1, 'y': y1}}, {{'x': x2, 'y': y2}}, {{'x': x3, 'y': y3}}] as c4 from fx_outlines) a) b) c) d) e"""
 
 # ---------------------------------------------------------------- links
 
@@ -506,6 +586,29 @@ def label(value: str) -> str:
 SQL["path_clearance"] = f"""
 select profile_id, height, {half_up('total', 6)} as min_clearance, {label('total')} as clearance_score
 from (select m.profile_id, m.height, c.clearance + m.height as total from fx_masts m left join q_clearance c using (profile_id)) t"""
+_flat = f"(1 - {F})"
+CTES["q_path_points"] = f"""
+select site_id, id, height, k, (degrees(atan2(y, x)) + 74.1163778) / 0.0025 as gx,
+  (degrees(atan(z / ({_flat} * sqrt(x * x + y * y)))) - 40.7390831) / 0.0025 as gy
+from (select *, p * cos(b1) * cos(l1) + q * cos(b2) * cos(l2) as x, p * cos(b1) * sin(l1) + q * cos(b2) * sin(l2) as y, p * sin(b1) + q * sin(b2) as z
+  from (select *, case when arc = 0 then 1 - k / 199.0 else sin((1 - k / 199.0) * arc) / sin(arc) end as p,
+      case when arc = 0 then k / 199.0 else sin(k / 199.0 * arc) / sin(arc) end as q
+    from (select *, 2 * asin(sqrt(pow(sin((b2 - b1) / 2), 2) + cos(b1) * cos(b2) * pow(sin((l2 - l1) / 2), 2))) as arc
+      from (select t.site_id, t.id, coalesce(t.height, 30) as height, radians(s.lon) as l1, radians(t.long) as l2,
+          atan({_flat} * tan(radians(s.lat))) as b1, atan({_flat} * tan(radians(t.lat))) as b2
+        from q_towers_all t join q_src s using (site_id)) a) b, (select cast(unnest(range(200)) as double) as k) c) d) e"""
+CTES["q_path_samples"] = """
+select site_id, id, height, k, case when count(elev) = 4 then sum(weight * elev) end as e
+from (select p.*, t.elev, case c.i when 0 then 1 - (gy - floor(gy)) else gy - floor(gy) end * case c.j when 0 then 1 - (gx - floor(gx)) else gx - floor(gx) end as weight
+  from q_path_points p, (values (0, 0), (0, 1), (1, 0), (1, 1)) as c(i, j)
+  left join fx_posts t on t.row = floor(gy) + c.i and t.col = floor(gx) + c.j) w
+group by site_id, id, height, k"""
+SQL["terrain_clearance"] = f"""
+select site_id, id, height, {half_up('total', 6)} as min_clearance, {label('total')} as clearance_score
+from (select site_id, id, height, case when count(e) = 200 then min(e0 + k * (e1 - e0) / 199 - e) + height end as total
+  from (select *, first_value(e) over w as e0, last_value(e) over w as e1 from q_path_samples
+    window w as (partition by site_id, id order by k rows between unbounded preceding and unbounded following)) p
+  group by site_id, id, height) t"""
 SQL["elevation_profile"] = """
 select profile_id, cast(count(*) as int) as n, string_agg(printf('%.3f', elev), ',' order by sample_idx) as elevations
 from fx_profiles group by profile_id"""

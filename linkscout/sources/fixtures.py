@@ -72,11 +72,17 @@ select 'B' || cast(c_custkey as string) as clli,
   {_pick('c_custkey', 'TYPE II', 'ON-NET', 'OFF-NET (Restricted)', None, '13', 'NEAR-NET')} as on_net_status
 from {{customer}}"""
 
+# Licences: points, lines of three corners, and areas of four, a third of which have a hole of half their size.
 VIEWS["fx_fcc"] = f"""
-select o_orderkey as license_id,
-  {_lon('o_custkey')} + ((o_orderkey * 31) % 201 - 100) * cast(0.000005 as double) as lon,
-  {_lat('o_custkey')} + ((o_orderkey * 17) % 201 - 100) * cast(0.000005 as double) as lat
-from {{orders}}"""
+select license_id, lon, lat, kind, case when kind = 'area' and license_id % 3 = 0 then 1 else 0 end as has_hole,
+  lon - w as x0, lat - h as y0, lon + w as x1, case when kind = 'line' then lat + h * 0.3 else lat - h * 0.8 end as y1,
+  case when kind = 'line' then lon + w * 0.2 else lon + w * 0.9 end as x2, lat + h as y2, lon - w * 0.7 as x3, lat + h * 0.9 as y3
+from (select o_orderkey as license_id, {_pick('o_orderkey', 'point', 'point', 'point', 'line', 'point', 'area', 'point', 'point', None, 'point')} as kind,
+    {_lon('o_custkey')} + ((o_orderkey * 31) % 201 - 100) * cast(0.000005 as double) as lon,
+    {_lat('o_custkey')} + ((o_orderkey * 17) % 201 - 100) * cast(0.000005 as double) as lat,
+    case when o_orderkey % 500 in (5, 13) then cast(0.02 as double) else (1 + o_custkey % 20) * cast(0.00013 as double) end as w,
+    case when o_orderkey % 500 in (5, 13) then cast(0.017 as double) else (1 + o_custkey % 17) * cast(0.00011 as double) end as h
+  from {{orders}}) o"""
 
 VIEWS["fx_asd"] = f"""
 select cast(o_orderkey as string) as mastersiteid, {_lon('o_orderkey')} as lon, {_lat('o_orderkey')} as lat,
@@ -85,7 +91,7 @@ select cast(o_orderkey as string) as mastersiteid, {_lon('o_orderkey')} as lon,
   o_orderstatus as macrodealstatus, 'ASD ' || cast(o_orderkey as string) as sourcesitename,
   'Street ' || cast(o_custkey as string) as streetaddress, 'City' as city, 'NY' as state,
   {_pick('o_custkey', 'TW', 'RT', 'DN', None)} as structuretype, floor(o_totalprice / 10) / 10 as fiberdistance
-from {{orders}} where o_orderkey % 2 = 1"""
+from {{orders}}"""
 
 VIEWS["fx_mgt"] = f"""
 select o_orderkey as esri_prinx,
@@ -95,7 +101,7 @@ select o_orderkey as esri_prinx,
   case when o_orderkey % 4 = 0 then null else cast(50 + o_orderkey % 300 as double) end as bld_hgt_num,
   o_orderpriority as partner, 'MGT ' || cast(o_orderkey as string) as alt_site_name, 'City' as city, 'NY' as state,
   {_pick('o_custkey', 'RT', 'TW', 'OF')} as bu_type, floor(o_totalprice / 5) / 10 as nearest_cci_any_fib_dist_m
-from {{orders}} where o_orderkey % 2 = 0"""
+from {{orders}}"""
 
 VIEWS["fx_cci_sites"] = f"""
 select cast(800000 + c_custkey as string) as s_bus_unit, {_lon('c_custkey * 3 + 1')} as s_long_dec,
@@ -186,6 +192,11 @@ select cast((event_id - event_id % 64) / 64 as bigint) as profile_id, cast(event
   value * 12 as elev
 from {events}"""
 
+# Posts of a terrain grid, 100 to a row; rows lie north and south of the middle in turn. One in 400 is missing.
+VIEWS["fx_posts"] = """
+select cast(case when r % 2 = 0 then r / 2 else -(r + 1) / 2 end as bigint) as row, cast(event_id % 100 as bigint) as col, value * 3 as elev
+from (select event_id, value, floor(event_id / 100) as r from {events}) e where event_id % 400 <> 111"""
+
 VIEWS["fx_masts"] = """
 select distinct cast((event_id - event_id % 64) / 64 as bigint) as profile_id,
   cast(10 + cast((event_id - event_id % 64) / 64 as bigint) % 50 as double) as height
@@ -197,8 +208,8 @@ select candidate_type, id, 'ANT' || cast(h % 4 as string) as antenna,
   (h % 41) / cast(4 as double) as link_margin, 'EH-8010' as model, 'QAM' || cast(h % 3 as string) as modulation
 from (select 'ospi' as candidate_type, cast(p_partkey as string) as id, p_partkey as h from {{part}}
   union all select 'cci_sites', cast(800000 + c_custkey as string), c_custkey from {{customer}}
-  union all select 're_asd', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 2 = 1
-  union all select 're_mgt', cast(o_orderkey as string), o_orderkey from {{orders}} where o_orderkey % 2 = 0) t"""
+  union all select 're_asd', cast(o_orderkey as string), o_orderkey from {{orders}}
+  union all select 're_mgt', cast(o_orderkey as string), o_orderkey from {{orders}}) t"""
 
 # Replies of the link-budget and elevation services as they were stored, one text per candidate and path.
 VIEWS["fx_link_replies"] = """

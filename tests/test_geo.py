@@ -66,18 +66,6 @@ def test_cardinal_vertices(spark):
     assert {(r.vertex, r.lon, r.lat) for r in got} == {("N", 0, 1), ("S", 0, -1), ("E", 2, 0), ("W", -2, 0)}
 
 
-def test_validity(spark):
-    bow = [(0.0, 0.0), (1.0, 1.0), (1.0, 0.0), (0.0, 1.0)]
-    line = [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]
-    bad = [(0.0, 0.0), (float("nan"), 1.0), (1.0, 1.0)]
-    got = {r.i: r for r in geo.with_validity(rings(spark, SQUARE, bow, line, bad), "ring", "why", "fixed").collect()}
-    assert [got[i].why for i in range(4)] == [
-        "Valid Geometry", "Self-intersection", "Too few points in geometry component", "Invalid Coordinate",
-    ]
-    assert got[0].fixed[0] == got[0].fixed[-1] and len(got[0].fixed) == 5
-    assert got[2].fixed is None and got[3].fixed is None
-
-
 def test_line_length(spark):
     # One degree of latitude at the equator, one degree of longitude on it, and no distance at all (known values).
     rows = [(0.0, 0.0, 0.0, 1.0, 110574.39), (0.0, 0.0, 1.0, 0.0, 111319.49), (5.0, 5.0, 5.0, 5.0, 0.0), (None, 0.0, 1.0, 1.0, None)]

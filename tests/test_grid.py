@@ -120,8 +120,16 @@ def test_skewed_join(spark):
         salted = skew.skewed_join(left, right, ["k"], how, rows_per_task=100)
         assert sorted(salted.select("k", "l", "r").collect(), key=str) == sorted(plain.select("k", "l", "r").collect(), key=str)
     # Salts follow the counted rows of either side.
-    hot = skew.hot_keys(left, right.union(right).where("k = 9").crossJoin(spark.range(50)).select("k", "r"), ["k"], True, 100)
+    many = right.union(right).where("k = 9").crossJoin(spark.range(50)).select("k", "r")
+    counts = [skew.key_counts(df, ["k"]) for df in (left, many, right)]
+    hot = skew.hot_keys((counts[0], counts[1]), ["k"], 100)
     assert {r.k: (r._a, r._b) for r in hot.collect()} == {7: (11, 1), 9: (1, 2)}
+    assert skew.hot_keys((counts[0], counts[2]), ["k"], 2000) is None
+    # Without a hot key nothing is split, and rows without a key still do not meet.
+    plain = skew.skewed_join(left, right, ["k"], rows_per_task=5000)
+    assert "explode" not in plain._jdf.queryExecution().optimizedPlan().toString().lower()
+    loose = skew.skewed_join(left, right, ["k"], "left", rows_per_task=5000)
+    assert sorted(loose.select("k", "l", "r").collect(), key=str) == sorted(left.join(right, "k", "left").select("k", "l", "r").collect(), key=str)
 
 
 def test_bad_corners_have_no_cells(spark):
