@@ -8,9 +8,10 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkscout.llm.common import let
 from linkscout.llm.reputation import host
 from linkscout.operators.storage import materialise
 
@@ -30,7 +31,7 @@ SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",)}
 #: Elements that are never main text.
 DROPPED = frozenset(
     "head title script style noscript template nav menu header footer aside form button select textarea input label option "
-    "fieldset dialog iframe object embed svg canvas audio video map math search".split()
+    "fieldset dialog iframe object embed svg canvas audio video map search".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words in class or id that mark an element as boilerplate.
@@ -41,23 +42,51 @@ MARKS = frozenset(
     "share sharing social related recommended comment comments commentlist respond disqus reply replies discussion widget "
     "pagination pager copyright disclaimer paywall skip".split()
 )
-WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Inside an article or main element a name must be made of marks and these words alone, and these marks alone say nothing
+#: there: they may as well name parts of the text.
+PLAIN = frozenset(
+    "area bar block body box btn button card column container content el element group holder inner item items list module "
+    "outer panel row section slot top bottom left right site page unit view widget wrap wrapper js".split()
+)
+AMBIGUOUS = frozenset(
+    "aside banner copyright disclaimer discussion header menu promotion rail related reply replies respond skip social widget".split()
+)
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SPACE = re.compile(r"\s+")
-#: Text that flows: repeated subtrees of these elements are kept inside the main part.
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Text that flows. Inside the main part it is a template only on a larger share of a host's articles, and only where less than
+#: half of a page's text would go, as pages that differ little from each other share their text and no template. Headings
+#: never are, nor texts of fewer words.
+PROSE = frozenset("p blockquote pre li dt dd td th figcaption".split())
+PROSE_WORDS = 4
 
 
 class Element:
-    __slots__ = ("tag", "dropped", "children", "parent")
+    __slots__ = ("tag", "dropped", "children", "parent", "inside")
 
     def __init__(self, tag: str, dropped: bool, parent: Element | None):
         self.tag, self.dropped, self.parent = tag, dropped, parent
         self.children: list[Element | str] = []
+        self.inside: bool = tag in ("article", "main") or parent is not None and parent.inside
+
+
+def names_boilerplate(value: str, inside: bool) -> bool:
+    """Whether a class or id marks an element: by any word on a page, by whole names inside the main part."""
+    if not inside:
+        return not MARKS.isdisjoint(w.lower() for w in WORD.findall(value))
+    for name in value.split():
+        found = {w.lower() for w in WORD.findall(name) if not w.isdigit()}
+        if found and found <= MARKS | PLAIN and not found <= AMBIGUOUS | PLAIN:
+            return True
+    return False
+
 
+def marked(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
+    """Whether an element is boilerplate by its name, role, visibility, class or id.
 
-def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element is boilerplate by its name, role, visibility, class or id."""
-    if tag in DROPPED:
+    A header inside the main part is not: its headings are the article's own.
+    """
+    if tag in DROPPED and not (inside and tag == "header"):
         return True
     for name, value in attrs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -67,7 +96,7 @@ def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if name in ("class", "id") and value and tag not in ("html", "body", "article", "main"):
-            if not MARKS.isdisjoint(w.lower() for w in WORD.findall(value)):
+            if names_boilerplate(value, inside):
                 return True
     return False
 
@@ -99,7 +128,7 @@ class Builder(HTMLParser):
             stop = SCOPE.get(tag, ("table",))
             for _ in range(3):
                 self.leave(CLOSES[tag], stop)
-        e = Element(tag, marked(tag, attrs), self.at)
+        e = Element(tag, marked(tag, attrs, self.at.inside), self.at)
         self.at.children.append(e)
         if tag not in VOID:
             self.at = e
@@ -146,11 +175,17 @@ def main_parts(root: Element) -> list[tuple[Element, bool]]:
     return [(root, False)]
 
 
+def subtree(tag: str, texts: list[str], prose: bool) -> int:
+    """Hash of a subtree by its element and texts; odd for prose, even for containers."""
+    h = xxhash.xxh64_intdigest("\x00".join([tag, *texts])) - (1 << 63)
+    return h | 1 if prose else h & ~1
+
+
 def blocks(root: Element) -> list[tuple[str, list[int]]]:
     """Text blocks of the main part in page order, each with the hashes of the subtrees around it that may be template.
 
-    A block ends where a block element starts or ends. Inside an article or main element only containers may be template;
-    on a page without one, any element.
+    A block ends where a block element starts or ends. Every block element around it counts, but for headings and short prose
+    inside an article or main element. A header there gives its headings.
     """
     out: list[tuple[str, list[int]]] = []
     for part, found in main_parts(root):
@@ -164,29 +199,31 @@ def blocks(root: Element) -> list[tuple[str, list[int]]]:
             if text:
                 texts.append(text)
 
-        # Walked with a list, as pages may nest deeper than Python does.
-        todo: list[tuple[Element | str, int | None]] = [(part, None)]
+        # Walked with a list, as pages may nest deeper than Python does. Inside a header, text waits for a heading.
+        todo: list[tuple[Element | str, int | None, bool]] = [(part, None, True)]
         while todo:
-            node, began = todo.pop()
+            node, began, taken = todo.pop()
             if isinstance(node, str):
-                inline.append(node)
+                inline.append(node if taken else " ")
             elif began is not None:
                 if node.tag in BLOCK:
                     flush()
-                    if node is not part and node.tag not in ("html", "body") and not (found and node.tag in PROSE):
+                    if node is not part and node.tag not in ("html", "body") and not (found and node.tag in HEADINGS):
                         spans.append((began, len(texts), node))
             elif node.tag == "br":
                 inline.append(" ")
             elif not node.dropped:
                 if node.tag in BLOCK:
                     flush()
-                todo.append((node, len(texts)))
-                todo.extend((c, None) for c in reversed(node.children))
+                taken = taken and node.tag != "header" or node.tag in HEADINGS
+                todo.append((node, len(texts), taken))
+                todo.extend((c, None, taken) for c in reversed(node.children))
         flush()
         around: list[list[int]] = [[] for _ in texts]
         for a, b, node in spans:
-            if a < b and b - a < len(texts):
-                h = xxhash.xxh64_intdigest("\x00".join([node.tag, *texts[a:b]])) - (1 << 63)
+            prose = found and node.tag in PROSE
+            if a < b and b - a < len(texts) and not (prose and sum(len(t.split()) for t in texts[a:b]) < PROSE_WORDS):
+                h = subtree(node.tag, texts[a:b], prose)
                 for i in range(a, b):
                     around[i].append(h)
         out.extend(zip(texts, around, strict=True))
@@ -219,35 +256,49 @@ def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
 
 
-def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """From ``(host, article, around)``, ``(host, h)``: subtrees that stand on at least ``min_pages`` different articles of a host and ``min_share`` of them.
+def templates(pages: DataFrame, min_pages: int, min_share: float, prose_share: float) -> DataFrame:
+    """From ``(host, article, around)``, ``(host, h)``: subtrees that stand on at least ``min_pages`` different articles of a host and on
+    ``min_share`` of them, prose on ``prose_share``.
 
     Different articles are counted, so copies of one page do not make its text a template. Counts are combined in each task.
     """
     articles = pages.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
     seen = pages.select("host", "article", F.explode("around").alias("h")).distinct()
     counts = seen.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    return counts.join(articles, "host").where(F.col("n") >= F.lit(min_share) * F.col("articles")).select("host", "h")
+    share = F.when(F.col("h") % 2 == 0, F.lit(min_share)).otherwise(F.lit(prose_share))
+    return counts.join(articles, "host").where(F.col("n") >= share * F.col("articles")).select("host", "h")
 
 
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 5,
-    min_share: float = 0.5,
+    min_share: float = 0.5, prose_share: float = 0.75,
 ) -> DataFrame:
     """``(page_id, url, text)`` per row of ``pages``: the blocks of the main part, joined by an empty line.
 
     Elements that are boilerplate by name, role, class or id go; of what is left, subtrees that recur on many different
-    pages of the host go. Null or empty html gives an empty text; pages with a null url are one host. Repeated rows are
-    kept. Other columns are not read. Pages are parsed twice, for the counts and for the text, as hashes are small to keep
-    and texts are not.
+    pages of the host go, prose only where it is less than half of the page. Null or empty html gives an empty text; pages with a
+    null url are one host. Repeated rows are kept. Other columns are not read. Pages are parsed twice, for the counts and for the
+    text, as hashes are small to keep and texts are not; the pages that hold a template are written, so where they are few the
+    texts meet them without a shuffle.
     """
     rows = parsed(pages, id_col, url_col, html_col)
     around = F.array_distinct(F.flatten("blocks.around")).alias("around")
     seen = materialise(rows.select("row", "host", "article", around))
     own = seen.select("row", "host", F.explode("around").alias("h"))
-    repeated = own.join(templates(seen, min_pages, min_share), ["host", "h"]).groupBy("row").agg(F.collect_set("h").alias("template"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b.getField("around"), F.col("template")))
-    chosen = F.when(F.col("template").isNull(), F.col("blocks")).otherwise(kept)
+    found = own.join(templates(seen, min_pages, min_share, prose_share), ["host", "h"])
+    repeated = materialise(found.groupBy("row").agg(F.collect_set("h").alias("template")))
+
+    def without(kind: int, listed: Column) -> Column:
+        hashes = F.filter("template", lambda h: F.pmod(h, F.lit(2)) == kind)
+        return F.filter(listed, lambda b: ~F.arrays_overlap(b.getField("around"), hashes))
+
+    def size(listed: Column) -> Column:
+        return F.aggregate(listed, F.lit(0).cast("long"), lambda n, b: n + F.length(b.getField("text")))
+
+    def chosen(listed: Column) -> Column:
+        return let(without(1, listed), lambda rest: F.when(2 * size(rest) > size(listed), rest).otherwise(listed))
+
+    kept = F.when(F.col("template").isNull(), F.col("blocks")).otherwise(let(without(0, F.col("blocks")), chosen))
     return rows.join(repeated, "row", "left").select(
-        "page_id", "url", F.array_join(F.transform(chosen, lambda b: b.getField("text")), "\n\n").alias("text")
+        "page_id", "url", F.array_join(F.transform(kept, lambda b: b.getField("text")), "\n\n").alias("text")
     )
