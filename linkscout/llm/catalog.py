@@ -79,7 +79,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.new_folder(spark, "warc")
-    warc.write(table(spark, sf_dir, "pages"), folder)
+    warc.write(table(spark, sf_dir, "pages"), folder, compression="none")
     return warc.resolved(warc.read(spark, folder))
 
 

@@ -80,12 +80,13 @@ def write(
     revisits of it; rows of the same smallest id, as of repeated rows, are all responses, and so are rows without an id.
     A null html is an empty payload; a null url or id leaves its header out. Records end with the blank lines that
     Spark's text writer puts after each row, so files are plain WARC, compressed whole; with ``compression`` "none" they can
-    be read in splits.
+    be read in splits. Payloads that occur twice are listed first, by digest; where these are few, the rows meet them
+    without a shuffle of their bytes.
     """
     rows = digests(pages, id_col, url_col, html_col)
-    first = rows.where(F.octet_length("payload") >= min_revisit).groupBy("sha").agg(
-        F.min("page_id").alias("first_page"), F.min_by("url", "page_id").alias("first_url")
-    )
+    first = materialise(rows.where(F.octet_length("payload") >= min_revisit).groupBy("sha").agg(
+        F.min("page_id").alias("first_page"), F.min_by("url", "page_id").alias("first_url"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1").drop("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
