@@ -53,13 +53,16 @@ def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     out = reputation.judge(table(spark, sf_dir, "pages"), outcomes)
-    return out.select("page_id", "host", "path", "rule", "verdict")
+    return out.select(
+        "page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad",
+        *[(F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c) for c in ("mean", "bound")],
+    )
 
 
 @query
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, summary = mixing.mix(table(spark, sf_dir, "documents"))
-    return summary.select("doc_id", "size", "source_size", "target", "taken")
+    return summary.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 @query

@@ -35,6 +35,8 @@ SHORT_ITEM = 8
 FIT_DOCUMENTS = 2000
 FIT_PASSAGES = 16
 BLOCK_ITEMS = 1000
+#: Blocks of items that one plan goes through.
+PASS_BLOCKS = 8
 
 
 def window_of(n: int) -> tuple[int, int]:
@@ -316,8 +318,8 @@ def find_leaks(
 
     Windows of every text near an item's window in the latent space, of its own length if that is short, are compared with the item: enough of its words must
     occur in order, and enough of its answer's. Statistics cover the whole corpus; the latent space is fitted on a bounded
-    sample. Benchmark items are taken in blocks, each of which goes over all texts without a shuffle. Letters A-Z are
-    lower-cased.
+    sample. Benchmark items are taken in blocks, each of which goes over all texts without a shuffle; after PASS_BLOCKS blocks
+    the rows are written, so neither the plan nor what the driver holds grows with the benchmark. Letters A-Z are lower-cased.
 
     Null and empty texts hold no item; null and empty items are in no text; items of equal text are all reported. Items
     are listed by id. Repeated rows are kept; other columns of ``docs`` are not read.
@@ -326,7 +328,9 @@ def find_leaks(
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_raw")
     empty = F.array().cast("array<struct<item:bigint,share:double>>").alias("_leaks")
     rows = docs.select(F.col(id_col).alias("_id"), raw, empty, *[F.col(c) for c in keep])
-    for block in blocks(benchmark, item_col, item_text_col, answer_col):
+    for i, block in enumerate(blocks(benchmark, item_col, item_text_col, answer_col)):
+        if i and i % PASS_BLOCKS == 0:
+            rows = materialise(rows)
 
         def run(batches: Iterator[pa.RecordBatch], block: list[Item] = block) -> Iterator[pa.RecordBatch]:
             index = Index(block, vectors)

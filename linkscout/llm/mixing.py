@@ -12,7 +12,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2
 BLOCK_WORDS = 1000
-#: Blocks grow beyond BLOCK_WORDS so that a schedule has at most about this many slots.
+#: Blocks grow beyond BLOCK_WORDS where a schedule would have more slots than about this: points of RANGE places tell no more apart.
 MOST_SLOTS = 1 << 27
 #: Points of the schedule are ``i * STEP mod RANGE`` with STEP / RANGE near the golden ratio, exact in whole numbers.
 RANGE = 1 << 31
@@ -20,12 +20,16 @@ STEP = 1327217885
 CHUNK = 1 << 16
 
 
+def turn(id_col: str, text_col: str) -> Column:
+    """A row's place in the shuffle of its source, by id and text."""
+    return F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     text = F.col(text_col)
-    order = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.md5(F.coalesce(text, F.lit("")))))
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.size(words(text)).cast("long").alias("size"),
-        order.alias("turn"),
+        turn(id_col, text_col).alias("turn"),
     )
 
 
@@ -70,7 +74,7 @@ def starts(rows: DataFrame) -> DataFrame:
     inside = Window.partitionBy("s", "part").orderBy("turn", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     return ranged.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(base, ["s", "part"]).withColumn(
         "start", F.col("base") + F.col("inside")
-    ).drop("part", "inside", "base", "turn")
+    ).drop("part", "inside", "base")
 
 
 def schedule(sources: DataFrame) -> DataFrame:
@@ -118,7 +122,8 @@ def mix(
     """The mixed order and its summary.
 
     The order has ``(slot, source place s, block, doc_id, start, from_word, n_taken)``: which words of which row stand at
-    which slot. The summary has ``(doc_id, source, size, source_size, target, taken)`` per row of ``docs``. A source gives
+    which slot. The summary has ``(doc_id, source, turn, size, source_size, target, taken, first_slot)`` per row of ``docs``, the last
+    null for rows that give nothing. A source gives
     its target to the word: the blocks of its shuffled words, repeated from the start until the target is reached, the
     last one cut there. No row gives more than ``most`` times its words.
 
@@ -133,8 +138,11 @@ def mix(
     block = F.lit(max(block_words, -(-total // MOST_SLOTS)))
     slots = schedule(aims.select("s", F.ceil(F.floor("target") / block).alias("blocks")))
     order = block_rows(placed, block).join(slots, ["s", "block"])
-    taken = order.groupBy("s", "start").agg(F.sum("n_taken").alias("taken"))
+    taken = order.groupBy("s", "start").agg(F.sum("n_taken").alias("taken"), F.min("slot").alias("first_slot"))
     # An empty row stands where the next one starts.
     given = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
-    summary = placed.join(taken, ["s", "start"], "left").select("doc_id", "source", "size", "source_size", "target", given.alias("taken"))
+    slot = F.when(F.col("size") > 0, F.col("first_slot")).alias("first_slot")
+    summary = placed.join(taken, ["s", "start"], "left").select(
+        "doc_id", "source", "turn", "size", "source_size", "target", given.alias("taken"), slot
+    )
     return order, summary

@@ -68,15 +68,17 @@ rated as (
         else 1000.0 end else 10.0 end, pn - n + pk) as k
     from h0 t, h1
 ),
-p3 as (select host, (x + k * prior) / (n + k) as mean, n + k as weight from rated),
+p3 as (select host, n, x, (x + k * prior) / (n + k) as mean, n + k as weight from rated),
+p4 as (select *, mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) as bound from p3),
 rules as (select * from (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) as r(rh, rp, v)),
 fits as (
     select page_id, url, rh || rp as rule, v, row_number() over (partition by page_id, url order by length(rh || rp) desc) as best
     from (select distinct page_id, url, host, path from urls) join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp)
 )
 select u.page_id, u.host, u.path, f.rule,
-    coalesce(f.v, case when p3.mean - 1.645 * sqrt(p3.mean * (1 - p3.mean) / (p3.weight + 1)) > 0.5 then 'block' else 'allow' end) as verdict
-from urls u join p3 using (host) left join (select * from fits where best = 1) f on f.page_id = u.page_id and f.url = u.url
+    coalesce(f.v, case when bound > 0.5 then 'block' else 'allow' end) as verdict, n::bigint as n_labelled, x::bigint as n_bad,
+    floor(mean * 1e6 + 0.5) / 1e6 as mean, floor(bound * 1e6 + 0.5) / 1e6 as bound
+from urls u join p4 using (host) left join (select * from fits where best = 1) f on f.page_id = u.page_id and f.url = u.url
 """
 
 SQL["op6_source_mix"] = r"""
@@ -100,10 +102,22 @@ placed as (
     select doc_id, d.source, size, source_size, target,
         coalesce(sum(size) over (partition by d.source order by turn, doc_id, size rows between unbounded preceding and 1 preceding), 0) as start
     from docs d join aims a on a.source is not distinct from d.source
+),
+blocks as (select source, floor(target)::bigint as words, (floor(target)::bigint + 999) // 1000 as n from aims),
+bases as (
+    select source, n, coalesce(sum(n) over (order by source nulls last rows between unbounded preceding and 1 preceding), 0)::bigint as base
+    from blocks
+),
+total as (select coalesce(sum(n), 0)::bigint as total from blocks),
+points as (select i as slot, (i * 1327217885) % 2147483648 * total // 2147483648 as part from total, (select unnest(range((select 2 * total + 2 from total))) as i)),
+slots as (
+    select source, slot, row_number() over (partition by source order by slot) - 1 as block
+    from (select part, min(slot) as slot from points group by part) join bases on part >= base and part < base + n
 )
 select doc_id, size::bigint as size, source_size, target,
-    (least(greatest(floor(target) - start, 0), size) + least(greatest(floor(target) - source_size - start, 0), size))::bigint as taken
-from placed
+    (least(greatest(floor(target) - start, 0), size) + least(greatest(floor(target) - source_size - start, 0), size))::bigint as taken,
+    case when size > 0 and start < floor(target) then slot end as first_slot
+from placed p left join slots s on s.source is not distinct from p.source and s.block = start // 1000
 """
 
 SQL["op10_warc"] = r"""

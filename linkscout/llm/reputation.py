@@ -108,7 +108,7 @@ def judge(
     pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] = RULES, max_bad: float = MAX_BAD,
     id_col: str = "page_id", url_col: str = "url",
 ) -> DataFrame:
-    """``(page_id, url, host, path, rule, verdict, mean, bound)`` per row of ``pages``.
+    """``(page_id, url, host, path, rule, verdict, n_labelled, n_bad, mean, bound)`` per row of ``pages``.
 
     The longest fitting rule decides; elsewhere a page is blocked if its host's lower posterior bound of the bad share is
     above ``max_bad``. Null urls, and those without ``://``, have an empty host and path and share that host's reputation.
@@ -121,5 +121,6 @@ def judge(
     by_method = F.when((F.col("n") >= 0) & (F.col("bound") > max_bad), "block").otherwise("allow")
     by_rule = rule(F.col("host"), F.col("path"), rules, 1)
     return named.join(rated, "host", "left").withColumn("verdict", F.coalesce(by_rule, by_method)).select(
-        "page_id", "url", "host", "path", "rule", "verdict", "mean", "bound"
+        "page_id", "url", "host", "path", "rule", "verdict", F.col("n").alias("n_labelled"), F.col("x").cast("long").alias("n_bad"),
+        "mean", "bound",
     )
