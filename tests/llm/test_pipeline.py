@@ -70,6 +70,22 @@ def test_source_mix(kept):
         taken[r.source] += r.taken
         assert 0 < r.taken <= 2 * r.size
     assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    rows, texts_ = kept[5].collect(), texts(kept[4])
+    assert all(r.text == texts_[r.doc_id] for r in rows)
+    ordered = [r.first_slot for r in corpus_pipeline.source_mix(kept[4].sparkSession, kept[4], "").collect()]
+    assert ordered == sorted(ordered) and len(set(ordered)) > 10
+
+
+def test_near_duplicates_of_repeated_ids(spark, sf_dir):
+    """Rows that share an id are told apart by their text, and a copy goes also where its id stays for another text."""
+    a, b = (" ".join(f"{p}{i}" for i in range(300)) for p in "ab")
+    rows = [(3, a), (9, a), (9, b), (9, b), (12, b), (None, a), (None, "alone " * 60), (20, None), (21, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()), key=str)
+    hashed = spark.range(1).select(F.xxhash64(F.lit(a)), F.xxhash64(F.lit("alone " * 60))).first()
+    # A row without an id goes by a hash of its text, which may be the smallest of its group.
+    first = (None, a) if hashed[0] < 3 else (3, a)
+    assert out == sorted([first, (9, b), (None, "alone " * 60), (20, None)], key=str)
 
 
 @pytest.mark.parametrize("frame", ["hard", "empty"])
