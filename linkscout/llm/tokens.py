@@ -34,13 +34,15 @@ FILE_IDS = 1 << 24
 SLICE = 4 << 20
 #: Words whose ids a worker remembers.
 MOST_WORDS = 1 << 19
+JOINED = 64
 LEVEL = 3
 
 
 class Encoder:
     """Ids of texts by a tokenizer that never joins words across the six white space characters of ``bytes.split``.
 
-    Each different word of some texts is encoded once by the library. Words are remembered up to MOST_WORDS; later ones are
+    Each different word of some texts is encoded once by the library, JOINED words in one call with a special token between
+    them, where the tokenizer has one that stands for itself alone. Words are remembered up to MOST_WORDS; later ones are
     encoded whenever they come.
     """
 
@@ -52,6 +54,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.known: dict[str, bytes] = {}
+        self.added = self.tokenizer.get_added_tokens_decoder()
+        alone = [i for i, t in self.added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.mark = min(alone, default=None)
 
     @classmethod
     def of(cls, definition: str) -> Encoder:
@@ -60,12 +65,30 @@ class Encoder:
             cls._ready = {definition: cls(definition)}
         return cls._ready[definition]
 
+    def fresh(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of words that hold no added token, in order."""
+        if self.mark is None:
+            for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+                yield np.array(e.ids, dtype="<u4").tobytes()
+            return
+        between = self.added[self.mark].content
+        joined = [between.join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(e.ids, dtype="<u4")
+            raw, marks = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
+            yield from (raw[a:b] for a, b in zip([0, *[m + 4 for m in marks]], [*marks, len(raw)], strict=True))
+
     def pieces(self, found: list[str]) -> list[bytes]:
         new, late = [w for w in found if w not in self.known], {}
+        contents = [t.content for t in self.added.values()]
+        odd = {w for w in new if any(c in w for c in contents)}
+        new = [w for w in new if w not in odd]
+        for w in odd:
+            late[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
         for i in range(0, len(new), 1 << 14):
             some = new[i : i + (1 << 14)]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                (self.known if len(self.known) < MOST_WORDS else late)[w] = np.array(e.ids, dtype="<u4").tobytes()
+            for w, raw in zip(some, self.fresh(some), strict=True):
+                (self.known if len(self.known) < MOST_WORDS else late)[w] = raw
         return [self.known[w] if w in self.known else late[w] for w in found]
 
     def encode(self, text: pa.Array, end_id: int) -> list[np.ndarray]:
