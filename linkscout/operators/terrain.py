@@ -83,7 +83,7 @@ def with_path_points(df: DataFrame, a: tuple[str, str], b: tuple[str, str], out:
         df,
         ["*", *ends],
         [*keep, *vector],
-        ["*", once("_arc", arc)],
+        ["*", once("_arc", f"if(_x0 + _x1 is null, null, {arc})")],
         [*keep, "_arc", once("_turned", f"if(_arc is null, null, {turned})")],
         [*keep, once(out, degrees)],
     )

@@ -11,6 +11,7 @@ from linkscout.functions import colours, geo, text
 from linkscout.operators import (
     buildings as bld, classify, enrich, grid, links, outputs, parameters, rank, ranker, search, terrain,
 )
+from linkscout.operators.skew import key_counts
 from linkscout.operators.storage import materialise
 from linkscout.plans import site_search
 from linkscout.sources import readers
@@ -603,7 +604,7 @@ def link_public_view(d: Data) -> DataFrame:
 def disjunctive_join(d: Data) -> DataFrame:
     known = d["buildings"].where("name is not null").select("buildingid", "name")
     joined = links.either_name_join(
-        d["circuits"], known, known.select("name").distinct(), "a_location_clli",
+        d["circuits"], known, materialise(key_counts(known, ["name"])), "a_location_clli",
         links.name_part(F.col("name"), links.A_PART), {"buildingid": "buildingid"},
     )
     return joined.select("circuit_id", "buildingid")

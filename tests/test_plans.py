@@ -18,6 +18,17 @@ def test_no_all_pairs_join(spark, sf_dir, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("name,table,scans,all_scans", [
+    ("roof_points", "part.parquet", 1, 3), ("link_view", "part.parquet", 1, 3), ("disjunctive_join", "part.parquet", 1, 3),
+    ("fcc_buffer_join", "orders.parquet", 0, 12), ("building_rank_all", "orders.parquet", 0, 14), ("path_clearance", "events.parquet", 2, 3),
+])
+def test_inputs_are_read_once(spark, sf_dir, name, table, scans, all_scans):
+    """Joins count their keys when they are built; the plan that is left reads each base table once and what was written."""
+    plan = physical(catalog.QUERIES[name](spark, sf_dir)).split("== Initial Plan ==")[0]
+    assert sum(table in line for line in plan.splitlines() if "FileScan" in line) <= scans
+    assert plan.count("FileScan") <= all_scans
+
+
 def test_report_reads_only_its_columns(spark, sf_dir, tmp_path):
     fx = Fixtures(spark, sf_dir)
     fx["fx_scrub"].write.parquet(str(tmp_path / "scrub"))

@@ -95,7 +95,7 @@ def test_tiles_share_their_edges(spark):
 
 def test_clearance(spark):
     draw = random.Random(7)
-    held = posts(draw, missing={(15, 15)})
+    held = posts(draw, missing={(i, 15) for i in range(10, 20)})
     df = spark.createDataFrame(paths(draw, 30), "k int, x1 double, y1 double, x2 double, y2 double")
     out = terrain.path_elevations(df, terrain.tiles(frame(spark, held), GRID), GRID, ["k"], ("x1", "y1"), ("x2", "y2"))
     rows = out.select("k", "elevations", terrain.path_clearance(F.col("elevations")).alias("c")).collect()
