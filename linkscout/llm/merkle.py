@@ -59,15 +59,15 @@ def folded(digest: Column, proof: Column) -> Column:
     )
 
 
-def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Adds ``pos``, the row's place in its group by ``order``, and ``n``, the group's rows.
+def numbered(rows: DataFrame, group: str, order: list[str], ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``pos``, the row's place in its group by ``order`` and then ``ties``, and ``n``, the group's rows.
 
     Rows are dealt by ranges of group and order, so a group of any size lies in many tasks. A place is the row's number in
     its written range, less the rows of other groups there, and the group's rows in earlier ranges; these are summed over
     one row per range and group.
     """
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order, *ties)
     placed = materialise(ranged.select("*", F.spark_partition_id().alias("_part"), number.alias("_i")))
     each = placed.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
     whole = Window.partitionBy(group)
@@ -146,7 +146,8 @@ def prove(rows: DataFrame, group_col: str, order_col: str, leaf_col: str) -> Dat
     own = [c for c in rows.columns if c not in ("subroot", "root", "proof")]
     group = F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
     keyed = rows.select(group.alias("g"), F.col(order_col).alias("at"), F.col(leaf_col).alias("node"), F.struct(*own).alias("row"))
-    leaves = tree(numbered(keyed, "g", ["at", "node", "row"]), "row")
+    # Written, as the ranges are drawn from a first pass over the rows, which would compute the leaves once more.
+    leaves = tree(numbered(materialise(keyed), "g", ["at", "node"], ("row",)), "row")
     subroots = tops(leaves[-1]).select(F.lit("").alias("g"), F.col("g").alias("name"), "node")
     groups = tree(numbered(subroots, "g", ["name"]), "name")
     none = F.array().cast("array<struct<left: binary, right: binary>>")
