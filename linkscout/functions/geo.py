@@ -222,9 +222,8 @@ def ring_wkt(ring: Column) -> Column:
     return F.when(ring.isNotNull(), F.concat(F.lit("POLYGON(("), F.array_join(corners, ", "), F.lit("))")))
 
 
-def _ieee_double(hex_le: Column) -> Column:
-    """A little-endian hex double as a number: 12 bits of sign and exponent, 52 bits of fraction."""
-    big = F.concat(*[F.substring(hex_le, i, 2) for i in range(15, 0, -2)])
+def _ieee_double(big: Column) -> Column:
+    """A hex double, first byte first, as a number: 12 bits of sign and exponent, 52 bits of fraction."""
     head = F.conv(F.substring(big, 1, 3), 16, 10).cast("int")
     fraction = F.conv(F.substring(big, 4, 13), 16, 10).cast("long").cast("double") / float(2**52)
     sign = F.when(head >= 2048, -1.0).otherwise(1.0)
@@ -235,17 +234,31 @@ def _ieee_double(hex_le: Column) -> Column:
 
 
 def decode_ewkb_point(hex_text: Column) -> Column:
-    """Little-endian extended WKB point (hex text) to ``struct<lon, lat, srid>``; NULL for anything else."""
-    is_point = F.upper(hex_text).rlike("^0101000020[0-9A-F]{40}$")
-    srid_hex = F.concat(*[F.substring(hex_text, i, 2) for i in (17, 15, 13, 11)])
-    return F.when(
-        is_point,
-        F.struct(
-            _ieee_double(F.substring(hex_text, 19, 16)).alias("lon"),
-            _ieee_double(F.substring(hex_text, 35, 16)).alias("lat"),
-            F.conv(srid_hex, 16, 10).cast("int").alias("srid"),
-        ),
+    """Extended WKB point (hex text, either byte order, with or without SRID) to ``struct<lon, lat, srid>``; NULL stays NULL.
+
+    Anything else raises. Other kinds of geometry are read by :mod:`linkscout.sources.wkb`.
+    """
+    text = F.upper(hex_text)
+    little, named = F.substring(text, 1, 2) == "01", F.substring(text, 3, 8).isin("01000020", "20000001")
+    is_point = text.rlike("^(0101000020[0-9A-F]{40}|0101000000[0-9A-F]{32}|0020000001[0-9A-F]{40}|0000000001[0-9A-F]{32})$")
+
+    def number(start: int, size: int) -> Column:
+        """Hex digits of a number, first byte first; what follows an SRID stands four bytes further on."""
+        def digits(first: int) -> Column:
+            turned = F.concat(*[F.substring(text, i, 2) for i in range(first + 2 * size - 2, first - 1, -2)])
+            return F.when(little, turned).otherwise(F.substring(text, first, 2 * size))
+
+        return digits(start) if size == 4 else F.when(named, digits(start + 8)).otherwise(digits(start))
+
+    point = F.struct(
+        _ieee_double(number(11, 8)).alias("lon"),
+        _ieee_double(number(27, 8)).alias("lat"),
+        F.when(named, F.conv(number(11, 4), 16, 10).cast("int")).alias("srid"),
+    )
+    wrong = F.raise_error(F.concat(F.lit("no point in extended WKB: "), F.substring(hex_text, 1, 18))).cast(
+        "struct<lon: double, lat: double, srid: int>"
     )
+    return F.when(hex_text.isNull(), F.lit(None)).when(is_point, point).otherwise(wrong)
 
 
 # ---------------------------------------------------------------- outlines

@@ -68,15 +68,34 @@ ELEVATION_REPLY = T.StructType(
 )
 
 
+#: Holds a reply that does not parse.
+BROKEN = "reply_error"
+
+
+def _parsed(reply: Column, schema: T.StructType) -> Column:
+    held = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    return F.from_json(reply, held, {"columnNameOfCorruptRecord": BROKEN})
+
+
 def parse_link_reply(df: DataFrame, reply: str) -> DataFrame:
-    """Replace a stored link-budget reply by its columns."""
+    """Replace a stored link-budget reply by its columns and ``reply_error``, the text of a reply that does not parse."""
+    kept = [c for c in df.columns if c != reply]
+    return df.withColumn("_reply", _parsed(F.col(reply), LINK_REPLY)).select(*kept, "_reply.*")
+
+
+def parse_elevation_reply(df: DataFrame, reply: str) -> DataFrame:
+    """Replace a stored terrain reply by its ordered ``elevations`` and ``reply_error``."""
     kept = [c for c in df.columns if c != reply]
-    return df.withColumn("_reply", F.from_json(reply, LINK_REPLY)).select(*kept, "_reply.*")
+    parsed = df.withColumn("_reply", _parsed(F.col(reply), ELEVATION_REPLY))
+    elevations = F.transform("_reply.results", lambda r: r.elevation).alias("elevations")
+    return parsed.select(*kept, elevations, f"_reply.{BROKEN}")
 
 
-def elevation_array(reply: Column) -> Column:
-    """Ordered elevations of a stored terrain reply."""
-    return F.transform(F.from_json(reply, ELEVATION_REPLY).results, lambda r: r.elevation)
+def quarantined(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose reply parsed, and beside them those whose reply did not, with its text."""
+    broken = F.col(BROKEN).isNotNull()
+    results = {f.name for f in (*LINK_REPLY.fields, T.StructField("elevations", T.NullType()))}
+    return parsed.where(~broken).drop(BROKEN), parsed.where(broken).select(*[c for c in parsed.columns if c not in results])
 
 
 def column_widths(df: DataFrame) -> DataFrame:

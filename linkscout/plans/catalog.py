@@ -120,6 +120,13 @@ def decoded_points(d: Data) -> DataFrame:
     )
 
 
+@query
+def decoded_shapes(d: Data) -> DataFrame:
+    parts = readers.query_shapes(d.spark, "select shape_id, geom from {shapes}", {"shapes": d["hex_shapes"]}, "geom")
+    corners = F.transform(F.flatten("paths"), lambda p: F.format_string("%.12f %.12f", p.lon, p.lat))
+    return parts.select("shape_id", "srid", "part", "kind", F.array_join(corners, ", ").alias("corners"))
+
+
 @query
 def site_reader(d: Data) -> DataFrame:
     return rounded(parameters.read_sites(d["site_features"]), 8, "lon", "lat")
@@ -368,20 +375,30 @@ def link_budget_join(d: Data) -> DataFrame:
 @query
 def link_replies(d: Data) -> DataFrame:
     """Stored link-budget replies, as the columns that join the candidates."""
-    return text.parse_link_reply(d["link_replies"], "reply").select(
-        "reply_id", "capacity", "d_km", "link_margin", "model", "modulation", "rain_attenuation_km"
-    )
+    good, _ = text.quarantined(text.parse_link_reply(d["link_replies"], "reply"))
+    return good.select("reply_id", "capacity", "d_km", "link_margin", "model", "modulation", "rain_attenuation_km")
+
+
+@query
+def bad_link_replies(d: Data) -> DataFrame:
+    """Replies that do not parse, with their ids."""
+    return text.quarantined(text.parse_link_reply(d["link_replies"], "reply"))[1]
 
 
 @query
 def elevation_replies(d: Data) -> DataFrame:
     """Stored terrain replies, with the clearance of each path."""
-    heights = d["elevation_replies"].select("path_id", text.elevation_array(F.col("reply")).alias("heights"))
-    return heights.select(
-        "path_id", F.size("heights").alias("n"), enrich.array_clearance(F.col("heights")).alias("clearance")
+    good, _ = text.quarantined(text.parse_elevation_reply(d["elevation_replies"], "reply"))
+    return good.select(
+        "path_id", F.size("elevations").alias("n"), enrich.array_clearance(F.col("elevations")).alias("clearance")
     )
 
 
+@query
+def bad_elevation_replies(d: Data) -> DataFrame:
+    return text.quarantined(text.parse_elevation_reply(d["elevation_replies"], "reply"))[1]
+
+
 @query
 def sites_without_links(d: Data) -> DataFrame:
     joined = enrich.join_link_budget(d.candidates(), d["link_budget"], ["candidate_type", "id"])

@@ -213,11 +213,23 @@ SQL["link_replies"] = """
 select l_orderkey * 10 + l_linenumber as reply_id, cast(100 * (1 + l_partkey % 10) as int) as capacity, l_suppkey % 9 + 0.5::double as d_km,
   l_partkey % 40 + 0.25::double as link_margin, 'EH-' || l_linenumber as model,
   case when l_partkey % 7 <> 0 then 'QAM' || (l_suppkey % 4) end as modulation, l_linenumber + 0.125::double as rain_attenuation_km
-from lineitem"""
+from lineitem where l_orderkey % 50 <> 7"""
+SQL["bad_link_replies"] = "select reply_id, reply as reply_error from fx_link_replies where right(reply, 1) <> '}'"
 SQL["elevation_replies"] = """
 select o_orderkey as path_id, 3 as n,
   least(0.0::double, (o_custkey % 90 + 0.5::double + o_custkey % 50) / 2 - (o_orderkey % 70 + 0.25::double)) as clearance
-from orders"""
+from orders where o_orderkey % 64 <> 5"""
+SQL["bad_elevation_replies"] = "select path_id, reply as reply_error from fx_elevation_replies where contains(reply, '.x')"
+_corner = "printf('%.12f %.12f', -(64 + k{0} / 1024::double), 32 + j{0} / 2048::double)"
+_c = [_corner.format(i) for i in range(3)]
+SQL["decoded_shapes"] = f"""
+select shape_id, case when shape_id % 4 < 3 then 4326::int end as srid, 0::int as part,
+  case shape_id % 4 when 1 then 'area' when 2 then 'point' else 'line' end as kind,
+  case shape_id % 4 when 0 then {_c[0]} || ', ' || {_c[1]} when 1 then {_c[0]} || ', ' || {_c[1]} || ', ' || {_c[2]} || ', ' || {_c[0]}
+    when 2 then {_c[0]} else {_c[0]} || ', ' || printf('%.12f %.12f', -64::double, 32::double) end as corners
+from fx_hex_shapes
+union all
+select shape_id, 4326::int, 1::int, 'line', {_c[1]} || ', ' || {_c[2]} from fx_hex_shapes where shape_id % 4 = 2"""
 SQL["asd_search"] = searched("q_asd_search")
 SQL["asd_search_dwithin"] = searched(f"({nearest(ASD_POINTS, 're_limit', 'id', True)}) r")
 SQL["mgt_search"] = searched("q_mgt_search")

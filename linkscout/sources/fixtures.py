@@ -217,12 +217,12 @@ select l_orderkey * 10 + l_linenumber as reply_id,
   '{{"capacity": ' || cast(100 * (1 + l_partkey % 10) as string) || ', "d_km": ' || cast(l_suppkey % 9 as string) || '.5'
   || ', "link_margin": ' || cast(l_partkey % 40 as string) || '.25, "model": "EH-' || cast(l_linenumber as string) || '"'
   || case when l_partkey % 7 = 0 then '' else ', "modulation": "QAM' || cast(l_suppkey % 4 as string) || '"' end
-  || ', "rain_attenuation_km": ' || cast(l_linenumber as string) || '.125}}' as reply
+  || case when l_orderkey % 50 = 7 then '' else ', "rain_attenuation_km": ' || cast(l_linenumber as string) || '.125}}' end as reply
 from {lineitem}"""
 
 VIEWS["fx_elevation_replies"] = """
 select o_orderkey as path_id, '{{"results": [{{"elevation": ' || cast(o_custkey % 90 as string) || '.5}}, {{"elevation": '
-  || cast(o_orderkey % 70 as string) || '.25, "resolution": 9.5}}, {{"elevation": ' || cast(o_custkey % 50 as string) || '}}], "status": "OK"}}' as reply
+  || cast(o_orderkey % 70 as string) || '.25, "resolution": 9.5}}, {{"elevation": ' || cast(o_custkey % 50 as string) || case when o_orderkey % 64 = 5 then '.x' else '' end || '}}], "status": "OK"}}' as reply
 from {orders}"""
 
 # Search sites as drawn in three coordinate systems (degrees, web mercator metres, UTM zone 18N metres).
@@ -274,10 +274,22 @@ select point_id, k, j, '0101000020E6100000'
 from (select point_id, k, j, lpad(hex(k), 4, '0') as hk, lpad(hex(j), 4, '0') as hj
   from (select p_partkey as point_id, (p_partkey * 37) % 65536 as k, (p_partkey * 101) % 65536 as j from {part}) a) b"""
 
+# Lines, areas and collections from the same points, and lines with the first byte first and without SRID.
+VIEWS["fx_hex_shapes"] = """
+select shape_id, k0, j0, k1, j1, k2, j2, case shape_id % 4
+  when 0 then '0102000020E610000002000000' || t0 || t1
+  when 1 then '0103000020E61000000100000004000000' || t0 || t1 || t2 || t0
+  when 2 then '0107000020E6100000020000000101000000' || t0 || '010200000002000000' || t1 || t2
+  else '000000000200000002' || 'C05' || substr(hk, 1, 1) || substr(hk, 2, 2) || substr(hk, 4, 1) || '000000000'
+    || '404' || substr(hj, 1, 1) || substr(hj, 2, 2) || substr(hj, 4, 1) || '000000000' || 'C050000000000000' || '4040000000000000' end as geom
+from (select a.point_id as shape_id, a.k as k0, a.j as j0, b.k as k1, b.j as j1, c.k as k2, c.j as j2, substr(a.pnt_geom, 19) as t0,
+    substr(b.pnt_geom, 19) as t1, substr(c.pnt_geom, 19) as t2, lpad(hex(a.k), 4, '0') as hk, lpad(hex(a.j), 4, '0') as hj
+  from {fx_hex_points} a join {fx_hex_points} b on b.point_id = a.point_id + 1 join {fx_hex_points} c on c.point_id = a.point_id + 2) p"""
+
 TABLES = ("region", "supplier", "part", "customer", "orders", "lineitem", "events")
 DEPENDS = {
     "fx_outlines": ("fx_buildings",), "fx_site": ("fx_cci_sites",), "fx_structure": ("fx_scrub", "fx_cci_sites"),
-    "fx_us_structure": ("fx_scrub",),
+    "fx_us_structure": ("fx_scrub",), "fx_hex_shapes": ("fx_hex_points",),
 }
 
 

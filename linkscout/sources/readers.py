@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkscout.functions import geo
+from linkscout.sources import wkb
 
 CANDIDATE_CSV = T.StructType(
     [
@@ -40,6 +41,11 @@ def decode_points(df: DataFrame, geometry: str) -> DataFrame:
     )
 
 
+def query_shapes(spark: SparkSession, text: str, tables: dict[str, DataFrame], geometry: str) -> DataFrame:
+    """Same, with a hex column of any geometry decoded into rows of ``srid``, ``part``, ``kind`` and ``paths``."""
+    return wkb.decode_shapes(query(spark, text, tables), geometry)
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int, partitions: int,
     fetch_size: int = 10_000, **options: str,

@@ -74,17 +74,6 @@ def test_line_length(spark):
         assert r.got == r.want
 
 
-def test_decode_point(spark):
-    values = [(-73.9913778, 40.7390831), (0.0, -0.5), (179.25, 1e-300)]
-    rows = [(x, y, (bytes([1]) + struct.pack("<II", 0x20000001, 4326) + struct.pack("<dd", x, y)).hex().upper()) for x, y in values]
-    df = spark.createDataFrame(rows + [(None, None, "0101")], "x double, y double, h string")
-    for r in df.select("x", "y", geo.decode_ewkb_point(F.col("h")).alias("p")).collect():
-        if r.x is None:
-            assert r.p is None
-        else:
-            assert (r.p.lon, r.p.lat, r.p.srid) == (r.x, r.y, 4326)
-
-
 def test_transform(spark):
     mercator = math.log(math.tan(math.radians(45 + 40.7 / 2))) * 6378137.0
     # The UTM rows: a central meridian, and a known point of zone 18 (published example, to the metre).
