@@ -416,23 +416,58 @@ def _surviving(lines: str, corners: str) -> str:
     )
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _less_one(lines: str, distance: float) -> str:
+    """The lines without the next one to vanish on the way to ``distance``; all of them if none does.
+
+    Neighbours on one line are one line. Neighbours that run against each other have met, and both go. Otherwise each edge
+    shrinks evenly, and the first whose length reaches nothing goes.
+    """
+    cross = "(p.nx * e.ny - p.ny * e.nx)"
+    previous = f"concat(slice({lines}, size({lines}), 1), slice({lines}, 1, size({lines}) - 1))"
+    kinds = (
+        f"zip_with({previous}, {lines}, (p, e) -> case when abs({cross}) > 1e-9D then 0 when p.nx * e.nx + p.ny * e.ny > 0 then 1 else 2 end)"
+    )
+    parallel = f"filter({lines}, (l, i) -> not (i = _at and get(_kinds, _at) > 0) and not (get(_kinds, _at) = 2 and i = pmod(_at - 1, size({lines}))))"
+
+    def length(corners: str) -> str:
+        here, there = f"get({corners}, i)", f"get({corners}, (i + 1) % size({lines}))"
+        return f"(({there}.lon - {here}.lon) * e.ny - ({there}.lat - {here}.lat) * e.nx)"
+
+    # Along an edge whose inward normal is (nx, ny) one moves by (ny, -nx).
+    events = (
+        f"transform({lines}, (e, i) -> if({length('_near')} > 0, null,"
+        f" named_struct('t', {length('_own')} / greatest({length('_own')} - {length('_near')}, {TINY!r}D), 'i', i)))"
+    )
+    vanish = _let(f"array_min({events})", "_next", f"if(_next is null, {lines}, filter({lines}, (l, i) -> i <> _next.i))")
+    shrink = _let(_offset_corners(lines, distance), "_near", _let(_offset_corners(lines, 0.0), "_own", vanish))
+    step = _let("cast(array_position(transform(_kinds, k -> k > 0), true) as int) - 1", "_at", f"if(_at >= 0, {parallel}, {shrink})")
+    return f"if(size({lines}) < 3, {lines}, {_let(kinds, '_kinds', step)})"
+
+
 def with_inset_ring(df: DataFrame, ring: str, out: str, distance: float = ROOF_INSET_DEG) -> DataFrame:
     """Add the outline shrunk by ``distance`` degrees, or NULL when nothing is left of it.
 
-    Short edges that vanish are dropped once and their neighbours joined; if edges still vanish after that, the outline
-    counts as collapsed. Expects a clean ring.
+    Edges that vanish on the way are dropped one by one, in the order in which they do, and their neighbours joined, until
+    none is left that would. An outline that comes apart in several is not followed and counts as collapsed. Expects a
+    clean ring.
     """
     keep = [c for c in df.columns if c != out]
     whole = (
         "size(_l1) >= 3 and not exists(_c1, p -> p.lon is null or p.lat is null)"
         f" and size({_surviving('_l1', '_c1')}) = size(_l1)"
     )
+    fewer = f"aggregate(sequence(1, 2 * size(_l0)), _l0, (_ls, _k) -> {_less_one('_ls', distance)})"
     again = f"if(size(_l1) = size(_l0), _c0, if(size(_l1) >= 3, {_offset_corners('_l1', distance)}, null))"
     return steps(
         df,
         [*keep, once("_l0", _edge_lines(ring))],
         [*keep, "_l0", once("_c0", _offset_corners("_l0", distance))],
-        [*keep, "_l0", "_c0", once("_l1", _surviving("_l0", "_c0"))],
+        [*keep, "_l0", "_c0", once("_l1", f"if(size({_surviving('_l0', '_c0')}) = size(_l0), _l0, {fewer})")],
         [*keep, "_l1", once("_c1", again)],
         [*keep, once(out, f"if({whole}, _c1, null)")],
     )
