@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscout import schemas
@@ -13,20 +13,30 @@ def candidate_file(all_ranked: DataFrame) -> DataFrame:
     return all_ranked.select("site_id", "candidate_type", "id", "lat", "long", "fw_rank")
 
 
-def without_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns that are NULL in every row. Runs one aggregate over the table: for use right before a sink."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
+def filled(df: DataFrame) -> dict[str, Column]:
+    """Per column the number of its values, as aggregates to observe while the table is written."""
+    return {c: F.count(F.col(f"`{c}`")) for c in df.columns}
+
+
+def without_empty_columns(df: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
+    """Drop columns that are NULL in every row, by their observed ``counts``; without these, by one aggregate over the table."""
+    if counts is None:
+        counts = df.agg(*[n.alias(c) for c, n in filled(df).items()]).first().asDict()
     return df.select(*[F.col(f"`{c}`") for c in df.columns if counts[c] > 0])
 
 
-def sorted_report(ranked: DataFrame) -> DataFrame:
+def sorted_report(ranked: DataFrame, counts: dict[str, int] | None = None) -> DataFrame:
     """Ranked candidates in rank order, without height and without empty columns."""
-    return without_empty_columns(ranked).drop("height").orderBy("site_id", "fw_rank")
+    return without_empty_columns(ranked, counts).drop("height").orderBy("site_id", "fw_rank")
 
 
 def sink_rows(ranked: DataFrame) -> DataFrame:
-    """Ranked candidates under sanitised names, restricted and cast to the sink's field map."""
+    """Ranked candidates under sanitised names, restricted and cast to the sink's field map.
+
+    Fields that only some runs have may be absent; any other absent field raises.
+    """
     clean = ranked.withColumnsRenamed({c: text.sanitise_field(c) for c in ranked.columns})
+    schemas.required(clean, [c for c in schemas.SINK_FIELDS if c not in schemas.SINK_OPTIONAL])
     kept = {c: t for c, t in schemas.SINK_FIELDS.items() if c in clean.columns}
     return clean.select("site_id", *[F.col(c).cast(t).alias(c) for c, t in kept.items()])
 

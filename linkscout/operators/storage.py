@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _ROOTS: dict[str, str] = {}
@@ -50,11 +50,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """The same, with the number of rows, which the write itself observes."""
+def observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, dict[str, object]]:
+    """The same, with aggregates over all rows, which the write itself observes: they cost no pass of their own."""
     seen = Observation()
-    written = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return written, seen.get["n"]
+    written = materialise(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]))
+    return written, seen.get
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """A written intermediate with its number of rows."""
+    written, seen = observed(df, {"n": F.count(F.lit(1))})
+    return written, seen["n"]
 
 
 @contextmanager

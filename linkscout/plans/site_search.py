@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkscout.operators import classify, enrich, outputs, parameters, rank, ranker, search
-from linkscout.operators.storage import materialise, run_folder
+from linkscout.operators.storage import materialise, observed, run_folder
 from linkscout.sources import sinks
 
 
@@ -77,18 +77,33 @@ def qualify(t: Tables, candidates: DataFrame, reply_keys: list[str]) -> Result:
 
 
 def run_to_files(t: Tables, candidates: Callable[[], DataFrame], reply_keys: list[str], path: str) -> None:
-    """One whole run and all its files, below ``path``. Intermediates are written once for all files and deleted after.
+    """One whole run and all its files, published together below ``path``: see :func:`sinks.current`.
 
-    ``candidates`` gives the (cleared) candidates; it is called inside the run, so that what it writes is deleted as well.
+    Intermediates are written once for all files and deleted after. ``candidates`` gives the (cleared) candidates; it is
+    called inside the run, so that what it writes is deleted as well. Rows of the files and empty columns of the report are
+    observed while tables are written, so no pass is made to count them.
     """
-    with run_folder(t.sources.sparkSession):
+    spark = t.sources.sparkSession
+    with run_folder(spark), sinks.published(spark, path) as run:
         result = qualify(t, candidates(), reply_keys)
-        ranked, placed = materialise(result.ranked), materialise(result.all_ranked)
-        sinks.write_candidate_file(placed, f"{path}/candidates")
-        sinks.write_report(ranked, f"{path}/report")
-        sinks.write_rank_sheets({k: ranker.rank_sheet(r, k, placed) for k, r in result.ranks.items()}, f"{path}/sheets")
-        sinks.write_layers(ranked, t.sources, f"{path}/layers")
-        sinks.write_csv(ranked.select(*outputs.candidate_file(ranked).columns, "speed"), f"{path}/ranked", "candidate_type")
+        ranked, filled = observed(result.ranked, outputs.filled(result.ranked))
+        placed = materialise(result.all_ranked)
         towers = ranked.where(F.col("candidate_type") == "cci_sites").select("id")
-        sinks.write_scrub_sheet(classify.scrub_sheet(t.scrub, towers), f"{path}/tower_scrub")
-        sinks.write_planner_sheet(parameters.planner_rows(parameters.search_parameters(t.sources)), f"{path}/planner")
+        short = ranked.select(*outputs.candidate_file(ranked).columns, "speed")
+        planner = parameters.planner_rows(parameters.search_parameters(t.sources)).withColumn("site", F.col("Site Name"))
+
+        def csv(table: str, df: DataFrame, *partition_by: str) -> None:
+            sinks.write_csv(run.watched(table, df), run.folder(table), *partition_by)
+
+        def parquet(table: str, df: DataFrame) -> None:
+            run.watched(table, df).write.parquet(run.folder(table))
+
+        csv("candidates", sinks.candidate_order(placed))
+        parquet("report", outputs.sorted_report(ranked, filled))
+        for kind, rows in result.ranks.items():
+            parquet(f"sheets/candidate_type={kind}", ranker.rank_sheet(rows, kind, placed))
+        parquet("layers/candidates", outputs.candidate_points(ranked))
+        parquet("layers/spider_lines", outputs.spider_lines(ranked, t.sources))
+        csv("ranked", short, "candidate_type")
+        csv("tower_scrub", classify.scrub_sheet(t.scrub, towers))
+        csv("planner", planner, "site")

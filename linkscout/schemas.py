@@ -55,6 +55,14 @@ SINK_FIELDS = {
 }
 
 
+# Sink fields that a run need not have: losses of replies that do not report them, demand counts, the tower's height, the
+# status, and two fields that the rank tables hold under other names.
+SINK_OPTIONAL = (
+    "oxygen_attenuation_km", "rain_attenuation_km", "rain_attenuation_total", "fcc_count", "demand_1500m", "demand_4000m",
+    "demand_8000m", "s_hgt_no_appurt", "status", "data_consistent",
+)
+
+
 def required(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The table as it is; raises if it lacks one of ``names``, as a NULL in its place would read like a value."""
     absent = sorted(set(names) - set(df.columns))

@@ -65,7 +65,7 @@ def test_files(spark, sf_dir, tmp_path):
 
 
 def test_whole_run_to_files(spark, sf_dir, tmp_path):
-    """All files of a run, in their order, and no intermediate left behind."""
+    """All files of a run, in their order, published together with their rows, and no intermediate left behind."""
     import os
 
     from linkscout.operators import storage
@@ -77,19 +77,46 @@ def test_whole_run_to_files(spark, sf_dir, tmp_path):
     path = str(tmp_path / "out")
     site_search.run_to_files(t, d.cleared, ["candidate_type", "id"], path)
     assert sorted(os.listdir(storage.shared_root(spark))) == before
+    manifest = sinks.current(spark, path)
     kinds = ("candidates", "report", "sheets", "layers", "ranked", "tower_scrub", "planner")
-    assert set(os.listdir(path)) == set(kinds)
-    planner = spark.read.csv(f"{path}/planner", header=True)
+    assert set(os.listdir(f"{path}/{manifest['run']}")) == set(kinds)
+
+    def folder(table):
+        return sinks.current_folder(spark, path, table)
+
+    for table, about in manifest["tables"].items():
+        reader = spark.read.option("header", True).csv if table in ("candidates", "ranked", "tower_scrub", "planner") else spark.read.parquet
+        assert reader(folder(table)).count() == about["rows"]
+    planner = spark.read.csv(folder("planner"), header=True)
     assert planner.count() == t.sources.count() and "Max Power (dBm)" in planner.columns
-    scrub = spark.read.csv(f"{path}/tower_scrub", header=True)
+    scrub = spark.read.csv(folder("tower_scrub"), header=True)
     assert tuple(scrub.columns) == classify.SCRUB_SHEET and scrub.count() > 0
     # Order inside the files: by site and rank.
-    files = sorted(f for f in os.listdir(f"{path}/candidates") if f.startswith("part"))
-    rows = [(r.site_id, int(r.fw_rank) if r.fw_rank else -1) for f in files for r in spark.read.csv(f"{path}/candidates/{f}", header=True).collect()]
+    files = sorted(f for f in os.listdir(folder("candidates")) if f.startswith("part"))
+    rows = [(r.site_id, int(r.fw_rank) if r.fw_rank else -1) for f in files for r in spark.read.csv(f"{folder('candidates')}/{f}", header=True).collect()]
     assert rows == sorted(rows) and len(rows) > 0
-    parts = sorted(f for f in os.listdir(f"{path}/report") if f.startswith("part"))
-    report = [(r.site_id, r.fw_rank) for f in parts for r in spark.read.parquet(f"{path}/report/{f}").collect()]
+    parts = sorted(f for f in os.listdir(folder("report")) if f.startswith("part"))
+    report = [(r.site_id, r.fw_rank) for f in parts for r in spark.read.parquet(f"{folder('report')}/{f}").collect()]
     assert report == sorted(report) and len(report) > 0
+    columns = spark.read.parquet(folder("report"))
+    assert all(columns.where(f"`{c}` is not null").limit(1).count() for c in columns.columns)
+    # A run that fails midway leaves the one before as it was.
+    with pytest.raises(RuntimeError), sinks.published(spark, path) as failed:
+        failed.watched("candidates", spark.range(3)).write.parquet(failed.folder("candidates"))
+        raise RuntimeError("lost")
+    assert sinks.current(spark, path) == manifest and spark.read.csv(folder("candidates"), header=True).count() == len(rows)
+    with sinks.published(spark, path) as second:
+        second.watched("candidates", spark.range(3)).write.parquet(second.folder("candidates"))
+    assert sinks.current(spark, path)["tables"]["candidates"]["rows"] == 3 and len(os.listdir(f"{path}/manifests")) >= 2
+
+
+def test_absent_sink_fields_raise(spark, sf_dir):
+    from linkscout.operators import outputs
+
+    ranked = catalog.Data(spark, sf_dir).run().ranked
+    assert outputs.sink_rows(ranked).count() > 0
+    with pytest.raises(ValueError, match="missing columns: modulation, state"):
+        outputs.sink_rows(ranked.drop("modulation", "state"))
 
 
 def test_materialising_needs_a_shared_folder(spark, monkeypatch):
