@@ -25,21 +25,18 @@ def _only(df: DataFrame, column: str, ids: DataFrame | None) -> DataFrame:
     return df.join(keys, F.col(column).cast("string") == F.col("_id"), "left_semi")
 
 
-def place_counts(outlines: DataFrame, licences: DataFrame, buffer_deg: float) -> DataFrame:
+def place_counts(cells: DataFrame, n_cells: int, licences: DataFrame, buffer_deg: float) -> DataFrame:
     """(buildingid, n): licences at points inside or within ``buffer_deg`` of each outline.
 
     Licences at one place are counted first, so a crowded place is one row in the join. The outline side is repeated per
-    cell of its grown bounding box, the licence side has one cell, so no pair occurs twice.
+    cell of its grown box, the licence side has one cell, so no pair occurs twice.
     """
     places, n_places = counted(
         licences.groupBy("lon", "lat")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("cell", grid.cell_of("lon", "lat", LICENCE_LEVEL))
     )
-    boxes = outlines.withColumns(geo.ring_box("ring"))
-    grow = {c: F.col(c) - buffer_deg for c in ("west", "south")} | {c: F.col(c) + buffer_deg for c in ("east", "north")}
-    boxes, n_boxes = counted(grid.box_cells(boxes.withColumns(grow), "west", "south", "east", "north", LICENCE_LEVEL))
-    near = skewed_join(places, boxes, ["cell"], left_counts=n_places, right_counts=n_boxes).where(
+    near = skewed_join(places, cells, ["cell"], left_counts=n_places, right_counts=n_cells).where(
         F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north"))
     )
     return (
@@ -56,11 +53,13 @@ def licence_counts(buildings: DataFrame, licences: DataFrame, buffer_deg: float
     a kind holds points only, and so do rows without one.
     """
     outlines = geo.with_clean_ring(buildings.select("buildingid", "ring"))
+    boxes, n_boxes = shapes.grown_boxes(outlines, buffer_deg)
+    cells = shapes.box_cells(boxes, LICENCE_LEVEL)
     if "kind" not in licences.columns:
-        return place_counts(outlines, licences, buffer_deg)
+        return place_counts(*cells, licences, buffer_deg)
     is_point = F.coalesce(F.col("kind") == "point", F.lit(True))
-    points = place_counts(outlines, licences.where(is_point), buffer_deg)
-    others = shapes.shape_counts(outlines, licences.where(~is_point), buffer_deg)
+    points = place_counts(*cells, licences.where(is_point), buffer_deg)
+    others = shapes.shape_counts(boxes, n_boxes, licences.where(~is_point), buffer_deg, {LICENCE_LEVEL: cells})
     return points.unionByName(others).groupBy("buildingid").agg(F.sum("n").alias("n"))
 
 

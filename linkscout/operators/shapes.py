@@ -17,7 +17,7 @@ from linkscout.functions import geo
 from linkscout.functions.steps import steps
 from linkscout.operators import grid
 from linkscout.operators.skew import skewed_join
-from linkscout.operators.storage import counted, materialise
+from linkscout.operators.storage import counted, observed
 
 LINE, AREA = "line", "area"
 #: Grid levels for shapes, coarse to fine. A shape goes to the finest one at which it is at most MOST_ACROSS cells wide and high;
@@ -30,8 +30,8 @@ def _height(level: int) -> str:
     return f"{grid.HEIGHTS[level]!r}D"
 
 
-def grouped(shapes: DataFrame) -> DataFrame:
-    """Equal shapes as one row: ``(shape, kind, paths, n, level)``, without corners that are no finite number.
+def grouped(shapes: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Equal shapes as one row: ``(shape, kind, paths, n, level)``, without corners that are no finite number; and their levels.
 
     Unknown kinds raise. Paths without a corner go, and so do shapes without a path.
     """
@@ -41,16 +41,18 @@ def grouped(shapes: DataFrame) -> DataFrame:
         "filter(transform(paths, path -> filter(path, p -> p.lon is not null and not isnan(p.lon) and abs(p.lon) < double('inf')"
         " and p.lat is not null and not isnan(p.lat) and abs(p.lat) < double('inf'))), path -> size(path) > 0)"
     )
-    counted = shapes.select(kind.alias("kind"), finite.alias("paths")).where(F.size("paths") > 0)
-    counted = counted.groupBy("kind", "paths").agg(F.count(F.lit(1)).alias("n"))
+    same = shapes.select(kind.alias("kind"), finite.alias("paths")).where(F.size("paths") > 0)
+    same = same.groupBy("kind", "paths").agg(F.count(F.lit(1)).alias("n"))
     across = "greatest(array_max(_lons) - array_min(_lons), array_max(_lats) - array_min(_lats))"
     arms = " ".join(f"when {across} <= {MOST_ACROSS} * {_height(i)} then {i}" for i in reversed(LEVELS[1:]))
     # Numbered where they are written, so that the numbers stay.
-    return materialise(steps(
-        counted,
+    known = steps(
+        same,
         ["*", "transform(flatten(paths), p -> p.lon) as _lons", "transform(flatten(paths), p -> p.lat) as _lats"],
         ["monotonically_increasing_id() as shape", "kind", "paths", "n", f"case {arms} else {LEVELS[0]} end as level"],
-    ))
+    )
+    written, seen = observed(known, {f"l{i}": F.max((F.col("level") == i).cast("int")) for i in LEVELS})
+    return written, [i for i in LEVELS if seen[f"l{i}"]]
 
 
 def edges(shapes: DataFrame) -> DataFrame:
@@ -83,13 +85,13 @@ def pieces(edge_rows: DataFrame, level: int) -> DataFrame:
     return grid.box_cells(cut, "p_west", "p_south", "p_east", "p_north", level)
 
 
-def _near(rows: DataFrame, n_rows: int, boxes: DataFrame, buffer_deg: float, level: int) -> DataFrame:
+def _near(rows: DataFrame, n_rows: int, cells: DataFrame, n_cells: int, buffer_deg: float, level: int) -> DataFrame:
     """``(buildingid, shape)``: pairs with an edge inside or within ``buffer_deg`` of the outline.
 
     A piece and an outline that share several cells are compared only in the one that holds the south-west corner of what
     their boxes have in common.
     """
-    met = skewed_join(rows, boxes, ["cell"], left_counts=n_rows).where(
+    met = skewed_join(rows, cells, ["cell"], left_counts=n_rows, right_counts=n_cells).where(
         "p_west <= east and west <= p_east and p_south <= north and south <= p_north"
     )
     met = met.withColumns({"_x": F.greatest("west", "p_west"), "_y": F.greatest("south", "p_south")})
@@ -148,30 +150,43 @@ def _inside(rows: DataFrame, n_rows: int, edge_rows: DataFrame, corners: DataFra
     turns = skewed_join(areas, placed, ["cell"], left_counts=n_rows, right_counts=n_corners).selectExpr(
         "buildingid", "shape", f"if({along}, 1, 0) + if({across}, 1, 0) as odd"
     ).where("odd > 0")
-    centred = skewed_join(filled(edge_rows, level), placed, ["cell"], right_counts=n_corners).selectExpr("buildingid", "shape", "1 as odd")
+    inner, n_inner = counted(filled(edge_rows, level))
+    centred = skewed_join(inner, placed, ["cell"], left_counts=n_inner, right_counts=n_corners).selectExpr("buildingid", "shape", "1 as odd")
     return turns.unionByName(centred).groupBy("buildingid", "shape").agg(F.sum("odd").alias("odd")).where("odd % 2 = 1").drop("odd")
 
 
-def shape_counts(outlines: DataFrame, shapes: DataFrame, buffer_deg: float) -> DataFrame:
+def grown_boxes(outlines: DataFrame, buffer_deg: float) -> tuple[DataFrame, int]:
+    """Outlines (buildingid and a clean ``ring``) with their boxes grown by ``buffer_deg``, written, and their number."""
+    boxes = outlines.withColumns(geo.ring_box("ring"))
+    grow = {c: F.col(c) - buffer_deg for c in ("west", "south")} | {c: F.col(c) + buffer_deg for c in ("east", "north")}
+    return counted(boxes.withColumns(grow))
+
+
+def box_cells(boxes: DataFrame, level: int) -> tuple[DataFrame, int]:
+    """The boxes once per cell that they meet, written, and their number."""
+    return counted(grid.box_cells(boxes, "west", "south", "east", "north", level))
+
+
+def shape_counts(
+    boxes: DataFrame, n_boxes: int, shapes: DataFrame, buffer_deg: float, cells: dict[int, tuple[DataFrame, int]] | None = None
+) -> DataFrame:
     """``(buildingid, n)``: lines and areas that meet the outline grown by ``buffer_deg``; outlines without any are absent.
 
-    ``outlines`` has buildingid and a clean ``ring``; ``shapes`` has kind and paths. An area counts if one of its edges comes near or if it
-    holds the outline. Equal shapes are one in the joins. Shapes across the antimeridian must be split there.
+    ``boxes`` are the outlines by :func:`grown_boxes`, ``cells`` what :func:`box_cells` gave for some levels; ``shapes`` has kind and
+    paths. An area counts if one of its edges comes near or if it holds the outline. Equal shapes are one in the joins.
+    Shapes across the antimeridian must be split there.
     """
-    known = grouped(shapes)
-    levels = [r.level for r in known.select("level").distinct().collect()]
-    boxes = outlines.withColumns(geo.ring_box("ring"))
-    grow = {c: F.col(c) - buffer_deg for c in ("west", "south")} | {c: F.col(c) + buffer_deg for c in ("east", "north")}
+    known, levels = grouped(shapes)
     if not levels:
-        return outlines.select("buildingid", F.lit(0).cast("long").alias("n")).limit(0)
-    boxes, n_boxes = counted(boxes.withColumns(grow))
+        return boxes.select("buildingid", F.lit(0).cast("long").alias("n")).limit(0)
     corners = boxes.select("buildingid", F.expr("get(ring, 0).lon").alias("x"), F.expr("get(ring, 0).lat").alias("y"))
+    corners = corners.where("x is not null")
     pairs = []
-    for level in sorted(levels):
+    for level in levels:
         own = edges(known.where(F.col("level") == level))
         rows, n_rows = counted(pieces(own, level))
-        reached = grid.box_cells(boxes, "west", "south", "east", "north", level)
-        inside = _inside(rows, n_rows, own, corners.where("x is not null"), n_boxes, level)
-        pairs += [_near(rows, n_rows, reached, buffer_deg, level), inside]
+        reached, n_reached = (cells or {}).get(level) or box_cells(boxes, level)
+        pairs.append(_near(rows, n_rows, reached, n_reached, buffer_deg, level))
+        pairs.append(_inside(rows, n_rows, own, corners, n_boxes, level))
     found = reduce(DataFrame.unionByName, pairs).distinct()
     return found.join(known.select("shape", "n"), "shape").groupBy("buildingid").agg(F.sum("n").alias("n"))

@@ -104,8 +104,7 @@ def test_against_every_pair(spark, lat):
     found = {r.buildingid: r.n for r in rank.licence_counts(own, shaped, BUFFER).collect()}
     want = Counter(i for i, ring in outlines.items() for kind, paths in licences if meets(ring, kind, paths))
     assert found == dict(want) and len(want) > 100 and sum(want.values()) >= 200
-    levels = {r.level for r in shapes.grouped(shaped.select("kind", "paths")).select("level").distinct().collect()}
-    assert levels == {0, 2} or levels == {0, 1, 2}
+    assert shapes.grouped(shaped.select("kind", "paths"))[1] in ([0, 2], [0, 1, 2])
 
 
 def test_points_lines_and_areas_together(spark):
