@@ -326,16 +326,20 @@ def _on_edge(e: str, x: str, y: str) -> str:
     )
 
 
-def point_in_ring(lon: str, lat: str, ring: str) -> Column:
+def point_in_ring_text(lon: str, lat: str, ring: str) -> str:
     """True inside the outline or on its boundary. Crossing parity without a division, plus the edge test."""
     left = f"(({lon} - e.ax) * (e.by - e.ay) < (e.bx - e.ax) * ({lat} - e.ay))"
     crosses = f"(((e.ay > {lat}) != (e.by > {lat})) and ({left} = (e.by > e.ay)))"
-    return F.expr(
+    return (
         f"(aggregate({_edges(ring)}, false, (odd, e) -> odd != {crosses})"
         f" or exists({_edges(ring)}, e -> {_on_edge('e', lon, lat)}))"
     )
 
 
+def point_in_ring(lon: str, lat: str, ring: str) -> Column:
+    return F.expr(point_in_ring_text(lon, lat, ring))
+
+
 def ring_distance_sq(lon: str, lat: str, ring: str) -> Column:
     """Squared planar distance in degrees from a point to the nearest edge."""
     dx, dy = "(e.bx - e.ax)", "(e.by - e.ay)"
@@ -449,6 +453,23 @@ def _less_one(lines: str, distance: float) -> str:
     return f"if(size({lines}) < 3, {lines}, {_let(kinds, '_kinds', step)})"
 
 
+def _inset_stages(ring: str, distance: float) -> list[tuple[str, str]]:
+    """``(name, text)`` of the steps of an inset, each over the names before it; the last is the result."""
+    whole = (
+        "size(_l1) >= 3 and not exists(_c1, p -> p.lon is null or p.lat is null)"
+        f" and size({_surviving('_l1', '_c1')}) = size(_l1)"
+    )
+    fewer = f"aggregate(sequence(1, 2 * size(_l0)), _l0, (_ls, _k) -> {_less_one('_ls', distance)})"
+    again = f"if(size(_l1) = size(_l0), _c0, if(size(_l1) >= 3, {_offset_corners('_l1', distance)}, null))"
+    return [
+        ("_l0", _edge_lines(ring)),
+        ("_c0", _offset_corners("_l0", distance)),
+        ("_l1", f"if(size({_surviving('_l0', '_c0')}) = size(_l0), _l0, {fewer})"),
+        ("_c1", again),
+        ("_inset", f"if({whole}, _c1, null)"),
+    ]
+
+
 def with_inset_ring(df: DataFrame, ring: str, out: str, distance: float = ROOF_INSET_DEG) -> DataFrame:
     """Add the outline shrunk by ``distance`` degrees, or NULL when nothing is left of it.
 
@@ -457,23 +478,27 @@ def with_inset_ring(df: DataFrame, ring: str, out: str, distance: float = ROOF_I
     clean ring.
     """
     keep = [c for c in df.columns if c != out]
-    whole = (
-        "size(_l1) >= 3 and not exists(_c1, p -> p.lon is null or p.lat is null)"
-        f" and size({_surviving('_l1', '_c1')}) = size(_l1)"
-    )
-    fewer = f"aggregate(sequence(1, 2 * size(_l0)), _l0, (_ls, _k) -> {_less_one('_ls', distance)})"
-    again = f"if(size(_l1) = size(_l0), _c0, if(size(_l1) >= 3, {_offset_corners('_l1', distance)}, null))"
+    (_, l0), (_, c0), (_, l1), (_, c1), (_, inset) = _inset_stages(ring, distance)
     return steps(
         df,
-        [*keep, once("_l0", _edge_lines(ring))],
-        [*keep, "_l0", once("_c0", _offset_corners("_l0", distance))],
-        [*keep, "_l0", "_c0", once("_l1", f"if(size({_surviving('_l0', '_c0')}) = size(_l0), _l0, {fewer})")],
-        [*keep, "_l1", once("_c1", again)],
-        [*keep, once(out, f"if({whole}, _c1, null)")],
+        [*keep, once("_l0", l0)],
+        [*keep, "_l0", once("_c0", c0)],
+        [*keep, "_l0", "_c0", once("_l1", l1)],
+        [*keep, "_l1", once("_c1", c1)],
+        [*keep, once(out, inset)],
     )
 
 
-def cardinal_vertices(ring: str) -> Column:
+def roof_vertices_text(ring: str, distance: float = ROOF_INSET_DEG) -> str:
+    """The cardinal vertices of an outline's inset as one expression over any outline, for functions in SQL."""
+    stages = [("_corners", distinct_corners(ring)), ("_ring", counter_clockwise("_corners")), *_inset_stages("_ring", distance)]
+    body = _cardinal_text("_inset")
+    for name, text in reversed(stages):
+        body = _let(text, name, body)
+    return body
+
+
+def _cardinal_text(ring: str) -> str:
     """Northern, southern, eastern and western corner as ``array<struct<vertex, lon, lat>>``; ties take the smallest (lon, lat)."""
 
     def extreme(name: str, key: str) -> str:
@@ -481,7 +506,11 @@ def cardinal_vertices(ring: str) -> Column:
         return f"named_struct('vertex', '{name}', 'lon', {best}.lon, 'lat', {best}.lat)"
 
     corners = [extreme("N", "-p.lat"), extreme("S", "p.lat"), extreme("E", "-p.lon"), extreme("W", "p.lon")]
-    return F.expr(f"if({ring} is not null, array({', '.join(corners)}), null)")
+    return f"if({ring} is not null, array({', '.join(corners)}), null)"
+
+
+def cardinal_vertices(ring: str) -> Column:
+    return F.expr(_cardinal_text(ring))
 
 
 def _finite(value: str) -> str:

@@ -13,7 +13,7 @@ from linkscout.operators import (
 )
 from linkscout.operators.skew import key_counts
 from linkscout.operators.storage import materialise
-from linkscout.plans import site_search
+from linkscout.plans import site_search, sql_functions
 from linkscout.sources import readers
 from linkscout.sources.fixtures import Fixtures
 
@@ -270,6 +270,16 @@ def roof_points(d: Data) -> DataFrame:
     return rounded(search.roof_points(d.buildings).drop("lon", "lat"), 9, "v_lon", "v_lat")
 
 
+@query
+def roof_points_lateral(d: Data) -> DataFrame:
+    """The same as hand-written SQL over the functions of :mod:`.sql_functions`."""
+    sql_functions.register(d.spark)
+    text_ = """
+select o.buildingid, x.buildingid as x_id, v.vertex, v.lon as v_lon, v.lat as v_lat
+from {buildings} o join {buildings} x on o.name = x.name and point_in_outline(x.lon, x.lat, o.ring), lateral roof_vertices(x.ring) v"""
+    return rounded(readers.query(d.spark, text_, {"buildings": d.buildings}), 9, "v_lon", "v_lat")
+
+
 @query
 def fcc_buffer_join(d: Data) -> DataFrame:
     return rank.licence_counts(d.buildings, d.licences)

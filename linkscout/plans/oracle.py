@@ -334,6 +334,7 @@ from (select *, asin(sin(xip) / {_cosh.format('etap')}) as chi
 SQL["point_in_polygon"] = f"select buildingid, {in_quad('lon', 'lat')} as inside from fx_buildings"
 SQL["cardinal_vertices"] = f"select buildingid, vertex, {half_up('v_lon', 9)} as lon, {half_up('v_lat', 9)} as lat from q_vertices"
 SQL["roof_points"] = f"select buildingid, x_id, vertex, {half_up('v_lon', 9)} as v_lon, {half_up('v_lat', 9)} as v_lat from q_roofs"
+SQL["roof_points_lateral"] = SQL["roof_points"]
 CTES["q_licence_points"] = f"""
 select b.buildingid, f.license_id from fx_buildings b join fx_fcc f
   on f.lon between b.x0 - 0.001 and b.x2 + 0.001 and f.lat between b.y1 - 0.001 and b.y3 + 0.001
