@@ -94,6 +94,15 @@ def test_reputation_hard_rows(spark):
 # Decontamination
 
 
+def test_very_long_url(spark):
+    """A host of a million labels and a path of a million characters; both are judged as they are."""
+    rows = [(1, "http://" + "a." * 500_000 + "example.org/es/" + "x" * 1_000_000), (2, "http://b/" + "?" * 1_000_000), (3, "y" * 1_000_000)]
+    pages = spark.createDataFrame(rows, PAGES)
+    out = {r.page_id: r for r in reputation.judge(pages, spark.createDataFrame([(2, 1)], "page_id long, bad int")).collect()}
+    assert out[1].verdict == "block" and out[1].rule == "example.org/es/" and len(out[1].path) == 1_000_004 and len(out[1].host) == 1_000_011
+    assert (out[2].host, out[2].path, out[2].n_bad) == ("b", "/", 1) and (out[3].host, out[3].path, out[3].verdict) == ("", "", "allow")
+
+
 def planted(draw, n_items=30):
     vocabulary = [f"t{i}" for i in range(2000)]
     items = [(k, " ".join(draw.choice(vocabulary) for _ in range(draw.randrange(15, 60)))) for k in range(n_items)]
