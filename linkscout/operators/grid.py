@@ -72,8 +72,8 @@ BAND_HEIGHTS = "array(" + ", ".join(f"{h!r}D" for h in HEIGHTS) + ")"
 
 
 def _columns_in(band: str, height: str) -> str:
-    """Number of columns of a band: as many as keep a column at least as wide as the band is high."""
-    far = f"least(greatest(abs({band} * {height} - 90), abs(({band} + 1) * {height} - 90)), {POLE_CAP!r}D)"
+    """Number of columns of a band: as many as keep a column at least as wide as the band is high; one at a pole."""
+    far = f"least(greatest(abs({band} * {height} - 90), abs(({band} + 1) * {height} - 90)), 90D)"
     return f"greatest(1L, floor(360 * cos(radians({far})) / {height}))"
 
 
@@ -127,8 +127,13 @@ def _gap_km(lon: str, lat: str) -> tuple[str, str]:
 
 
 def cover(df: DataFrame, lon: str, lat: str, reach_km: str, level: int | None = None) -> DataFrame:
-    """One row per cell that may hold a point within ``reach_km`` of each row, as column ``cell``."""
+    """One row per cell that may hold a point within ``reach_km`` of each row, as column ``cell``.
+
+    Only a circle that holds a pole touches whole rings, which are short there. Close to a pole the meridians that touch the
+    circle bound it; elsewhere a plain quotient, which is a little more, does.
+    """
     near, _ = _gap_km(lon, lat)
+    touching = f"1.001D * degrees(asin(least(1D, sin(radians(_deg)) / greatest(cos(radians({lat})), {geo.TINY!r}D))))"
     return steps(
         df,
         ["*", f"{level_for(reach_km) if level is None else level} as _level"],
@@ -136,7 +141,8 @@ def cover(df: DataFrame, lon: str, lat: str, reach_km: str, level: int | None =
         ["*", f"greatest(abs({lat} - _deg), abs({lat} + _deg)) as _top"],
         [
             "*",
-            f"if(_top >= {POLE_CAP!r}D, 180D, least(180D, _deg / cos(radians(least(_top, {POLE_CAP!r}D))))) as _half",
+            f"case when _top >= 90 then 180D when _top >= {POLE_CAP!r}D then {touching}"
+            f" else least(180D, _deg / cos(radians(least(_top, {POLE_CAP!r}D)))) end as _half",
             f"explode(sequence(greatest(0L, {_band(f'({lat} - _deg)', '_height')}),"
             f" least({_band('90D', '_height')}, {_band(f'({lat} + _deg)', '_height')}))) as _band",
         ],

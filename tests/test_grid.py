@@ -83,6 +83,39 @@ def test_nearest_is_brute_force(spark, monkeypatch, centre, shuffled):
     assert {(r.site_id, r.id, r.cand_dist_km) for r in found.collect()} == expected_nearest(sources, points)
 
 
+def polar_world(rng, sign, n_sources, n_points, widest):
+    """Places around a pole, on all meridians, among them the pole itself."""
+    def place():
+        r = widest * math.sqrt(rng.random())
+        return rng.uniform(-180, 180), sign * (90 - r)
+
+    sources = [(f"s{i}", "k", *place(), rng.choice([0.05, 0.4, 2.0, 5.0, 11.0]), 7) for i in range(n_sources)]
+    sources += [("pole", "k", 12.0, sign * 90.0, 5.0, 7), ("line", "k", 180.0, sign * 89.0, 11.0, 7), ("west", "k", -180.0, sign * 89.0, 11.0, 7)]
+    points = [("k", f"p{i:05d}", *place()) for i in range(n_points)]
+    # Some close to a source, on the other side of the pole or of the antimeridian as well.
+    for i, s in enumerate(sources):
+        points += [("k", f"q{i}{j}", (s[2] + rng.uniform(-1, 1) + 180) % 360 - 180, s[3] - sign * rng.uniform(0, 3e-4)) for j in range(5)]
+    return sources, points + [("k", "top", -100.0, sign * 90.0), ("k", "over", -168.0, sign * 89.98)]
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+@pytest.mark.parametrize("widest", [0.12, 0.7, 1.3])
+def test_poles(spark, sign, widest):
+    sources, points = polar_world(random.Random(int(widest * 10) + sign), sign, 25, 500, widest)
+    s, p = frames(spark, sources, points)
+    found = grid.radius_join(s.drop("kind"), p.drop("kind"))
+    want = expected_pairs(sources, points)
+    assert {(r.site_id, r.id) for r in found.select("site_id", "id").collect()} == want and found.count() == len(want) > 50
+    assert {(r.site_id, r.id, r.cand_dist_km) for r in grid.nearest_within(s, p, ["id"]).collect()} == expected_nearest(sources, points)
+
+
+def test_cells_at_the_poles_are_few(spark):
+    rows = [(f"{lat}/{km}", 33.0, sign * lat, km) for lat in (88.9, 89.2, 89.5, 89.9, 89.99, 89.9999, 90.0) for km in (0.005, 0.04, 0.15, 0.6, 2.5, 11.0) for sign in (1, -1)]
+    frame = spark.createDataFrame(rows, "site_id string, lon double, lat double, radius_km double")
+    cells = grid.cover(frame, "lon", "lat", "radius_km").groupBy("site_id", "lat").count().collect()
+    assert max(r["count"] for r in cells) <= 100 and len(cells) == len(rows)
+
+
 def test_nearest_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(grid, "BROADCAST_ROWS", 0)
     sources, points = world(random.Random(3), (-74.0, 40.7), 0.05, 8, 400)
