@@ -30,8 +30,9 @@ VERSION = 1
 FRAME_IDS = 1 << 14
 #: A file ends with the document that brings it to so many ids.
 FILE_IDS = 1 << 24
-#: Bytes of text that are encoded, or of ids that are handed on, at once, if no single document is longer.
-SLICE = 4 << 20
+#: Bytes of text that are encoded at once, and of ids that are handed on, if no single document is longer.
+TEXT_SLICE = 8 << 20
+IDS_SLICE = 4 << 20
 #: Words whose ids a worker remembers.
 MOST_WORDS = 1 << 19
 JOINED = 64
@@ -78,25 +79,32 @@ class Encoder:
             raw, marks = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
             yield from (raw[a:b] for a, b in zip([0, *[m + 4 for m in marks]], [*marks, len(raw)], strict=True))
 
-    def pieces(self, found: list[str]) -> list[bytes]:
-        new, late = [w for w in found if w not in self.known], {}
-        contents = [t.content for t in self.added.values()]
-        odd = {w for w in new if any(c in w for c in contents)}
-        new = [w for w in new if w not in odd]
-        for w in odd:
-            late[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def pieces(self, found: list[str], odd: set[str]) -> list[bytes]:
+        """The ids of different words; ``odd`` are those that hold an added token."""
+        known = self.known
+        out = [known.get(w) for w in found]
+        new = [k for k, raw in enumerate(out) if raw is None]
+        if odd:
+            for k in [k for k in new if found[k] in odd]:
+                out[k] = np.array(self.tokenizer.encode(found[k], add_special_tokens=False).ids, dtype="<u4").tobytes()
+            new = [k for k in new if out[k] is None]
         for i in range(0, len(new), 1 << 14):
             some = new[i : i + (1 << 14)]
-            for w, raw in zip(some, self.fresh(some), strict=True):
-                (self.known if len(self.known) < MOST_WORDS else late)[w] = raw
-        return [self.known[w] if w in self.known else late[w] for w in found]
+            for k, raw in zip(some, self.fresh([found[k] for k in some]), strict=True):
+                out[k] = raw
+            if len(known) < MOST_WORDS:
+                known.update((found[k], out[k]) for k in some)
+        return out
 
     def encode(self, text: pa.Array, end_id: int) -> list[np.ndarray]:
         """The ids of each text, ``end_id`` last."""
         lists = pc.ascii_split_whitespace(text)
-        owner = np.repeat(np.arange(len(text)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        owner = np.repeat(np.arange(len(text), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
         coded = lists.flatten().dictionary_encode()
-        pieces = self.pieces(coded.dictionary.to_pylist())
+        contents = [t.content for t in self.added.values()]
+        held = [c for c in contents if pc.any(pc.match_substring(text, c)).as_py()]
+        found = coded.dictionary.to_pylist()
+        pieces = self.pieces(found, {w for w in found if any(c in w for c in held)} if held else set())
         size = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
         joined, first = np.frombuffer(b"".join(pieces), dtype="<u4"), np.cumsum(size) - size
         word = coded.indices.to_numpy(zero_copy_only=False)
@@ -173,7 +181,7 @@ def write(
             ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
             while at < len(ends):
-                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_SLICE, side="right")))
                 found = encoder.encode(batch.column(1).slice(at, stop - at), end_id)
                 for doc_id, ids in zip(batch.column(0).slice(at, stop - at).to_pylist(), found, strict=True):
                     file.add(doc_id, ids)
@@ -286,7 +294,7 @@ def read(spark: SparkSession, folder: str, wanted: list[int] | None = None) -> D
             for content, base in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 r = Reader(content.as_py())
                 held = np.arange(r.n_docs) if wanted is None else np.flatnonzero(np.isin(r.ids, wanted) & ~r.nulls)
-                size = np.cumsum(r.counts[held]) * 4 // SLICE
+                size = np.cumsum(r.counts[held]) * 4 // IDS_SLICE
                 for some in np.split(held, np.flatnonzero(np.diff(size)) + 1) if len(held) else []:
                     columns = [
                         pa.array(r.ids[some], pa.int64(), mask=r.nulls[some]), pa.array(base + r.first[some]), pa.array(r.counts[some]),
