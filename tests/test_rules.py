@@ -62,8 +62,8 @@ def test_replies(spark):
     df = spark.createDataFrame([("a", '{"antenna":"X","capacity":900,"model":"M"}'), ("b", None)], "id string, reply string")
     got = {r.id: (r.antenna, r.capacity) for r in text.parse_link_reply(df, "reply").collect()}
     assert got == {"a": ("X", 900), "b": (None, None)}
-    reply = '{"results":[{"elevation":1.5},{"elevation":2.0}]}'
-    assert column(spark, [reply], "string", text.elevation_array) == [[1.5, 2.0]]
+    heights = spark.createDataFrame([("a", '{"results":[{"elevation":1.5},{"elevation":2.0}]}')], "id string, reply string")
+    assert [(r.elevations, r.reply_error) for r in text.parse_elevation_reply(heights, "reply").collect()] == [([1.5, 2.0], None)]
 
 
 def test_days(spark):
