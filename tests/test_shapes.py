@@ -168,3 +168,32 @@ def test_crowded_cell_is_split(spark, monkeypatch):
     plain = sorted(map(tuple, rank.licence_counts(own, shaped, BUFFER).collect()))
     monkeypatch.setattr(shapes, "skewed_join", lambda *a, **k: skew.skewed_join(*a, rows_per_task=50, **k))
     assert sorted(map(tuple, rank.licence_counts(own, shaped, BUFFER).collect())) == plain
+
+
+def test_areas_without_an_edge_nearby_are_counted_per_cell(spark, monkeypatch):
+    """Outlines that fit a cell form no pair with the areas that hold them: only the number of areas per cell is joined."""
+    def formed(*_):
+        raise AssertionError("pairs of outlines that fit a cell")
+
+    draw = random.Random(5)
+    spots = [(5 + draw.uniform(0, 0.004), 50 + draw.uniform(0, 0.004)) for _ in range(60)]
+    outlines = {i: [(x, y), (x + 1e-4, y), (x, y + 1e-4)] for i, (x, y) in enumerate(spots)}
+    # A hole around some of them, and a shape whose second path alone lies inside an outline.
+    wide = [("area", [[(4 - i / 100, 49.0), (6.0, 49.0), (6.0, 51.0), (4.0, 51.0)], [(5.001, 50.001), (5.003, 50.001), (5.003, 50.003), (5.001, 50.003)]]) for i in range(40)]
+    wide += [("line", [[(9.0, 9.0), (9.1, 9.0)], [(spots[7][0] + 2e-5, spots[7][1] + 2e-5)] * 2])]
+    own, shaped = frames(spark, outlines, wide)
+    monkeypatch.setattr(shapes, "_inside", formed)
+    found = {r.buildingid: r.n for r in rank.licence_counts(own, shaped, 1e-6).collect()}
+    monkeypatch.setitem(globals(), "BUFFER", 1e-6)
+    want = Counter(i for i, ring in outlines.items() for kind, paths in wide if meets(ring, kind, paths))
+    assert found == dict(want) and 40 in want.values() and 7 in want and len(want) < 60
+
+
+def test_outlines_of_many_cells_and_without_id(spark):
+    """An outline without an id counts like any other, and so does one that fits no cell."""
+    far = [(5.001, 50.0), (5.0011, 50.0), (5.001, 50.0001)]
+    rows = [(3, far), (None, far), (4, [(5.0, 50.0), (5.2, 50.0), (5.2, 50.2), (5.0, 50.2)])]
+    licences = [("area", [[(4.9, 49.9), (5.1, 49.9), (5.1, 50.1), (4.9, 50.1)]]), ("line", [[(5.00105, 49.9), (5.00105, 50.1)]]), ("line", [[(5.1, 50.1), (5.11, 50.1)]])]
+    _, shaped = frames(spark, {}, licences)
+    found = {r.buildingid: r.n for r in rank.licence_counts(spark.createDataFrame(rows, OUTLINES), shaped, 1e-6).collect()}
+    assert found == {3: 2, None: 2, 4: 3}
