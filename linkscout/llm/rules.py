@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscout.llm.common import SPACES, let, words
-from linkscout.operators.storage import materialise
+from linkscout.operators.storage import counted, materialise
 
 BUCKETS = 1 << 14
 #: Weights are whole multiples of this fraction, so that sums do not depend on their order.
@@ -16,8 +19,12 @@ PRIOR = 1.0
 #: A text goes if its mean log ratio per n-gram lies this far below this share of the trusted texts, each judged without itself.
 QUANTILE = 0.01
 MARGIN = 0.05
-#: That share is taken over at most this many trusted ids, by hash.
-SAMPLE = 4000
+#: Most trusted texts that the share is taken over: all of them.
+SAMPLE = sys.maxsize
+#: Ids allowed in a broadcast; they are counted first, and more of them meet the texts in a merge join.
+BROADCAST_IDS = 500_000
+#: Ranks by which a share of values is bracketed, on both sides.
+BRACKET = 3e-4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
@@ -114,29 +121,85 @@ def weights(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return listed.select(F.when(F.col("all_target") > 0, F.transform("c", ratio)).otherwise(none).alias("w"))
 
 
+def own_total(buckets_of: Column, copies: Column, all_raw: Column, all_target: Column, buckets: int) -> Column:
+    """Sum of the weights of a text's n-grams, in whole numbers, by the counts without the ``copies`` of the text.
+
+    The sorted buckets of its n-grams are read as runs; ``_raw`` and ``_target`` hold the counts by bucket.
+    """
+    def summed(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+
+        def one(p: Column, k: Column) -> Column:
+            first, b = F.get(p, k), F.get(s, F.get(p, k))
+            c = F.coalesce(F.get(p, k + 1), n) - first
+
+            def without(name: str, every: Column) -> Column:
+                rest = F.greatest(F.get(F.col(f"_{name}"), b) - copies * c, F.lit(0))
+                return share(rest, F.greatest(every - copies * n, F.lit(0)), buckets)
+
+            return c * weight(without("target", all_target), without("raw", all_raw))
+
+        return let(starts, lambda p: F.aggregate(F.transform(p, lambda _, k: one(p, k)), F.lit(0).cast("long"), lambda a, x: a + x))
+
+    return let(F.sort_array(buckets_of), summed)
+
+
+def quantile(values: DataFrame, name: str, at: float) -> float | None:
+    """The share ``at`` of a written column, between its neighbours in order; None without a value.
+
+    Only values between two approximate shares around it are put in order; the others are counted.
+    """
+    around = [max(0.0, at - BRACKET), min(1.0, at + BRACKET)]
+    n, (low, high) = values.agg(F.count(name), F.coalesce(F.percentile_approx(name, around, 10_000), F.array(F.lit(0.0), F.lit(0.0)))).first()
+    if not n:
+        return None
+    rank = at * (n - 1)
+    wanted = [math.floor(rank), math.ceil(rank)]
+    value = F.col(name)
+    below = values.where(value < low).count()
+    # The bracket holds both ranks but for an unlucky estimate; then all values are put in order.
+    for before, inside in ((below, value.between(low, high)), (0, value.isNotNull())):
+        found: list[float] = []
+        for row in values.where(inside).groupBy(name).count().orderBy(name).toLocalIterator() if before <= wanted[0] else ():
+            before += row["count"]
+            found += [row[name]] * sum(w < before for w in wanted[len(found):])
+            if len(found) == 2:
+                break
+        if len(found) == 2:
+            break
+    if wanted[0] == wanted[1] or found[0] == found[1]:
+        return found[0]
+    return (wanted[1] - rank) * found[0] + (rank - wanted[0]) * found[1]
+
+
 def cut(
     docs: DataFrame, trusted: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS,
     min_words: int = MIN_WORDS,
 ) -> float:
-    """The threshold by the data: the QUANTILE of the trusted texts' ratios, less MARGIN.
+    """The threshold by the data: the QUANTILE of the ratios of all trusted texts, less MARGIN.
 
-    A trusted text adds to the counts it is judged by, so its own n-grams (and those of its copies in the sample) are left
-    out of both. Texts below ``min_words`` do not count. Without trusted texts, which give a ratio of 0 to all, it is -MARGIN.
+    A trusted text adds to the counts it is judged by, so its own n-grams and those of its copies are left out of both. Each text
+    is judged within its row, whatever the number of texts. Texts below ``min_words`` do not count. Without trusted texts, which
+    give a ratio of 0 to all, it is -MARGIN.
     """
-    picked = trusted.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    picked = picked.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id", "left_semi")
-    hashed = with_hashes(texts, "_text").where(F.size("_words") >= min_words)
-    each = hashed.select(F.xxhash64("_text").alias("t"), F.explode(F.concat("_one", "_two")).alias("h"))
-    own = each.groupBy("t", F.pmod("h", F.lit(buckets)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
-    rest = own.join(own.groupBy("t").agg(F.sum("c").alias("n")), "t").join(F.broadcast(counts), "b").crossJoin(F.broadcast(totals))
-
-    def without(name: str) -> Column:
-        return share(F.greatest(F.col(name) - F.col("c"), F.lit(0)), F.greatest(F.col(f"all_{name}") - F.col("n"), F.lit(0)), buckets)
-
-    scored = rest.groupBy("t").agg((F.sum(F.col("c") * weight(without("target"), without("raw"))) / F.first("n") / UNIT).alias("ratio"))
-    low = scored.agg(F.percentile("ratio", F.lit(QUANTILE)).alias("low")).first()["low"]
+    ids, n = counted(trusted.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct())
+    ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids.hint("merge")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids, "_id", "left_semi")
+    long = texts.select("_text").where(F.size(words(F.col("_text"))) >= min_words)
+    hashed = with_hashes(long.groupBy("_text").agg(F.count(F.lit(1)).alias("_copies")), "_text")
+    listed = counts.groupBy().agg(
+        F.array_sort(F.collect_list(F.struct("b", "raw", "target"))).alias("c"),
+        F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"),
+    )
+    table = listed.select(F.struct(F.col("c.raw").alias("raw"), F.col("c.target").alias("target"), "all_raw", "all_target"))
+    held = hashed.withColumn("_c", table.scalar()).select(
+        "_copies", F.transform(F.concat("_one", "_two"), lambda h: F.pmod(h, F.lit(buckets)).cast("int")).alias("_own"),
+        F.col("_c.raw").alias("_raw"), F.col("_c.target").alias("_target"), F.col("_c.all_raw").alias("_all_raw"), F.col("_c.all_target").alias("_all_target"),
+    )
+    total = own_total(F.col("_own"), F.col("_copies"), F.col("_all_raw"), F.col("_all_target"), buckets)
+    ratios = materialise(held.select((total / F.size("_own") / UNIT).alias("ratio")))
+    low = quantile(ratios, "ratio", QUANTILE)
     return (low or 0.0) - MARGIN
 
 
