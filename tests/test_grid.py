@@ -170,3 +170,24 @@ def test_bad_corners_have_no_cells(spark):
     df = spark.createDataFrame(rows, "id int, w double, s double, e double, n double")
     cells = grid.box_cells(df, "w", "s", "e", "n", 2)
     assert {r.id for r in cells.collect()} == {1} and cells.count() <= 9
+
+
+def test_cells_of_all_levels_are_compiled(spark, capsys):
+    """A generated method of more than 8,000 bytes is interpreted, which takes many times as long; the cells are the same."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from linkscout.operators import grid
+
+    points = spark.range(500).selectExpr("'a' as kind", "cast(id * 37 % 361 - 180 as double) as lon", "id * 0.361 - 90 as lat").localCheckpoint()
+    want = points.select("kind", F.explode(grid.cells_of("lon", "lat")).alias("cell")).groupBy("cell").count()
+    found = grid.cell_counts(points)
+    assert sorted((r.cell, r.n) for r in found.collect()) == sorted(map(tuple, want.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        grid.cell_counts(points).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
