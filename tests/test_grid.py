@@ -191,3 +191,25 @@ def test_cells_of_all_levels_are_compiled(spark, capsys):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+def test_points_get_only_cells_of_used_levels(spark, monkeypatch):
+    """A search looks at one or two levels: in the shuffled join a point has no rows at others, and no count is taken again."""
+    rng = random.Random(5)
+    sources, points = world(rng, (-74.0, 40.7), 0.02, 30, 2000)
+    s, p = frames(spark, sources, points)
+    seen = {}
+
+    def join(left, right, keys, **known):
+        seen.update(rows=left.count(), columns=left.columns, **known)
+        return skew.skewed_join(left, right, keys, **known)
+
+    monkeypatch.setattr(grid, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(grid, "skewed_join", join)
+    found = grid.nearest_within(s, p, ["id"])
+    got = {(r.site_id, r.id, r.cand_dist_km) for r in found.collect()}
+    assert got == expected_nearest(sources, points)
+    kept = grid.trim_copies(p, [F.col("id").asc()], 7).count()
+    assert seen["rows"] <= 4 * kept and "p_sin" not in seen["columns"]
+    known = {(r.kind, r.cell): r._n for r in seen["left_counts"].collect()}
+    assert sum(known.values()) == seen["rows"] and seen["right_counts"] is not None
