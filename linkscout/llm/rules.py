@@ -74,7 +74,7 @@ def with_statistics(hashed: DataFrame, text_col: str = "text") -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     return hashed.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": F.aggregate("_words", F.lit(0).cast("long"), lambda n, x: n + F.length(x)),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": (F.size(F.split(text, SYMBOLS)) - 1).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": repeat_words(F.col("_two")),
@@ -92,12 +92,17 @@ def bucket_counts(
     sure = trusted.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct().withColumn("_sure", F.lit(1)).hint("merge")
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(sure, "_id", "left")
     each = with_hashes(marked, "_text").select("_sure", F.explode(F.concat("_one", "_two")).alias("h"))
-    bucket = F.pmod("h", F.lit(buckets)).cast("int").alias("b")
+    bucket = bucket_of(F.col("h"), buckets).alias("b")
     counts = each.groupBy(bucket).agg(F.count(F.lit(1)).alias("raw"), F.count("_sure").alias("target"))
     spark = docs.sparkSession
     return spark.range(buckets).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").na.fill(0)
 
 
+def bucket_of(h: Column, buckets: int) -> Column:
+    """Number of the bucket of a hash; for a power of two its last bits are the remainder."""
+    return (h.bitwiseAND(F.lit(buckets - 1).cast("long")) if buckets & (buckets - 1) == 0 else F.pmod(h, F.lit(buckets))).cast("int")
+
+
 def share(count: Column, total: Column, buckets: int) -> Column:
     return (count + F.lit(PRIOR)) / (total + F.lit(PRIOR * buckets))
 
@@ -129,18 +134,23 @@ def own_total(buckets_of: Column, copies: Column, all_raw: Column, all_target: C
     def summed(s: Column) -> Column:
         n = F.size(s)
         starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        # What all runs of a text share is computed once, as lambdas are interpreted.
+        totals = [F.greatest(every - copies * n, F.lit(0)) + F.lit(PRIOR * buckets) for every in (all_raw, all_target)]
+        held = F.struct(F.col("_raw").alias("raw"), F.col("_target").alias("target"), *[t.alias(f"n{i}") for i, t in enumerate(totals)])
+
+        def runs(p: Column, c: Column) -> Column:
+            ends = F.concat(F.slice(p, F.lit(2), F.size(p)), F.array(n))
 
-        def one(p: Column, k: Column) -> Column:
-            first, b = F.get(p, k), F.get(s, F.get(p, k))
-            c = F.coalesce(F.get(p, k + 1), n) - first
+            def one(first: Column, end: Column) -> Column:
+                def without(name: str, total: str) -> Column:
+                    rest = F.greatest(F.get(c.getField(name), F.get(s, first)) - copies * (end - first), F.lit(0))
+                    return (rest + F.lit(PRIOR)) / c.getField(total)
 
-            def without(name: str, every: Column) -> Column:
-                rest = F.greatest(F.get(F.col(f"_{name}"), b) - copies * c, F.lit(0))
-                return share(rest, F.greatest(every - copies * n, F.lit(0)), buckets)
+                return (end - first) * weight(without("target", "n1"), without("raw", "n0"))
 
-            return c * weight(without("target", all_target), without("raw", all_raw))
+            return F.aggregate(F.zip_with(p, ends, one), F.lit(0).cast("long"), lambda a, x: a + x)
 
-        return let(starts, lambda p: F.aggregate(F.transform(p, lambda _, k: one(p, k)), F.lit(0).cast("long"), lambda a, x: a + x))
+        return let(starts, lambda p: let(held, lambda c: runs(p, c)))
 
     return let(F.sort_array(buckets_of), summed)
 
@@ -186,19 +196,20 @@ def cut(
     ids, n = counted(trusted.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct())
     ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids.hint("merge")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids, "_id", "left_semi")
-    long = texts.select("_text").where(F.size(words(F.col("_text"))) >= min_words)
-    hashed = with_hashes(long.groupBy("_text").agg(F.count(F.lit(1)).alias("_copies")), "_text")
+    hashed = with_hashes(texts.groupBy("_text").agg(F.count(F.lit(1)).alias("_copies")), "_text")
     listed = counts.groupBy().agg(
         F.array_sort(F.collect_list(F.struct("b", "raw", "target"))).alias("c"),
         F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"),
     )
     table = listed.select(F.struct(F.col("c.raw").alias("raw"), F.col("c.target").alias("target"), "all_raw", "all_target"))
     held = hashed.withColumn("_c", table.scalar()).select(
-        "_copies", F.transform(F.concat("_one", "_two"), lambda h: F.pmod(h, F.lit(buckets)).cast("int")).alias("_own"),
+        "_copies", F.transform(F.concat("_one", "_two"), lambda h: bucket_of(h, buckets)).alias("_own"),
         F.col("_c.raw").alias("_raw"), F.col("_c.target").alias("_target"), F.col("_c.all_raw").alias("_all_raw"), F.col("_c.all_target").alias("_all_target"),
     )
     total = own_total(F.col("_own"), F.col("_copies"), F.col("_all_raw"), F.col("_all_target"), buckets)
-    ratios = materialise(held.select((total / F.size("_own") / UNIT).alias("ratio")))
+    # n words give 2n - 1 n-grams. Short texts are told by these, so that no text is cut into words twice.
+    long = F.size("_own") >= max(2 * min_words - 1, 1)
+    ratios = materialise(held.select(F.when(long, total / F.size("_own") / UNIT).alias("ratio")))
     low = quantile(ratios, "ratio", QUANTILE)
     return (low or 0.0) - MARGIN
 
@@ -220,7 +231,7 @@ def judge(
         threshold = cut(docs, trusted, counts, id_col, text_col, buckets, min_words)
     table = weights(counts, buckets)
     total = F.aggregate(
-        F.concat("_one", "_two"), F.lit(0).cast("long"), lambda a, h: a + F.get(F.col("_w"), F.pmod(h, F.lit(buckets)).cast("int"))
+        F.concat("_one", "_two"), F.lit(0).cast("long"), lambda a, h: a + F.get(F.col("_w"), bucket_of(h, buckets))
     )
     whole = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"))
     counted = with_statistics(with_hashes(whole, "_text"), "_text").withColumn("_w", table.scalar()).withColumn("_total", total)
