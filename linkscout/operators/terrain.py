@@ -12,9 +12,14 @@ from linkscout.functions.geo import once
 from linkscout.functions.steps import steps
 from linkscout.operators.enrich import MOST_SAMPLES, array_clearance
 from linkscout.operators.skew import skewed_join
+from linkscout.operators.storage import counted
 
 #: Tile keys are ``row * TILE_ROW + column`` of the tile, both of either sign.
 TILE_ROW = 1 << 26
+#: Posts (8 bytes each) of the tiles that a join may broadcast; they are counted first.
+BROADCAST_POSTS = 2_000_000
+#: Parts of paths that one task is asked to join with one tile; a part holds up to MOST_SAMPLES samples, about 10 KB.
+PARTS_PER_TASK = 10_000
 
 
 @dataclass(frozen=True)
@@ -104,8 +109,8 @@ def path_elevations(
 ) -> DataFrame:
     """``(keys, elevations)``: elevations at equal distances along each path, by bilinear interpolation between posts.
 
-    A path becomes one row per tile it touches, with its samples there, and meets the tiles by key; tiles that many paths
-    touch are split. Samples without terrain are NULL. ``keys`` name one path each. A path without ends has no row.
+    A path becomes one row per tile it touches, with its samples there, and meets the tiles by key; tiles that are few
+    are broadcast, and of more those that many paths touch are split. Samples without terrain are NULL. ``keys`` name one path each. A path without ends has no row.
     """
     n, across = grid.side, grid.side + 1
     placed = (
@@ -124,7 +129,12 @@ def path_elevations(
         [*keys, "_local", "explode(array_distinct(transform(_local, p -> p.tile))) as tile"],
         [*keys, "tile", once("_own", "filter(_local, p -> p.tile = tile)")],
     )
-    met = skewed_join(touched, terrain, ["tile"], "left")
+    # Terrain under the paths alone; in a small area all paths meet few tiles, which need no shuffle of the samples.
+    held, n_held = counted(terrain.join(touched.select("tile").distinct(), "tile", "left_semi"))
+    if n_held * across * across <= BROADCAST_POSTS:
+        met = touched.join(F.broadcast(held), "tile", "left")
+    else:
+        met = skewed_join(touched, held, ["tile"], "left", PARTS_PER_TASK)
     found = f"transform(_own, p -> named_struct('k', p.k, 'e', {_bilinear(n)}))"
     parts = met.select(*keys, F.expr(found).alias("_part"))
     whole = F.sort_array(F.flatten(F.collect_list("_part")))

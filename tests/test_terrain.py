@@ -120,3 +120,22 @@ def test_bounds(spark):
     with pytest.raises(Exception, match="more than 200 samples"):
         enrich.elevation_arrays(long, ["p"]).collect()
     assert len(enrich.elevation_arrays(long.where("sample_idx < 200"), ["p"]).first().elevations) == 200
+
+
+def test_samples_of_many_paths_over_one_tile(spark, monkeypatch):
+    """All paths over few tiles: their samples are not brought together by tile, or else in small parts; the elevations are the same."""
+    draw = random.Random(11)
+    held = frame(spark, posts(draw))
+    df = spark.createDataFrame(paths(draw, 60), "k int, x1 double, y1 double, x2 double, y2 double")
+
+    def found():
+        out = terrain.path_elevations(df, terrain.tiles(held, GRID), GRID, ["k"], ("x1", "y1"), ("x2", "y2"), 50)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        return plan, sorted((r.k, tuple(r.elevations)) for r in out.collect())
+
+    plan, few = found()
+    assert "_s#" not in plan and "broadcast" in plan
+    monkeypatch.setattr(terrain, "BROADCAST_POSTS", 0)
+    monkeypatch.setattr(terrain, "PARTS_PER_TASK", 5)
+    plan, many = found()
+    assert "_s#" in plan and many == few
