@@ -1,4 +1,5 @@
 import math
+import re
 import struct
 
 import pytest
@@ -74,6 +75,14 @@ def test_line_length(spark):
         assert r.got == r.want
 
 
+def test_line_length_is_compiled(spark, capsys):
+    """The virtual machine interprets methods of more than 8,000 bytes."""
+    df = spark.range(10).selectExpr("id", "id / 10 as a", "id / 7 as b", "id / 9 as c", "id / 8 as d")
+    geo.with_line_length(df, "a", "b", "c", "d", "length").explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_transform(spark):
     mercator = math.log(math.tan(math.radians(45 + 40.7 / 2))) * 6378137.0
     # The UTM rows: a central meridian, and a known point of zone 18 (published example, to the metre).
