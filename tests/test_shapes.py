@@ -156,6 +156,24 @@ def test_segment_near_ring(spark):
     assert 50 < sum(found.values()) < 350
 
 
+def test_discs_decide_as_the_edges_do(spark):
+    """Points in the inner disc are near, those beyond the outer one are not, and few of a grown box are left for the edges."""
+    draw = random.Random(5)
+    rings = [[(draw.uniform(-2, 2), draw.uniform(-1, 1)) for _ in range(draw.choice((1, 2, 3, 4, 7)))] for _ in range(60)]
+    rings += [[(0.0, -h), (w, 0.0), (0.0, h), (-w, 0.0)] for w in (0.5, 1.0) for h in (0.5, 1.0)]
+    rows = [(i, [{"lon": -73.9 + x / 5000, "lat": 40.7 + y / 5000} for x, y in ring]) for i, ring in enumerate(rings)]
+    boxes = shapes.grown_boxes(spark.createDataFrame(rows, "buildingid long, ring array<struct<lon:double,lat:double>>"), BUFFER)
+    spots = spark.range(-12, 13).selectExpr("id / 12.3D as u").crossJoin(spark.range(-12, 13).selectExpr("id / 12.7D as v"))
+    pairs = boxes.crossJoin(spots).selectExpr("*", "mid_lon + u * (east - mid_lon) as x", "mid_lat + v * (north - mid_lat) as y")
+    pairs = pairs.withColumn("near", geo.point_near_ring("x", "y", "ring", BUFFER)).selectExpr(
+        "buildingid", "near", "in_sq", "out_sq", "(x - mid_lon) * (x - mid_lon) + (y - mid_lat) * (y - mid_lat) as gap"
+    ).collect()
+    assert all(p.near for p in pairs if p.gap <= p.in_sq) and not any(p.near for p in pairs if p.gap > p.out_sq)
+    assert any(p.in_sq < 0 for p in pairs)
+    between = [p.in_sq < p.gap <= p.out_sq for p in pairs if p.buildingid >= 60]
+    assert sum(between) < len(between) / 3
+
+
 def test_crowded_cell_is_split(spark, monkeypatch):
     """A third of all lines in one cell: the join splits it and gives the same counts."""
     from linkscout.operators import skew
