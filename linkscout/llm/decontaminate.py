@@ -8,7 +8,6 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +30,11 @@ MIN_ANSWER = 0.5
 SLACK = 12
 #: Items below this many words must occur whole.
 SHORT_ITEM = 8
-#: The index is fitted on at most this many documents, by hash of the id, and this many passages of each, by hash.
-FIT_DOCUMENTS = 2000
-FIT_PASSAGES = 16
+#: Passages of one written row; passages that are multiplied at once; occurrences in these from which a term is summed by itself.
+ROW_PASSAGES = 64
+CHUNK = 2048
+FREQUENT = 32
+PASSAGES_PER_TASK = 1 << 20
 BLOCK_ITEMS = 1000
 #: Blocks of items that one plan goes through.
 PASS_BLOCKS = 8
@@ -51,31 +52,61 @@ def terms(found: list[bytes]) -> np.ndarray:
     return (word_hashes(found) & np.uint64((1 << TERM_BITS) - 1)).astype(np.int64)
 
 
-def frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
-    """In how many passages of the whole corpus each hashed term occurs, and the number of passages.
+def passages(texts: DataFrame, text_col: str) -> DataFrame:
+    """``(t)``: the hashed terms of all passages of all texts, written; up to ROW_PASSAGES passages a row, as 16-bit numbers.
 
-    Each task sends one row per term at most; the table of 2 ** TERM_BITS terms is what the driver sees.
+    Each passage holds its terms in ascending order, with -1 before them where it is shorter than WINDOW.
     """
-    size = 1 << TERM_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, passages = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
+            held, n = [], 0
             for raw in batch.column(0).to_pylist():
                 t = terms(raw.lower().split())
-                rows = np.full((-(-len(t) // WINDOW), WINDOW), -1, dtype=np.int64)
+                rows = np.full((-(-len(t) // WINDOW), WINDOW), -1, dtype=np.int16)
                 rows.ravel()[: len(t)] = t
-                rows.sort(axis=1)
-                new = rows >= 0
-                new[:, 1:] &= rows[:, 1:] != rows[:, :-1]
-                np.add.at(df, rows[new], 1)
-                passages += len(rows)
+                held.append(rows)
+                n += len(rows)
+                if n >= CHUNK:
+                    yield _written(held)
+                    held, n = [], 0
+            if n:
+                yield _written(held)
+
+    rows = texts.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    return materialise(rows.mapInArrow(run, "t binary"))
+
+
+def _written(held: list[np.ndarray]) -> pa.RecordBatch:
+    rows = np.sort(np.concatenate(held), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array([rows[i : i + ROW_PASSAGES].tobytes() for i in range(0, len(rows), ROW_PASSAGES)], pa.binary())], ["t"])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The passages of :func:`passages`, a row each, in chunks of bounded size."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, CHUNK // ROW_PASSAGES):
+            held = b"".join(batch.column(0).slice(i, CHUNK // ROW_PASSAGES).to_pylist())
+            yield np.frombuffer(held, dtype=np.int16).reshape(-1, WINDOW)
+
+
+def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many passages of the whole corpus each hashed term occurs, and the number of passages.
+
+    Each task sends one row per term at most; the table of 2 ** TERM_BITS terms is what the driver sees.
+    """
+    size = 1 << TERM_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n = np.zeros(size, dtype=np.int64), 0
+        for t in _chunks(batches):
+            new = t >= 0
+            new[:, 1:] &= t[:, 1:] != t[:, :-1]
+            df += np.bincount(t[new], minlength=size)
+            n += len(t)
         used = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[used, -1]), pa.array(np.r_[df[used], passages])], ["term", "n"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[used, -1]), pa.array(np.r_[df[used], n])], ["term", "n"])
 
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     counts = rows.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df, total = np.zeros(size, dtype=np.int64), 0
     for term, n in counts:
@@ -86,80 +117,99 @@ def frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     return df, total
 
 
-def inverse(df: np.ndarray, passages: int) -> np.ndarray:
-    return (np.log((passages + 1) / (df + 1)) + 1).astype(np.float32)
-
-
-def _weighted(t: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One passage as terms and TF-IDF weights of length 1."""
-    own, n = np.unique(t, return_counts=True)
-    w = n.astype(np.float32) * idf[own]
-    return own, w / max(float(np.sqrt((w * w).sum())), 1e-9)
-
-
-def fit_passages(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> DataFrame:
-    """``(at, x)``: TF-IDF passages of a bounded sample of documents, and of all benchmark items."""
-    picked = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    picked = picked.orderBy(F.xxhash64("id"), "id").limit(FIT_DOCUMENTS)
-    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    chosen = docs.select(F.col(id_col).alias("id"), raw).join(F.broadcast(picked), "id", "left_semi").select("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text in batch.column(0).to_pylist():
-                t = terms(text.lower().split())
-                cut = [t[i : i + WINDOW] for i in range(0, len(t), WINDOW)]
-                cut.sort(key=lambda p: xxhash.xxh64_intdigest(p.tobytes()))
-                out += [_weighted(p, idf) for p in cut[:FIT_PASSAGES]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a.astype(np.int32) for a, _ in out], pa.list_(pa.int32())), pa.array([x for _, x in out], pa.list_(pa.float32()))],
-                ["at", "x"],
-            )
+def inverse(df: np.ndarray, n: int) -> np.ndarray:
+    return (np.log((n + 1) / (df + 1)) + 1).astype(np.float32)
 
-    return chosen.unionByName(items.select(raw)).mapInArrow(run, "at array<int>, x array<float>")
 
+def _projected(t: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows ``weighted`` over the terms of each passage, and the squared length of its TF-IDF weights.
 
-def singular(passages: DataFrame, seed: int = 11) -> np.ndarray:
-    """Whitened right singular vectors (terms x RANK) of the passage matrix, by a randomised SVD.
-
-    In each round every task multiplies its passages with the current basis and back, and the products are added per term
-    on the executors; the driver orthogonalises a matrix whose size is fixed.
+    Both arrays end with a row of zeros, which -1 stands for.
+    """
+    p = np.zeros((len(t), weighted.shape[1]), dtype=np.float32)
+    sq, before = np.zeros(len(t), dtype=np.float32), np.zeros(len(t), dtype=np.float32)
+    for j in range(WINDOW):
+        p += weighted.take(t[:, j], axis=0, mode="wrap")
+        # The first n odd numbers add up to the square of n.
+        before = np.where(t[:, j] == t[:, j - 1], before + 1, 0) if j else before
+        sq += idf.take(t[:, j], mode="wrap") ** 2 * (2 * before + 1)
+    return p, np.maximum(sq, 1e-18)
+
+
+def _added(total: np.ndarray, t: np.ndarray, p: np.ndarray) -> None:
+    """Add the row ``p`` of each passage to ``total`` at each of its terms."""
+    flat = t.ravel()
+    order = flat.argsort(kind="stable")
+    order = order[np.count_nonzero(flat < 0) :]
+    if not len(order):
+        return
+    found, first, n = np.unique(flat[order], return_index=True, return_counts=True)
+    order //= WINDOW
+    rank = (-n).argsort(kind="stable")
+    found, first, n = found[rank], first[rank], n[rank]
+    sums = np.zeros((len(found), p.shape[1]), dtype=np.float32)
+    frequent = int(np.count_nonzero(n > FREQUENT))
+    for i in range(frequent):
+        sums[i] = p[order[first[i] : first[i] + n[i]]].sum(axis=0)
+    for k in range(FREQUENT):  # the k-th occurrence of all other terms that have one
+        some = slice(frequent, int(np.count_nonzero(n > k)))
+        if some.stop <= frequent:
+            break
+        sums[some] += p.take(order[first[some] + k], axis=0)
+    total[found] += sums
+
+
+def _padded(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x, np.zeros_like(x[:1])]).astype(np.float32)
+
+
+def singular(rows: DataFrame, idf: np.ndarray, seed: int = 11) -> np.ndarray:
+    """Whitened right singular vectors (terms x RANK) of the matrix of all passages, by a randomised SVD.
+
+    The rows of that matrix are the passages' TF-IDF weights at length 1. In each round every task multiplies its passages with
+    the current basis and back, and the products are added per term on the executors; the driver orthogonalises a matrix whose
+    size is fixed.
     """
     size, width = 1 << TERM_BITS, RANK + OVERSAMPLE
-    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, width)))[0].astype(np.float32)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, width)))[0]
     for _ in range(ROUNDS):
-        product = _gram(passages, basis)
+        product = _product(rows, idf, basis)
         if not product.any():
             return np.zeros((size, RANK), dtype=np.float32)
-        basis = np.linalg.qr(product)[0].astype(np.float32)
-    small = basis.T @ _gram(passages, basis)
+        basis = np.linalg.qr(product)[0]
+    small = _product(rows, idf, basis, within=True)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     top = np.argsort(values)[::-1][:RANK]
     scale = 1 / np.sqrt(np.maximum(values[top], 1e-6 * max(values.max(), 1e-9)))
     return (basis @ (vectors[:, top] * scale)).astype(np.float32)
 
 
-def _gram(passages: DataFrame, basis: np.ndarray) -> np.ndarray:
+def _product(rows: DataFrame, idf: np.ndarray, basis: np.ndarray, within: bool = False) -> np.ndarray:
+    """The matrix of passages, transposed, times itself times ``basis`` (terms x columns); ``within`` the basis, that from the left as well."""
     size, width = basis.shape
+    inverse_frequency, weighted = _padded(idf), _padded(basis * idf[:, None])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, width), dtype=np.float32)
-        for batch in batches:
-            for at, x in zip(batch.column(0), batch.column(1), strict=True):
-                slots, w = at.values.to_numpy(), x.values.to_numpy()
-                total[slots] += np.outer(w, w @ basis[slots])
+        total = np.zeros((width if within else size, width))
+        for t in _chunks(batches):
+            p, sq = _projected(t, inverse_frequency, weighted)
+            if within:
+                total += p.T @ (p / sq[:, None])
+            else:
+                _added(total, t, p / sq[:, None])
+        if not within:
+            total *= idf[:, None]
         used = np.flatnonzero(total.any(axis=1))
         for i in range(0, len(used), 2048):
             some = used[i : i + 2048]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(list(total[some]), pa.list_(pa.float32()))], ["term", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(list(total[some]), pa.list_(pa.float64()))], ["at", "v"])
 
-    rows = passages.mapInArrow(run, "term long, v array<float>")
-    sums = rows.groupBy("term").agg(F.array(*[F.sum(F.get("v", F.lit(i)).cast("double")) for i in range(width)]).alias("v"))
-    out = np.zeros((size, width))
+    parts = rows.mapInArrow(run, "at long, v array<double>")
+    sums = parts.groupBy("at").agg(F.array(*[F.sum(F.get("v", F.lit(i))) for i in range(width)]).alias("v"))
+    out = np.zeros((width if within else size, width))
     table = sums.toArrow()
-    for term, v in zip(table.column(0).to_pylist(), table.column(1), strict=True):
-        out[term] = v.values.to_numpy()
+    for at, v in zip(table.column(0).to_pylist(), table.column(1), strict=True):
+        out[at] = v.values.to_numpy()
     return out
 
 
@@ -294,11 +344,16 @@ class Index:
 
 
 def fit(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) -> np.ndarray:
-    """Vector of every term: its inverse passage frequency times its whitened singular coordinates."""
-    df, passages = frequencies(docs, text_col)
-    idf = inverse(df, passages)
-    sample = materialise(fit_passages(docs, benchmark, id_col, text_col, idf))
-    return singular(sample) * idf[:, None]
+    """Vector of every term: its inverse passage frequency times its whitened singular coordinates.
+
+    All passages of all rows of ``docs`` and of all benchmark items count, whatever their ids. Each task of the products sends
+    a table of fixed size, so it goes through PASSAGES_PER_TASK passages where there are more of them than cores.
+    """
+    held = passages(docs, text_col)
+    df, n = frequencies(held)
+    idf = inverse(df, n)
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n // PASSAGES_PER_TASK))
+    return singular(held.coalesce(tasks).unionByName(passages(benchmark, text_col)), idf) * idf[:, None]
 
 
 def blocks(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None) -> Iterator[list[Item]]:
@@ -317,8 +372,8 @@ def find_leaks(
     """``(doc_id, items, shares)`` and the columns ``keep`` per row of ``docs``: benchmark items that its whole text holds.
 
     Windows of every text near an item's window in the latent space, of its own length if that is short, are compared with the item: enough of its words must
-    occur in order, and enough of its answer's. Statistics cover the whole corpus; the latent space is fitted on a bounded
-    sample. Benchmark items are taken in blocks, each of which goes over all texts without a shuffle; after PASS_BLOCKS blocks
+    occur in order, and enough of its answer's. Statistics and the latent space are those of all passages of the whole corpus
+    and the benchmark. Benchmark items are taken in blocks, each of which goes over all texts without a shuffle; after PASS_BLOCKS blocks
     the rows are written, so neither the plan nor what the driver holds grows with the benchmark. Letters A-Z are lower-cased.
 
     Null and empty texts hold no item; null and empty items are in no text; items of equal text are all reported. Items

@@ -159,6 +159,51 @@ def test_decontamination_hard_rows(spark, hard, empty):
     assert decontaminate.find_leaks(hard, bench.limit(0)).where(F.size("items") > 0).count() == 0
 
 
+
+def passage_rows(text):
+    t = decontaminate.terms((text or "").encode().lower().split())
+    return [t[i : i + decontaminate.WINDOW] for i in range(0, len(t), decontaminate.WINDOW)]
+
+
+def test_every_passage_counts_in_the_fit(spark):
+    """Passages fewer than the rank keep all they are: their latent vectors are as long as they were, and at right angles."""
+    draw = random.Random(6)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(24 * 30 - 5)), None, "", "lone word"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, " ".join(f"x{i} x{i}" for i in range(24)))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(f"y{i}" for i in range(40)))], "item_id long, text string")
+    vectors = decontaminate.fit(docs, bench, "doc_id", "text")
+    held = [p for r in docs.collect() + bench.collect() for p in passage_rows(r.text)]
+    df = np.zeros(1 << decontaminate.TERM_BITS, dtype=int)
+    inside = [p for r in docs.collect() for p in passage_rows(r.text)]
+    for p in inside:
+        df[np.unique(p)] += 1
+    idf = np.log((len(inside) + 1) / (df + 1)) + 1
+    length = [np.sqrt(sum((np.count_nonzero(p == t) * idf[t]) ** 2 for t in set(p.tolist()))) for p in held]
+    latent = np.array([vectors[p].sum(axis=0) / n for p, n in zip(held, length)])
+    assert len(held) == 30 + 1 + 2 + 2
+    assert np.abs(latent @ latent.T - np.eye(len(held))).max() < 1e-3
+
+
+def test_the_fit_is_that_of_the_whole_matrix(spark):
+    """Gram matrix of all passages by the definition, with repeated terms, repeated rows and more passages than one chunk holds."""
+    draw = random.Random(8)
+    texts = [" ".join(f"v{int(draw.paretovariate(0.7))}" for _ in range(draw.choice([1, 30, 24 * 40]))) for _ in range(150)]
+    docs = spark.createDataFrame([(i % 100, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = decontaminate.passages(docs, "text")
+    df, n = decontaminate.frequencies(rows)
+    held = [p for t in texts for p in passage_rows(t)]
+    assert n == len(held) > decontaminate.CHUNK / 2 and (df[np.unique(held[0])] > 0).all()
+    idf = decontaminate.inverse(df, n)
+    x = np.zeros((len(held), len(df)))
+    for i, p in enumerate(held):
+        np.add.at(x[i], p, idf[p])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    basis = np.linalg.qr(np.random.default_rng(1).normal(size=(len(df), 8)))[0]
+    product = x.T @ (x @ basis)
+    assert np.allclose(decontaminate._product(rows, idf, basis), product, atol=1e-4)
+    assert np.allclose(decontaminate._product(rows, idf, basis, within=True), basis.T @ product, atol=1e-4)
+
+
 # Mix
 
 
