@@ -32,7 +32,7 @@ SLACK = 12
 SHORT_ITEM = 8
 #: Passages of one written row; passages that are multiplied at once; occurrences in these from which a term is summed by itself.
 ROW_PASSAGES = 64
-CHUNK = 2048
+CHUNK = 8192
 FREQUENT = 32
 PASSAGES_PER_TASK = 1 << 20
 BLOCK_ITEMS = 1000
@@ -143,14 +143,17 @@ def _added(total: np.ndarray, t: np.ndarray, p: np.ndarray) -> None:
     order = order[np.count_nonzero(flat < 0) :]
     if not len(order):
         return
-    found, first, n = np.unique(flat[order], return_index=True, return_counts=True)
-    order //= WINDOW
+    slots = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+    n = np.diff(first, append=len(slots))
     rank = (-n).argsort(kind="stable")
-    found, first, n = found[rank], first[rank], n[rank]
+    found, first, n = slots[first][rank], first[rank], n[rank]
+    order //= WINDOW
     sums = np.zeros((len(found), p.shape[1]), dtype=np.float32)
     frequent = int(np.count_nonzero(n > FREQUENT))
+    ones = np.ones(int(n[0]), dtype=np.float32)
     for i in range(frequent):
-        sums[i] = p[order[first[i] : first[i] + n[i]]].sum(axis=0)
+        sums[i] = ones[: n[i]] @ p.take(order[first[i] : first[i] + n[i]], axis=0)
     for k in range(FREQUENT):  # the k-th occurrence of all other terms that have one
         some = slice(frequent, int(np.count_nonzero(n > k)))
         if some.stop <= frequent:
