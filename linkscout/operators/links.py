@@ -29,14 +29,13 @@ def either_name_join(
     ``out`` maps building columns to output names. A row without a code is checked under one of many names that do not
     exist, so that such rows do not meet in one task. The marked table is written once, as hot names are counted and split.
     """
-    marked = df.withColumns({"_code": F.col(code), "_part": part})
     nowhere = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)).cast("string"))
-    for key, hit in (("_code", "_code_hit"), ("_part", "_part_hit")):
+    marked, own = df, {"_code_hit": F.col(code), "_part_hit": part}
+    for hit, key in own.items():
         known = names.select(F.col("name").alias("_probe"), F.lit(True).alias(hit))
         marked = marked.withColumn("_probe", F.coalesce(key, nowhere)).join(known, "_probe", "left").drop("_probe")
-    keys = F.array_distinct(
-        F.array_compact(F.array(F.when(F.col("_code_hit"), F.col("_code")), F.when(F.col("_part_hit"), F.col("_part"))))
-    )
+    # The keys are taken from their columns again, so that no copy of them is shuffled.
+    keys = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(hit), key) for hit, key in own.items()])))
     marked, n = counted(marked.select(*df.columns, keys.alias("_keys")))
     ends = buildings.select(F.col("name").alias("_key"), *[F.col(old).alias(new) for old, new in out.items()])
     hits = marked.where(F.size("_keys") > 0).withColumn("_key", F.explode("_keys")).drop("_keys")
@@ -62,7 +61,8 @@ def located_circuits(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
 
 def link_view(circuits: DataFrame, buildings: DataFrame) -> DataFrame:
     """One row per located circuit with end codes, bandwidth, completeness, length in metres and line geometry."""
-    located = located_circuits(circuits, buildings)
+    shown = circuits.select("name", "bandwidth", "circuit_type", "a_location_clli", "z_location_clli")
+    located = located_circuits(shown, buildings)
     a = [F.col("a_longitude"), F.col("a_latitude")]
     z = [F.col("z_longitude"), F.col("z_latitude")]
     measured = geo.with_line_length(located, "a_longitude", "a_latitude", "z_longitude", "z_latitude", "length_meters")
